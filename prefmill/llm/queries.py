@@ -9,10 +9,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefmill.llm import licenses, sharding, token_counts
+from prefmill.llm import decontaminate, doc_fingerprints, licenses, quality, sharding, simhash_dedup, token_counts
 from prefmill.llm.common import documents
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.report(documents(spark, sf_dir))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_fingerprints.report(documents(spark, sf_dir))
+
+
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -21,12 +33,25 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), keep=False)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_table(token_counts.histogram(token_counts.token_lengths(documents(spark, sf_dir))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_license_scans, op8_sharding, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op3_simhash_dedup,
+        op4_quality_classifier,
+        op5_doc_fingerprints,
+        op7_license_scans,
+        op8_sharding,
+        op9_decontamination,
+        op10_token_counts,
+    )
 }
 
 ORACLES: dict[str, str] = {"op7_license_scans": licenses.oracle_sql()}
