@@ -20,6 +20,21 @@ def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+#: Bounds of what one Arrow batch of texts holds; without them thousands of long texts would meet in one.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering the session's bounds on Arrow batches to BATCH_ROWS and BATCH_BYTES."""
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = (conf.get(name, None) or "").removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(name, str(most))
+    return df
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only, alike in every locale and engine."""
     return F.translate(col, UPPER, LOWER)

@@ -9,10 +9,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefmill.llm import decontaminate, doc_fingerprints, licenses, quality, sharding, simhash_dedup, token_counts
+from prefmill.llm import (
+    decontaminate,
+    doc_fingerprints,
+    licenses,
+    maxent_lm,
+    mixing,
+    quality,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 from prefmill.llm.common import documents
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(documents(spark, sf_dir))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.report(documents(spark, sf_dir))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.report(documents(spark, sf_dir))
 
@@ -25,6 +44,10 @@ def op5_doc_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_fingerprints.report(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(documents(spark, sf_dir))
+
+
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -44,9 +67,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_mixing,
+        op2_lm_scoring,
         op3_simhash_dedup,
         op4_quality_classifier,
         op5_doc_fingerprints,
+        op6_substring_dedup,
         op7_license_scans,
         op8_sharding,
         op9_decontamination,
