@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefmill.llm.common import text_or_empty
+from prefmill.llm.common import bounded_batches, text_or_empty
 
 RATE = 0.08
 LEAST = 20
@@ -168,7 +168,7 @@ def matches(
 
     end: where the best match ends in the normalised text.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     kind = dict(benchmark.dtypes)[item]
     out = None
     for items in item_blocks(benchmark, item, item_text, block_bytes):
@@ -187,6 +187,7 @@ def keep_clean(
     rate: float = RATE, least: int = LEAST, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of docs that hold no test item."""
+    bounded_batches(docs)
     for items in item_blocks(benchmark, item, item_text, block_bytes):
         docs = docs.withColumn("_hits", hits(items, rate, least, text)).where(F.size("_hits") == 0).drop("_hits")
     return docs

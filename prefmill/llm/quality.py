@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefmill.llm.common import text_or_empty
+from prefmill.llm.common import bounded_batches, text_or_empty
 
 BLOCK = 512
 DICTIONARY = 65_536
@@ -122,6 +122,7 @@ def held_out(key: str, folds: int = FOLDS) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Learn from docs with labels (key, label 0 or 1)."""
+    bounded_batches(docs)
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key))
     usable = usable.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}

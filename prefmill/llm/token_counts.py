@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from prefmill.llm.common import text_or_empty
+from prefmill.llm.common import bounded_batches, text_or_empty
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how this vocabulary splits a text before merging.
@@ -34,6 +34,7 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "te
 
     The vocabulary file (under 1 MB) is read on the driver and sent to the executors once.
     """
+    bounded_batches(docs)
     with open(vocabulary, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
