@@ -1 +1 @@
-"""Part of the preference-data engine."""
+"""Readers and writers: strict JSON lines, documents, file inventories, fixed registries."""
