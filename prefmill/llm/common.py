@@ -68,6 +68,14 @@ def use_checkpoints(spark: SparkSession) -> None:
             shared_dir(spark, "unused")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver happens to need memory."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df below the shared folder and read it back: lineage ends, lost executors cost nothing."""
     path = shared_dir(df.sparkSession, name)

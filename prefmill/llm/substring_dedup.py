@@ -35,16 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefmill.llm.common import bounded_batches, text_or_empty, written
+from prefmill.llm.common import bounded_batches, release, text_or_empty, written
 from prefmill.llm.suffix_sort import sort_to_depth
 
 WIDTH = 100
 GRAM = 48
-HOT = 2000
+HOT = 1 << 16
 CHUNK = 1 << 19
 FLUSH = 1 << 20
-ANCHORS_PER_PART = 1 << 19
-_M64 = (1 << 64) - 1
+ANCHORS_PER_PART = 1 << 17
+RUNS_PER_PART = 1 << 17
+RUNS_PER_FLUSH = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = 24
 
@@ -214,34 +215,56 @@ def _repeated(hot: int):
     return run
 
 
-def _contexts(width: int):
-    """Documents with the runs to look at -> a row for each run, with its bytes."""
+def _contexts(width: int, parts: int):
+    """Documents with the runs to look at -> packed runs with their bytes, a row for each part and flush."""
     import zlib
 
+    names = ["part", "g", "salt", "hot", "ids", "at", "size", "bodies"]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
         plain = zstandard.ZstdDecompressor().decompress
-        for f in frames:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        held: list[tuple] = []
+
+        def flush() -> pd.DataFrame:
+            g, salt, hot, ids, at = (np.array(x) for x in zip(*(r[:5] for r in held)))
+            body = [r[5] for r in held]
+            size = np.fromiter(map(len, body), np.int64, len(body))
+            mixed = (g.astype(np.int64).view(np.uint64) >> np.uint64(20)) + salt.astype(np.uint64) * np.uint64(_BASE)
+            part = (mixed % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((g, part))
+            cut = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1]])
             out = []
+            for a, b in zip(cut, np.r_[cut[1:], len(order)]):
+                o = order[a:b]
+                out.append(
+                    (int(part[o[0]]), g[o].astype("<i8").tobytes(), salt[o].astype("<u4").tobytes(), hot[o].astype("<u1").tobytes(),
+                     ids[o].astype("<i8").tobytes(), at[o].astype("<u4").tobytes(), size[o].astype("<u1").tobytes(),
+                     pack(b"".join([body[i] for i in o.tolist()])))
+                )
+            held.clear()
+            return pd.DataFrame(out, columns=names)
+
+        for f in frames:
             for i, z, lists in zip(f["_id"], f["_z"], f["runs"]):
                 t = plain(z)
                 for x in lists:
                     at, n = np.frombuffer(x["at"], "<u4").tolist(), np.frombuffer(x["n"], "<u1").tolist()
-                    h, salts = np.frombuffer(x["h"], "<u8").view(np.int64).tolist(), np.frombuffer(x["salts"], "<u4").tolist()
+                    h, salts = np.frombuffer(x["h"], "<i8").tolist(), np.frombuffer(x["salts"], "<u4").tolist()
                     for a, k, g, s in zip(at, n, h, salts):
                         salt = zlib.crc32(b"%d %d" % (i, a)) % s if s > 1 else 0
-                        out.append((g, salt, s > 1, i, a, t[a : a + k + width - 1]))
-                    if len(out) >= 20000:
-                        yield pd.DataFrame(out, columns=CONTEXT)
-                        out = []
-            yield pd.DataFrame(out, columns=CONTEXT)
+                        held.append((g, salt, s > 1, i, a, t[a : a + k + width - 1]))
+                if len(held) >= RUNS_PER_FLUSH:
+                    yield flush()
+        if held:
+            yield flush()
 
     return run
 
 
-CONTEXT = ["g", "salt", "hot", "_id", "at", "body"]
-CONTEXT_DDL = "g bigint, salt bigint, hot boolean, _id bigint, at bigint, body binary"
+CONTEXT_DDL = "part bigint, g binary, salt binary, hot binary, ids binary, at binary, size binary, bodies binary"
 
 
 def repeats(group: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -268,67 +291,90 @@ def spans(ids: np.ndarray, at: np.ndarray, width: int) -> pd.DataFrame:
     return pd.DataFrame({"_id": ids[cut], "a": at[cut], "b": at[last] + width})
 
 
-def _mark(width: int, collapse: bool):
-    """Runs sorted by (g, salt) -> marked stretches; runs of hot anchors that did not collapse come back with their bytes."""
-    names = ["_id", "a", "b", "g", "body"]
-
-    def process(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        ids, at, body, hot = f["_id"].to_numpy(), f["at"].to_numpy(), f["body"].tolist(), f["hot"].to_numpy(bool)
-        k = f[["g", "salt"]].to_numpy()
-        group = np.cumsum(np.r_[False, (k[1:] != k[:-1]).any(axis=1)])
-        earliest: dict[tuple[int, bytes], int] = {}
-        kept = []
-        gone = []
-        for r in np.lexsort((at, ids, group)).tolist():
-            if earliest.setdefault((int(group[r]), body[r]), r) == r:
-                kept.append(r)
-            else:
-                gone.append(r)
-        g = np.array(gone, np.int64)
-        if len(g):
-            whole = pd.DataFrame({"_id": ids[g], "a": at[g], "b": at[g] + [len(body[r]) for r in gone]})
-            yield whole.reindex(columns=names)
-        left = np.array(kept, np.int64)
-        if collapse:
-            back = left[hot[left]]
-            if len(back):
-                yield pd.DataFrame({"_id": ids[back], "a": at[back], "b": -1, "g": k[back, 0], "body": [body[r] for r in back]})
-            left = left[~hot[left]]
-        # a run alone under its anchor can only repeat itself if it has several windows, and those differ in their anchor's place
-        n = np.bincount(group[left], minlength=int(group[-1]) + 1)
-        left = left[n[group[left]] > 1]
-        for a in range(0, len(left), 8192):
-            # whole groups: extend to the group's end
-            if a and group[left[a]] == group[left[a - 1]]:
-                a += int(np.searchsorted(group[left[a:]], group[left[a]], "right"))
-            b = a + 8192
-            if b < len(left) and group[left[b]] == group[left[b - 1]]:
-                b += int(np.searchsorted(group[left[b:]], group[left[b]], "right"))
-            part = left[a:b]
-            if len(part):
-                who, where = repeats(group[part], ids[part], at[part], [body[r] for r in part], width)
-                if len(who):
-                    yield spans(who, where, width).reindex(columns=names)
+MARK = ["_id", "a", "b", "g", "body"]
+
+
+def mark(g: np.ndarray, salt: np.ndarray, hot: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> Iterator[pd.DataFrame]:
+    """Runs in any order -> marked stretches; runs of hot anchors that did not collapse come back with their bytes (b = -1)."""
+    order = np.lexsort((at, ids, salt, g))
+    k = np.stack([g[order], salt[order]])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(np.r_[False, (k[:, 1:] != k[:, :-1]).any(axis=0)])
+    earliest: dict[tuple[int, bytes], int] = {}
+    kept, gone = [], []
+    for r, x in zip(order.tolist(), group[order].tolist()):
+        (kept if earliest.setdefault((x, body[r]), r) == r else gone).append(r)
+    if gone:
+        i = np.array(gone)
+        yield pd.DataFrame({"_id": ids[i], "a": at[i], "b": at[i] + [len(body[r]) for r in gone]}).reindex(columns=MARK)
+    left = np.array(kept, np.int64)
+    back = left[hot[left]]
+    if len(back):
+        yield pd.DataFrame({"_id": ids[back], "a": at[back], "b": -1, "g": g[back], "body": [body[r] for r in back]})
+    left = left[~hot[left]]
+    # a run alone under its anchor repeats nothing: its own windows have the anchor at different places
+    left = left[np.bincount(group[left], minlength=len(order) + 1)[group[left]] > 1]
+    ends = np.flatnonzero(np.r_[group[left][1:] != group[left][:-1], True]) + 1
+    a = 0
+    while a < len(left):
+        b = int(ends[min(np.searchsorted(ends, a + 8192), len(ends) - 1)])  # whole groups
+        part = left[a:b]
+        who, where = repeats(group[part], ids[part], at[part], [body[r] for r in part], width)
+        if len(who):
+            yield spans(who, where, width).reindex(columns=MARK)
+        a = b
+
+
+def _mark_packed(width: int):
+    """Packed runs sorted by part -> what mark() gives for each part."""
+
+    def one(blocks: list[tuple]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor().decompress
+        field = lambda k, kind: np.concatenate([np.frombuffer(b[k], kind) for b in blocks])
+        body: list[bytes] = []
+        for b in blocks:
+            text = plain(b[7])
+            end = np.cumsum(np.frombuffer(b[6], "<u1").astype(np.int64)).tolist()
+            body += [text[x:y] for x, y in zip([0, *end], end)]
+        yield from mark(field(1, "<i8"), field(2, "<u4").astype(np.int64), field(3, "<u1").astype(bool), field(4, "<i8"), field(5, "<u4").astype(np.int64), body, width)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks: list[tuple] = []
+        for f in frames:
+            for r in f.itertuples(index=False, name=None):
+                if blocks and blocks[0][0] != r[0]:
+                    yield from one(blocks)
+                    blocks = []
+                blocks.append(r)
+        if blocks:
+            yield from one(blocks)
+
+    return run
+
+
+def _mark_windows(width: int):
+    """Single windows sorted by the hash of their bytes -> marked stretches."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            none = np.zeros(len(f), np.int64)
+            yield from mark(f["g"].to_numpy(), none, none.astype(bool), f["_id"].to_numpy(), f["at"].to_numpy(), f["body"].tolist(), width)
+
         held: list[pd.DataFrame] = []
-        rows = 0
         for frame in frames:
-            if not len(frame):
-                continue
-            held.append(frame)
-            rows += len(frame)
-            if rows < 40000:
+            if len(frame):
+                held.append(frame)
+            if sum(map(len, held)) < 40000:
                 continue
-            f = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
-            k = f[["g", "salt"]].to_numpy()
-            last = int(np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])[-1])
+            f = pd.concat(held, ignore_index=True)
+            last = int(np.searchsorted(f["g"].to_numpy(), f["g"].iat[-1]))
             if last:
-                yield from process(f.iloc[:last].reset_index(drop=True))
-            held = [f.iloc[last:].reset_index(drop=True)]
-            rows = len(held[0])
-        if rows:
-            yield from process(pd.concat(held, ignore_index=True))
+                yield from done(f.iloc[:last])
+            held = [f.iloc[last:]]
+        if held:
+            yield from done(pd.concat(held, ignore_index=True))
 
     return run
 
@@ -370,7 +416,7 @@ CUT_DDL = "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sh
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans [[start, end), ...]): a row for each row of docs."""
-    bounded_batches(docs)
+    spark = bounded_batches(docs).sparkSession
     rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_t"))
     n, known, size = rows.agg(F.count(F.lit(1)), F.count_distinct("_key"), F.sum(F.octet_length("_t"))).first()
     plain = known == n and dict(docs.dtypes)[key] in ("bigint", "int", "smallint", "tinyint")
@@ -395,16 +441,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     )
     sampled = sampled.repartition(parts, "part").sortWithinPartitions("part")
     again = sampled.mapInPandas(_repeated(HOT), "_id bigint, at binary, n binary, h binary, salts binary")
+    again = written(again, "repeated-anchors")
+    release(spark)
     todo = again.groupBy("_id").agg(F.collect_list(F.struct("at", "n", "h", "salts")).alias("runs"))
-    contexts = rows.select("_id", packed("_t").alias("_z")).join(todo, "_id").mapInPandas(_contexts(width), CONTEXT_DDL)
-    contexts = contexts.repartition("g", "salt").sortWithinPartitions("g", "salt")
-    marked = written(contexts.mapInPandas(_mark(width, True), MARK_DDL), "marked")
+    found = again.agg(F.sum(F.octet_length("n"))).first()[0] or 0
+    parts = max(1, -(-int(found) // RUNS_PER_PART))
+    contexts = rows.select("_id", packed("_t").alias("_z")).join(todo, "_id").mapInPandas(_contexts(width, parts), CONTEXT_DDL)
+    contexts = contexts.repartition(parts, "part").sortWithinPartitions("part")
+    marked = written(contexts.mapInPandas(_mark_packed(width), MARK_DDL), "marked")
+    release(spark)
     # what hot anchors left over: single windows, dealt out by their bytes
-    window = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.octet_length("body") - width).cast("bigint"))).alias("step")
-    hot = marked.where("b < 0").select("g", "_id", "a", "body", window)
-    body = F.substring(F.col("body"), F.col("step").cast("int") + 1, F.lit(width))
-    hot = hot.select(F.xxhash64(body).alias("g"), F.lit(0).cast("bigint").alias("salt"), F.lit(False).alias("hot"), "_id", (F.col("a") + F.col("step")).alias("at"), body.alias("body"))
-    hot = hot.repartition("g").sortWithinPartitions("g").mapInPandas(_mark(width, False), MARK_DDL)
+    step = F.explode(F.sequence(F.lit(0), F.octet_length("body") - width)).alias("step")
+    hot = marked.where("b < 0").select("_id", "a", "body", step)
+    body = F.substring(F.col("body"), F.col("step") + 1, F.lit(width))
+    hot = hot.select(F.xxhash64(body).alias("g"), "_id", (F.col("a") + F.col("step")).alias("at"), body.alias("body"))
+    hot = hot.repartition("g").sortWithinPartitions("g").mapInPandas(_mark_windows(width), MARK_DDL)
     marks = marked.where("b >= 0").select("_id", "a", "b").unionByName(hot.select("_id", "a", "b"))
     marks = marks.groupBy("_id").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
     done = rows.select("_id", packed("_t").alias("_z")).join(marks, "_id", "left").mapInPandas(_cut, CUT_DDL)
