@@ -54,7 +54,7 @@ CLASSES = 1 + BANDS + TAILS + RARES
 TAIL0, RARE0 = 1 + BANDS, 1 + BANDS + TAILS
 BUCKETS = 256
 OWN = 192
-PAIRS = 64
+PAIRS = 32
 BLOCKS = 64
 ROUNDS = 8
 RIDGE = 2.0
@@ -163,12 +163,12 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     """counts: word_counts of the training texts, ``ends`` of them."""
     n, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     # a word met once stands for what is yet to be met, so it is never among the known
-    top = counts.where("n > 1").orderBy(F.desc("n"), "w").limit(KNOWN).collect()  # at most KNOWN rows
-    words = [bytes(r["w"]) for r in top]
-    known = np.array([r["n"] for r in top], dtype=np.int64)
+    top = counts.where("n > 1").orderBy(F.desc("n"), "w").limit(KNOWN).select("w", "n").toArrow()  # at most KNOWN rows
+    words = top.column("w").to_pylist()
+    known = top.column("n").to_numpy()
     rare = np.zeros(RARES)
     least = int(known[-1]) if len(top) == KNOWN else 2
-    last = bytes(top[-1]["w"]) if len(top) == KNOWN else b""
+    last = words[-1] if len(top) == KNOWN else b""
     out = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.lit(len(top) == KNOWN)) & (F.col("w") > F.lit(last))))
     tail = F.when(F.octet_length("w") < 3, F.col("w")).otherwise(F.substring("w", -3, 3))
     # the hash modulo a power of two: its lowest bits, whatever its sign
@@ -205,11 +205,11 @@ def _cells(v: Vocabulary):
 
         for f in frames:
             for _, _, ids, history, cls, _, _ in sequences([t.encode("utf-8", "surrogatepass") for t in f["t"]], v):
-                waiting.append(history * CLASSES + cls)
+                waiting.append((history * CLASSES + cls).astype(np.int32))
                 band = (ids >= 0) & (ids < min(HEAD, n))
-                waiting.append(wide + history[band] // BUCKETS * HEAD + ids[band])
+                waiting.append((wide + history[band] // BUCKETS * HEAD + ids[band]).astype(np.int32))
                 rows += len(ids)
-                if rows >= 4 << 20:
+                if rows >= 2 << 20:
                     add()
                     waiting, rows = [], 0
         if waiting:
@@ -301,7 +301,7 @@ def gradient(block: int, cells: np.ndarray, w: Weights) -> dict[str, np.ndarray]
     m = words.sum(axis=2, keepdims=True)
     band = step(w.band[one].reshape(rows, BANDS, BAND), words - m * q, m * q * (1 - q))
     out["band"] = band.reshape(rows, HEAD)
-    return out
+    return {k: x.astype(np.float32) if k not in SHARED else x for k, x in out.items()}
 
 
 SHARED = ("loss", "skip_g", "skip_h")
@@ -314,7 +314,8 @@ def train(blocks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> tuple[Weigh
     head = np.full(HEAD, -30.0)  # slots without a word
     k = min(HEAD, len(v.words))
     head[:k] = np.log(v.counts[:k] + 0.1)
-    w = Weights(zero(CLASSES), zero((BUCKETS, CLASSES)), zero((BUCKETS, CLASSES)), zero((BUCKETS, PAIRS, CLASSES)), head, zero((BUCKETS, HEAD)))
+    small = lambda *shape: zero(shape, np.float32)
+    w = Weights(zero(CLASSES), zero((BUCKETS, CLASSES)), small(BUCKETS, CLASSES), small(BUCKETS, PAIRS, CLASSES), head, small(BUCKETS, HEAD))
     freq = np.bincount(v.cls[:-1], weights=v.counts, minlength=CLASSES) if len(v.words) else zero(CLASSES)
     freq[0] = v.ends
     freq[RARE0:] = v.rare_mass
@@ -324,22 +325,28 @@ def train(blocks: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> tuple[Weigh
         sent = spark.sparkContext.broadcast(w)
 
         def update(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            names = ["block", "name", "x"]
+            sums: dict[str, np.ndarray] = {}
             for f in frames:
                 for b, cells in zip(f["block"], f["cells"]):
                     got = gradient(int(b), np.frombuffer(cells, "<i8"), sent.value)
-                    yield pd.DataFrame([(int(b), name, x.astype("<f4" if name != "loss" else "<f8").tobytes()) for name, x in got.items()], columns=["block", "name", "x"])
-
-        rows = blocks.mapInPandas(update, "block int, name string, x binary").collect()  # BLOCKS x 6 rows of at most 131 KB
+                    for name in SHARED:  # summed in the task: one row each
+                        sums[name] = sums.get(name, 0.0) + got.pop(name)
+                    yield pd.DataFrame([(int(b), name, x.tobytes()) for name, x in got.items()], columns=names)
+            if sums:
+                yield pd.DataFrame([(-1, name, x.tobytes()) for name, x in sums.items()], columns=names)
+
+        # BLOCKS x 3 rows of at most 66 KB, and 3 rows a task
+        rows = blocks.mapInPandas(update, "block int, name string, x binary").toArrow().to_pylist()
         sent.unpersist()
         size = BUCKETS // BLOCKS
         shared = {n: 0.0 for n in SHARED}
-        for r in sorted(rows, key=lambda r: (r["block"], r["name"])):
-            x = np.frombuffer(r["x"], "<f8" if r["name"] == "loss" else "<f4").astype(float)
+        for r in sorted(rows, key=lambda r: (r["block"], r["name"], r["x"])):
             if r["name"] in SHARED:
-                shared[r["name"]] = shared[r["name"]] + x
+                shared[r["name"]] = shared[r["name"]] + np.frombuffer(r["x"], "<f8")
             else:
                 own = getattr(w, r["name"])
-                own[r["block"] * size : (r["block"] + 1) * size] = x.reshape(size, *own.shape[1:])
+                own[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["x"], "<f4").reshape(size, *own.shape[1:])
         if not rows:
             break
         history.append(float(shared["loss"][0]))
@@ -369,7 +376,8 @@ def fit(train_docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
 
     packed = train_docs.select(text_or_empty(text).alias("t")).mapInPandas(cells, "block int, n bigint, gaps binary, counts binary")
     blocks = packed.repartition(BLOCKS, "block").sortWithinPartitions("block").mapInPandas(_sum_cells, "block int, cells binary")
-    weights, likelihoods = train(written(blocks, "cells"), v)
+    weights, likelihoods = train(written(blocks, "cells").coalesce(8), v)
+    v.index.clear()
     return Model(sent, weights, likelihoods), counts
 
 
