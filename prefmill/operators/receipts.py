@@ -39,8 +39,9 @@ def chain_issues(receipts: DataFrame, protocols: Mapping[str, str]) -> DataFrame
     ]
     rules += [(f"token-audit-dataset:{s}", differ(text("audit", f"$.files.{s}.sha256"), F.try_element_at("split_sha", F.lit(s)))) for s in SPLITS]
     listed = F.from_json("result", "files array<struct<path string, bytes bigint, sha256 string>>")["files"]
+    last = lambda name: F.try_element_at(F.filter(listed, lambda f: f["path"] == name), F.lit(-1))
     for name in PARTS:
-        want = F.try_element_at(F.filter(listed, lambda f, n=name: f["path"] == n), F.lit(-1))
+        want = last(name)
         have = F.try_element_at("files", F.lit(name))
         gone = want.isNull() | have.isNull()
         rules.append((f"training-file:{name}", gone))
