@@ -16,7 +16,7 @@ permuted to the front one after another, each permutation sorted as a table, and
 rows that agree on the leading block are compared, each pair in the first such table.
 
 Defined cases: a null text is empty; texts without words have fingerprint zero; equal
-keys are ordered by text; null keys come last; the last document's successor is the
+keys are ordered by a hash of the text; null keys come last; the last document's successor is the
 first, its own if it is alone; an empty table gives an empty result; other columns are
 ignored.
 """
@@ -31,8 +31,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from prefmill.llm.common import text_or_empty, written
+from prefmill.llm.common import bounded_batches, text_or_empty, written
 from prefmill.llm.hamming import bucket_tasks, whole_tasks
 
 BITS = 256
@@ -103,6 +104,16 @@ def edit(text: str, follower: str) -> str:
     return text[: len(text) - half] + follower[:half]
 
 
+@F.pandas_udf(T.BinaryType())
+def _packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Texts as they travel: compressed."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for texts in batches:
+        yield pd.Series([pack(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
+
+
 RESULT = (
     "id {0}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -120,19 +131,25 @@ def _row(key: object, text: str, fp: bytes, follower: str, next_fp: bytes, hashe
 def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each row of docs: id and the columns of RESULT."""
     kind = dict(docs.dtypes)[key]
-    order = [F.col("id").asc_nulls_last(), F.col("t")]
-    rows = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("t"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    # the range partitioner samples these columns on the driver: keep texts out of them
+    order = [F.col("id").asc_nulls_last(), F.col("tie")]
+    bounded_batches(docs)
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("tie"), _packed(text_or_empty(text)).alias("z"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "z", F.spark_partition_id().alias("part"))
     result = RESULT.format(kind)
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows of finished documents (place null); the partition's first (place 0) and last (place 1) with their texts."""
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor().decompress
         hasher = Hasher()
         held, part = None, None
         names = [*RESULT_NAMES, "part", "place", "t"]
         for frame in frames:
             out = []
-            for k, t, p in zip(frame["id"].astype(object), frame["t"], frame["part"]):
+            for k, z, p in zip(frame["id"].astype(object), frame["z"], frame["part"]):
+                t = plain(z).decode("utf-8", "surrogatepass")
                 k = None if pd.isna(k) else k
                 fp = fingerprint(t, hasher)
                 if held is None:
@@ -179,8 +196,7 @@ def neighbours(prints: DataFrame, radius: int = RADIUS, column: str = "fingerpri
     """
     names = [f"w{k}" for k in range(WORDS)]
     words = [F.conv(F.substring(column, 16 * k + 1, 16), 16, -10).cast("bigint").alias(w) for k, w in enumerate(names)]
-    distinct = written(prints.groupBy(column).agg(F.count(F.lit(1)).alias("n_same")), "prints")
-    split = distinct.select(column, "n_same", *words)
+    distinct = written(prints.select(*words).groupBy(*names).agg(F.count(F.lit(1)).alias("n_same")), "prints")
     blocks = radius + 1
     cuts = [BITS * i // blocks for i in range(blocks + 1)]
     masks = []
@@ -214,15 +230,18 @@ def neighbours(prints: DataFrame, radius: int = RADIUS, column: str = "fingerpri
                     if not own:
                         np.add.at(found, lanes[j], same[q[i]])
             at = np.flatnonzero(found)
-            yield pd.DataFrame({column: frame[column].to_numpy()[at], "n": found[at]})
+            yield frame[names].iloc[at].assign(n=found[at])
 
-    tasks = bucket_tasks(split, names, blocks, radius)
-    found = tasks.mapInPandas(search, f"{column} string, n bigint").groupBy(column).agg(F.sum("n").alias("n_near"))
-    return distinct.join(found, column, "left").select(column, "n_same", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"))
+    tasks = bucket_tasks(distinct, names, blocks, radius)
+    ddl = ", ".join(f"{n} bigint" for n in [*names, "n"])
+    found = tasks.mapInPandas(search, ddl).groupBy(*names).agg(F.sum("n").alias("n_near"))
+    both = distinct.join(found, names, "left")
+    digits = F.concat(*[F.lower(F.lpad(F.hex(n), 16, "0")) for n in names])
+    return both.select(digits.alias(column), "n_same", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The columns of RESULT, with the key under its own name, n_same and n_near."""
-    rows = written(edited(docs, key, text), "fingerprints")
+    rows = edited(docs, key, text)
     near = written(neighbours(rows, radius), "neighbours")
     return rows.join(near, "fingerprint").select(F.col("id").alias(key), *RESULT_NAMES[1:], "n_same", "n_near")
