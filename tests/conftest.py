@@ -6,7 +6,10 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+# Python workers find the library and functions of test modules the same way
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(HERE), HERE, os.environ.get("PYTHONPATH", "")])
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
