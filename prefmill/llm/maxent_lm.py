@@ -70,6 +70,13 @@ def suffix_hash(word: bytes) -> int:
     return xxh64_intdigest(word[-3:], 42)
 
 
+class Index(dict):
+    """Word to number; -1 for others. Lookups of known words stay in C."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 @dataclass
 class Vocabulary:
     """The KNOWN most frequent words in order, their counts, and sums over all training tokens."""
@@ -81,12 +88,13 @@ class Vocabulary:
     ends: int
     rare_mass: np.ndarray  # over each rare class: sum of count + 0.1
     unseen: float  # share of unseen words among tokens outside ``words``
-    index: dict = field(default_factory=dict)
+    index: Index = field(default_factory=Index)
 
     def prepare(self) -> "Vocabulary":
         """Lookup tables; made once in each worker."""
-        self.index = {w: i for i, w in enumerate(self.words)}
         n = len(self.words)
+        self.index = Index(zip(self.words, range(n)))
+        self.index[None] = n  # the end
         h = np.array([suffix_hash(w) for w in self.words], dtype=np.uint64)
         ids = np.arange(n)
         cls = np.where(ids < HEAD, 1 + ids // BAND, TAIL0 + (h % np.uint64(TAILS)).astype(np.int64) if n else 0)
@@ -117,7 +125,6 @@ class Vocabulary:
 
 def sequences(texts: list[bytes], v: Vocabulary) -> Iterator[tuple]:
     """Slices of about SLICE bytes: (first document, n of each document, ids, history, class, positions and words outside v)."""
-    n = len(v.words)
     at = 0
     while at < len(texts):
         docs, size, first = [], 0, at
@@ -127,10 +134,8 @@ def sequences(texts: list[bytes], v: Vocabulary) -> Iterator[tuple]:
             at += 1
         lens = np.array([len(d) + 1 for d in docs])
         flat = [w for d in docs for w in (*d, None)]
-        get = v.index.get
-        ids = np.fromiter((get(w, -1) for w in flat), np.int64, len(flat))
+        ids = np.fromiter(map(v.index.__getitem__, flat), np.int64, len(flat))
         end = np.cumsum(lens) - 1
-        ids[end] = n
         out = np.flatnonzero(ids < 0)
         words = [flat[i] for i in out.tolist()]
         h = np.fromiter(map(v.hashed, words), np.uint64, len(words))
