@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,11 +71,14 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver happens to need memory."""
-    import gc
+    """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver happens to need memory.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    The first collection frees what Python still held on the JVM side, the second the plans behind it.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -46,6 +46,7 @@ FLUSH = 1 << 20
 ANCHORS_PER_PART = 1 << 17
 RUNS_PER_PART = 1 << 17
 RUNS_PER_FLUSH = 1 << 16
+WINDOWS_PER_SORT = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = 24
 
@@ -268,18 +269,36 @@ CONTEXT_DDL = "part bigint, g binary, salt binary, hot binary, ids binary, at bi
 
 
 def repeats(group: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(_id, window start) of every window in the runs that equals an earlier one of its group."""
+    """(_id, window start) of every window in the runs that equals an earlier one of its group.
+
+    Many windows are sorted in several lots; windows with equal first 8 bytes share one.
+    """
     size = np.array([len(b) for b in body], np.int64)
     end = np.cumsum(size)
     count = size - width + 1
-    run = np.repeat(np.arange(len(body)), count)
-    step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    run = np.repeat(np.arange(len(body), dtype=np.int32), count)
+    step = (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
     buffer = np.frombuffer(b"".join(body), np.uint8)
-    order, cls = sort_to_depth(buffer, (end - size)[run] + step, group[run], width)
-    who, where = ids[run[order]], at[run[order]] + step[order]
-    by = np.lexsort((where, who, cls))
-    later = np.r_[False, cls[by][1:] == cls[by][:-1]]
-    return who[by][later], where[by][later]
+    start = (end - size)[run] + step
+    lots = -(-len(run) // WINDOWS_PER_SORT)
+    lot = np.zeros(len(run), np.int64)
+    if lots > 1:
+        h = np.zeros(len(run), np.uint64)
+        for k in range(8):
+            h = (h + buffer[start + k] + np.uint64(1)) * np.uint64(_BASE)
+            h ^= h >> np.uint64(29)
+        lot = (h % np.uint64(lots)).astype(np.int64)
+    who, where = [], []
+    for k in range(lots):
+        mine = np.flatnonzero(lot == k) if lots > 1 else np.arange(len(run))
+        order, cls = sort_to_depth(buffer, start[mine], group[run[mine]], width)
+        mine = mine[order]
+        i, w = ids[run[mine]], at[run[mine]] + step[mine]
+        by = np.lexsort((w, i, cls))
+        later = np.r_[False, cls[by][1:] == cls[by][:-1]]
+        who.append(i[by][later])
+        where.append(w[by][later])
+    return np.concatenate(who), np.concatenate(where)
 
 
 def spans(ids: np.ndarray, at: np.ndarray, width: int) -> pd.DataFrame:
@@ -317,7 +336,7 @@ def mark(g: np.ndarray, salt: np.ndarray, hot: np.ndarray, ids: np.ndarray, at:
     ends = np.flatnonzero(np.r_[group[left][1:] != group[left][:-1], True]) + 1
     a = 0
     while a < len(left):
-        b = int(ends[min(np.searchsorted(ends, a + 8192), len(ends) - 1)])  # whole groups
+        b = int(ends[min(np.searchsorted(ends, a + 4096), len(ends) - 1)])  # whole groups
         part = left[a:b]
         who, where = repeats(group[part], ids[part], at[part], [body[r] for r in part], width)
         if len(who):

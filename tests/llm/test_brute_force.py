@@ -205,6 +205,30 @@ def test_long_texts_in_pieces():
     assert windows == list(range(len(t) - 99))
 
 
+def test_many_windows_are_sorted_in_lots(monkeypatch):
+    r = random.Random(3)
+    parts = [bytes(r.choice(b"abc") for _ in range(130)) for _ in range(6)]
+    body = []
+    for _ in range(200):
+        k = r.randrange(20)
+        x = bytearray(r.choice(parts)[k : k + r.randrange(100, 111)])
+        if r.random() < 0.3:
+            x[r.randrange(len(x))] = 33
+        body.append(bytes(x))
+    group, ids, at = np.array([r.randrange(3) for _ in body]), np.arange(200), np.array([r.randrange(1000) for _ in body])
+    first, want = {}, set()
+    for i in range(200):
+        for s in range(len(body[i]) - 99):
+            k = (group[i], body[i][s : s + 100])
+            if k in first:
+                want.add((i, at[i] + s))
+            first.setdefault(k, i)
+    for most in (1 << 17, 100):
+        monkeypatch.setattr(substring_dedup, "WINDOWS_PER_SORT", most)
+        assert set(zip(*(x.tolist() for x in substring_dedup.repeats(group, ids, at, body, 100)))) == want
+    assert want
+
+
 def test_deep_shallow_sort():
     r = random.Random(1)
     for depth in (8, 40, 100):
