@@ -79,3 +79,25 @@ def _canonical_udf(ascii_only: bool, plain_numbers: bool):
 canonical_json = _canonical_udf(False, False)
 canonical_ascii = _canonical_udf(True, False)
 canonical_numbers = _canonical_udf(False, True)
+
+
+#: The parts of a dataset manifest that make up its identity; times and paths do not.
+IDENTITY_PARTS = (
+    "schemaVersion", "status", "promotable", "primaryPreferenceEvidence", "holdoutBoundary", "counts", "domains", "evidenceCounts", "instructorDomainCounts",
+    "modelJudgeDomainCounts", "domainGroupCounts", "groupIdentity", "splitIdentity", "trainingFormat", "gate", "leakage", "files",
+)
+
+
+def dataset_identity(manifest: dict, protocol: str = "dataset-identity-v2") -> str:
+    """A hash of what a manifest says about its data; receipts count by status, size and hash alone."""
+    import hashlib
+
+    def receipt(r: dict) -> dict:
+        keys = ("status", "bytes", "sha256") if r.get("status") == "verified" else ("status",)
+        return {k: r.get(k) for k in keys}
+
+    body = {k: manifest.get(k) for k in IDENTITY_PARTS}
+    body["protocol"] = protocol
+    body["sourceReceipts"] = [receipt(r) for r in manifest.get("sourceReceipts", [])]
+    body["domainMap"] = {k: manifest.get("domainMap", {}).get(k) for k in ("entries", "sha256")}
+    return hashlib.sha256(canonical(body).encode()).hexdigest()

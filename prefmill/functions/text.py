@@ -77,3 +77,11 @@ def chat_prompt(messages: Column) -> Column:
 def short(text: Column, least: int) -> Column:
     """Whether a text has fewer than ``least`` characters once stripped; null counts as empty."""
     return F.length(strip(F.coalesce(text, F.lit("")))) < least
+
+
+def tensor_name(name: Column, prefix: str, to: str) -> Column:
+    """The name of an adapter's tensor in the other layout: prefix swapped, .lora_a as .lora_A.weight; null if it is none."""
+    stem = F.regexp_extract(name, rf"^\Q{prefix}\E(.+)\.lora_[ab]$", 1)
+    good = (stem != "") & ~stem.startswith(".") & ~F.contains(stem, F.lit(".."))
+    side = F.when(name.endswith(".lora_a"), ".lora_A.weight").otherwise(".lora_B.weight")
+    return F.when(good, F.concat(F.lit(to), stem, side))

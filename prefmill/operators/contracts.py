@@ -172,16 +172,21 @@ def _kernel(v: Column, o: Column) -> Column:
     return F.concat(lesson_issues(v), _codes(extra))
 
 
-def validate(rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", out: str = "issues") -> DataFrame:
+def validate(
+    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", out: str = "issues", only: tuple[str, ...] | None = None
+) -> DataFrame:
     """rows with the sorted, distinct issues of each answer.
 
-    The parsed answer and oracle are named intermediate columns, so each is parsed once.
+    only: the contracts that occur, where that is known; it keeps the plan small. The parsed answer and oracle are named intermediate columns, so each is parsed once.
     """
     t = rows.withColumns({"_codes": J.parse_codes(F.col(answer)), "_v": J.value(F.col(answer)), "_o": F.try_parse_json(oracle)})
     v, o = F.col("_v"), F.col("_o")
     found = F.array(F.lit("unknown-contract"))
-    found = F.when(F.col(contract).endswith(KERNEL), _kernel(v, o)).otherwise(found)
+    if only is None or any(c.endswith(KERNEL) for c in only):
+        found = F.when(F.col(contract).endswith(KERNEL), _kernel(v, o)).otherwise(found)
     for name, rules in RULES.items():
+        if only is not None and name not in only:
+            continue
         every = [*rules(v, o), *[(f"short-text:{n}", short(J.text_of(at(v, n)), k)) for n, k in LEAST.get(name, {}).items()]]
         if "citations" in FIELDS[name]:
             every += citations(v, o)
@@ -225,10 +230,12 @@ def rejected(contract: Column, answer: Column, oracle: Column) -> Column:
     )
 
 
-def construct_rejected(rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle") -> DataFrame:
+def construct_rejected(
+    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", only: tuple[str, ...] | None = None
+) -> DataFrame:
     """rows with ``rejected`` and its ``rejected_issues``; an edit that passes is an error of the task."""
     edited = rows.withColumn("rejected", rejected(F.col(contract), F.col(answer), F.col(oracle)))
-    return validate(edited, contract, "rejected", oracle, "rejected_issues")
+    return validate(edited, contract, "rejected", oracle, "rejected_issues", only)
 
 
 __all__ = ["FIELDS", "RULES", "construct_rejected", "of_all", "rejected", "validate"]

@@ -135,13 +135,13 @@ ANSWERS = [
 def _validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = F.get(F.array(*[F.lit(a) for a, _ in ANSWERS]), F.col("doc_id") % 6)
     rows = table(spark, sf_dir, "labels").select("doc_id", F.lit("prerequisite-json-v1").alias("contract"), answer.alias("answer"), F.lit(ORACLE).alias("oracle"))
-    return contracts.validate(rows).select("doc_id", F.array_join("issues", ",").alias("issues"))
+    return contracts.validate(rows, only=("prerequisite-json-v1",)).select("doc_id", F.array_join("issues", ",").alias("issues"))
 
 
 @query("construct_rejected", "SELECT doc_id, 'wrong-eligibility' AS issues FROM labels")
 def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "labels").select("doc_id", F.lit("prerequisite-json-v1").alias("contract"), F.lit(ANSWERS[0][0]).alias("answer"), F.lit(ORACLE).alias("oracle"))
-    return contracts.construct_rejected(rows).select("doc_id", F.array_join("rejected_issues", ",").alias("issues"))
+    return contracts.construct_rejected(rows, only=("prerequisite-json-v1",)).select("doc_id", F.array_join("rejected_issues", ",").alias("issues"))
 
 
 ITEM = '{"q":"Which claim is best supported?","op":["a","b","c","d"],"ai":2,"ex":"Because the source says so."'

@@ -270,3 +270,39 @@ def test_streaming_resume(spark, tmp_path):
     spark.createDataFrame([("a", "1"), ("a", "9")], "id string, hash string").write.mode("append").json(src)
     resume.write_new(resume.unseen(resume.attempts(spark, src, "id string, hash string")), out, state).awaitTermination()
     assert rows(spark.read.parquet(out)) == [("a", "1"), ("a", "9"), ("b", "2")]
+
+
+def test_canary(spark):
+    from prefmill.operators.canary import canary_issues
+
+    t = spark.createDataFrame([('{"eligible":false,"missing":["C 2"],"citations":["C 2","C 3"]}',), ('{"eligible":true,"missing":[],"citations":["C 2"]}',), ("no",)], "a string")
+    got = [r["x"] for r in t.select(canary_issues(F.col("a"), ["C 2"], ["C 2", "C 3"]).alias("x")).collect()]
+    assert got == [[], ["eligibility", "missing-prerequisite", "catalog-citations"], ["json"]]
+
+
+def test_tensor_names(spark):
+    from prefmill.functions.text import tensor_name
+
+    t = spark.createDataFrame([("m.text.layers.0.q.lora_a",), ("m.text.layers.0.q.lora_b",), ("other.q.lora_a",), ("m.text.a..b.lora_a",), ("m.text.q.bias",)], "n string")
+    got = [r["x"] for r in t.select(tensor_name(F.col("n"), "m.text.", "base.").alias("x")).collect()]
+    assert got == ["base.layers.0.q.lora_A.weight", "base.layers.0.q.lora_B.weight", None, None, None]
+
+
+def test_dataset_identity_ignores_times_and_paths():
+    from prefmill.functions.hashing import dataset_identity
+
+    m = {"schemaVersion": 1, "counts": {"train": 2}, "sourceReceipts": [{"status": "verified", "bytes": 1, "sha256": "x", "path": "/a"}], "generatedAt": "now"}
+    same = {**m, "generatedAt": "later", "sourceReceipts": [{"status": "verified", "bytes": 1, "sha256": "x", "path": "/b"}]}
+    assert dataset_identity(m) == dataset_identity(same) != dataset_identity({**m, "counts": {"train": 3}})
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from prefmill.__main__ import main
+
+    out = str(tmp_path / "seeds")
+    main(["seed", "--output", out])
+    assert spark.read.parquet(out).count() == 256
+    main(["models"])
+    assert "primary-teacher" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["unknown"])
