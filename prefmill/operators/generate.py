@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from prefmill.functions.workers import importable
+
 Complete = Callable[[list[dict[str, str]], int], str]
 Check = Callable[[str], list[str]]
 
@@ -22,6 +24,7 @@ def attempts(rows: DataFrame, complete: Complete, check: Check, most: int = 3, s
 
     rows: key, messages, seed. Each retry shows the model its last answer and what was wrong with it.
     """
+    importable(rows.sparkSession)
     kind = dict(rows.dtypes)[key]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
