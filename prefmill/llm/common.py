@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefmill.functions.workers import importable
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -28,6 +30,7 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 def bounded_batches(df: DataFrame) -> DataFrame:
     """df, after lowering the session's bounds on Arrow batches to BATCH_ROWS and BATCH_BYTES."""
+    importable(df.sparkSession)
     conf = df.sparkSession.conf
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
