@@ -61,6 +61,7 @@ RIDGE = 2.0
 STEP = 0.5
 SLICE = 1 << 21
 FLUSH = 1 << 18
+TASK_TOKENS = 1 << 22
 
 
 def suffix_hash(word: bytes) -> int:
@@ -192,12 +193,20 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     return Vocabulary(words, known, int(n or 0) + ends, int(distinct) + (1 if ends else 0), ends, rare, unseen)
 
 
+def pack_cells(cells: np.ndarray) -> tuple[bytes, bytes]:
+    """The cells that count something, compressed: gaps between them, and their counts."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    at = np.flatnonzero(cells)
+    gaps = np.diff(np.r_[-1, at]).astype("<u4")
+    return pack(gaps.tobytes()), pack(cells[at].astype("<i8").tobytes())
+
+
 def _cells(v: Vocabulary):
     """Training texts -> packed counts of (history, class) and (previous bucket, band word) cells by block."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zstandard
-
         v.prepare()
         n = len(v.words)
         wide = BUCKETS * BUCKETS * CLASSES
@@ -219,38 +228,55 @@ def _cells(v: Vocabulary):
                     waiting, rows = [], 0
         if waiting:
             add()
-        pack = zstandard.ZstdCompressor(level=1).compress
         per, head = wide // BLOCKS, BUCKETS * HEAD // BLOCKS
         out = []
         for b in range(BLOCKS):
             part = np.concatenate([cells[b * per : (b + 1) * per], cells[wide + b * head : wide + (b + 1) * head]])
             if part.any():
-                # cells that count something: gaps between them, then counts
-                at = np.flatnonzero(part)
-                gap = np.diff(np.r_[-1, at]).astype("<u4")
-                out.append((b, len(at), pack(gap.tobytes()), pack(part[at].astype("<u4").tobytes())))
-        yield pd.DataFrame(out, columns=["block", "n", "gaps", "counts"])
+                out.append((b, *pack_cells(part)))
+        yield pd.DataFrame(out, columns=["block", "gaps", "counts"])
 
     return run
 
 
-def _sum_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Packed counts sorted by block -> each block's sums."""
-    import zstandard
+def _sum_cells(last: bool):
+    """Packed counts sorted by block and lot -> their sums: packed again, or at last as plain cells of a block."""
 
-    plain = zstandard.ZstdDecompressor().decompress
-    size = (BUCKETS * BUCKETS * CLASSES + BUCKETS * HEAD) // BLOCKS
-    block, total = None, np.zeros(size)
-    for f in frames:
-        for b, gaps, counts in zip(f["block"], f["gaps"], f["counts"]):
-            if b != block:
-                if block is not None:
-                    yield pd.DataFrame({"block": [block], "cells": [total.astype("<i8").tobytes()]})
-                block, total = b, np.zeros(size)
-            at = np.cumsum(np.frombuffer(plain(gaps), "<u4").astype(np.int64)) - 1
-            total[at] += np.frombuffer(plain(counts), "<u4")
-    if block is not None:
-        yield pd.DataFrame({"block": [block], "cells": [total.astype("<i8").tobytes()]})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor().decompress
+        size = (BUCKETS * BUCKETS * CLASSES + BUCKETS * HEAD) // BLOCKS
+        key, total = None, np.zeros(size, np.int64)
+
+        def done() -> pd.DataFrame:
+            if last:
+                return pd.DataFrame({"block": [key[0]], "cells": [total.astype("<i8").tobytes()]})
+            return pd.DataFrame([(key[0], *pack_cells(total))], columns=["block", "gaps", "counts"])
+
+        for f in frames:
+            for b, lot, gaps, counts in zip(f["block"], f["lot"], f["gaps"], f["counts"]):
+                if (b, lot) != key:
+                    if key is not None:
+                        yield done()
+                    key = (b, lot)
+                    total[:] = 0
+                at = np.cumsum(np.frombuffer(plain(gaps), "<u4").astype(np.int64)) - 1
+                total[at] += np.frombuffer(plain(counts), "<i8")
+        if key is not None:
+            yield done()
+
+    return run
+
+
+def sum_blocks(packed: DataFrame, tokens: int) -> DataFrame:
+    """(block, cells): all packed counts of a block added up, in two steps with about the root of their number in each."""
+    lots = max(1, math.isqrt(tokens // TASK_TOKENS))
+    lot = F.pmod(F.spark_partition_id(), F.lit(lots)).alias("lot")
+    first = packed.select("block", lot, "gaps", "counts").repartition("block", "lot").sortWithinPartitions("block", "lot")
+    part = first.mapInPandas(_sum_cells(False), "block int, gaps binary, counts binary")
+    rest = part.select("block", F.lit(0).alias("lot"), "gaps", "counts").repartition(BLOCKS, "block").sortWithinPartitions("block")
+    return rest.mapInPandas(_sum_cells(True), "block int, cells binary")
 
 
 @dataclass
@@ -379,8 +405,8 @@ def fit(train_docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _cells(shared.value)(frames)
 
-    packed = train_docs.select(text_or_empty(text).alias("t")).mapInPandas(cells, "block int, n bigint, gaps binary, counts binary")
-    blocks = packed.repartition(BLOCKS, "block").sortWithinPartitions("block").mapInPandas(_sum_cells, "block int, cells binary")
+    packed = train_docs.select(text_or_empty(text).alias("t")).mapInPandas(cells, "block int, gaps binary, counts binary")
+    blocks = sum_blocks(packed, v.total)
     weights, likelihoods = train(written(blocks, "cells").coalesce(8), v)
     v.index.clear()
     return Model(sent, weights, likelihoods), counts
