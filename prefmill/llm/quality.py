@@ -3,7 +3,8 @@
 Two zstandard dictionaries are trained, one on texts labelled good and one on texts
 labelled bad. A text is cut into blocks of 512 bytes, each compressed with either
 dictionary; the difference of the total sizes, divided by the bytes of the text, says
-which kind it resembles. Isotonic regression over labelled texts that trained no
+which kind it resembles. Short texts say little, so each counts as if SHRINK more bytes
+of an average good text stood in it. Isotonic regression over labelled texts that trained no
 dictionary turns that difference into a probability of label 1.
 
 Fitting reads a bounded sample of labelled rows (``per_class`` rows of each label for
@@ -12,7 +13,7 @@ class weights come from all labelled rows. Dictionary texts enter with their fir
 bytes; calibration and scoring use whole texts, compressed on the executors. Rows whose
 crc32(key as text) mod 5 is 0 are held out: their labels are never used.
 
-Defined cases: a null text is empty, and an empty text has difference 0; rows without
+Defined cases: a null text is empty, and an empty text scores as an average good one; rows without
 a label are scored like others; a null label or key trains nothing; repeated label rows
 count once for each; without labels of both kinds every score is the share of label 1
 (0.5 without labels); an empty table gives an empty result; input columns named like a
@@ -37,6 +38,7 @@ PER_CLASS = 1500
 TRAIN_BYTES = 8192
 THRESHOLD = 0.3
 LEVEL = 1
+SHRINK = 64
 FOLDS = 5
 
 
@@ -56,7 +58,7 @@ def train_dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
 
 
 class Differ:
-    """The normalised size difference of a text under two dictionaries."""
+    """How many bytes more a text takes under the bad dictionary than under the good one."""
 
     def __init__(self, bad: bytes, good: bytes) -> None:
         import zstandard
@@ -71,32 +73,43 @@ class Differ:
 
         self.bad, self.good = compress(bad), compress(good)
 
-    def __call__(self, text: str) -> float:
+    def __call__(self, text: str) -> tuple[int, int]:
+        """(difference, bytes of the text)."""
         data = text.encode("utf-8", "surrogatepass")
-        if not data:
-            return 0.0
         parts = blocks(data)
-        return (sum(len(self.bad(b)) for b in parts) - sum(len(self.good(b)) for b in parts)) / len(data)
+        return sum(len(self.bad(b)) for b in parts) - sum(len(self.good(b)) for b in parts), len(data)
+
+
+def normalised(difference: np.ndarray, size: np.ndarray, rate: float) -> np.ndarray:
+    """The difference a byte, drawn towards ``rate`` by SHRINK bytes."""
+    return (np.asarray(difference) + rate * SHRINK) / (np.asarray(size) + SHRINK)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[list[float], list[float]]:
-    """Knots of the non-decreasing step function closest to y, for linear interpolation between the steps' means."""
-    order = np.argsort(x, kind="stable")
-    level: list[list[float]] = []  # sum of w*x, sum of w*y, sum of w
-    for i in order:
-        level.append([weight[i] * x[i], weight[i] * y[i], weight[i]])
-        while len(level) > 1 and level[-2][1] * level[-1][2] >= level[-1][1] * level[-2][2]:
+    """Knots of the non-decreasing function closest to y: flat over each pooled range of x, linear in the gaps between."""
+    at, index = np.unique(x, return_inverse=True)
+    w = np.bincount(index, weights=weight)
+    wy = np.bincount(index, weights=weight * y)
+    level: list[list[float]] = []  # first x, last x, sum of w*y, sum of w
+    for i in range(len(at)):
+        level.append([at[i], at[i], wy[i], w[i]])
+        while len(level) > 1 and level[-2][2] * level[-1][3] >= level[-1][2] * level[-2][3]:
             last = level.pop()
-            level[-1] = [a + b for a, b in zip(level[-1], last)]
-    return [a / w for a, _, w in level], [min(1.0, max(0.0, b / w)) for _, b, w in level]
+            level[-1] = [level[-1][0], last[1], level[-1][2] + last[2], level[-1][3] + last[3]]
+    knots = [(float(v), min(1.0, max(0.0, b / c))) for lo, hi, b, c in level for v in (lo, hi)]
+    return [k for k, _ in knots], [v for _, v in knots]
 
 
 @dataclass(frozen=True)
 class Model:
-    """bad and good: dictionaries; at and score: the calibration's knots. Without dictionaries: a constant."""
+    """bad and good: dictionaries; rate: the median difference a byte of good texts; at and score: the calibration's knots.
+
+    Without dictionaries the score is a constant.
+    """
 
     bad: bytes
     good: bytes
+    rate: float
     at: tuple[float, ...]
     score: tuple[float, ...]
 
@@ -104,13 +117,14 @@ class Model:
         at, score = np.array(self.at), np.array(self.score)
         if not self.bad:
             return F.lit(float(score[0])).alias(out)
-        bad, good = self.bad, self.good
+        bad, good, rate = self.bad, self.good, self.rate
 
         @F.pandas_udf("double")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             differ = Differ(bad, good)
             for texts in batches:
-                yield pd.Series(np.interp([differ(t) for t in texts], at, score), dtype="float64")
+                got = np.array([differ(t) for t in texts], dtype=float).reshape(-1, 2)
+                yield pd.Series(np.interp(normalised(got[:, 0], got[:, 1], rate), at, score), dtype="float64")
 
         return run(text_or_empty(text)).alias(out)
 
@@ -128,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = {r["y"]: r["n"] for r in usable.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = [counts.get(0, 0), counts.get(1, 0)]
     if not (n[0] and n[1]):
-        return Model(b"", b"", (0.0,), (n[1] / sum(n) if sum(n) else 0.5,))
+        return Model(b"", b"", 0.0, (0.0,), (n[1] / sum(n) if sum(n) else 0.5,))
     picks = []
     for y in (0, 1):
         take = min(2 * per_class, n[y])
@@ -148,16 +162,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def differences(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         differ = Differ(bad, good)
         for b in batches:
-            yield pd.Series([differ(t) for t in b], dtype="float64")
+            yield pd.Series([differ(t)[0] for t in b], dtype="float64")
 
-    got = sorted((r["d"], r["y"]) for r in rows.where("role = 1").select("y", differences("t").alias("d")).collect())
-    y = np.array([b for _, b in got], dtype=float)
+    held = rows.where("role = 1").select("y", differences("t").alias("d"), F.octet_length("t").alias("n"))
+    got = np.array(sorted((r["d"], r["n"], r["y"]) for r in held.collect()), dtype=float).reshape(-1, 3)
+    y = got[:, 2]
     seen = [max(1, int((y == 0).sum())), max(1, int((y == 1).sum()))]
-    if not len(got) or len(set(y)) < 2:
-        got, y, seen = [(-0.02, 0), (0.02, 1)], np.array([0.0, 1.0]), [1, 1]
+    if len(set(y)) < 2:  # too few labels to calibrate: the sign decides
+        got, y, seen = np.array([[-2.0, 100.0, 0.0], [2.0, 100.0, 1.0]]), np.array([0.0, 1.0]), [1, 1]
+    rate = float(np.median(got[y == 1, 0] / np.maximum(got[y == 1, 1], 1)))
     weight = np.where(y == 1, n[1] / seen[1], n[0] / seen[0])
-    at, score = isotonic(np.array([a for a, _ in got]), y, weight)
-    return Model(bad, good, tuple(at), tuple(score))
+    at, score = isotonic(normalised(got[:, 0], got[:, 1], rate), y, weight)
+    return Model(bad, good, rate, tuple(at), tuple(score))
 
 
 def report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
