@@ -60,13 +60,17 @@ def positions(rows: DataFrame, order: str, name: str = "pos") -> DataFrame:
     Rows are range-partitioned by the order; a position is the rank within the partition
     plus the rows of the partitions before it (one number for each partition).
     """
-    dealt = rows.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    dealt = dealt.withColumn("_rank", F.row_number().over(W.Window.partitionBy("_part").orderBy(order)))
+    row = F.monotonically_increasing_id()  # partition number above bit 33, row number below
+    # a stated number of partitions is never coalesced, so both uses below see the same ones
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, F.col(order)).sortWithinPartitions(order).withColumn("_row", row)
+    part = F.shiftright("_row", 33)
+    dealt = dealt.withColumns({"_part": part, "_rank": F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))})
     sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = W.Window.orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)
     start = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     joined = dealt.join(F.broadcast(start), "_part")
-    return joined.withColumn(name, (F.col("_start") + F.col("_rank") - 1).cast("bigint")).drop("_part", "_rank", "_start")
+    return joined.withColumn(name, (F.col("_start") + F.col("_rank")).cast("bigint")).drop("_part", "_rank", "_start", "_row")
 
 
 def token_budget(contract: Column, attempt: Column | None = None) -> Column:
