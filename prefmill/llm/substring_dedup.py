@@ -12,8 +12,9 @@ documents and are judged on the input.
    equal bytes collapse into their earliest; the windows of what is left are sorted as
    suffixes to a depth of ``width`` by deep-shallow sorting (``suffix_sort``), and of each
    class with a common prefix of ``width`` all but the earliest are marked.
-3. Hot anchors (more than ``HOT`` runs) are first collapsed in salted parts; the windows
-   left over are dealt out by their own bytes and sorted there.
+3. The runs of hot anchors (more than ``HOT``) are dealt out in salted parts and sorted so
+   first; what is left of them, each window once a part, is then dealt out by its own
+   bytes and sorted again.
 4. Marked stretches meet their document again, which is cut and hashed.
 
 Texts travel zstandard-compressed.
@@ -268,8 +269,8 @@ def _contexts(width: int, parts: int):
 CONTEXT_DDL = "part bigint, g binary, salt binary, hot binary, ids binary, at binary, size binary, bodies binary"
 
 
-def repeats(group: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(_id, window start) of every window in the runs that equals an earlier one of its group.
+def repeats(group: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> tuple[np.ndarray, ...]:
+    """(run, step) of every window in the runs that equals an earlier one of its group, then of those that do not.
 
     Many windows are sorted in several lots; windows with equal first 8 bytes share one.
     """
@@ -288,17 +289,18 @@ def repeats(group: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes
             h = (h + buffer[start + k] + np.uint64(1)) * np.uint64(_BASE)
             h ^= h >> np.uint64(29)
         lot = (h % np.uint64(lots)).astype(np.int64)
-    who, where = [], []
+    later, first = [], []
     for k in range(lots):
         mine = np.flatnonzero(lot == k) if lots > 1 else np.arange(len(run))
         order, cls = sort_to_depth(buffer, start[mine], group[run[mine]], width)
         mine = mine[order]
         i, w = ids[run[mine]], at[run[mine]] + step[mine]
         by = np.lexsort((w, i, cls))
-        later = np.r_[False, cls[by][1:] == cls[by][:-1]]
-        who.append(i[by][later])
-        where.append(w[by][later])
-    return np.concatenate(who), np.concatenate(where)
+        again = np.r_[False, cls[by][1:] == cls[by][:-1]]
+        later.append(mine[by][again])
+        first.append(mine[by][~again])
+    a, b = np.concatenate(later), np.concatenate(first)
+    return run[a], step[a], run[b], step[b]
 
 
 def spans(ids: np.ndarray, at: np.ndarray, width: int) -> pd.DataFrame:
@@ -314,7 +316,7 @@ MARK = ["_id", "a", "b", "g", "body"]
 
 
 def mark(g: np.ndarray, salt: np.ndarray, hot: np.ndarray, ids: np.ndarray, at: np.ndarray, body: list[bytes], width: int) -> Iterator[pd.DataFrame]:
-    """Runs in any order -> marked stretches; runs of hot anchors that did not collapse come back with their bytes (b = -1)."""
+    """Runs in any order -> marked stretches; the windows of hot anchors that are left come back with their bytes (b = -1)."""
     order = np.lexsort((at, ids, salt, g))
     k = np.stack([g[order], salt[order]])
     group = np.empty(len(order), np.int64)
@@ -327,20 +329,21 @@ def mark(g: np.ndarray, salt: np.ndarray, hot: np.ndarray, ids: np.ndarray, at:
         i = np.array(gone)
         yield pd.DataFrame({"_id": ids[i], "a": at[i], "b": at[i] + [len(body[r]) for r in gone]}).reindex(columns=MARK)
     left = np.array(kept, np.int64)
-    back = left[hot[left]]
-    if len(back):
-        yield pd.DataFrame({"_id": ids[back], "a": at[back], "b": -1, "g": g[back], "body": [body[r] for r in back]})
-    left = left[~hot[left]]
     # a run alone under its anchor repeats nothing: its own windows have the anchor at different places
-    left = left[np.bincount(group[left], minlength=len(order) + 1)[group[left]] > 1]
+    left = left[hot[left] | (np.bincount(group[left], minlength=len(order) + 1)[group[left]] > 1)]
     ends = np.flatnonzero(np.r_[group[left][1:] != group[left][:-1], True]) + 1
     a = 0
     while a < len(left):
         b = int(ends[min(np.searchsorted(ends, a + 4096), len(ends) - 1)])  # whole groups
         part = left[a:b]
-        who, where = repeats(group[part], ids[part], at[part], [body[r] for r in part], width)
-        if len(who):
-            yield spans(who, where, width).reindex(columns=MARK)
+        run, step, run1, step1 = repeats(group[part], ids[part], at[part], [body[r] for r in part], width)
+        if len(run):
+            yield spans(ids[part[run]], at[part[run]] + step, width).reindex(columns=MARK)
+        one = hot[part[run1]]
+        if one.any():
+            i, k = part[run1[one]], step1[one].tolist()
+            text = [body[r][x : x + width] for r, x in zip(i.tolist(), k)]
+            yield pd.DataFrame({"_id": ids[i], "a": at[i] + np.array(k), "b": -1, "g": g[i], "body": text})
         a = b
 
 
@@ -470,10 +473,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     marked = written(contexts.mapInPandas(_mark_packed(width), MARK_DDL), "marked")
     release(spark)
     # what hot anchors left over: single windows, dealt out by their bytes
-    step = F.explode(F.sequence(F.lit(0), F.octet_length("body") - width)).alias("step")
-    hot = marked.where("b < 0").select("_id", "a", "body", step)
-    body = F.substring(F.col("body"), F.col("step") + 1, F.lit(width))
-    hot = hot.select(F.xxhash64(body).alias("g"), "_id", (F.col("a") + F.col("step")).alias("at"), body.alias("body"))
+    hot = marked.where("b < 0").select(F.xxhash64("body").alias("g"), "_id", F.col("a").alias("at"), "body")
     hot = hot.repartition("g").sortWithinPartitions("g").mapInPandas(_mark_windows(width), MARK_DDL)
     marks = marked.where("b >= 0").select("_id", "a", "b").unionByName(hot.select("_id", "a", "b"))
     marks = marks.groupBy("_id").agg(F.collect_list(F.struct("a", "b")).alias("marks"))

@@ -225,7 +225,9 @@ def test_many_windows_are_sorted_in_lots(monkeypatch):
             first.setdefault(k, i)
     for most in (1 << 17, 100):
         monkeypatch.setattr(substring_dedup, "WINDOWS_PER_SORT", most)
-        assert set(zip(*(x.tolist() for x in substring_dedup.repeats(group, ids, at, body, 100)))) == want
+        run, step, run1, step1 = substring_dedup.repeats(group, ids, at, body, 100)
+        assert {(ids[r], at[r] + k) for r, k in zip(run, step)} == want
+        assert len(run) + len(run1) == sum(len(b) - 99 for b in body) and len(run1) == len(first)
     assert want
 
 
