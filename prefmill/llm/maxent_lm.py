@@ -10,7 +10,7 @@ The class softmax has hashed features of the history h: the previous word (bigra
 word before it (skip), the pair of both (trigram) and a bias, words being hashed to 256
 buckets. Within a band the softmax over its words has bigram features and a bias;
 within the other classes its one feature is the word, whose optimum is the closed form
-(count + 0.1) / sum. Known are the ``KNOWN`` most frequent words met at least twice; a
+(count + 0.1) / sum. Known are the most frequent words, ``KNOWN`` at most, met at least twice; a
 word of the remaining classes is unseen with a share that Good-Turing's estimate sets
 from singletons; all unseen words are one event. The probabilities of all events sum to 1 for every history.
 
@@ -169,13 +169,20 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     """counts: word_counts of the training texts, ``ends`` of them."""
     n, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     # a word met once stands for what is yet to be met, so it is never among the known
-    top = counts.where("n > 1").orderBy(F.desc("n"), "w").limit(KNOWN).select("w", "n").toArrow()  # at most KNOWN rows
-    words = top.column("w").to_pylist()
-    known = top.column("n").to_numpy()
+    step = F.floor(F.log2("n") * 16)  # counts in sixteenths of octaves: some thousand values at most
+    steps = sorted(((r["s"], r["v"]) for r in counts.where("n > 1").groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("v")).collect()), reverse=True)
+    least, room = None, KNOWN
+    for s, v in steps:
+        room -= v
+        if room < 0:
+            break
+        least = s
+    is_known = (F.col("n") > 1) & (step >= F.lit(least)) if least is not None else F.lit(False)
+    top = counts.where(is_known).select("w", "n").toArrow()  # at most KNOWN rows
+    order = sorted(zip((-n for n in top.column("n").to_pylist()), top.column("w").to_pylist()))
+    words, known = [w for _, w in order], np.array([-n for n, _ in order], dtype=np.int64)
     rare = np.zeros(RARES)
-    least = int(known[-1]) if len(top) == KNOWN else 2
-    last = words[-1] if len(top) == KNOWN else b""
-    out = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.lit(len(top) == KNOWN)) & (F.col("w") > F.lit(last))))
+    out = counts.where(~is_known)
     tail = F.when(F.octet_length("w") < 3, F.col("w")).otherwise(F.substring("w", -3, 3))
     # the hash modulo a power of two: its lowest bits, whatever its sign
     cls = F.xxhash64(tail).bitwiseAND(F.lit(RARES - 1))
