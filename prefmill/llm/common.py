@@ -63,16 +63,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """See that checkpoint() has a folder: the configured one, or a local one in tests."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        top = spark.conf.get("spark.checkpoint.dir", None)
-        if top:
-            spark.sparkContext.setCheckpointDir(top)
-        else:
-            shared_dir(spark, "unused")
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver happens to need memory.
 
@@ -85,7 +75,13 @@ def release(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df below the shared folder and read it back: lineage ends, lost executors cost nothing."""
-    path = shared_dir(df.sparkSession, name)
+    """Write df below the shared folder and read it back: lineage ends, lost executors cost nothing.
+
+    The table goes when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
