@@ -74,3 +74,10 @@ def test_evaluation(tasks):
     parts = flows.report(flows.evaluation(held, "heldout", solve))
     assert tuple(parts["overall"].first())[:3] == (8, 4, 0.5)
     assert contracts.FIELDS
+
+
+def test_seed_files_and_manifest(spark, tmp_path):
+    m = seeds.write(spark, str(tmp_path / "out"))
+    assert m["counts"] == {"train": 160, "validation": 32, "preference-test": 32, "heldout": 32} and len(m["categories"]) == 8
+    assert spark.read.text(str(tmp_path / "out" / "split=heldout")).count() == 32
+    assert seeds.write(spark, str(tmp_path / "again"))["identitySha256"] == m["identitySha256"]

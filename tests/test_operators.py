@@ -306,3 +306,21 @@ def test_command_line(spark, tmp_path, capsys):
     assert "primary-teacher" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         main(["unknown"])
+
+
+def test_preconditions_and_labels(spark):
+    ddl = ("variant string, adapter_format string, base_name string, pin_name string, base_bytes bigint, pin_bytes bigint, base_sha256 string, pin_sha256 string, "
+           "scale double, locked_scale double, tuning boolean, n_tasks int")
+    good = ("adapter", "f", "b", "b", 1, 1, "s", "s", 10.0, 10.0, False, 3)
+    bad = ("other", None, "b", "c", 1, 1, "s", "s", 9.0, 10.0, False, 0)
+    got = [r["unmet"] for r in receipts.unmet(spark.createDataFrame([good, bad], ddl)).collect()]
+    assert got == [[], ["variant", "adapter-manifest", "base-pin", "scale", "empty-split"]]
+    t = spark.createDataFrame([('{"a":"/root/x/y","b":["/root/x"],"c":"/other"}', "lite", "p1"), ("{}", "pro", "p9")], "j string, tier string, protocol string")
+    r = t.select(receipts.relative_paths("j", "/root/x").alias("j"), receipts.comparison_label(F.col("tier"), F.col("protocol"), {"p1": "strict"}).alias("l")).collect()
+    assert [tuple(x) for x in r] == [('{"a":"y","b":["."],"c":"/other"}', "lite-strict"), ("{}", "pro-evaluation")]
+
+
+def test_token_counter_and_limits(spark):
+    count = audit.token_counter(lambda s: len(s.split()))
+    t = spark.createDataFrame([("a b c",), (None,), ("",)], "t string").withColumn("n", count(F.col("t")))
+    assert sorted(r["n"] for r in t.collect()) == [0, 0, 3] and audit.over_limit(t, "n", 2).count() == 1
