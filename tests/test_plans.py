@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import same_rows
+from helpers import same_rows
 from prefmill.plans import load
 
 QUERIES, ORACLES = load()
