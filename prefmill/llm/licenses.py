@@ -8,8 +8,8 @@ coefficient of at least ``threshold``.
 Two bounds prune without loss. Size: Dice >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t.
 Anchors: a matching line holds over t/2 of the template's bigrams, so for each template
 a few words are kept that occur in at least 1 - t/2 of its bigrams; a line with none of
-those words cannot match. Only the lines left are cut into bigrams and joined with the
-template bigrams (a fixed table, a few hundred rows).
+those words cannot match. Only the lines left are cut into bigrams and compared. All of it
+happens within a row: nothing is shuffled, whatever the keys.
 
 Defined cases: null and empty texts have no licence line; a line that fits several
 templates equally well goes to the smallest name; repeated rows stay repeated; other
@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefmill.llm.common import ascii_lower, text_or_empty
@@ -75,47 +75,54 @@ def anchors(templates: Mapping[str, str], threshold: float) -> list[str]:
     return sorted(kept)
 
 
+def _found(text: str, templates: Mapping[str, str], threshold: float) -> tuple[Column, Column]:
+    """Two columns in turn: the lines worth a comparison, as (line_no, line, w); and, over a column ``_lines`` of those, each licence line."""
+    sets = {n: sorted(bigrams(t)) for n, t in sorted(templates.items()) if bigrams(t)}
+    if not sets:
+        raise ValueError("no template has two words")
+    low = min(map(len, sets.values())) * threshold / (2 - threshold)
+    high = max(map(len, sets.values())) * (2 - threshold) / threshold
+    some = F.array(*map(F.lit, anchors(templates, threshold)))
+    numbered = F.transform(F.split(text_or_empty(text), "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    # n words take 2n - 1 characters at least
+    long_enough = F.filter(numbered, lambda s: (F.length(s["line"]) + 1) / 2 - 1 >= low)
+    norm = lambda x: F.split(F.trim(F.regexp_replace(ascii_lower(x), "[^a-z0-9]+", " ")), " ")
+    cut = F.transform(long_enough, lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), norm(s["line"]).alias("w")))
+    lines = F.filter(cut, lambda s: (F.size(s["w"]) - 1 >= low) & F.arrays_overlap(s["w"], some))
+
+    def pairs(w: Column) -> Column:
+        n = F.size(w) - 1
+        return F.array_distinct(F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    def best(b: Column) -> Column:
+        """(worse, license) of the best template, null if none reaches the threshold; worse is the negative coefficient."""
+        each = []
+        for name, grams in sets.items():
+            m, n = F.lit(len(grams)), F.size(b)
+            fits = (n >= m * (threshold / (2 - threshold))) & (n <= m * ((2 - threshold) / threshold))
+            dice = F.lit(2.0) * F.size(F.array_intersect(b, F.array(*map(F.lit, grams)))) / (n + m)
+            each.append(F.when(fits & (dice >= threshold), F.struct((-dice).alias("worse"), F.lit(name).alias("license"))))
+        return F.array_min(F.array(*each))
+
+    with_b = F.transform("_lines", lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), pairs(s["w"]).alias("b")))
+    sized = F.filter(with_b, lambda s: (F.size(s["b"]) >= low) & (F.size(s["b"]) <= high))
+    scored = F.transform(sized, lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), best(s["b"]).alias("best")))
+    return lines, F.filter(scored, lambda s: s["best"].isNotNull())
+
+
+def _scanned(docs: DataFrame, templates: Mapping[str, str], threshold: float, key: str, text: str) -> DataFrame:
+    lines, found = _found(text, templates, threshold)
+    return docs.select(F.col(key).alias("_key"), lines.alias("_lines")).select("_key", found.alias("_found"))
+
+
 def license_lines(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(row, key, line_no, line, license, dice): each licence line with its best template."""
-    sets = {n: bigrams(t) for n, t in templates.items() if bigrams(t)}
-    if not sets:
-        raise ValueError("no template has two words")
-    low = min(len(s) for s in sets.values()) * threshold / (2 - threshold)
-    high = max(len(s) for s in sets.values()) * (2 - threshold) / threshold
-    spark = docs.sparkSession
-    rows = [(n, b, len(s)) for n, s in sorted(sets.items()) for b in sorted(s)]
-    table = F.broadcast(spark.createDataFrame(rows, "license string, bigram string, t_size int"))
-    lines = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), text_or_empty(text).alias("t")).select(
-        "row", "key", F.posexplode(F.split("t", "\n")).alias("line_no", "line")
-    )
-    # upper bound first: a line of n words has n - 1 bigrams at most, and n <= (length + 1) / 2
-    lines = lines.where((F.length("line") + 1) / 2 - 1 >= low)
-    norm = F.trim(F.regexp_replace(ascii_lower(F.col("line")), "[^a-z0-9]+", " "))
-    lines = lines.select("row", "key", "line_no", "line", F.split(norm, " ").alias("w"))
-    lines = lines.where((F.size("w") - 1 >= low) & F.arrays_overlap("w", F.array(*map(F.lit, anchors(templates, threshold)))))
-    pairs = F.zip_with(
-        F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-    lines = lines.select("row", "key", "line_no", "line", F.array_distinct(pairs).alias("b"))
-    lines = lines.where((F.size("b") >= low) & (F.size("b") <= high))
-    hits = (
-        lines.select("row", "key", "line_no", "line", F.size("b").alias("l_size"), F.explode("b").alias("bigram"))
-        .join(table, "bigram")
-        .where(F.col("l_size") >= F.col("t_size") * (threshold / (2 - threshold)))
-        .where(F.col("l_size") <= F.col("t_size") * ((2 - threshold) / threshold))
-        .groupBy("row", "key", "line_no", "license", "l_size", "t_size")
-        .agg(F.count(F.lit(1)).alias("common"), F.first("line").alias("line"))
-    )
-    dice = F.lit(2.0) * F.col("common") / (F.col("l_size") + F.col("t_size"))
-    scored = hits.withColumn("dice", dice).where(F.col("dice") >= threshold)
-    best = scored.groupBy("row", "key", "line_no").agg(
-        F.min(F.struct((-F.col("dice")).alias("worse"), "license", "line")).alias("b")
-    )
-    return best.select(
-        "row", F.col("key").alias(key), "line_no", F.col("b.line").alias("line"), F.col("b.license").alias("license"),
-        (-F.col("b.worse")).alias("dice"),
+    """(key, line_no, line, license, dice): each licence line with its best template."""
+    rows = _scanned(docs, templates, threshold, key, text).select("_key", F.explode("_found").alias("f"))
+    return rows.select(
+        F.col("_key").alias(key), F.col("f.line_no").alias("line_no"), F.col("f.line").alias("line"), F.col("f.best.license").alias("license"),
+        (-F.col("f.best.worse")).alias("dice"),
     )
 
 
@@ -123,19 +130,13 @@ def scan(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """A row for each row of docs: key, n_license_lines, license and dice of its best line (null: none), licenses (all, comma-joined)."""
-    found = (
-        license_lines(docs, templates, threshold, key, text)
-        .groupBy("row")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct((-F.col("dice")).alias("worse"), "license")).alias("b"),
-            F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
-        )
-    )
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias(key))
-    return base.join(found, "row", "left").select(
-        key, F.coalesce("n", F.lit(0)).cast("bigint").alias("n_license_lines"), F.col("b.license").alias("license"),
-        (-F.col("b.worse")).alias("dice"), "licenses",
+    rows = _scanned(docs, templates, threshold, key, text)
+    best = F.array_min(F.transform("_found", lambda f: f["best"]))
+    names = F.array_sort(F.array_distinct(F.transform("_found", lambda f: f["best"]["license"])))
+    rows = rows.select("_key", F.size("_found").cast("bigint").alias("n"), best.alias("b"), names.alias("names"))
+    return rows.select(
+        F.col("_key").alias(key), F.col("n").alias("n_license_lines"), F.col("b.license").alias("license"), (-F.col("b.worse")).alias("dice"),
+        F.when(F.col("n") > 0, F.array_join("names", ",")).alias("licenses"),
     )
 
 
