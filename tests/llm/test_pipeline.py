@@ -31,3 +31,9 @@ def test_stage_list():
 def test_all_ten_are_registered(spark, sf):
     numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11))
+
+
+def test_sql_of_the_license_scan(spark, sf, duck):
+    from helpers import same_rows
+
+    same_rows(queries.QUERIES["op7_license_scans"](spark, sf), queries.ORACLES["op7_license_scans"], duck)
