@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
 from prefmill.functions.text import contains_fold, short, strip
-from prefmill.operators.lessons import lesson_issues, of_all
+from prefmill.operators.lessons import lesson_issues
 
 #: The fields of each contract's answers.
 FIELDS = {
@@ -236,6 +236,3 @@ def construct_rejected(
     """rows with ``rejected`` and its ``rejected_issues``; an edit that passes is an error of the task."""
     edited = rows.withColumn("rejected", rejected(F.col(contract), F.col(answer), F.col(oracle)))
     return validate(edited, contract, "rejected", oracle, "rejected_issues", only)
-
-
-__all__ = ["FIELDS", "RULES", "construct_rejected", "of_all", "rejected", "validate"]
