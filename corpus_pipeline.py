@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefmill.llm import decontaminate, mixing, quality, sharding, simhash_dedup
+from prefmill.llm import decontaminate, minhash_dedup, mixing, quality, sharding
 from prefmill.llm.common import shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of SimHash near-duplicates."""
-    return simhash_dedup.keep_first(docs)
+    """One document, that with the smallest doc_id, of each group of texts whose 5-word shingles have a Jaccard coefficient of at least 0.8."""
+    return minhash_dedup.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

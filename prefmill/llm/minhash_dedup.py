@@ -1,0 +1,165 @@
+"""Near-duplicates by the Jaccard coefficient of word shingles.
+
+Two texts are linked if |A and B| / |A or B| of their sets of 5-word shingles (words as in
+``simhash_dedup``, XXH64 of each shingle) is at least ``least``; groups are the components.
+
+Candidates: BANDS keys a text, each a hash of ROWS MinHash values. Two texts at a coefficient of j
+share a key with probability 1 - (1 - j**ROWS)**BANDS (0.9996 at 0.8). Pairs that
+share a key are decided exactly, over the whole sets, in two steps: each member of a
+bucket meets the bucket's smallest; then buckets that still hold several components are
+compared in full, a bucket over ``MOST`` rows as pairs of chunks. Tasks return spanning
+links, so output stays linear.
+
+Defined cases: those of ``simhash_dedup``; texts of one to five words are one shingle, and
+texts without words are linked with each other only.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from prefmill.llm.common import bounded_batches, text_or_empty, written
+from prefmill.llm.components import components
+from prefmill.llm.hamming import TASK, star_links
+from prefmill.llm.simhash_dedup import NO_ID, first_of_groups
+
+SHINGLE = 5
+LEAST = 0.8
+BANDS, ROWS = 20, 5
+MOST = 256
+WIDE = 8192
+
+_SEEDED = np.random.default_rng(5)
+TIMES = _SEEDED.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
+PLUS = _SEEDED.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64)
+
+
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """The sorted set of the shingles' hashes of one whole text."""
+    from xxhash import xxh64_intdigest as digest
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    n = len(words)
+    if not n:
+        return np.zeros(0, "<u8")
+    line = b" ".join(words)
+    if n <= shingle:
+        return np.array([digest(line, 42)], "<u8")
+    size = np.fromiter(map(len, words), np.int64, n)
+    end = np.cumsum(size + 1) - 1
+    start = (end - size)[: n - shingle + 1].tolist()
+    stop = end[shingle - 1 :].tolist()
+    parts = [
+        np.array([digest(line[a:b], 42) for a, b in zip(start[k : k + 16384], stop[k : k + 16384])], "<u8") for k in range(0, len(start), 16384)
+    ]
+    return np.unique(np.concatenate(parts))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """BANDS signed keys of a shingle set; an empty set has keys of its own."""
+    from xxhash import xxh64_intdigest as digest
+
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for k in range(0, len(hashes), 1024):
+        least = np.minimum(least, (hashes[None, k : k + 1024] * TIMES + PLUS).min(axis=1))
+    keys = [digest(least[i * ROWS : (i + 1) * ROWS].tobytes(), i) for i in range(BANDS)]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard coefficient of two shingle sets; of two empty ones 1."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    either = len(a) + len(b) - both
+    return both / either if either else 1.0
+
+
+def all_pairs(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """All positions i < j whose sets have a coefficient of at least ``least``."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), size)
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[at] > 1
+    owner, at = owner[shared], (np.cumsum(count > 1) - 1)[at[shared]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    both = np.zeros((n, n))
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, WIDE):
+        lo, hi = np.searchsorted(at, [first, first + WIDE])
+        held = np.zeros((n, WIDE), np.float32)
+        held[owner[lo:hi], at[lo:hi] - first] = 1
+        both += held @ held.T
+    either = size[:, None] + size[None, :] - both
+    return np.nonzero(np.triu(np.where(either > 0, both >= least * either, True), 1))
+
+
+def _links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that join the members of each bucket as all pairs of the least likeness do."""
+
+    @F.pandas_udf("double")
+    def like(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([likeness(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) for a, b in zip(left, right)], dtype="float64")
+
+    pairs = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    met = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    star = written(met.where(like("sa", "sb") >= least).select("a", "b"), "star-links")
+    found = written(components(star), "star-components")
+    rows = written(members.join(found, "node", "left").select("tab", "key", "node", F.coalesce("component", "node").alias("c")), "labelled")
+    mixed = rows.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    mixed = written(mixed.where("lo <> hi").select("tab", "key", F.ceil(F.col("n") / F.lit(float(MOST))).cast("int").alias("chunks")), "mixed")
+    rows = rows.join(mixed, ["tab", "key"]).withColumn("m", F.pmod(F.xxhash64("node", F.lit(5)), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = rows.select("tab", "key", F.least("m", "o").alias("ci"), F.greatest("m", "o").alias("cj"), "node").join(sets, "node")
+
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        node = frame["node"].to_numpy()
+        i, j = all_pairs([np.frombuffer(s, "<u8") for s in frame["s"]], least)
+        a, b = star_links(len(node), i, j)
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    return star.unionByName(dealt.groupBy(*TASK).applyInPandas(search, "a bigint, b bigint"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """(key, component_id): a row for each row of docs."""
+    bounded_batches(docs)
+
+    @F.pandas_udf("array<bigint>")
+    def keys(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([band_keys(shingles(t, shingle)) for t in batch], dtype=object)
+
+    @F.pandas_udf("binary")
+    def sets_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([shingles(t, shingle).tobytes() for t in batch], dtype=object)
+
+    body = text_or_empty(text)
+    digest = F.unhex(F.sha2(F.encode(body, "UTF-8"), 256)).alias("g")
+    marks = written(docs.select(F.col(key).alias("id"), digest, keys(body).alias("keys")), "minhash")
+    # a text whose rows all lack an id gets a node above all ids
+    spare = F.xxhash64("g").bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))
+    distinct = written(
+        marks.groupBy("g").agg(F.min("id").alias("id"), F.first("keys").alias("keys")).select("g", F.coalesce("id", spare).alias("node"), "keys"), "distinct"
+    )
+    rows = distinct.select("g", "node", F.posexplode("keys").alias("tab", "key"))
+    full = rows.groupBy("tab", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").drop("last")
+    members = written(rows.join(written(full, "buckets"), ["tab", "key"]), "members")
+    asked = written(members.select("g", "node").distinct(), "asked")
+    # by text and key, so that copies of one text spread out
+    bodies = docs.select(F.col(key).alias("id"), digest, body.alias("t")).select("g", F.coalesce("id", spare).alias("node"), "t")
+    sets = written(bodies.join(asked, ["g", "node"]).select("node", sets_of("t").alias("s")), "shingle-sets")
+    found = written(components(written(_links(members.drop("g"), sets, least), "all-links")), "components")
+    groups = written(distinct.join(found, "node", "left").select("g", F.coalesce("component", "node").alias("component_id")), "groups")
+    group = F.when(F.col("component_id") < NO_ID, F.col("component_id"))
+    return marks.select("id", "g").join(groups, "g").select(F.col("id").alias(key), group.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """docs with one row of each group, as ``simhash_dedup.keep_first`` keeps it."""
+    return first_of_groups(docs, near_duplicates(docs.select(key, text), key, text, shingle, least), key)

@@ -196,7 +196,12 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", radius:
     Of repeated rows with that key one stays. Rows with a null key are kept: nothing
     names them.
     """
-    groups = written(near_duplicates(docs.select(key, text), key, text, radius), "near-duplicates")
+    return first_of_groups(docs, near_duplicates(docs.select(key, text), key, text, radius), key)
+
+
+def first_of_groups(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """docs without the rows that are not the first of their group; groups: (key, component_id) for each row of docs."""
+    groups = written(groups, "near-duplicates")
     drop = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dropped")).distinct()
     kept = docs.join(drop, docs[key] == F.col("_dropped"), "left_anti")
     again = written(
