@@ -2,11 +2,11 @@
 
 Documents with equal texts form a group, and groups are what is placed. First the
 groups' sizes are summed (a hash aggregation over 32-byte digests; texts do not move).
-Then at most ``2 * units`` units per shard are made of them, whatever the input:
+Then at most ``5 * units`` units per shard are made of them, whatever the input:
 
-* a group of at least 1/(shards * units) of all bytes is a unit of its own, cut into
-  pieces by a hash of the row if it is larger than that (a hot group may hold a third of
-  all rows and must not fill one shard);
+* a group of at least 1/(shards * units) of all bytes is a unit of its own; only one above a
+  shard's fair share of the bytes, tokens or rows, which no shard can take whole, is cut
+  into pieces of that size by a hash of the row;
 * all smaller groups are hashed into shards * units bundles whose expected sizes grow
   linearly from almost nothing, so that the last ones placed level what is left.
 
@@ -23,6 +23,8 @@ gives an empty result; input columns named like a result column are replaced.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +104,13 @@ def assign(docs: DataFrame, shards: int = SHARDS, units: int = UNITS, key: str =
         .agg(F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     )
     groups = written(groups, "shard-groups")  # 56 bytes a group, read three times
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    sums = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "tokens", "rows")]).first()
+    total = sums["bytes"]
     n_bundles = shards * units
     least = max(1, -(-total // n_bundles))
     heavy_rows = groups.where(F.col("bytes") >= least).collect()  # at most shards * units rows
-    pieces = [(bytes(r["g"]), int(-(-r["bytes"] // least)) if r["rows"] > 1 else 1, r) for r in heavy_rows]
+    fair = lambda r: max(r[c] * shards / sums[c] for c in ("bytes", "tokens", "rows"))
+    pieces = [(bytes(r["g"]), math.ceil(fair(r) * units) if fair(r) > 1 else 1, r) for r in heavy_rows]
     pieces = [(g, min(p, r["rows"]), r) for g, p, r in sorted(pieces, key=lambda x: x[0])]
     # a bundle's share grows with its number: sqrt of a uniform hash
     u = F.pmod(F.xxhash64("g"), F.lit(1 << 20)).cast("double") / (1 << 20)
@@ -132,7 +136,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, units: int = UNITS, key: str =
     cut = base.where(F.col("_pieces") > 1) if any(p > 1 for _, p, _ in pieces) else None
     sizes: list[tuple[int, int, int, int]] = [(r["unit"], r["bytes"], r["tokens"], r["rows"]) for r in light]
     sizes += [(-(i << 32) - 1, r["bytes"], r["tokens"], r["rows"]) for i, (_, p, r) in enumerate(pieces) if p == 1]
-    if cut is not None:  # at most 2 * shards * units rows
+    if cut is not None:  # at most 3 * shards * units rows and a row more for each group
         parts = cut.groupBy("_unit").agg(F.sum("size"), F.sum("_tokens"), F.count(F.lit(1))).collect()
         sizes += sorted(tuple(r) for r in parts)
     at = place(np.array([s[1:] for s in sizes], dtype=float).reshape(-1, 3), shards)

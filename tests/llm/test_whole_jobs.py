@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import corpus_pipeline
-from prefmill.llm import minhash_dedup
+from prefmill.llm import minhash_dedup, sharding
 from test_brute_force import groups, words
 
 DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -38,3 +39,16 @@ def test_pipeline_near_copies_at_least_0_8(spark, monkeypatch):
     assert got == set(want.values())
     monkeypatch.setattr(minhash_dedup, "MOST", 8)
     assert {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs).collect()} == want
+
+
+def test_copies_that_fit_a_shard_stay_together(spark):
+    # 10 % and 5 % of the rows, a shard's fair share is 20 %
+    say = lambda i: "one group " * 8 if i % 10 == 0 else "the other group " * 5 if i % 20 == 1 else f"text {i:05} " * 7
+    d = spark.createDataFrame([(i, say(i)) for i in range(3000)], "doc_id bigint, text string")
+    rows = sharding.assign(d, shards=5, units=16, keep=False).collect()
+    assert len({r["shard"] for r in rows if r["doc_id"] % 10 == 0}) == 1
+    assert len({r["shard"] for r in rows if r["doc_id"] % 20 == 1}) == 1
+    load = Counter()
+    for r in rows:
+        load[r["shard"]] += r["size"]
+    assert max(load.values()) < 1.02 * min(load.values())
