@@ -6,7 +6,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from prefmill.llm import minhash_dedup, sharding
+from prefmill.llm import minhash_dedup, quality, sharding
 from test_brute_force import groups, words
 
 DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -52,3 +52,18 @@ def test_copies_that_fit_a_shard_stay_together(spark):
     for r in rows:
         load[r["shard"]] += r["size"]
     assert max(load.values()) < 1.02 * min(load.values())
+
+
+def test_dictionaries_see_whole_texts(spark, monkeypatch):
+    block = lambda i, k: f"{i:03}.{k:03}".ljust(512, "x")
+    texts = {i: "".join(block(i, k) for k in range(40)) + "end" if i % 2 else block(i, 0) + "end" for i in range(60)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    y = spark.createDataFrame([(i, i % 4 // 2) for i in texts], "doc_id bigint, quality int")
+    seen: list[bytes] = []
+    train = quality.train_dictionary
+    monkeypatch.setattr(quality, "train_dictionary", lambda t: seen.extend(t) or train(t))
+    quality.fit(d, y)
+    long = [t for t in seen if len(t) > 515]
+    assert long and all(15 * 512 < len(t) <= 16 * 512 for t in long) and all(t.endswith(b"end") for t in seen if t not in long)
+    places = [int(b[4:7]) for t in long for b in quality.blocks(t) if b != b"end"]
+    assert max(places) > 30 and len(set(places)) > 30
