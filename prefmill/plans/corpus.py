@@ -206,7 +206,7 @@ FROM (SELECT doc_id, lower(left(text, 40) || CASE WHEN doc_id % 3 = 0 THEN ' Thi
 """,
 )
 def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.left("text", F.lit(40)), F.when(F.col("doc_id") % 3 == 0, " This Lesson").otherwise(""))
+    said = F.concat("text", F.when(F.col("doc_id") % 3 == 0, " This Lesson").otherwise(""))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.meta_phrases(said), ",").alias("codes"))
 
 

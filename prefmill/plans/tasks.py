@@ -195,7 +195,7 @@ def _critic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    ask = turn("user", F.left("text", F.lit(20)))
+    ask = turn("user", F.col("text"))
     docs = table(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("category"), F.array(ask, turn("assistant", F.lit("good"))).alias("chosen"),
