@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefmill.llm import decontaminate, minhash_dedup, mixing, quality, sharding
-from prefmill.llm.common import shared_dir
+from prefmill.llm import decontaminate, mixing, quality, sharding, simhash_dedup
+from prefmill.llm.common import remove, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group of texts whose 5-word shingles have a Jaccard coefficient of at least 0.8."""
-    return minhash_dedup.keep_first(docs)
+    return simhash_dedup.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,13 +56,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's rows written and read back for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i == len(STAGES) - 1:
-            return out
-        path = shared_dir(spark, f"pipeline-{name}")
-        out.write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+    """All stages over documents, each stage's rows written and read back for the next.
+
+    A stage's table goes once the next one is written, the last but one when the driver ends.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            remove(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import re
+import tempfile
 import time
 import uuid
 
@@ -29,7 +31,10 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """df, after lowering the session's bounds on Arrow batches to BATCH_ROWS and BATCH_BYTES."""
+    """df, after lowering the session's bounds on Arrow batches to BATCH_ROWS and BATCH_BYTES.
+
+    The bounds stay lowered: plans run after the operator has returned, and a smaller bound changes no result.
+    """
     importable(df.sparkSession)
     conf = df.sparkSession.conf
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
@@ -40,6 +45,16 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def text_digest(text: str = "text") -> Column:
+    """SHA-256 of a text's UTF-8 bytes, 32 bytes."""
+    return F.unhex(F.sha2(F.encode(text_or_empty(text), "UTF-8"), 256))
+
+
+def boxed(docs: DataFrame) -> Column:
+    """All columns of docs in one struct, so that columns added beside it cannot clash with them."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only, alike in every locale and engine."""
     return F.translate(col, UPPER, LOWER)
@@ -48,18 +63,19 @@ def ascii_lower(col: Column) -> Column:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below spark.checkpoint.dir, which driver and executors share.
 
-    Where the session has none (tests), one is made for this machine.
+    A local session without that setting (tests) gets one on this machine; a cluster without it is an error.
     """
+    context = spark.sparkContext
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        held = context._jsc.sc().getCheckpointDir()
         if held.isDefined():
             top = held.get()
-        else:
-            import tempfile
-
+        elif re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             top = "file://" + tempfile.mkdtemp(prefix="prefmill-")
-            spark.sparkContext.setCheckpointDir(top)
+            context.setCheckpointDir(top)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
@@ -82,6 +98,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    fs, place = _place(spark, path)
+    fs.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made and that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        fs, place = _place(df.sparkSession, path)
+        fs.delete(place, True)

@@ -60,10 +60,14 @@ def bucket_tasks(fps: DataFrame, words: list[str], blocks: int, radius: int, mos
         tables.append(F.struct(F.lit(t).alias("tab"), key.alias("key")))
     rows = fps.select("*", F.explode(F.array(*tables)).alias("_t")).select("*", "_t.tab", "_t.key").drop("_t")
     full = written(rows.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most), "full-buckets")
-    rows = rows.join(full, ["tab", "key"], "left")
-    chunks = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(float(most))).cast("int")
-    mine = F.pmod(F.xxhash64(*cols, F.lit(5)), chunks).cast("int")
-    rows = rows.withColumn("_c", chunks).withColumn("_m", mine)
+    rows = rows.join(full, ["tab", "key"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    return deal(rows, F.xxhash64(*cols, F.lit(5)), most).repartition(*TASK).sortWithinPartitions(*TASK, "side", *words)
+
+
+def deal(rows: DataFrame, spread: Column, most: int) -> DataFrame:
+    """rows (with the size n of their bucket) once for each pair of chunks that their chunk is in: with ci, cj and side."""
+    chunks = F.ceil(F.col("n") / F.lit(float(most))).cast("int")
+    rows = rows.withColumn("_c", chunks).withColumn("_m", F.pmod(spread, chunks).cast("int"))
     # chunk m meets every chunk: as lanes those from m on, as queries those before
     rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)))
     return (
@@ -71,8 +75,6 @@ def bucket_tasks(fps: DataFrame, words: list[str], blocks: int, radius: int, mos
         .withColumn("cj", F.greatest("_m", "_o"))
         .withColumn("side", F.when(F.col("_m") <= F.col("_o"), 0).otherwise(1))
         .drop("_c", "_m", "_o", "n")
-        .repartition(*TASK)
-        .sortWithinPartitions(*TASK, "side", *words)
     )
 
 

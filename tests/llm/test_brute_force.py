@@ -72,8 +72,6 @@ def test_simhash_groups(small):
     want = groups(fp, lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 4)
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash_dedup.report(small).collect()}
     assert got == {k: (f"{fp[k]:016x}", want[k]) for k in docs}
-    kept = {r["doc_id"] for r in simhash_dedup.keep_first(small).collect()}
-    assert kept == set(want.values())
 
 
 @pytest.mark.parametrize("most", [8, 2048])
@@ -91,10 +89,9 @@ def test_links_of_planted_fingerprints(spark, monkeypatch, most):
                 y ^= 1 << b
             fps.add(y)
             x = y if r.random() < 0.5 else x
-    data = [(x - (1 << 64) if x >> 63 else x, i) for i, x in enumerate(sorted(fps))]
-    at = {i: x & (1 << 64) - 1 for x, i in data}
+    at = {x - (1 << 64) if x >> 63 else x: x for x in fps}
     want = groups(at, lambda a, b: (at[a] ^ at[b]).bit_count() <= 4)
-    links = simhash_dedup.links(spark.createDataFrame(data, "fp bigint, node bigint"))
+    links = simhash_dedup.links(spark.createDataFrame([(x,) for x in at], "fp bigint"))
     got = {i: i for i in at} | {r["node"]: r["component"] for r in components.components(links).collect()}
     assert got == want
 

@@ -64,12 +64,14 @@ def test_stages_keep_columns(odd, labels, benchmark):
         "mixed": mixing.keep_mixed(odd, 0.9),
     }
     for name, frame in kept.items():
-        assert [c for c in frame.columns if c != "_hits"] == [c for c in odd.columns if c != "_hits"], name
+        assert frame.columns == odd.columns and frame.count() <= 8, name
+        assert {v for r in frame.select(*odd.columns[5:]).collect() for v in r} == {"clash"}, name
     assert kept["clean"].count() == 6
     ids = sorted(str(r["doc_id"]) for r in kept["simhash"].collect())
-    assert ids.count("5") == 1 and ids.count("None") == 2
+    assert ids.count("5") == 2 and ids.count("None") == 1  # the null text equals the empty one of 7
     out = sharding.assign(odd)
-    assert {"doc_id", "text", "lang", "size", "shard", "slot"} <= set(out.columns) and len(out.columns) == len(set(out.columns))
+    mine = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    assert set(out.columns) == {*odd.columns, *mine} and len(out.columns) == len(set(out.columns)) and out.count() == 8
 
 
 def test_nothing_to_learn_from(spark, odd, small):

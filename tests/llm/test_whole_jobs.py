@@ -6,7 +6,9 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from prefmill.llm import minhash_dedup, quality, sharding
+import numpy as np
+import pytest
+from prefmill.llm import quality, sharding, simhash_dedup
 from test_brute_force import groups, words
 
 DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -37,8 +39,32 @@ def test_pipeline_near_copies_at_least_0_8(spark, monkeypatch):
     want = groups(texts, lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
     assert got == set(want.values())
-    monkeypatch.setattr(minhash_dedup, "MOST", 8)
-    assert {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(simhash_dedup, "MOST", 8)
+    assert {r["doc_id"]: r["component_id"] for r in simhash_dedup.similar_texts(docs).collect()} == want
+
+
+def test_only_members_of_a_group_go(spark):
+    """Equal keys with different texts, repeated rows and null keys: rows go by key and text."""
+    a, b, c = ("the first text of all " * 9, "a wholly different one stands here " * 9, "and a third, found nowhere else at all " * 9)
+    rows = [(1, a, "x"), (5, a, "y"), (5, b, "z"), (5, b, "z"), (None, b, "n"), (None, c, "n"), (None, c, "n"), (None, None, "e"), (9, "", "e")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, stays string").repartition(4)
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in simhash_dedup.keep_first(d).collect())
+    assert got == sorted([("1", a), ("5", b), ("None", c), ("9", "")])
+    big = spark.createDataFrame([((1 << 62) + 5, a), ((1 << 63) - 1, a), (-(1 << 63), b)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash_dedup.report(big).collect()} == {(1 << 62) + 5: (1 << 62) + 5, (1 << 63) - 1: (1 << 62) + 5, -(1 << 63): -(1 << 63)}
+    named = spark.createDataFrame([("b", a), ("a", a), (None, a), (None, c)], "doc_id string, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in simhash_dedup.report(named).collect()} == {("b", "a"), ("a", "a"), (None, "a"), (None, None)}
+
+
+@pytest.mark.parametrize("radius", [8, 22, 31, 32, 62])
+def test_bit_sliced_distances_beyond_eight(radius):
+    r = np.random.default_rng(radius)
+    lanes = r.integers(0, 2**64, 200, dtype=np.uint64)
+    start = np.array([0, 90])
+    group = np.searchsorted(start, np.arange(200), "right") - 1
+    q, lane = simhash_dedup.within(lanes, start, lanes, group, radius)
+    want = {(i, j) for i in range(200) for j in range(200) if group[i] == group[j] and (int(lanes[i]) ^ int(lanes[j])).bit_count() <= radius}
+    assert set(zip(q.tolist(), lane.tolist())) == want
 
 
 def test_copies_that_fit_a_shard_stay_together(spark):
