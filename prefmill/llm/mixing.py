@@ -10,14 +10,17 @@ A leaf's budget is then read off seeded epochs: every epoch is the leaf's docume
 the order of a hash of seed, epoch and key, whole epochs are taken first, and the last
 one gives the prefix of tokens still missing; the document on its edge gives only part.
 
-The budgets need one row for each leaf on the driver. The prefix is found in two steps:
+The budgets need one row for each leaf on the driver: the tree whose weights a caller
+names, not something that grows with the documents. The prefix is found in two steps:
 token sums over 1024 hash ranges of each leaf name the range with the edge, and only
 rows in that range are ordered, so a leaf with a third of all rows is no hot spot.
 
 Defined cases: a null text has no tokens and stays with 0 copies and 0 tokens of part;
 null levels count as "(none)"; a source that no domain claims is in "other"; rows with
-equal keys are ordered by their text's checksum; an empty table gives an empty result;
-input columns named like a result column are replaced.
+equal keys are ordered by their text's checksum, repeated rows among themselves in any
+order; a very long text on the edge gives part of its tokens; an empty table gives an
+empty result; other columns are ignored by ``select`` and kept, whatever their names, by
+``keep_mixed``.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from prefmill.llm.common import text_or_empty, written
+from prefmill.llm.common import boxed, text_or_empty, written
 
 SEED = 20
 EPOCHS = 4
@@ -117,15 +120,11 @@ def budgets(tokens: Mapping[tuple[str, ...], int], target: int, weights: Mapping
     return out
 
 
-def select(
+def _select(
     docs: DataFrame, levels: Mapping[str, Column], key: str = "doc_id", text: str = "text", weights: Mapping[tuple[str, ...], float] = WEIGHTS,
     target: int | None = None, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED, tokens: Column | None = None,
 ) -> DataFrame:
-    """(key, _crc, levels ..., n_tokens, copies, part_tokens, budget): a row for each row of docs.
-
-    copies: whole epochs that hold the document; part_tokens: its tokens in the last,
-    partial one. target: tokens in all, by default ``share`` of what docs holds.
-    """
+    """(_k, _crc, _l0 ... for the levels, n_tokens, copies, part_tokens, budget): a row for each row of docs."""
     spark = docs.sparkSession
     names = list(levels)
     n = tokens if tokens is not None else word_count(text)
@@ -133,7 +132,16 @@ def select(
         F.col(key).alias("_k"), F.crc32(F.encode(text_or_empty(text), "UTF-8")).alias("_crc"),
         *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(f"_l{i}") for i, c in enumerate(levels.values())], n.alias("n_tokens"),
     )
-    light = written(light, "mixing")  # some 40 bytes a document, read three times
+    # some 50 bytes a document, read several times; the row numbers are fixed by writing them
+    light = written(light.withColumn("_row", F.monotonically_increasing_id()), "mixing")
+    # repeated rows would have one place in the order: their row numbers spread them
+    again = light.groupBy(F.col("_k").alias("_k2"), F.col("_crc").alias("_crc2")).agg(F.count(F.lit(1)).alias("_n"))
+    again = written(again.where("_n > 1"), "repeated")
+    if again.isEmpty():
+        light = light.withColumn("_row", F.lit(0).cast("bigint"))
+    else:
+        light = light.join(again, F.col("_k").eqNullSafe(F.col("_k2")) & (F.col("_crc") == F.col("_crc2")), "left")
+        light = light.withColumn("_row", F.when(F.col("_n").isNull(), 0).otherwise(F.col("_row") + 1)).drop("_k2", "_crc2", "_n")
     path = [f"_l{i}" for i in range(len(names))]
     held = {tuple(r[:-1]): r[-1] or 0 for r in light.groupBy(*path).agg(F.sum("n_tokens")).collect()}
     goal = target if target is not None else int(sum(held.values()) * share)
@@ -142,7 +150,7 @@ def select(
     kind = T.StructType([T.StructField(p, T.StringType()) for p in path] + [T.StructField(c, T.LongType()) for c in ("budget", "copies", "rest")])
     leaves = spark.createDataFrame(rows, kind)
     hint = F.broadcast if len(rows) <= BROADCAST_LEAVES else (lambda x: x)
-    at = light.join(hint(leaves), path).withColumn("_h", F.xxhash64(F.lit(seed), "copies", "_k", "_crc"))
+    at = light.join(hint(leaves), path).withColumn("_h", F.xxhash64(F.lit(seed), "copies", "_k", "_crc", "_row"))
     at = at.withColumn("_r", F.shiftrightunsigned("_h", 54).cast("int"))
     sums = at.where("rest > 0").groupBy(*path, "rest", "_r").agg(F.sum("n_tokens").alias("t"))  # leaves * RANGES rows
     running = W.Window.partitionBy(*path).orderBy("_r").rowsBetween(W.Window.unboundedPreceding, -1)
@@ -154,12 +162,25 @@ def select(
     on_edge = F.col("_edge").isNotNull() & (F.col("_r") == F.col("_edge"))
     out = ["_k", "_crc", *path, "n_tokens", "copies"]
     clear = at.where(~on_edge).select(*out, inside.alias("part_tokens"), "budget")
-    order = W.Window.partitionBy(*path).orderBy("_h", "_k", "_crc")
+    order = W.Window.partitionBy(*path).orderBy("_h", "_k", "_crc", "_row")
     past = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_before")
     part = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("n_tokens"), F.col("rest") - F.col("_p")))
     cut = at.where(on_edge).withColumn("_p", past).select(*out, part.alias("part_tokens"), "budget")
-    both = clear.unionByName(cut)
-    return both.select(F.col("_k").alias(key), "_crc", *[F.col(p).alias(x) for p, x in zip(path, names)], "n_tokens", "copies", "part_tokens", "budget")
+    return clear.unionByName(cut)
+
+
+def select(
+    docs: DataFrame, levels: Mapping[str, Column], key: str = "doc_id", text: str = "text", weights: Mapping[tuple[str, ...], float] = WEIGHTS,
+    target: int | None = None, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED, tokens: Column | None = None,
+) -> DataFrame:
+    """(key, levels ..., n_tokens, copies, part_tokens, budget): a row for each row of docs.
+
+    copies: whole epochs that hold the document; part_tokens: its tokens in the last,
+    partial one. target: tokens in all, by default ``share`` of what docs holds.
+    """
+    rows = _select(docs, levels, key, text, weights, target, share, epochs, seed, tokens)
+    named = [F.col(f"_l{i}").alias(x) for i, x in enumerate(levels)]
+    return rows.select(F.col("_k").alias(key), *named, "n_tokens", "copies", "part_tokens", "budget")
 
 
 def tree(domains: Mapping[str, Sequence[str]] = DOMAINS) -> dict[str, Column]:
@@ -168,16 +189,17 @@ def tree(domains: Mapping[str, Sequence[str]] = DOMAINS) -> dict[str, Column]:
 
 
 def report(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    return select(docs, tree(), key).drop("_crc")
+    return select(docs, tree(), key)
 
 
 def keep_mixed(docs: DataFrame, share: float = 0.9, key: str = "doc_id", text: str = "text", weights: Mapping[tuple[str, ...], float] = WEIGHTS) -> DataFrame:
     """The rows of docs that stand whole in a mixture of ``share`` of all tokens, each at most once.
 
-    Rows without tokens add nothing to any budget and are kept.
+    Rows without tokens add nothing to any budget and are kept. Repeated rows go
+    together: all of them if one does not stand whole.
     """
-    chosen = written(select(docs, tree(), key, text, weights, share=share, epochs=1), "mixture")
+    chosen = written(_select(docs, tree(), key, text, weights, share=share, epochs=1), "mixture")
     drop = chosen.where((F.col("n_tokens") > 0) & (F.col("copies") == 0) & (F.col("part_tokens") < F.col("n_tokens")))
-    drop = drop.select(F.col(key).alias("_k"), F.col("_crc").alias("_c")).distinct()
-    same = docs[key].eqNullSafe(F.col("_k")) & (F.crc32(F.encode(text_or_empty(text), "UTF-8")) == F.col("_c"))
-    return docs.join(drop, same, "left_anti")
+    drop = drop.select("_k", "_crc").distinct()
+    held = docs.select(boxed(docs).alias("row"), F.col(key).alias("k"), F.crc32(F.encode(text_or_empty(text), "UTF-8")).alias("c"))
+    return held.join(drop, F.col("k").eqNullSafe(F.col("_k")) & (F.col("c") == F.col("_crc")), "left_anti").select("row.*")
