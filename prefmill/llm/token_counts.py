@@ -6,9 +6,11 @@ totals for any context limit without another look at the texts. The sums run in
 levels (lengths within a bucket of about sqrt(length), then the buckets), so no task
 sees the whole histogram.
 
-Defined cases: a null or empty text has length 0; repeated rows count each time; an
-empty table gives only the limits asked for, with zeros and a null quantile; other
-columns are ignored.
+Defined cases: a null or empty text has length 0; repeated rows count each time, null and
+equal keys too; documents of equal length share a row; a very long text is encoded whole,
+its tokens being what a task holds of it; an empty table gives only the limits asked for,
+with zeros and a null quantile; other columns are ignored, and ``token_lengths`` replaces
+one named like its result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from prefmill.llm.common import bounded_batches, text_or_empty
+from prefmill.llm.common import bounded_batches, text_or_empty, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how this vocabulary splits a text before merging.
@@ -68,6 +70,8 @@ def context_table(hist: DataFrame, limits: Sequence[int] = LIMITS) -> DataFrame:
     """
     spark = hist.sparkSession
     asked = spark.createDataFrame([(int(x), 0) for x in limits], "n_tokens bigint, docs bigint")
+    # a row for each length, written: the two levels below read it without encoding any text again
+    hist = written(hist, "lengths")
     # asked lengths join the histogram as rows of zero documents
     h = hist.unionByName(asked).groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
     h = h.withColumn("bucket", F.floor(F.sqrt(F.col("n_tokens").cast("double"))))
