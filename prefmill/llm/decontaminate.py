@@ -7,15 +7,19 @@ budget + 1 pieces of nearly equal length; a passage within the budget holds at l
 one piece unchanged. One Aho-Corasick automaton over all pieces finds every exact piece
 hit in a text; around each, Myers' bit-parallel algorithm computes the smallest edit
 distance of the item to any substring, and the item is reported if that is within its
-budget.
+budget. An item with fewer than ``least`` normalised characters has no budget: it is one
+piece that must occur as it stands, between word boundaries.
 
 The test items are a stated query set: they are sent to the executors in blocks of
-``block_bytes`` at most, one pass over the documents for each block.
-
-Defined cases: null and empty texts match nothing; items with fewer than ``least``
-normalised characters are no evidence and are skipped, as are null items; repeated rows
-and repeated items are each reported; an empty benchmark leaves everything clean; other
-columns are ignored by ``matches`` and kept by ``keep_clean``.
+``block_bytes`` at most, one pass over the documents for each block, so that what a task
+holds (some hundred bytes of automaton for each byte of a block) does not grow.
+
+Defined cases: null and empty texts match nothing, nor do null items and items without
+letters and digits; repeated rows and repeated items are each reported; of equally good
+matches the first counts; a very long text is searched whole, its normalised copy being
+what a task holds of it; an empty benchmark leaves everything clean, an empty table stays
+empty; other columns are ignored by ``matches`` and kept, whatever their names, by
+``keep_clean``.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +37,7 @@ from prefmill.llm.common import bounded_batches, text_or_empty
 
 RATE = 0.08
 LEAST = 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
 GAP = re.compile(r"[\W_]+")
 
 
@@ -73,14 +77,18 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, least: int = LEAST) -> None:
         import ahocorasick
 
-        self.items: list[tuple[int, str, int, dict[str, int]]] = []
+        self.items: list[tuple[int, str, int, dict[str, int], int]] = []
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, raw in items:
             text = normalise(raw)
-            n = len(text)
-            if n < least:
+            # a short item is found as it stands, between word boundaries; without letters and digits it has no piece
+            short = len(text) < least
+            body = f" {text} " if short else text
+            n = len(body)
+            if not text:
                 continue
-            budget = int(n * rate)
+            budget = 0 if short else int(n * rate)
+            text = body
             masks: dict[str, int] = defaultdict(int)
             for i, c in enumerate(text):
                 masks[c] |= 1 << i
@@ -88,7 +96,7 @@ class Matcher:
             for j in range(k):
                 a, b = n * j // k, n * (j + 1) // k
                 pieces[text[a:b]].append((len(self.items), a))
-            self.items.append((number, text, budget, dict(masks)))
+            self.items.append((number, text, budget, dict(masks), int(short)))
         self.find = None
         if pieces:
             self.find = ahocorasick.Automaton()
@@ -100,14 +108,14 @@ class Matcher:
         """(item number, distance, budget, end in the normalised text) of each item found, best match first of equals."""
         if self.find is None or not raw:
             return []
-        text = normalise(raw)
+        text = f" {normalise(raw)} "
         starts: dict[int, set[int]] = defaultdict(set)
         for end, (size, where) in self.find.iter(text):
             for item, offset in where:
                 starts[item].add(end + 1 - size - offset)
         out = []
         for item, places in starts.items():
-            number, body, budget, masks = self.items[item]
+            number, body, budget, masks, pad = self.items[item]
             best: tuple[int, int] | None = None
             done = -1
             ordered = sorted(places)
@@ -126,7 +134,8 @@ class Matcher:
                     done = b
                 i = j + 1
             if best:
-                out.append((number, best[0], budget, best[1]))
+                # the text stands between two spaces that are not its own
+                out.append((number, best[0], budget, min(max(best[1] - 1 - pad, 0), len(text) - 2)))
         return sorted(out)
 
 
@@ -145,13 +154,13 @@ HITS = T.ArrayType(
 )
 
 
-def hits(items: list[tuple], rate: float = RATE, least: int = LEAST, text: str = "text") -> Column:
+def hits(spark: SparkSession, items: list[tuple], rate: float = RATE, least: int = LEAST, text: str = "text") -> Column:
     """An array of (at: position in items, distance, budget, end) for each text."""
-    numbered = [(k, t) for k, (_, t) in enumerate(items)]
+    numbered = spark.sparkContext.broadcast([(k, t) for k, (_, t) in enumerate(items)])
 
     @F.pandas_udf(HITS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(numbered, rate, least)
+        matcher = Matcher(numbered.value, rate, least)
         for texts in batches:
             yield pd.Series(
                 [[dict(zip(("at", "distance", "budget", "end"), h)) for h in matcher(t)] for t in texts], dtype=object
@@ -173,7 +182,7 @@ def matches(
     out = None
     for items in item_blocks(benchmark, item, item_text, block_bytes):
         names = F.broadcast(spark.createDataFrame([(k, i) for k, (i, _) in enumerate(items)], f"at bigint, item {kind}"))
-        found = docs.select(F.col(key).alias("k"), F.explode(hits(items, rate, least, text)).alias("h"))
+        found = docs.select(F.col(key).alias("k"), F.explode(hits(spark, items, rate, least, text)).alias("h"))
         found = found.select("k", "h.*").join(names, "at")
         found = found.select(
             F.col("k").alias(key), F.col("item").alias(item), F.col("distance").cast("int"), F.col("budget").cast("int"), "end"
@@ -189,5 +198,5 @@ def keep_clean(
     """The rows of docs that hold no test item."""
     bounded_batches(docs)
     for items in item_blocks(benchmark, item, item_text, block_bytes):
-        docs = docs.withColumn("_hits", hits(items, rate, least, text)).where(F.size("_hits") == 0).drop("_hits")
+        docs = docs.where(F.size(hits(docs.sparkSession, items, rate, least, text)) == 0)
     return docs
