@@ -194,4 +194,4 @@ def report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that the classifier accepts."""
     model = fit(docs, labels, key, text, label)
-    return docs.withColumn("_score", model.column(text)).where(F.col("_score") >= threshold).drop("_score")
+    return docs.where(model.column(text) >= threshold)
