@@ -1,24 +1,30 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly.
 
-Documents with equal texts form a group, and groups are what is placed. First the
-groups' sizes are summed (a hash aggregation over 32-byte digests; texts do not move).
-Then at most ``5 * units`` units per shard are made of them, whatever the input:
+Documents with equal texts form a group, and groups are what is placed. Each text is read
+once, for a light table of some 70 bytes a row. The groups' sizes are sums over it, and at
+most ``5 * units`` units a shard are made of them, whatever the input:
 
 * a group of at least 1/(shards * units) of all bytes is a unit of its own; only one above a
   shard's fair share of the bytes, tokens or rows, which no shard can take whole, is cut
-  into pieces of that size by a hash of the row;
+  into pieces of 1/units of that share, its rows being dealt by their number;
 * all smaller groups are hashed into shards * units bundles whose expected sizes grow
-  linearly from almost nothing, so that the last ones placed level what is left.
+  linearly from almost nothing, so that the last ones placed level what is left. A
+  bundle holds whole groups.
 
 The units' (bytes, tokens, rows) go to the driver, a bounded list, and are placed in
 descending order, each into the shard where the dot product of its size with the
-residual capacity is highest among those with room for it in every dimension; swaps
-between the fullest and the emptiest shard then level the bytes. The assignment, again bounded, is broadcast to the documents, which are never shuffled with
-their texts. Slots come from counts per (shard, hash bucket) and a ranking within those.
+residual capacity is highest among those with room for it in every dimension. Swaps
+between the fullest and the emptiest shard then level the bytes, as far as they leave
+tokens and rows no further apart than SLACK of a shard's share or than they were. The
+assignment, again bounded, is broadcast to the light rows. Slots come from counts per
+(shard, bucket of row numbers) and a ranking within those.
 
 Law: ``bytes``. Defined cases: a null text has no bytes and equals the empty text; rows
-with equal keys and texts get different slots in an arbitrary order; an empty table
-gives an empty result; input columns named like a result column are replaced.
+with equal keys and texts are told apart by their row number, so that they spread like
+others where their group is cut, and get different slots; units of equal size are placed in
+the order of their group's digest; a text longer than a shard's share is a shard's
+largest unit; an empty table gives an empty result; columns named like a result column are
+replaced, all others are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -30,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from prefmill.llm.common import text_or_empty, written
+from prefmill.llm.common import boxed, text_digest, text_or_empty, written
 
 SHARDS = 40
 UNITS = 256
 OVERHEAD = 16
 SLOT_BUCKETS = 256
+SLACK = 0.01
+RESULT = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
 def place(sizes: np.ndarray, shards: int) -> np.ndarray:
@@ -53,30 +61,38 @@ def place(sizes: np.ndarray, shards: int) -> np.ndarray:
         k = int(np.argmax(np.where(room, score, -np.inf))) if room.any() else int(np.argmax(residual[:, 0]))
         out[i] = k
         residual[k] -= need[i]
-    return level(sizes[:, 0], out, shards)
+    return level(need, out, shards)
 
 
-def level(size: np.ndarray, at: np.ndarray, shards: int, rounds: int = 2000) -> np.ndarray:
-    """Swap units between the fullest and the emptiest shard while that narrows the gap in bytes."""
+def level(need: np.ndarray, at: np.ndarray, shards: int, rounds: int = 2000) -> np.ndarray:
+    """Swap units between the fullest and the emptiest shard while that narrows the gap in bytes (dimension 0).
+
+    need: sizes as shares of a shard. A swap may leave another dimension of the two
+    shards off their share by SLACK, or by what it was off before.
+    """
     at = at.copy()
-    load = np.bincount(at, weights=size, minlength=shards)
-    for _ in range(rounds if len(size) else 0):
-        hi, lo = int(np.argmax(load)), int(np.argmin(load))
-        gap = load[hi] - load[lo]
-        a = np.flatnonzero(at == hi)
-        b = np.flatnonzero(at == lo)
-        b = b[np.argsort(size[b], kind="stable")]
-        give = np.concatenate([[0.0], size[b]])  # giving nothing back counts too
-        j = np.searchsorted(give, size[a] - gap / 2)
-        best = (gap, -1, -1)
-        for k in (np.clip(j - 1, 0, len(give) - 1), np.clip(j, 0, len(give) - 1)):
-            left = np.abs(gap - 2 * (size[a] - give[k]))
+    load = np.stack([np.bincount(at, weights=x, minlength=shards) for x in need.T], axis=1)
+    for _ in range(rounds if len(need) else 0):
+        hi, lo = int(np.argmax(load[:, 0])), int(np.argmin(load[:, 0]))
+        gap = load[hi, 0] - load[lo, 0]
+        a, b = np.flatnonzero(at == hi), np.flatnonzero(at == lo)
+        b = b[np.argsort(need[b, 0], kind="stable")]
+        give = np.concatenate([np.zeros((1, need.shape[1])), need[b]])  # giving nothing back counts too
+        j = np.searchsorted(give[:, 0], need[a, 0] - gap / 2)
+        off = np.maximum(np.abs(load[[hi, lo], 1:] - 1).max(axis=0), SLACK)
+        best = (gap * (1 - 1e-9), -1, -1)
+        for d in range(-4, 4):  # those whose bytes differ by about half the gap
+            k = np.clip(j + d, 0, len(give) - 1)
+            moved = need[a] - give[k]
+            left = np.abs(gap - 2 * moved[:, 0])
+            fits = ((np.abs(load[hi, 1:] - moved[:, 1:] - 1) <= off) & (np.abs(load[lo, 1:] + moved[:, 1:] - 1) <= off)).all(axis=1)
+            left = np.where(fits, left, np.inf)
             if len(left) and left.min() < best[0]:
                 m = int(left.argmin())
-                best = (left[m], m, int(k[m]))
+                best = (float(left[m]), m, int(k[m]))
         if best[1] < 0:
             break
-        moved = size[a[best[1]]] - give[best[2]]
+        moved = need[a[best[1]]] - give[best[2]]
         at[a[best[1]]] = lo
         if best[2]:
             at[b[best[2] - 1]] = hi
@@ -85,74 +101,65 @@ def level(size: np.ndarray, at: np.ndarray, shards: int, rounds: int = 2000) ->
     return at
 
 
+def _placed(light: DataFrame, shards: int, units: int) -> DataFrame:
+    """light (row, size, tokens, g) with its shard."""
+    spark = light.sparkSession
+    groups = light.groupBy("g").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    groups = written(groups, "shard-groups")
+    dims = ("bytes", "tokens", "rows")
+    sums = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in dims]).first()
+    n_bundles = shards * units
+    least = max(1, -(-sums["bytes"] // n_bundles))
+    heavy = groups.where(F.col("bytes") >= least).collect()  # at most shards * units rows
+    fair = lambda r: max(r[c] * shards / sums[c] for c in dims)
+    pieces = [(bytes(r["g"]), min(math.ceil(fair(r) * units), r["rows"]) if fair(r) > 1 else 1, r) for r in sorted(heavy, key=lambda r: bytes(r["g"]))]
+    # a bundle's share grows with its number: sqrt of a uniform hash
+    u = F.pmod(F.xxhash64("g"), F.lit(1 << 20)).cast("double") / (1 << 20)
+    bundle = F.least(F.floor(F.sqrt(u) * n_bundles), F.lit(n_bundles - 1)).cast("bigint")
+    bundles = groups.where(F.col("bytes") < least).groupBy(bundle.alias("unit")).agg(*[F.sum(c).alias(c) for c in dims])
+    sizes = sorted(tuple(r) for r in bundles.collect())  # at most shards * units rows
+    # a heavy group's units are below zero: its number, and the piece's
+    first = lambda i: -(i << 32) - 1
+    sizes += [(first(i), *(r[c] for c in dims)) for i, (_, p, r) in enumerate(pieces) if p == 1]
+    table = F.broadcast(spark.createDataFrame([(g, p, first(i)) for i, (g, p, _) in enumerate(pieces)], "g binary, pieces int, first bigint"))
+    rows = light.join(table, "g", "left")
+    piece = F.col("first") - F.pmod(F.xxhash64("row", F.lit(7)), F.col("pieces"))
+    rows = rows.withColumn("unit", F.when(F.col("first").isNull(), bundle).otherwise(piece))
+    if any(p > 1 for _, p, _ in pieces):  # pieces at their real sizes: at most 3 * shards * units rows and a row more for each group
+        parts = rows.where("pieces > 1").groupBy("unit").agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1)))
+        sizes += sorted(tuple(r) for r in parts.collect())
+    at = place(np.array([s[1:] for s in sizes], dtype=float).reshape(-1, 3), shards)
+    plan = spark.createDataFrame([(int(s[0]), int(k)) for s, k in zip(sizes, at)], "unit bigint, shard int")
+    return rows.join(F.broadcast(plan), "unit")
+
+
+def _numbered(placed: DataFrame) -> DataFrame:
+    """placed (row, shard ...) with slot: gapless from 0 in each shard."""
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit(11)), F.lit(SLOT_BUCKETS)).cast("int"))
+    counts = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))  # at most shards * SLOT_BUCKETS rows
+    prior = W.Window.partitionBy("shard").orderBy("bucket").rowsBetween(W.Window.unboundedPreceding, -1)
+    start = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(prior), F.lit(0)).alias("start"))
+    rank = F.row_number().over(W.Window.partitionBy("shard", "bucket").orderBy("row"))
+    ranked = placed.withColumn("rank", rank).join(F.broadcast(start), ["shard", "bucket"])
+    return ranked.withColumn("slot", (F.col("start") + F.col("rank") - 1).cast("bigint"))
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, units: int = UNITS, key: str = "doc_id", text: str = "text", keep: bool = True) -> DataFrame:
     """docs with size, text_crc32, law, shard, slot and grown_shard.
 
     size: UTF-8 bytes of the text plus 16. keep=False returns only the key and those.
     """
-    spark = docs.sparkSession
-    mine = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    names = [c for c in docs.columns if c not in mine] if keep else [key]
     body = text_or_empty(text)
-    raw = F.encode(body, "UTF-8")
-    size = (F.octet_length(body) + F.lit(OVERHEAD)).cast("bigint")
-    tokens = (F.length(body) - F.length(F.translate(body, " \n\t\r", "")) + 1).cast("bigint")
-    digest = F.unhex(F.sha2(raw, 256))
-    groups = (
-        docs.select(digest.alias("g"), size.alias("bytes"), tokens.alias("tokens"))
-        .groupBy("g")
-        .agg(F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-    )
-    groups = written(groups, "shard-groups")  # 56 bytes a group, read three times
-    sums = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "tokens", "rows")]).first()
-    total = sums["bytes"]
-    n_bundles = shards * units
-    least = max(1, -(-total // n_bundles))
-    heavy_rows = groups.where(F.col("bytes") >= least).collect()  # at most shards * units rows
-    fair = lambda r: max(r[c] * shards / sums[c] for c in ("bytes", "tokens", "rows"))
-    pieces = [(bytes(r["g"]), math.ceil(fair(r) * units) if fair(r) > 1 else 1, r) for r in heavy_rows]
-    pieces = [(g, min(p, r["rows"]), r) for g, p, r in sorted(pieces, key=lambda x: x[0])]
-    # a bundle's share grows with its number: sqrt of a uniform hash
-    u = F.pmod(F.xxhash64("g"), F.lit(1 << 20)).cast("double") / (1 << 20)
-    bundle = lambda: F.least(F.floor(F.sqrt(u) * n_bundles), F.lit(n_bundles - 1)).cast("bigint")
-    light = (
-        groups.where(F.col("bytes") < least)
-        .groupBy(bundle().alias("unit"))
-        .agg(F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows"))
-        .collect()
-    )  # at most shards * units rows
-    light = sorted(light, key=lambda r: r["unit"])
-    # each piece of a heavy group: its real size, since rows are dealt by a hash
-    base = docs.select(
-        *[F.col(c) for c in names], size.alias("size"), F.crc32(raw).alias("text_crc32"), digest.alias("g"),
-        F.xxhash64(F.col(key), F.lit(7)).alias("_h"), tokens.alias("_tokens"),
-    )
-    table = [(g, p, i) for i, (g, p, _) in enumerate(pieces)]
-    heavy = F.broadcast(spark.createDataFrame(table, "_hg binary, _pieces int, _first int"))
-    unit = F.when(F.col("_hg").isNull(), bundle()).otherwise(
-        -(F.col("_first").cast("bigint") * (1 << 32) + F.pmod("_h", "_pieces")) - 1
-    )
-    base = base.join(heavy, F.col("g") == F.col("_hg"), "left").withColumn("_unit", unit)
-    cut = base.where(F.col("_pieces") > 1) if any(p > 1 for _, p, _ in pieces) else None
-    sizes: list[tuple[int, int, int, int]] = [(r["unit"], r["bytes"], r["tokens"], r["rows"]) for r in light]
-    sizes += [(-(i << 32) - 1, r["bytes"], r["tokens"], r["rows"]) for i, (_, p, r) in enumerate(pieces) if p == 1]
-    if cut is not None:  # at most 3 * shards * units rows and a row more for each group
-        parts = cut.groupBy("_unit").agg(F.sum("size"), F.sum("_tokens"), F.count(F.lit(1))).collect()
-        sizes += sorted(tuple(r) for r in parts)
-    at = place(np.array([s[1:] for s in sizes], dtype=float).reshape(-1, 3), shards)
-    plan = spark.createDataFrame([(int(s[0]), int(k)) for s, k in zip(sizes, at)], "_unit bigint, shard int")
-    placed = base.join(F.broadcast(plan), "_unit").withColumn(
-        "_b", F.pmod(F.xxhash64(F.col("_h"), F.col("text_crc32"), F.lit(11)), F.lit(SLOT_BUCKETS)).cast("int")
-    )
-    counts = placed.groupBy("shard", "_b").agg(F.count(F.lit(1)).alias("_n"))  # at most shards * SLOT_BUCKETS rows
-    prior = W.Window.partitionBy("shard").orderBy("_b").rowsBetween(W.Window.unboundedPreceding, -1)
-    start = counts.select("shard", "_b", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(W.Window.partitionBy("shard", "_b").orderBy(key, "text_crc32", "size"))
-    return (
-        placed.withColumn("_r", rank)
-        .join(F.broadcast(start), ["shard", "_b"])
-        .select(
-            *names, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-            (F.col("_start") + F.col("_r") - 1).cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-        )
-    )
+    tokens = (F.length(body) - F.length(F.translate(body, " \n\t\r", "")) + 1).cast("bigint").alias("tokens")
+    size = (F.octet_length(body) + F.lit(OVERHEAD)).cast("bigint").alias("size")
+    crc = F.crc32(F.encode(body, "UTF-8")).alias("text_crc32")
+    number = F.monotonically_increasing_id().alias("row")  # fixed by writing it
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    if not keep:
+        light = written(docs.select(number, F.col(key).alias("id"), size, crc, tokens, text_digest(text).alias("g")), "shard-rows")
+        out = _numbered(_placed(light, shards, units))
+        return out.select(F.col("id").alias(key), "size", "text_crc32", law, "shard", "slot", grown)
+    names = [c for c in docs.columns if c not in RESULT]
+    whole = written(docs.select(number, boxed(docs.select(*[f"`{c}`" for c in names])).alias("d"), size, crc, tokens, text_digest(text).alias("g")), "shard-rows")
+    out = _numbered(_placed(whole.drop("d", "text_crc32"), shards, units)).select("row", "shard", "slot")
+    return whole.join(out, "row").select("d.*", "size", "text_crc32", law, "shard", "slot", grown)

@@ -351,13 +351,18 @@ def test_decontamination_finds_all_within_budget(spark):
                 x[k : k + 1] = r.choice([[], ["z"], [x[k], "q"]])
             cut = r.randrange(len(text))
             text = text[:cut] + ", " + "".join(x).upper() + "! " + text[cut:]
+        if i % 7 == 0:
+            text = r.choice(["Too-short; " + text, text + " too  SHORT", text + " tootoo short", text + " too shorter", "too short"])
         docs.append((i, text))
     norm = lambda s: re.sub(r"[\W_]+", " ", s.lower()).strip()
     want = {}
     for i, t in docs:
         for j, q in enumerate(items):
             n = norm(q)
-            if len(n) >= 20:
+            if 0 < len(n) < 20:
+                if f" {n} " in f" {norm(t)} ":
+                    want[i, j] = 0
+            elif n:
                 d = best_substring(n, norm(t))
                 if d <= int(len(n) * 0.08):
                     want[i, j] = d
@@ -417,6 +422,29 @@ def test_one_hot_group_is_split(spark):
     assert max(load.values()) < 1.02 * min(load.values())
 
 
+def test_repeated_rows_spread(spark):
+    rows = [(None, "one row many times " * 5)] * 4000 + [(i, f"text {i:05} " * 9) for i in range(4000)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for keep in (False, True):
+        load, slots = Counter(), {}
+        for r in sharding.assign(d, shards=6, units=16, keep=keep).collect():
+            load[r["shard"]] += r["size"]
+            slots.setdefault(r["shard"], []).append(r["slot"])
+        assert max(load.values()) < 1.02 * min(load.values()) and sum(map(len, slots.values())) == 8000
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_levelling_keeps_tokens_and_rows():
+    r = np.random.default_rng(5)
+    need = r.lognormal(0, 1, (600, 1)) * r.uniform(0.3, 1.7, (600, 3))
+    need = need / need.sum(axis=0) * 6
+    at = r.integers(0, 6, 600)
+    load = lambda x: np.stack([np.bincount(x, weights=c, minlength=6) for c in need.T], axis=1)
+    before, after = load(at), load(sharding.level(need, at, 6))
+    assert np.ptp(after[:, 0]) < 0.3 * np.ptp(before[:, 0])
+    assert (np.abs(after[:, 1:] - 1).max(axis=0) <= np.abs(before[:, 1:] - 1).max(axis=0) + 1e-9).all()
+
+
 def test_placing_balances_every_dimension():
     r = np.random.default_rng(3)
     sizes = r.lognormal(3, 1.5, (900, 1)) * r.uniform(0.5, 1.5, (900, 3))
@@ -455,6 +483,73 @@ def test_mixing_prefixes(small):
     assert again == {r["doc_id"]: (r["copies"], r["part_tokens"]) for r in rows}
 
 
+def test_mixing_repeated_rows(spark):
+    rows = [(1, "three words here", "en", "src0")] * 900 + [(i, "two words", "en", "src0") for i in range(2, 50)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    got = mixing.select(d, mixing.tree(), share=0.5, epochs=1).collect()
+    assert sum(r["part_tokens"] for r in got) == (2700 + 96) // 2 and sum(0 < r["part_tokens"] < r["n_tokens"] for r in got) <= 1
+
+
+def tokens_of(k, t):
+    return len((t or "").encode().split())
+
+
+def mixture(rows, weights, target, epochs, seed, hashes):
+    """Plain Python: (doc, copies, part) by the tree, its budgets and the order of the hashes."""
+    domain = {s: d for d, ss in mixing.DOMAINS.items() for s in ss}
+    leaves = {}
+    for k, t, lang, source in rows:
+        leaves.setdefault((domain.get(source, "other"), lang or "(none)", source or "(none)"), []).append((k, tokens_of(k, t)))
+    have = {p: sum(n for _, n in ds) for p, ds in leaves.items()}
+
+    def share(path, budget):
+        kids = sorted({p[: len(path) + 1] for p in leaves if p[: len(path)] == path})
+        if path in leaves:
+            return {path: budget}
+        cap = {c: epochs * sum(n for p, n in have.items() if p[: len(c)] == c) for c in kids}
+        got, live, left = dict.fromkeys(kids, 0), [c for c in kids if cap[c]], min(budget, sum(cap.values()))
+        while live and left:
+            w = sum(weights.get(c, 1.0) for c in live)
+            full = [c for c in live if left * weights.get(c, 1.0) / w >= cap[c]]
+            if not full:
+                want = {c: left * weights.get(c, 1.0) / w for c in live}
+                got.update({c: int(want[c]) for c in live})
+                odd = left - sum(int(x) for x in want.values())
+                for c in sorted(live, key=lambda c: (int(want[c]) - want[c], c))[:odd]:
+                    got[c] += 1
+                break
+            for c in full:
+                got[c] = cap[c]
+                left -= cap[c]
+                live.remove(c)
+        out = {}
+        for c in kids:
+            out |= share(c, got[c])
+        return out
+
+    out = {}
+    for p, budget in share((), min(target, epochs * sum(have.values()))).items():
+        copies, rest = divmod(budget, have[p]) if have[p] else (0, 0)
+        for k, n in sorted(leaves[p], key=lambda x: hashes[x[0]]):
+            out[k] = (copies, min(n, max(0, rest)), budget)
+            rest -= n
+    return out
+
+
+def test_mixing_against_plain_python(spark, small):
+    from pyspark.sql import functions as F
+
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in small.collect()]
+    for share, epochs in ((0.5, 4), (0.9, 1), (2.7, 4)):
+        got = {r["doc_id"]: r for r in mixing.select(small, mixing.tree(), share=share, epochs=epochs, seed=3).collect()}
+        made = [(k, zlib.crc32((t or "").encode()), got[k]["copies"]) for k, t, *_ in rows]
+        h = spark.createDataFrame(made, "k bigint, c bigint, n bigint").select("k", F.shiftrightunsigned(F.xxhash64(F.lit(3), "n", "k", "c", F.lit(0).cast("bigint")), 0).alias("h"))
+        hashes = {r["k"]: r["h"] % 2**64 for r in h.collect()}
+        # the order within a range is that of the signed hash, all of one range having the same top bits
+        want = mixture(rows, mixing.WEIGHTS, int(sum(tokens_of(k, t) for k, t, *_ in rows) * share), epochs, 3, hashes)
+        assert {k: (r["copies"], r["part_tokens"], r["budget"]) for k, r in got.items()} == want
+
+
 # -- token counts ------------------------------------------------------------
 
 
