@@ -201,12 +201,16 @@ def _fence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "meta_phrases",
     """
-SELECT doc_id, CASE WHEN contains(t, 'this lesson') THEN 'meta-language:this-lesson' ELSE '' END AS codes
-FROM (SELECT doc_id, lower(left(text, 40) || CASE WHEN doc_id % 3 = 0 THEN ' This Lesson' ELSE '' END) AS t FROM documents)
+SELECT doc_id, concat_ws(',', CASE WHEN contains(t, 'this lesson') THEN 'meta-language:this-lesson' END, CASE WHEN contains(t, 'this course') THEN 'meta-language:this-course' END,
+  CASE WHEN contains(t, 'success criteria') THEN 'meta-language:success-criteria' END, CASE WHEN contains(t, 'evidence moves') THEN 'meta-language:evidence-moves' END,
+  CASE WHEN contains(t, 'weekly check') THEN 'meta-language:weekly-check' END) AS codes
+FROM (SELECT doc_id, lower(coalesce(text, '') || CASE doc_id % 5 WHEN 0 THEN ' This Lesson' WHEN 1 THEN ' has Success Criteria' WHEN 2 THEN ' weekly CHECK, this course' ELSE '' END) AS t FROM documents)
 """,
 )
 def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat("text", F.when(F.col("doc_id") % 3 == 0, " This Lesson").otherwise(""))
+    k = F.col("doc_id") % 5
+    more = F.when(k == 0, " This Lesson").when(k == 1, " has Success Criteria").when(k == 2, " weekly CHECK, this course").otherwise("")
+    said = F.concat(F.coalesce("text", F.lit("")), more)
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.meta_phrases(said), ",").alias("codes"))
 
 

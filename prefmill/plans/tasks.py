@@ -42,7 +42,7 @@ SELECT split, idx, concept, answer FROM {PLAN_SQL} p JOIN (VALUES (0, 'fraction-
 """,
 )
 def _modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = spark.createDataFrame([(k, *x) for k, x in enumerate(seeds.TUTORING)], "k int, concept string, answer string")
+    dim = spark.createDataFrame([(k, *x[:2]) for k, x in enumerate(seeds.TUTORING)], "k int, concept string, answer string")
     return seeds.plan(spark).join(F.broadcast(dim), F.pmod("idx", F.lit(8)) == F.col("k")).select("split", "idx", "concept", "answer")
 
 

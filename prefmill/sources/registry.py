@@ -37,7 +37,9 @@ def registry(spark: SparkSession) -> DataFrame:
 
 
 def student(spark: SparkSession, tier: str, runtime: bool = False) -> DataFrame:
-    """The pin of a student model; tier is lite or pro, whatever the case."""
-    if tier.lower() not in ("lite", "pro"):
-        raise ValueError("tier must be 'lite' or 'pro'")
-    return registry(spark).where(F.col("name") == f"{tier.lower()}-{'runtime' if runtime else 'train'}")
+    """The pin of the model that a student tier is trained from, or that it runs on; the tier's case does not matter."""
+    pins = registry(spark).where(F.col("role").startswith("student-"))
+    asked = pins.where((F.split_part("name", F.lit("-"), F.lit(1)) == F.lower(F.lit(tier))) & (F.col("name").endswith("runtime") == F.lit(runtime)))
+    if asked.isEmpty():
+        raise ValueError(f"no student model has the tier {tier!r}")
+    return asked

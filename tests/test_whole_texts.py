@@ -9,7 +9,7 @@ FILL = "words before the phrase " * 20
 
 
 def _documents(spark, tmp_path):
-    rows = [(3 * i + 1, FILL + p.title() + " and more.", "en", "src1", 1) for i, p in enumerate(META_PHRASES)]
+    rows = [(5 * i + 3, FILL + p.title() + " and more.", "en", "src1", 1) for i, p in enumerate(META_PHRASES)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     return rows
 
