@@ -31,12 +31,15 @@ def latest(log: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     return best.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
-def first_success(log: DataFrame, key: str = "id", attempt: str = "attempt", ok: str = "ok", most: int = 3) -> DataFrame:
-    """(key, attempts, success_at, last_attempt): the first success among the first ``most`` attempts; null if none."""
+def first_success(log: DataFrame, key: str = "id", attempt: str = "attempt", ok: str = "ok", most: int = 3, issues: str | None = None) -> DataFrame:
+    """(key, attempts, success_at, last_attempt): the first success among the first ``most`` attempts; null if none.
+
+    issues: a column of the attempts' issues; adds ``last_issues``, those of the last attempt where none succeeded, else null.
+    """
+    success = F.min(F.when(F.col(ok), F.col(attempt)))
+    more = [] if issues is None else [F.when(success.isNull(), F.max_by(issues, attempt)).alias("last_issues")]
     return log.where(F.col(attempt) < most).groupBy(key).agg(
-        F.count(F.lit(1)).alias("attempts"),
-        F.min(F.when(F.col(ok), F.col(attempt))).alias("success_at"),
-        F.max(attempt).alias("last_attempt"),
+        F.count(F.lit(1)).alias("attempts"), success.alias("success_at"), F.max(attempt).alias("last_attempt"), *more
     )
 
 
@@ -137,15 +140,22 @@ RUBRIC = (
 
 
 def judge_pairs(pairs: DataFrame) -> DataFrame:
-    """(id, chosen_label, candidate_a, candidate_b, system, task) for the critic, blind to which answer was chosen."""
+    """(id, chosen_label, candidate_a, candidate_b, system, task, message) for the critic, blind to which answer was chosen.
+
+    message: candidateA, candidateB (parsed), contract and taskMessages as compact JSON with sorted keys.
+    """
     label = blind_label(F.col("id"))
     last = lambda c: F.element_at(c, -1)["content"]
     a = F.when(label == "A", last("chosen")).otherwise(last("rejected"))
     b = F.when(label == "A", last("rejected")).otherwise(last("chosen"))
     task = F.slice("chosen", 1, F.size("chosen") - 1)
+    turns = F.transform(task, lambda m: F.struct(m["content"].alias("content"), m["role"].alias("role")))
+    contract = F.col("contract") if "contract" in pairs.columns else F.lit(None).cast("string")
+    parsed = F.struct(F.try_parse_json(a).alias("candidateA"), F.try_parse_json(b).alias("candidateB"), contract.alias("contract"), turns.alias("taskMessages"))
     return pairs.select(
-        "id", label.alias("chosen_label"), a.alias("candidate_a"), b.alias("candidate_b"), F.lit(RUBRIC).alias("system"), task.alias("task")
-    )
+        "id", label.alias("chosen_label"), a.alias("candidate_a"), b.alias("candidate_b"), F.lit(RUBRIC).alias("system"), task.alias("task"),
+        F.to_json(parsed, {"ignoreNullFields": "false"}).alias("message"),
+    )
 
 
 def quarantine(excluded: DataFrame, rejected: DataFrame) -> DataFrame:

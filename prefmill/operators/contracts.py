@@ -36,9 +36,13 @@ LEAST = {
     "tool-call-json-v1": {"reason": 15},
     "safety-json-v1": {"cannotDo": 15, "nextStep": 15},
 }
-#: Contracts for lesson kernels end so.
+#: Contracts for lesson kernels are a word and this.
 KERNEL = "kernel-json-v1"
 
+
+def is_kernel(contract: Column) -> Column:
+    return contract.rlike(f"^[a-z]+-{KERNEL}$")
+
 Rule = tuple[str, Column]
 
 
@@ -109,14 +113,14 @@ def _uncertainty(v: Column, o: Column) -> list[Rule]:
 def _tutor(v: Column, o: Column) -> list[Rule]:
     least = at(o, "minimumLengths").try_cast("map<string,int>")
     both = F.concat_ws(" ", J.text_of(at(v, "workedExplanation")), J.text_of(at(v, "checkAnswer")))
-    rules = [
-        (f"short-text:{n}", F.coalesce(F.length(strip(J.text_of(at(v, n)))) < F.try_element_at(least, F.lit(n)), F.lit(False)))
-        for n in ("diagnosis", "hint", "workedExplanation", "checkQuestion")
-    ]
+    fields = v.try_cast("map<string,variant>")
+    # every name that the oracle bounds, whichever it is
+    low = lambda n, k: F.length(strip(F.coalesce(J.text_of(F.try_element_at(fields, n)), F.lit("")))) < k
+    found = F.transform(F.map_keys(F.map_filter(least, low)), lambda n: F.concat(F.lit("short-text:"), n))
     return [
-        *rules,
         ("short-text:checkAnswer", short(J.text_of(at(v, "checkAnswer")), 1)),
         ("expected-answer-absent", ~contains_fold(both, string(o, "answerContains"))),
+        ("", found),
     ]
 
 
@@ -156,7 +160,10 @@ RULES: dict[str, Callable[[Column, Column], list[Rule]]] = {
 
 
 def _codes(rules: list[Rule]) -> Column:
-    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())
+    """The codes of the rules that hold; a rule without a code brings an array of its own."""
+    own = [F.coalesce(c, F.array().cast("array<string>")) for n, c in rules if not n]
+    found = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules if n]), lambda x: x.isNotNull())
+    return F.concat(found, *own) if own else found
 
 
 def _kernel(v: Column, o: Column) -> Column:
@@ -183,7 +190,7 @@ def validate(
     v, o = F.col("_v"), F.col("_o")
     found = F.array(F.lit("unknown-contract"))
     if only is None or any(c.endswith(KERNEL) for c in only):
-        found = F.when(F.col(contract).endswith(KERNEL), _kernel(v, o)).otherwise(found)
+        found = F.when(is_kernel(F.col(contract)), _kernel(v, o)).otherwise(found)
     for name, rules in RULES.items():
         if only is not None and name not in only:
             continue
@@ -226,13 +233,21 @@ def rejected(contract: Column, answer: Column, oracle: Column) -> Column:
         .when(contract == "tutor-json-v1", _set(answer, "citations", F.lit('["invented-source"]')))
         .when(contract == "tool-call-json-v1", _set(answer, "answerDeferred", F.lit("false")))
         .when(contract == "safety-json-v1", _set(answer, "canHelpWith", F.lit("[]")))
-        .when(contract.endswith(KERNEL), _set(answer, "lessons", F.concat(F.lit("["), _set(lesson, "facts", changed), F.lit("]"))))
+        .when(is_kernel(contract), _set(answer, "lessons", F.concat(F.lit("["), _set(lesson, "facts", changed), F.lit("]"))))
     )
 
 
 def construct_rejected(
     rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", only: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """rows with ``rejected`` and its ``rejected_issues``; an edit that passes is an error of the task."""
+    """rows with ``rejected`` and its ``rejected_issues``.
+
+    An edit that passes, or an unknown contract, is an error of the task: the query fails. A null answer
+    has no edit. Answers that have ``issues`` already were never admitted, and their edits are not looked at.
+    """
     edited = rows.withColumn("rejected", rejected(F.col(contract), F.col(answer), F.col(oracle)))
-    return validate(edited, contract, "rejected", oracle, "rejected_issues", only)
+    out = validate(edited, contract, "rejected", oracle, "rejected_issues", only)
+    asked = F.col(answer).isNotNull() & ((F.size("issues") == 0) if "issues" in rows.columns else F.lit(True))
+    passes = asked & (F.col("rejected").isNull() | (F.size("rejected_issues") == 0))
+    told = F.raise_error(F.concat(F.lit("no wrong edit of an answer to "), F.coalesce(F.col(contract), F.lit("(none)"))))
+    return out.withColumn("rejected_issues", F.when(passes, told.cast("array<string>")).otherwise(F.col("rejected_issues")))

@@ -47,8 +47,8 @@ def promotion(base: DataFrame, candidate: DataFrame, kind: str = "hallucinated-c
     Rows carry id, category and issues. same_fixtures wants the same ids on both sides, as many as ``fixtures``.
     """
     of_kind = F.coalesce(F.sum(F.size(F.filter("issues", lambda x: x == kind))), F.lit(0)).alias("kind")
-    ids = F.sha2(F.array_join(F.array_sort(F.collect_set(F.col("id").cast("string"))), ","), 256).alias("ids")
-    # the evaluation sets are locked lists of a few dozen ids
+    # an order-free digest: equal sets of ids have equal sums of their hashes, and no task holds a set
+    ids = F.sum(F.xxhash64(F.col("id").cast("string")).cast("decimal(38,0)")).alias("ids")
     one = lambda d, p: d.agg(*_counts(), of_kind, ids).select(*[F.col(c).alias(f"{p}_{c}") for c in ("n", "pass_rate", "issue_count", "kind", "ids")])
     lost = compare_categories(base, candidate).agg(F.count_if("regressed").alias("regressions"))
     row = one(base, "b").join(one(candidate, "c")).join(lost)  # three frames of one row each

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prefmill.functions import json as J
 from prefmill.operators import admission, contracts, corpus, evaluate
-from prefmill.operators.generate import Complete, attempts
+from prefmill.operators.generate import Complete, greedy, rounds
 
 
 def task_hash(tasks: DataFrame) -> DataFrame:
@@ -19,58 +20,80 @@ def task_hash(tasks: DataFrame) -> DataFrame:
     return tasks.withColumn("hash", F.sha2(body, 256))
 
 
-def answer(tasks: DataFrame, complete: Complete, seed_of=admission.generation_seed) -> DataFrame:
-    """(id, text, ...task columns, issues): one answer a task, with what the task's contract finds in it."""
+def answers(tasks: DataFrame, complete: Complete, seed_of=admission.generation_seed, most: int = 3) -> DataFrame:
+    """Every attempt at each task (task columns, attempt, text, issues, settings, metrics, receipt), until its contract finds nothing."""
     numbered = admission.positions(tasks.withColumn("ord", F.col("id")), "ord")
     seeded = numbered.withColumn("seed", seed_of(F.col("pos"), F.lit(0)).cast("bigint")).drop("ord", "pos")
-    log = attempts(seeded, complete, lambda text: [], 1)
-    return contracts.validate(seeded.join(log.select("id", "text"), "id"), answer="text").drop("seed")
+    tokens = lambda attempt: admission.token_budget(F.col("contract"), F.lit(attempt))
+    return rounds(seeded, complete, lambda rows: contracts.validate(rows, answer="text"), most, tokens=tokens)
 
 
-def teacher(tasks: DataFrame, split: str, complete: Complete, prior: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Teacher rows of a split: id, status (admitted, excluded), chosen, rejected, issues, hash.
+def answer(tasks: DataFrame, complete: Complete, seed_of=admission.generation_seed, most: int = 3) -> DataFrame:
+    """The last attempt at each task."""
+    return admission.latest(answers(tasks, complete, seed_of, most), "id", "attempt").drop("seed")
 
-    Prior rows with a current hash are kept, excluded ones too: they are not tried again.
+
+def teacher(
+    tasks: DataFrame, split: str, complete: Complete, prior: DataFrame | None = None, limit: int | None = None, most: int = 3
+) -> DataFrame:
+    """Teacher rows of a split: id, status (admitted, excluded), chosen, rejected, issues, attempts, settings, metrics, receipt, hash.
+
+    A task is tried ``most`` times at most, each retry being told the issues of the answer before;
+    issues are those of the last. Prior rows with a current hash are kept, excluded ones too: they are not tried again.
     """
     work = task_hash(tasks.where(F.col("split") == split))
     if limit is not None:
         work = admission.stratified_limit(work, limit, "category", "id").drop("round")
     kept = None if prior is None else admission.retained(prior, work)
     todo = work if kept is None else admission.pending(work, kept)
-    answered = contracts.construct_rejected(answer(todo, complete), answer="text")
+    answered = contracts.construct_rejected(answer(todo, complete, most=most), answer="text")
     turns = lambda text: F.array_append("messages", F.struct(F.lit("assistant").alias("role"), text.alias("content")))
     good = F.size("issues") == 0
     fresh = answered.select(
         "id", F.when(good, "admitted").otherwise("excluded").alias("status"), "split", "category", "contract", turns(F.col("text")).alias("chosen"),
-        turns(F.col("rejected")).alias("rejected"), "issues", "hash",
+        turns(F.col("rejected")).alias("rejected"), "issues", (F.col("attempt") + 1).alias("attempts"), "settings", "metrics", "receipt", "hash",
     )
     return fresh if kept is None else kept.unionByName(fresh)
 
 
-def critic(rows: DataFrame, complete: Complete, prior: DataFrame | None = None) -> DataFrame:
-    """Evidence on admitted teacher rows: id, status, chosen_label, judgment, hash.
+#: What the critic is told of a judgment that is malformed.
+MALFORMED = "That was not the JSON object asked for ({issues}). Send all five fields and no other text; preferred is A, B or tie."
+
+
+def critic(rows: DataFrame, complete: Complete, prior: DataFrame | None = None, most: int = 2) -> DataFrame:
+    """Evidence on admitted teacher rows: id, status, chosen_label, judgment, valid_shapes, settings, metrics, receipt, hash, seq.
 
-    Valid judgments with a current hash are kept, rejections too; malformed ones are asked for again.
+    A malformed judgment is asked for again, ``most`` times at most; valid_shapes tells of each
+    attempt. Valid judgments with a current hash are kept, rejections too; malformed ones are asked
+    for again in the next run. seq counts the runs: a later one's evidence counts.
     """
     body = F.to_json(F.struct("category", "chosen", "contract", "id", "rejected"))
     work = rows.where("status = 'admitted'").withColumn("hash", F.sha2(body, 256))
     kept = None if prior is None else admission.retained(prior, work, usable=admission.judgment_shape(F.col("judgment")))
     todo = work if kept is None else admission.pending(work, kept)
-    pairs = admission.judge_pairs(todo)
-    ask = F.to_json(F.struct("task", F.col("candidate_a").alias("candidateA"), F.col("candidate_b").alias("candidateB")))
+    run = 0 if kept is None else (kept.agg(F.max("seq")).first()[0] or 0)
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    asked = pairs.select("id", "chosen_label", F.array(turn("system", F.col("system")), turn("user", ask)).alias("messages"))
+    asked = admission.judge_pairs(todo).select("id", "chosen_label", F.array(turn("system", F.col("system")), turn("user", F.col("message"))).alias("messages"))
     asked = admission.positions(asked.withColumn("ord", F.col("id")), "ord").withColumn("seed", admission.critic_seed(F.col("pos"), F.lit(0)).cast("bigint"))
-    log = attempts(asked, complete, lambda text: [], 1).select("id", F.col("text").alias("judgment"))
-    fresh = asked.select("id", "chosen_label").join(log, "id").join(todo.select("id", "hash"), "id")
+
+    def shaped(got: DataFrame) -> DataFrame:
+        got = got.withColumn("judgment", J.extract_object(F.col("text")))
+        none = F.array().cast("array<string>")
+        return got.withColumn("issues", F.when(admission.judgment_shape(F.col("judgment")), none).otherwise(F.array(F.lit("judgment-shape"))))
+
+    log = rounds(asked.drop("ord", "pos"), complete, shaped, most, settings=greedy, tokens=lambda attempt: F.lit(256), retry=MALFORMED)
+    shapes = log.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("attempt", (F.size("issues") == 0).alias("ok")))), lambda x: x["ok"]).alias("valid_shapes"))
+    last = admission.latest(log, "id", "attempt").join(shapes, "id").join(todo.select("id", "hash"), "id")
     status = F.when(admission.admitted(F.col("judgment"), F.col("chosen_label")), "critic-admitted").otherwise("critic-rejected")
-    fresh = fresh.select("id", status.alias("status"), "chosen_label", "judgment", "hash")
+    fresh = last.select(
+        "id", status.alias("status"), "chosen_label", "judgment", "valid_shapes", "settings", "metrics", "receipt", "hash", F.lit(run + 1).cast("bigint").alias("seq")
+    )
     return fresh if kept is None else kept.unionByName(fresh)
 
 
 def preference_corpus(rows: DataFrame, evidence: DataFrame, prefix: str = "pref") -> DataFrame:
     """Training pairs: teacher rows whose latest evidence admits them, with provenance."""
-    last = admission.latest(evidence.withColumn("ord", F.monotonically_increasing_id()), "id")
+    last = admission.latest(evidence, "id", "seq")
     good = rows.join(last.where("status = 'critic-admitted'").select("id"), "id", "left_semi")
     return corpus.provenance(good, prefix).select("id", "category", F.col("corpus_split").alias("split"), "domain", "group_id", "chosen", "rejected")
 
@@ -88,12 +111,15 @@ def manifest(pairs: DataFrame, gate: corpus.Gate = corpus.RESEARCH) -> dict[str,
 
 
 def evaluation(tasks: DataFrame, split: str, complete: Complete) -> DataFrame:
-    """Result rows (id, category, contract, issues, text, status) of a locked split."""
+    """Result rows (id, category, contract, issues, text, metrics, receipt, status) of a locked split, one attempt each."""
     seeds = lambda position, attempt: admission.evaluation_seed(position)
-    got = answer(tasks.where(F.col("split") == split), complete, seeds)
-    return got.select("id", "category", "contract", "issues", "text", F.when(F.size("issues") == 0, "pass").otherwise("fail").alias("status"))
+    got = answer(tasks.where(F.col("split") == split), complete, seeds, 1)
+    return got.select("id", "category", "contract", "issues", "text", "metrics", "receipt", F.when(F.size("issues") == 0, "pass").otherwise("fail").alias("status"))
 
 
 def report(results: DataFrame) -> dict[str, DataFrame]:
     """The parts of an evaluation report."""
-    return {"overall": evaluate.summarize_overall(results), "categories": evaluate.summarize_by_category(results), "issues": evaluate.issue_histogram(results)}
+    return {
+        "overall": evaluate.summarize_overall(results), "categories": evaluate.summarize_by_category(results), "issues": evaluate.issue_histogram(results),
+        "metrics": evaluate.run_metrics(results, "metrics.generation_tokens", "metrics.tokens_per_second", "metrics.peak_memory_gb"),
+    }

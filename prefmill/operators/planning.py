@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefmill.sources.shared import kept
+
 
 def missing_prerequisites(edges: DataFrame, cases: DataFrame, by: list[str]) -> DataFrame:
     """(by, target, missing): direct prerequisites of the target that are not completed, in catalog order."""
@@ -18,23 +20,27 @@ def missing_prerequisites(edges: DataFrame, cases: DataFrame, by: list[str]) ->
 def prerequisite_sequence(spark: SparkSession, edges: DataFrame, cases: DataFrame, by: list[str]) -> DataFrame:
     """(by, target, sequence): all open prerequisites of the target, deepest first, equal depths by code.
 
-    A recursive query follows the edges; a course's depth is its longest way from the
-    target, so each course comes after everything it needs.
+    Each round follows the edges one step and keeps a course once, so a round costs at most the
+    open courses however many ways lead to them; the last round that reaches a course is its
+    longest way from the target, so each course comes after everything it needs. A circle
+    of prerequisites is an error.
     """
-    keys = ", ".join(by)
-    edges.createOrReplaceTempView("_plan_edges")
-    cases.createOrReplaceTempView("_plan_cases")
-    on = " AND ".join(f"e.{k} = r.{k}" for k in by)
-    walked = spark.sql(f"""
-        WITH RECURSIVE r AS (
-            SELECT {keys}, target, completed, target AS course, 0 AS depth FROM _plan_cases
-            UNION ALL
-            SELECT {", ".join(f"r.{k}" for k in by)}, r.target, r.completed, e.prereq, r.depth + 1
-            FROM r JOIN _plan_edges e ON {on} AND e.course = r.course
-            WHERE e.prereq IS NOT NULL AND NOT array_contains(r.completed, e.prereq)
-        )
-        SELECT {keys}, target, course, max(depth) AS depth FROM r WHERE depth > 0 GROUP BY {keys}, target, course
-    """)
+    near = kept(edges.where(F.col("prereq").isNotNull()).select(*by, "course", F.col("prereq").alias("need")), "edges")
+    at = kept(cases.select(*by, "target", "completed", F.col("target").alias("course")), "courses")
+    most = near.select(*by, "course").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    found = []
+    for depth in range(1, most + 2):
+        step = at.join(near, [*by, "course"]).where(~F.array_contains("completed", F.col("need")))
+        at = kept(step.select(*by, "target", "completed", F.col("need").alias("course")).distinct(), "courses")
+        if at.isEmpty():
+            break
+        if depth > most:
+            raise ValueError("prerequisites form a circle")
+        found.append(at.select(*by, "target", "course", F.lit(depth).alias("depth")))
+    walked = at.select(*by, "target", "course", F.lit(0).alias("depth")).where(F.lit(False))
+    for part in found:
+        walked = walked.unionByName(part)
+    walked = walked.groupBy(*by, "target", "course").agg(F.max("depth").alias("depth"))
     ordered = walked.groupBy(*by, "target").agg(F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("d"), "course"))).alias("s"))
     none = F.array().cast("array<string>")
     return cases.join(ordered, [*by, "target"], "left").select(*by, "target", F.coalesce(F.col("s.course"), none).alias("sequence"))

@@ -47,7 +47,7 @@ def solve(messages, seed):
 
 def agree(messages, seed):
     pair = json.loads(messages[-1]["content"])
-    a = json.loads(pair["candidateA"])["totalCredits"] == 10
+    a = pair["candidateA"]["totalCredits"] == 10
     return json.dumps({"preferred": "A" if a else "B", "preferredScore": 5, "groundingPass": True, "pedagogyPass": True, "issues": []})
 
 
@@ -69,6 +69,34 @@ def test_teacher_to_manifest(spark, tasks, tmp_path):
     assert parts["leakage"].count() == 0 and parts["gate"].count() > 0
 
 
+def test_retries_budgets_and_receipts(spark, tasks):
+    """The teacher is told its issues twice; the critic repairs its answer; settings and metrics are recorded."""
+    some = tasks.where("id IN ('train-schedule-constraints-000', 'train-schedule-constraints-001')")
+
+    def late(messages, settings):
+        told = [m["content"] for m in messages if m["role"] == "user"]
+        tries = settings["seed"] - 16031 - (0 if settings["seed"] - 16031 < 7 else 7)
+        text = solve(messages[:2], settings) if tries == 2 else "{}"
+        assert len(messages) == (2 if tries == 0 else 4) and ("missing-key:feasible" in told[-1]) == (tries > 0)
+        return {"text": text, "metrics": {"generation_tokens": 10, "tokens_per_second": 2.0}, "receipt": {"model": "m"}}
+
+    rows = flows.teacher(some, "train", late)
+    got = rows.collect()
+    assert [(r["status"], r["attempts"], r["metrics"]["generation_tokens"], r["receipt"]) for r in got] == [("admitted", 3, 10, '{"model": "m"}')] * 2
+    assert {json.loads(r["settings"])["max_tokens"] for r in got} == {700} and {json.loads(r["settings"])["temperature"] for r in got} == {0.15}
+    assert {r["status"] for r in flows.teacher(some, "train", late, most=2).collect()} == {"excluded"}
+
+    def repaired(messages, settings):
+        pair = json.loads(messages[1]["content"])
+        assert sorted(pair) == ["candidateA", "candidateB", "contract", "taskMessages"] and settings["max_tokens"] == 256
+        return "prefer A" if settings["seed"] < 100_000 else agree(messages[:2], settings) + " done"
+
+    seen = flows.critic(rows, repaired).collect()
+    assert [(r["status"], r["valid_shapes"], r["seq"]) for r in seen] == [("critic-admitted", [False, True], 1)] * 2
+    wrong = lambda m, s: agree(m, s).replace('"A"', '"x"').replace('"B"', '"A"').replace('"x"', '"B"')
+    assert [(r["status"], r["valid_shapes"]) for r in flows.critic(rows, wrong).collect()] == [("critic-rejected", [True])] * 2
+
+
 def test_evaluation(tasks):
     held = tasks.where("category IN ('schedule-constraints', 'safe-education')")
     parts = flows.report(flows.evaluation(held, "heldout", solve))
