@@ -1,25 +1,30 @@
 """License scans with DataFrame functions only.
 
-Each line of a text is normalised (A-Z lowered, everything but a-z and 0-9 becomes one
-space) and compared with licence templates by the Dice coefficient over the sets of
-word bigrams, 2|A and B| / (|A| + |B|). A line counts as a licence line at a
-coefficient of at least ``threshold``.
-
-Two bounds prune without loss. Size: Dice >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t.
-Anchors: a matching line holds over t/2 of the template's bigrams, so for each template
-a few words are kept that occur in at least 1 - t/2 of its bigrams; a line with none of
-those words cannot match. Only the lines left are cut into bigrams and compared. All of it
-happens within a row: nothing is shuffled, whatever the keys.
-
-Defined cases: null and empty texts have no licence line; a line that fits several
-templates equally well goes to the smallest name; repeated rows stay repeated; other
-columns are ignored, whatever their names.
+A text is normalised (A-Z lowered, everything but a-z and 0-9 becomes one space, line
+breaks too) and compared with licence templates by the Dice coefficient over the sets of
+word bigrams, 2|A and B| / (|A| + |B|). Windows of as many words as the template has are
+compared, one from each place where a bigram of the template stands (at the end of a
+text what is left of it), so a notice is found inside a longer text and over line breaks.
+A template counts as found at a coefficient of at least ``threshold``.
+
+Bounds prune without loss. Size: Dice >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t, and as
+|A and B| <= |A|, the text must hold t/(2-t) of the template's bigrams. Anchors: for each
+template a few long words are kept that occur in more than 1 - t/(2-t) of its bigrams; a
+text with none of those words holds too few. Texts without any anchor are not cut into
+words, and a template is only compared in windows where the whole text holds enough of
+it. All of it happens within a row: nothing is shuffled, whatever the keys.
+
+Defined cases: null and empty texts hold no licence; of equally good templates the
+smallest licence name counts, of equally good windows the first; a licence with several
+templates counts once; very long texts are searched whole; repeated rows stay repeated;
+other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,45 +32,134 @@ from pyspark.sql import functions as F
 from prefmill.llm.common import ascii_lower, text_or_empty
 
 THRESHOLD = 0.8
-#: Customary notices of public licences, one line each.
-TEMPLATES = {
-    "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": "This software is released under the BSD 2-Clause License.",
-    "BSD-3-Clause": "This software is released under the BSD 3-Clause License.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions: "
+)
+_MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+_BSD_1 = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+_BSD_2 = (
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. "
+)
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(name: str, version: str, program: str = "program") -> str:
+    """The header that the GNU licences ask files to carry."""
+    return (
+        f"This {program} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free "
+        f"Software Foundation, either version {version} of the License, or (at your option) any later version. This {program} is distributed in the "
+        f"hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+        f"PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this {program}."
+    )
+
+
+#: Whole texts of short public licences, the headers that long ones ask files to carry, and customary one-line notices.
+TEMPLATES: dict[str, tuple[str, ...]] = {
+    "AGPL-3.0": ("This program is licensed under the GNU Affero General Public License, version 3.", _gnu("Affero General Public License", "3")),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain "
+        "a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+        "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See "
+        "the License for the specific language governing permissions and limitations under the License.",
+    ),
+    "BSD-2-Clause": ("This software is released under the BSD 2-Clause License.", _BSD + "1. " + _BSD_1 + "2. " + _BSD_2 + _BSD_AS_IS),
+    "BSD-3-Clause": ("This software is released under the BSD 3-Clause License.", _BSD + "1. " + _BSD_1 + "2. " + _BSD_2 + "3. " + _BSD_3 + _BSD_AS_IS),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+        "covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+        "works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+    ),
+    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.",),
+    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", _gnu("General Public License", "2")),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", _gnu("General Public License", "3")),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+        "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.", _gnu("Lesser General Public License", "3", "library")),
+    "MIT": (
+        "Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
+        _MIT, _MIT + _MIT_NOTICE + _AS_IS,
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You "
+        "can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+        "from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must "
+        "not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+        "software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
+}
+
+Templates = Mapping[str, Sequence[str]]
 
 
 def words(text: str) -> list[str]:
-    """The words of a template, as the operator sees those of a line."""
+    """The words of a template, as the operator sees those of a text."""
     return re.findall("[a-z0-9]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
 
 
-def bigrams(text: str) -> set[str]:
+def bigrams(text: str) -> list[str]:
+    """A text's bigrams in order, repeats included."""
     w = words(text)
-    return {f"{a} {b}" for a, b in zip(w, w[1:])}
+    return [f"{a} {b}" for a, b in zip(w, w[1:])]
 
 
-def anchors(templates: Mapping[str, str], threshold: float) -> list[str]:
-    """Words of which each line that matches a template holds at least one."""
+def least_common(m: int, threshold: float) -> int:
+    """How many of a template's m distinct bigrams a window that reaches the threshold holds at least."""
+    return max(1, math.ceil(m * threshold / (2 - threshold) - 1e-9))
+
+
+def anchors(templates: Templates, threshold: float) -> list[str]:
+    """Words of which each text with a match holds at least one."""
     kept: set[str] = set()
-    for text in templates.values():
-        left = bigrams(text)
-        need, hit = (1 - threshold / 2) * len(left), 0
-        for w in sorted({*words(text)}, key=lambda x: (-len(x), x)):
-            if hit >= need:
+    for text in sorted({t for ts in templates.values() for t in ts}):
+        left = set(bigrams(text))
+        spare = len(left) - least_common(len(left), threshold)  # so many may be missing in a match
+        hit = 0
+        for w in sorted({*words(text)}, key=lambda x: (x not in kept, -len(x), x)):
+            if hit > spare:
                 break
             found = {b for b in left if w in b.split(" ")}
             if found:
@@ -75,85 +169,87 @@ def anchors(templates: Mapping[str, str], threshold: float) -> list[str]:
     return sorted(kept)
 
 
-def _found(text: str, templates: Mapping[str, str], threshold: float) -> tuple[Column, Column]:
-    """Two columns in turn: the lines worth a comparison, as (line_no, line, w); and, over a column ``_lines`` of those, each licence line."""
-    sets = {n: sorted(bigrams(t)) for n, t in sorted(templates.items()) if bigrams(t)}
-    if not sets:
-        raise ValueError("no template has two words")
-    low = min(map(len, sets.values())) * threshold / (2 - threshold)
-    high = max(map(len, sets.values())) * (2 - threshold) / threshold
-    some = F.array(*map(F.lit, anchors(templates, threshold)))
-    numbered = F.transform(F.split(text_or_empty(text), "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
-    # n words take 2n - 1 characters at least
-    long_enough = F.filter(numbered, lambda s: (F.length(s["line"]) + 1) / 2 - 1 >= low)
-    norm = lambda x: F.split(F.trim(F.regexp_replace(ascii_lower(x), "[^a-z0-9]+", " ")), " ")
-    cut = F.transform(long_enough, lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), norm(s["line"]).alias("w")))
-    lines = F.filter(cut, lambda s: (F.size(s["w"]) - 1 >= low) & F.arrays_overlap(s["w"], some))
-
-    def pairs(w: Column) -> Column:
-        n = F.size(w) - 1
-        return F.array_distinct(F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
-
-    def best(b: Column) -> Column:
-        """(worse, license) of the best template, null if none reaches the threshold; worse is the negative coefficient."""
-        each = []
-        for name, grams in sets.items():
-            m, n = F.lit(len(grams)), F.size(b)
-            fits = (n >= m * (threshold / (2 - threshold))) & (n <= m * ((2 - threshold) / threshold))
-            dice = F.lit(2.0) * F.size(F.array_intersect(b, F.array(*map(F.lit, grams)))) / (n + m)
-            each.append(F.when(fits & (dice >= threshold), F.struct((-dice).alias("worse"), F.lit(name).alias("license"))))
-        return F.array_min(F.array(*each))
-
-    with_b = F.transform("_lines", lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), pairs(s["w"]).alias("b")))
-    sized = F.filter(with_b, lambda s: (F.size(s["b"]) >= low) & (F.size(s["b"]) <= high))
-    scored = F.transform(sized, lambda s: F.struct(s["line_no"].alias("line_no"), s["line"].alias("line"), best(s["b"]).alias("best")))
-    return lines, F.filter(scored, lambda s: s["best"].isNotNull())
-
-
-def _scanned(docs: DataFrame, templates: Mapping[str, str], threshold: float, key: str, text: str) -> DataFrame:
-    lines, found = _found(text, templates, threshold)
-    return docs.select(F.col(key).alias("_key"), lines.alias("_lines")).select("_key", found.alias("_found"))
-
-
-def license_lines(
-    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
+def _starts(here: Column) -> Column:
+    """(b, i) of each bigram of the text, i being its place, that is in ``here``."""
+    numbered = F.transform("g", lambda b, i: F.struct(b.alias("b"), i.alias("i")))
+    return F.filter(numbered, lambda x: F.array_contains(here, x["b"]))
+
+
+def _scorer(here: Column, m: int, long: int, name: str, threshold: float) -> Callable[[Column], Column]:
+    """From a start (b, i) to (worse, license, at, size) of its window, null below the threshold."""
+
+    def score(x: Column) -> Column:
+        window = F.slice("g", x["i"] + 1, long)
+        size = F.size(F.array_distinct(window))
+        dice = F.lit(2.0) * F.size(F.array_intersect(window, here)) / (size + m)
+        good = (size >= m * threshold / (2 - threshold) - 1e-9) & (dice >= threshold)
+        return F.when(good, F.struct((-dice).alias("worse"), F.lit(name).alias("license"), x["i"].cast("bigint").alias("at"), F.lit(long + 1).alias("size")))
+
+    return score
+
+
+def _found(docs: DataFrame, templates: Templates, threshold: float, key: str, text: str) -> DataFrame:
+    """(key, found): the templates found in each row as (worse, license, at, size), worse being the negative coefficient."""
+    sets = [(n, bigrams(t)) for n, ts in sorted(templates.items()) for t in ts]
+    if not sets or not all(g for _, g in sets):
+        raise ValueError("each template needs two words")
+    every = F.array(*[F.lit(b) for b in sorted({b for _, g in sets for b in g})])
+    low = docs.select(F.col(key).alias("key"), ascii_lower(text_or_empty(text)).alias("low"))
+    some = F.lit(False)
+    for a in anchors(templates, threshold):
+        some = some | F.contains("low", F.lit(a))
+    cut = F.when(some, F.split(F.trim(F.regexp_replace("low", "[^a-z0-9]+", " ")), " "))
+    n = F.size("w") - 1
+    grams = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    rows = low.select("key", cut.alias("w")).select("key", F.when(n > 0, grams).alias("g"))
+    rows = rows.select("key", "g", F.array_intersect("g", every).alias("held"))
+    each = []
+    for name, g in sets:
+        own = sorted(set(g))
+        m, here = len(own), F.array(*map(F.lit, own))
+        need = least_common(m, threshold)
+        enough = F.when(F.size("held") >= need, F.size(F.array_intersect("held", here)) >= need).otherwise(False)
+        each.append(F.when(enough, F.array_min(F.transform(_starts(here), _scorer(here, m, len(g), name, threshold)))))
+    return rows.select("key", F.filter(F.array(*each), lambda x: x.isNotNull()).alias("found"))
+
+
+def license_spans(
+    docs: DataFrame, templates: Templates = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(key, line_no, line, license, dice): each licence line with its best template."""
-    rows = _scanned(docs, templates, threshold, key, text).select("_key", F.explode("_found").alias("f"))
+    """(key, license, dice, first_word, n_words): the best window of each template found."""
+    rows = _found(docs, templates, threshold, key, text).select("key", F.explode("found").alias("f"))
     return rows.select(
-        F.col("_key").alias(key), F.col("f.line_no").alias("line_no"), F.col("f.line").alias("line"), F.col("f.best.license").alias("license"),
-        (-F.col("f.best.worse")).alias("dice"),
-    )
+        F.col("key").alias(key), F.col("f.license").alias("license"), (-F.col("f.worse")).alias("dice"), F.col("f.at").alias("first_word"), F.col("f.size").alias("n_words")
+    )
 
 
 def scan(
-    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, templates: Templates = TEMPLATES, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """A row for each row of docs: key, n_license_lines, license and dice of its best line (null: none), licenses (all, comma-joined)."""
-    rows = _scanned(docs, templates, threshold, key, text)
-    best = F.array_min(F.transform("_found", lambda f: f["best"]))
-    names = F.array_sort(F.array_distinct(F.transform("_found", lambda f: f["best"]["license"])))
-    rows = rows.select("_key", F.size("_found").cast("bigint").alias("n"), best.alias("b"), names.alias("names"))
+    """A row for each row of docs: key, n_licenses, license and dice of the best one (null: none), licenses (all, comma-joined)."""
+    rows = _found(docs, templates, threshold, key, text)
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda f: f["license"])))
+    rows = rows.select("key", F.array_min("found").alias("b"), names.alias("names"))
     return rows.select(
-        F.col("_key").alias(key), F.col("n").alias("n_license_lines"), F.col("b.license").alias("license"), (-F.col("b.worse")).alias("dice"),
-        F.when(F.col("n") > 0, F.array_join("names", ",")).alias("licenses"),
+        F.col("key").alias(key), F.size("names").cast("bigint").alias("n_licenses"), F.col("b.license").alias("license"), (-F.col("b.worse")).alias("dice"),
+        F.when(F.size("names") > 0, F.array_join("names", ",")).alias("licenses"),
     )
 
 
-def oracle_sql(templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
+def oracle_sql(templates: Templates = TEMPLATES, threshold: float = THRESHOLD) -> str:
     """DuckDB SQL for scan() over documents, without the pruning."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quote(n)}, {quote(' '.join(words(t)))})" for n, t in sorted(templates.items()))
-    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    values = ", ".join(f"({quote(n)}, {quote(' '.join(words(t)))})" for n, ts in sorted(templates.items()) for t in ts)
+    grams = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return f"""
-WITH tpl AS (SELECT license, {grams} AS b FROM (SELECT license, string_split(t, ' ') AS w FROM (VALUES {values}) v(license, t))),
-lines AS (SELECT doc_id, line_no, string_split(trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no FROM documents)),
-grams AS (SELECT doc_id, line_no, {grams} AS b FROM lines WHERE len(w) >= 2),
-flat AS (SELECT doc_id, line_no, len(b) AS n, unnest(b) AS g FROM grams),
-tflat AS (SELECT license, len(b) AS m, unnest(b) AS g FROM tpl),
-dice AS (SELECT doc_id, line_no, license, 2.0::DOUBLE * count(*) / (n + m) AS dice FROM flat JOIN tflat USING (g) GROUP BY doc_id, line_no, license, n, m),
-best AS (SELECT doc_id, line_no, license, dice FROM dice WHERE dice >= {threshold} QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY dice DESC, license) = 1),
-per AS (SELECT doc_id, count(*) AS n, arg_min(license, (-dice, license)) AS license, max(dice) AS dice, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM best GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_license_lines, license, dice, licenses FROM documents d LEFT JOIN per USING (doc_id)
+WITH tpl AS (SELECT row_number() OVER () AS k, license, {grams} AS g FROM (SELECT license, string_split(t, ' ') AS w FROM (VALUES {values}) v(license, t))),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {grams} AS g FROM (SELECT doc_id,
+  string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents)),
+flat AS (SELECT r, unnest(g) AS b, generate_subscripts(g, 1) AS i FROM doc),
+hit AS (SELECT r, i, k FROM flat JOIN (SELECT DISTINCT k, unnest(g) AS b FROM tpl) USING (b)),
+win AS (SELECT r, k, list_distinct(list_slice(doc.g, i, i + len(tpl.g) - 1)) AS a, list_distinct(tpl.g) AS b, license FROM hit JOIN doc USING (r) JOIN tpl USING (k)),
+dice AS (SELECT r, license, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM win),
+per AS (SELECT r, count(DISTINCT license) AS n, arg_min(license, (-dice, license)) AS license, max(dice) AS dice, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
+  FROM dice WHERE dice >= {threshold} GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, license, dice, licenses FROM doc LEFT JOIN per USING (r)
 """

@@ -378,23 +378,51 @@ def test_decontamination_finds_all_within_budget(spark):
 # -- licences ----------------------------------------------------------------
 
 
+def found_licenses(t):
+    best = {}
+    g = licenses.bigrams(t or "")
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            own = licenses.bigrams(text)
+            for i in range(len(g)):
+                if g[i] in set(own):
+                    a = set(g[i : i + len(own)])
+                    dice = 2 * len(a & set(own)) / (len(a) + len(set(own)))
+                    if dice >= 0.8:
+                        best[name] = max(dice, best.get(name, 0))
+    return best
+
+
 def test_license_scan(spark):
-    lines = ["Released under the MIT License.", "released  under THE mit license", "This project is released under the MIT license", "Licensed under the Apache License, Version 2.0.",
-             "nothing", "", "the the the the", "license", "Licensed under CC BY-NC 4.0. and more words that go on and on"]
+    import textwrap
+
     r = random.Random(7)
-    docs = [(i, "\n".join(r.choice(lines) for _ in range(r.randrange(1, 6)))) for i in range(80)] + [(80, None), (81, "")]
-    got = {r["doc_id"]: tuple(r)[1:] for r in licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    every = [t for ts in licenses.TEMPLATES.values() for t in ts]
+    other = ["nothing", "", "the the the the", "license", "software is provided and the rights to use copies of the software", "Copyright 2020 X. All rights reserved."]
+    docs = []
+    for i in range(70):
+        lines = []
+        for _ in range(r.randrange(1, 4)):
+            t = r.choice(every) if r.random() < 0.5 else r.choice(other)
+            w = t.split()
+            for _ in range(r.randrange(0, 1 + len(w) // 12)):
+                w[r.randrange(len(w))] = "changed"
+            lines.append(textwrap.fill(" ".join(w), r.choice([20, 60, 999])))
+        docs.append((i, r.choice(["\n", " ", "; see "]).join(lines)))
+    wrapped = {
+        "MIT": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation files\n(the Software)",
+        "Apache-2.0": "Copyright 2020 X\n# Licensed under the\n# Apache License, Version 2.0.\ncode", "GPL-3.0": "header " + licenses.TEMPLATES["GPL-3.0"][1].replace(" the ", "\n the ") + " more",
+    }
+    docs += [(100 + k, t) for k, t in enumerate(wrapped.values())] + [(80, None), (81, ""), (None, licenses.TEMPLATES["BSD-3-Clause"][1])]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in licenses.scan(frame).collect()}
     for k, t in docs:
-        found = []
-        for line in (t or "").split("\n"):
-            a = licenses.bigrams(line)
-            score = [(2 * len(a & b) / (len(a) + len(b)), n) for n, b in ((n, licenses.bigrams(x)) for n, x in licenses.TEMPLATES.items()) if a]
-            good = [(-s, n) for s, n in score if s >= 0.8]
-            if good:
-                found.append(min(good))
-        best = min(found, default=None)
-        want = (len(found), best and best[1], best and pytest.approx(-best[0]), ",".join(sorted({n for _, n in found})) if found else None)
-        assert got[k] == want
+        best = found_licenses(t)
+        top = min(((-d, n) for n, d in best.items()), default=None)
+        assert got[k] == (len(best), top and top[1], top and pytest.approx(-top[0]), ",".join(sorted(best)) if best else None), (k, t)
+    assert all(name in got[100 + k][3].split(",") for k, name in enumerate(wrapped)) and "BSD-3-Clause" in got[None][3]
+    spans = licenses.license_spans(frame.where("doc_id = 101")).collect()
+    assert [(s["license"], s["first_word"], s["n_words"]) for s in spans] == [("Apache-2.0", 3, 8)]
 
 
 # -- sharding ----------------------------------------------------------------
