@@ -25,7 +25,13 @@ def answers(tasks: DataFrame, complete: Complete, seed_of=admission.generation_s
     numbered = admission.positions(tasks.withColumn("ord", F.col("id")), "ord")
     seeded = numbered.withColumn("seed", seed_of(F.col("pos"), F.lit(0)).cast("bigint")).drop("ord", "pos")
     tokens = lambda attempt: admission.token_budget(F.col("contract"), F.lit(attempt))
-    return rounds(seeded, complete, lambda rows: contracts.validate(rows, answer="text"), most, tokens=tokens)
+    only = _contracts(tasks)
+    return rounds(seeded, complete, lambda rows: contracts.validate(rows, answer="text", only=only), most, tokens=tokens)
+
+
+def _contracts(tasks: DataFrame) -> tuple[str, ...]:
+    """The contracts that occur, a handful: validators of others stay out of the plan."""
+    return tuple(sorted(r[0] or "" for r in tasks.select("contract").distinct().collect()))
 
 
 def answer(tasks: DataFrame, complete: Complete, seed_of=admission.generation_seed, most: int = 3) -> DataFrame:
@@ -46,7 +52,7 @@ def teacher(
         work = admission.stratified_limit(work, limit, "category", "id").drop("round")
     kept = None if prior is None else admission.retained(prior, work)
     todo = work if kept is None else admission.pending(work, kept)
-    answered = contracts.construct_rejected(answer(todo, complete, most=most), answer="text")
+    answered = contracts.construct_rejected(answer(todo, complete, most=most), answer="text", only=_contracts(work))
     turns = lambda text: F.array_append("messages", F.struct(F.lit("assistant").alias("role"), text.alias("content")))
     good = F.size("issues") == 0
     fresh = answered.select(
