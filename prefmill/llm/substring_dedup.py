@@ -17,17 +17,20 @@ documents and are judged on the input.
    bytes and sorted again.
 4. Marked stretches meet their document again, which is cut and hashed.
 
-Texts travel zstandard-compressed.
+Texts travel zstandard-compressed. Parts have a bounded share of an average corpus; a task
+works through its parts one after another. What one anchor has is not bounded: all its
+(document, place) pairs, 22 bytes each, meet in one task before its runs are salted.
 
 Defined cases: a null text is empty; texts shorter than ``width`` lose nothing; rows
-with equal keys count as different documents in an order fixed by their text; a null key
-is larger than any other; an empty table gives an empty result; other columns are
-ignored.
+with equal keys count as different documents in an order fixed by their text's digest; a null key
+is larger than any other; very long texts are cut into overlapping pieces of CHUNK bytes for
+sampling; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,9 @@ CHUNK = 1 << 19
 FLUSH = 1 << 20
 ANCHORS_PER_PART = 1 << 17
 RUNS_PER_PART = 1 << 17
+#: More parts than ONE_LEVEL are dealt out in two steps, and no shuffle has more tasks than MOST_TASKS: a task works part by part.
+ONE_LEVEL = 1 << 14
+MOST_TASKS = 20_000
 RUNS_PER_FLUSH = 1 << 16
 WINDOWS_PER_SORT = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -96,10 +102,11 @@ def runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> tu
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
     if len(data) < width:
         return none
-    h = gram_hashes(data, GRAM)
+    gram = min(GRAM, width // 2)
+    h = gram_hashes(data, gram)
     mask = np.uint64((1 << _PLACE) - 1)
     key = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
-    least = sliding_min(key, width - GRAM + 1)
+    least = sliding_min(key, width - gram + 1)
     count = np.maximum(end - begin - width + 1, 0)
     doc = np.repeat(np.arange(len(begin)), count)
     window = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + begin[doc]
@@ -140,6 +147,51 @@ def text_runs(texts: list[bytes], width: int = WIDTH) -> Iterator[tuple[np.ndarr
         yield flush()
 
 
+SAMPLE_DDL = "part bigint, names binary, doc binary, at binary, n binary, h binary"
+
+
+def _pack_anchors(held: list[tuple[np.ndarray, ...]], parts: int) -> pd.DataFrame:
+    """Anchors (document, first window, windows, hash) -> a packed row for each part."""
+    ids, at, n, h = (np.concatenate(x) for x in zip(*held))
+    part = (h % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, ids, at, n, h = part[order], ids[order], at[order], n[order], h[order]
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    out = []
+    for a, b in zip(cut, np.r_[cut[1:], len(part)]):
+        names, index = np.unique(ids[a:b], return_inverse=True)
+        out.append(
+            (int(part[a]), names.astype("<i8").tobytes(), index.astype("<u4").tobytes(), at[a:b].astype("<u4").tobytes(),
+             n[a:b].astype("<u2").tobytes(), h[a:b].astype("<u8").tobytes())
+        )
+    return pd.DataFrame(out, columns=["part", "names", "doc", "at", "n", "h"])
+
+
+def _plain_anchors(b: tuple) -> tuple[np.ndarray, ...]:
+    """The anchors of a packed row (names, doc, at, n, h)."""
+    ids = np.frombuffer(b[0], "<i8")[np.frombuffer(b[1], "<u4")]
+    return ids, np.frombuffer(b[2], "<u4"), np.frombuffer(b[3], "<u2"), np.frombuffer(b[4], "<u8")
+
+
+def _deal_again(parts: int):
+    """Packed anchors of coarse parts -> packed anchors of ``parts`` parts."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+        for f in frames:
+            for r in f[["names", "doc", "at", "n", "h"]].itertuples(index=False, name=None):
+                held.append(_plain_anchors(r))
+                rows += len(held[-1][0])
+                if rows >= FLUSH:
+                    yield _pack_anchors(held, parts)
+                    held, rows = [], 0
+        if held:
+            yield _pack_anchors(held, parts)
+
+    return run
+
+
 def _sample(width: int, parts: int):
     """Documents (_id, _t) -> packed anchors, a row for each part and flush."""
 
@@ -148,19 +200,7 @@ def _sample(width: int, parts: int):
         rows = 0
 
         def flush() -> pd.DataFrame:
-            ids, at, n, h = (np.concatenate(x) for x in zip(*held))
-            part = (h % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            part, ids, at, n, h = part[order], ids[order], at[order], n[order], h[order]
-            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            out = []
-            for a, b in zip(cut, np.r_[cut[1:], len(part)]):
-                names, index = np.unique(ids[a:b], return_inverse=True)
-                out.append(
-                    (int(part[a]), names.astype("<i8").tobytes(), index.astype("<u4").tobytes(), at[a:b].astype("<u4").tobytes(),
-                     n[a:b].astype("<u1").tobytes(), h[a:b].astype("<u8").tobytes())
-                )
-            return pd.DataFrame(out, columns=["part", "names", "doc", "at", "n", "h"])
+            return _pack_anchors(held, parts)
 
         for f in frames:
             ids = f["_id"].to_numpy()
@@ -180,10 +220,7 @@ def _repeated(hot: int):
     """Packed anchors of a part -> runs whose anchor occurs more than once, packed for each document."""
 
     def one(blocks: list[tuple]) -> pd.DataFrame:
-        ids = np.concatenate([np.frombuffer(b[1], "<i8")[np.frombuffer(b[2], "<u4")] for b in blocks])
-        at = np.concatenate([np.frombuffer(b[3], "<u4") for b in blocks])
-        n = np.concatenate([np.frombuffer(b[4], "<u1") for b in blocks])
-        h = np.concatenate([np.frombuffer(b[5], "<u8") for b in blocks])
+        ids, at, n, h = (np.concatenate(x) for x in zip(*[_plain_anchors(b[1:]) for b in blocks]))
         order = np.argsort(h, kind="stable")
         h = h[order]
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -242,8 +279,8 @@ def _contexts(width: int, parts: int):
             for a, b in zip(cut, np.r_[cut[1:], len(order)]):
                 o = order[a:b]
                 out.append(
-                    (int(part[o[0]]), g[o].astype("<i8").tobytes(), salt[o].astype("<u4").tobytes(), hot[o].astype("<u1").tobytes(),
-                     ids[o].astype("<i8").tobytes(), at[o].astype("<u4").tobytes(), size[o].astype("<u1").tobytes(),
+                    (int(part[o[0]]), g[o].astype("<i8").tobytes(), salt[o].astype("<u4").tobytes(), hot[o].astype("<u2").tobytes(),
+                     ids[o].astype("<i8").tobytes(), at[o].astype("<u4").tobytes(), size[o].astype("<u2").tobytes(),
                      pack(b"".join([body[i] for i in o.tolist()])))
                 )
             held.clear()
@@ -253,7 +290,7 @@ def _contexts(width: int, parts: int):
             for i, z, lists in zip(f["_id"], f["_z"], f["runs"]):
                 t = plain(z)
                 for x in lists:
-                    at, n = np.frombuffer(x["at"], "<u4").tolist(), np.frombuffer(x["n"], "<u1").tolist()
+                    at, n = np.frombuffer(x["at"], "<u4").tolist(), np.frombuffer(x["n"], "<u2").tolist()
                     h, salts = np.frombuffer(x["h"], "<i8").tolist(), np.frombuffer(x["salts"], "<u4").tolist()
                     for a, k, g, s in zip(at, n, h, salts):
                         salt = zlib.crc32(b"%d %d" % (i, a)) % s if s > 1 else 0
@@ -358,9 +395,9 @@ def _mark_packed(width: int):
         body: list[bytes] = []
         for b in blocks:
             text = plain(b[7])
-            end = np.cumsum(np.frombuffer(b[6], "<u1").astype(np.int64)).tolist()
+            end = np.cumsum(np.frombuffer(b[6], "<u2").astype(np.int64)).tolist()
             body += [text[x:y] for x, y in zip([0, *end], end)]
-        yield from mark(field(1, "<i8"), field(2, "<u4").astype(np.int64), field(3, "<u1").astype(bool), field(4, "<i8"), field(5, "<u4").astype(np.int64), body, width)
+        yield from mark(field(1, "<i8"), field(2, "<u4").astype(np.int64), field(3, "<u2").astype(bool), field(4, "<i8"), field(5, "<u4").astype(np.int64), body, width)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks: list[tuple] = []
@@ -438,6 +475,8 @@ CUT_DDL = "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sh
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans [[start, end), ...]): a row for each row of docs."""
+    if not 8 <= width <= 30_000:
+        raise ValueError("width must be from 8 to 30000 bytes")
     spark = bounded_batches(docs).sparkSession
     rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_t"))
     n, known, size = rows.agg(F.count(F.lit(1)), F.count_distinct("_key"), F.sum(F.octet_length("_t"))).first()
@@ -445,7 +484,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     if plain:
         rows = rows.withColumn("_id", F.col("_key").cast("bigint"))
     else:  # keys repeat or are missing: number the rows in key order
-        order = [F.col("_key").asc_nulls_last(), F.col("_t")]
+        # the range partitioner samples these columns on the driver: the digest, not the text
+        order = [F.col("_key").asc_nulls_last(), F.sha2(F.encode("_t", "UTF-8"), 256)]
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         rows = written(rows.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     parts = max(1, -(-int(size or 0) // (27 * ANCHORS_PER_PART)))
@@ -458,10 +498,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
         for texts in batches:
             yield pd.Series([pack(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
 
-    sampled = rows.select("_id", "_t").mapInPandas(
-        _sample(width, parts), "part bigint, names binary, doc binary, at binary, n binary, h binary"
-    )
-    sampled = sampled.repartition(parts, "part").sortWithinPartitions("part")
+    sampled = rows.select("_id", "_t").mapInPandas(_sample(width, parts), SAMPLE_DDL)
+    if parts > ONE_LEVEL:  # rows of so many parts would hold an anchor or two each: deal out by coarse parts first
+        coarse = math.isqrt(parts)
+        parts = coarse * -(-parts // coarse)
+        sampled = rows.select("_id", "_t").mapInPandas(_sample(width, coarse), SAMPLE_DDL).repartition(min(coarse, MOST_TASKS), "part").mapInPandas(_deal_again(parts), SAMPLE_DDL)
+    sampled = sampled.repartition(min(parts, MOST_TASKS), "part").sortWithinPartitions("part")
     again = sampled.mapInPandas(_repeated(HOT), "_id bigint, at binary, n binary, h binary, salts binary")
     again = written(again, "repeated-anchors")
     release(spark)
@@ -469,7 +511,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     found = again.agg(F.sum(F.octet_length("n"))).first()[0] or 0
     parts = max(1, -(-int(found) // RUNS_PER_PART))
     contexts = rows.select("_id", packed("_t").alias("_z")).join(todo, "_id").mapInPandas(_contexts(width, parts), CONTEXT_DDL)
-    contexts = contexts.repartition(parts, "part").sortWithinPartitions("part")
+    contexts = contexts.repartition(min(parts, MOST_TASKS), "part").sortWithinPartitions("part")
     marked = written(contexts.mapInPandas(_mark_packed(width), MARK_DDL), "marked")
     release(spark)
     # what hot anchors left over: single windows, dealt out by their bytes

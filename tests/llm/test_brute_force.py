@@ -183,6 +183,16 @@ def test_substring_dedup(small, monkeypatch, hot):
     assert sum(x[1] for x in want.values()) > 0
 
 
+@pytest.mark.parametrize("width", [20, 200])
+def test_other_widths_and_two_levels(small, monkeypatch, width):
+    monkeypatch.setattr(substring_dedup, "ONE_LEVEL", 0)
+    monkeypatch.setattr(substring_dedup, "ANCHORS_PER_PART", 100)
+    want = removed(sorted((r["doc_id"], r["text"]) for r in small.collect()), width)
+    assert {r[0]: tuple(r)[1:] for r in substring_dedup.report(small, width=width).collect()} == want
+    with pytest.raises(ValueError):
+        substring_dedup.report(small, width=4)
+
+
 def test_periodic_and_accented_texts(spark):
     texts = ["a" * 350, "ab" * 200, "é" * 120, "a" * 99, "x" * 100, "x" * 100, "é" * 120 + "!", "y" * 40 + "a" * 120]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
