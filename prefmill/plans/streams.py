@@ -2,29 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefmill.plans.registry import query, table
+from prefmill.sources.shared import folder
 from prefmill.streaming import resume
 
 
-def _folder(spark: SparkSession) -> str:
-    """A fresh folder below spark.checkpoint.dir; on one machine without that setting, a temporary one."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="prefmill-")
-    return f"{top}/stream-{uuid.uuid4().hex}"
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
 
 
 def _drained(stream: DataFrame) -> DataFrame:
-    spark, top = stream.sparkSession, _folder(stream.sparkSession)
+    spark, top = stream.sparkSession, folder(stream.sparkSession, "stream")
     resume.write_new(stream, f"{top}/rows", f"{top}/state").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{top}/rows")
 
