@@ -18,9 +18,13 @@ Training: one pass counts words; another counts (history, class) and (history, w
 cells over all training texts, summed by blocks of histories. Distributed gradient
 updates follow: in each round every block computes the gradient and the curvature of
 its histories' penalised likelihood, updates the weights that only it uses and returns
-those of shared weights, which the driver sums. The model's size is fixed: 256 x 256
+those of shared weights, which the driver sums. This part of the model has a fixed size: 256 x 256
 histories, 128 classes, 2048 words in bands, KNOWN words with counts.
 
+A word of the bands and of the classes of other frequent words has a weight for each previous word it
+follows in training, trained and kept by hashed blocks (``context_weights``); their number grows with
+the distinct pairs of the corpus, and the distributions above are their starting shares.
+
 Scoring reads each whole text once, in numpy batches; class distributions are computed
 for the histories that occur. Words outside KNOWN meet their counts in a join.
 
@@ -42,7 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefmill.llm.common import bounded_batches, text_or_empty, written
+from prefmill.llm import context_weights as context
+from prefmill.llm.common import bounded_batches, release, text_or_empty, written
 from prefmill.llm.quality import held_out
 
 FOLDS = 10
@@ -71,6 +76,13 @@ def suffix_hash(word: bytes) -> int:
     return xxh64_intdigest(word[-3:], 42)
 
 
+def whole_hash(word: bytes) -> int:
+    """The hash that a word goes by as the previous one in context weights."""
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(word, 42)
+
+
 class Index(dict):
     """Word to number; -1 for others. Lookups of known words stay in C."""
 
@@ -112,6 +124,12 @@ class Vocabulary:
             self.within[:n] = np.where(ids < HEAD, 0.0, np.log10(smooth) - np.log10(self.mass[cls]))
         self.base = np.log10((np.r_[self.counts, self.ends] + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
         self.suffix: dict[bytes, int] = {}
+        self.whole = np.array([whole_hash(w) for w in self.words] + [0], dtype=np.uint64)  # the end: 0
+        order = np.lexsort((ids, cls))
+        self.rank = np.empty(n, np.int64)
+        self.rank[order] = ids
+        self.rank_class = np.zeros(1 << context.RANK_BITS, np.uint8)
+        self.rank_class[:n] = cls[order]
         return self
 
     def hashed(self, word: bytes) -> int:
@@ -125,7 +143,7 @@ class Vocabulary:
 
 
 def sequences(texts: list[bytes], v: Vocabulary) -> Iterator[tuple]:
-    """Slices of about SLICE bytes: (first document, n of each document, ids, history, class, positions and words outside v)."""
+    """Slices of about SLICE bytes: (first document, n of each document, ids, history, class, positions and words outside v, hash of the previous word)."""
     at = 0
     while at < len(texts):
         docs, size, first = [], 0, at
@@ -146,7 +164,16 @@ def sequences(texts: list[bytes], v: Vocabulary) -> Iterator[tuple]:
         one = np.r_[0, bucket[:-1]]
         two = np.r_[0, 0, bucket[:-2]] if len(bucket) > 1 else np.zeros(len(bucket), np.int64)
         two[end[:-1] + 1] = 0  # nothing of the text before
-        yield first, lens, ids, one * BUCKETS + two, cls, out, words
+        whole = v.whole[ids]
+        whole[out] = np.fromiter(map(whole_hash, words), np.uint64, len(words))
+        yield first, lens, ids, one * BUCKETS + two, cls, out, words, np.r_[v.whole[-1:], whole[:-1]]
+
+
+def context_keys(v: Vocabulary, bits: int, ids: np.ndarray, history: np.ndarray, previous: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of vocabulary words, their keys of context weights)."""
+    at = np.flatnonzero((ids >= 0) & (ids < len(v.words)))
+    high = previous[at] >> np.uint64(64 - bits) << np.uint64(context.LOW_BITS)
+    return at, high | (history[at] // BUCKETS << context.RANK_BITS | v.rank[ids[at]]).astype(np.uint64)
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,11 +237,17 @@ def pack_cells(cells: np.ndarray) -> tuple[bytes, bytes]:
     return pack(gaps.tobytes()), pack(cells[at].astype("<i8").tobytes())
 
 
-def _cells(v: Vocabulary):
-    """Training texts -> packed counts of (history, class) and (previous bucket, band word) cells by block."""
+CELLS, CONTEXT = 0, 1
+COUNTED = "kind int, " + context.COUNTED
+
+
+def _cells(v: Vocabulary, bits: int, parts: int):
+    """Training texts -> packed counts: cells of (history, class) and (previous bucket, band word) by block, context keys by part."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v.prepare()
+        names = ["kind", "part", "tokens", "keys", "counts"]
+        contexts = context.Counting(v.rank_class, parts)
         n = len(v.words)
         wide = BUCKETS * BUCKETS * CLASSES
         cells = np.zeros(wide + BUCKETS * HEAD, np.uint32)
@@ -225,10 +258,13 @@ def _cells(v: Vocabulary):
             cells[:] += np.bincount(np.concatenate(waiting), minlength=len(cells)).astype(np.uint32)
 
         for f in frames:
-            for _, _, ids, history, cls, _, _ in sequences([t.encode("utf-8", "surrogatepass") for t in f["t"]], v):
+            for _, _, ids, history, cls, _, _, previous in sequences([t.encode("utf-8", "surrogatepass") for t in f["t"]], v):
                 waiting.append((history * CLASSES + cls).astype(np.int32))
                 band = (ids >= 0) & (ids < min(HEAD, n))
                 waiting.append((wide + history[band] // BUCKETS * HEAD + ids[band]).astype(np.int32))
+                found = list(contexts.add(context_keys(v, bits, ids, history, previous)[1]))
+                if found:
+                    yield pd.DataFrame([(CONTEXT, *x) for x in found], columns=names)
                 rows += len(ids)
                 if rows >= 2 << 20:
                     add()
@@ -240,8 +276,9 @@ def _cells(v: Vocabulary):
         for b in range(BLOCKS):
             part = np.concatenate([cells[b * per : (b + 1) * per], cells[wide + b * head : wide + (b + 1) * head]])
             if part.any():
-                out.append((b, *pack_cells(part)))
-        yield pd.DataFrame(out, columns=["block", "gaps", "counts"])
+                out.append((CELLS, b, 0, *pack_cells(part)))
+        out += [(CONTEXT, *x) for x in contexts.flush()]
+        yield pd.DataFrame(out, columns=names)
 
     return run
 
@@ -399,36 +436,68 @@ class Model:
     vocabulary: Vocabulary
     weights: Weights
     likelihoods: list[float]
+    bits: int  # of a previous word's hash in context keys
+    parts: int
 
 
-def fit(train_docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
-    """The model, and all word counts of train_docs (written to the shared folder)."""
+class Shares:
+    """What the parts of the context weights start from: each word's share within its class, by rank and previous bucket."""
+
+    def __init__(self, model: Model) -> None:
+        v = model.vocabulary.prepare()
+        n = len(v.words)
+        self.rank_class = v.rank_class
+        self.within = np.zeros(n)
+        self.within[v.rank] = 10.0 ** v.within[:n]
+        self.band = band_shares(model.weights)  # band words have their numbers as ranks
+        v.index.clear()
+
+    def share(self, keys: np.ndarray) -> np.ndarray:
+        low = keys.astype(np.int64) & ((1 << context.LOW_BITS) - 1)
+        rank, bucket = low & ((1 << context.RANK_BITS) - 1), low >> context.RANK_BITS
+        u = self.within[rank]
+        band = rank < HEAD
+        u[band] = 10.0 ** self.band[bucket[band], rank[band]]
+        return u
+
+
+def band_shares(w: Weights) -> np.ndarray:
+    """log10 of each band word's share within its band, by previous bucket."""
+    bands = (w.band_bias + w.band).reshape(BUCKETS, BANDS, BAND)
+    return (log_softmax(bands) / math.log(10)).reshape(BUCKETS, HEAD)
+
+
+def fit(train_docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFrame]:
+    """The model, all word counts of train_docs and the counts of its context keys (both written to the shared folder)."""
     counts = written(word_counts(train_docs, text), "word-counts")
     v = vocabulary(counts, train_docs.count())
     v.prepare()
     sent = Vocabulary(v.words, v.counts, v.total, v.distinct, v.ends, v.rare_mass, v.unseen)
     shared = train_docs.sparkSession.sparkContext.broadcast(sent)
+    bits, parts = context.context_bits(v.distinct), context.part_count(v.total)
+    release(train_docs.sparkSession)
 
     def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _cells(shared.value)(frames)
+        yield from _cells(shared.value, bits, parts)(frames)
 
-    packed = train_docs.select(text_or_empty(text).alias("t")).mapInPandas(cells, "block int, gaps binary, counts binary")
+    found = written(train_docs.select(text_or_empty(text).alias("t")).mapInPandas(cells, COUNTED), "counted")
+    packed = found.where(F.col("kind") == CELLS).select(F.col("part").alias("block"), F.col("keys").alias("gaps"), "counts")
     blocks = sum_blocks(packed, v.total)
     weights, likelihoods = train(written(blocks, "cells").coalesce(8), v)
     v.index.clear()
-    return Model(sent, weights, likelihoods), counts
+    return Model(sent, weights, likelihoods, bits, parts), counts, found.where(F.col("kind") == CONTEXT).drop("kind")
 
 
 class Scorer:
     """Scores batches of texts; class distributions are kept for the histories met so far."""
 
     def __init__(self, model: Model) -> None:
-        self.v, self.w = model.vocabulary.prepare(), model.weights
+        self.model, self.v, self.w = model, model.vocabulary.prepare(), model.weights
         self.done = np.zeros(BUCKETS * BUCKETS, bool)
         self.table = np.zeros((BUCKETS * BUCKETS, CLASSES), np.float32)
         self.unseen = np.zeros(BUCKETS * BUCKETS)  # log10 of the probability of an unseen word
-        bands = (self.w.band_bias + self.w.band).reshape(BUCKETS, BANDS, BAND)
-        self.band = (log_softmax(bands) / math.log(10)).reshape(BUCKETS, HEAD)
+        self.band = band_shares(self.w)
+        self.bits = model.bits
         # unseen words exist only where something is rare; else that mass stays with the rare classes
         self.seen_share = math.log10(1 - self.v.unseen)
 
@@ -443,9 +512,9 @@ class Scorer:
         self.done[new] = True
 
     def __call__(self, texts: list[bytes]) -> Iterator[tuple]:
-        """(tokens, known, base, score) of each text without its words outside the vocabulary, and those: (text, word, class, times, if seen, if unseen)."""
+        """(tokens, known, base, score) of each text without its words outside the vocabulary, and those: (text, word, class, times, if seen, if unseen); the keys of context weights and their texts."""
         v, n = self.v, len(self.v.words)
-        for first, lens, ids, history, cls, out, words in sequences(texts, v):
+        for first, lens, ids, history, cls, out, words, previous in sequences(texts, v):
             self.histories(history)
             of = np.repeat(np.arange(len(lens)), lens)
             lp = self.table[history, cls].astype(float) + v.within[ids]
@@ -466,13 +535,26 @@ class Scorer:
                     x[1] += 1
                     x[2] += a
                     x[3] += b
-            yield first, lens, add(known).astype(np.int64), add(base), add(lp), held
+            at, keys = context_keys(v, self.bits, ids, history, previous)
+            yield first, lens, add(known).astype(np.int64), add(base), add(lp), held, keys, first + of[at]
 
 
 RARE_TYPE = pa.struct([("w", pa.binary()), ("c", pa.int32()), ("m", pa.int64()), ("seen", pa.float64()), ("unseen", pa.float64())])
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
+ASKED_TYPE = pa.struct([("part", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
+
+
+def asked(keys: list[np.ndarray], docs: list[np.ndarray], model: Model) -> Iterator[tuple[int, bytes, bytes]]:
+    """Keys and the distance of their documents from the batch's last row, sorted and packed for each part."""
+    k, d = np.concatenate(keys), np.concatenate(docs).astype("<u2")
+    order = np.argsort(k)
+    k, d = k[order], d[order]
+    for part, at in context.split(k, model.vocabulary.rank_class, model.parts):
+        yield (part, *context.pack(k[at], d[at]))
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, contexts: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of docs."""
     v = model.vocabulary
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -484,7 +566,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
             tokens, known, base, total = [], [], [], []
             fields: list[list] = [[], [], [], [], []]
             offsets = [0]
-            for _, lens, k, b, s, held in scorer(texts):
+            keys, of, parts = [], [], []
+            last = len(texts) - 1
+            for _, lens, k, b, s, held, ck, cd in scorer(texts):
+                keys.append(ck)
+                of.append(last - cd)
+                if sum(map(len, keys)) >= context.FLUSH_KEYS:
+                    parts += asked(keys, of, scorer.model)
+                    keys, of = [], []
                 tokens += lens.tolist()
                 known += k.tolist()
                 base += b.tolist()
@@ -497,20 +586,30 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
                 offsets += (offsets[-1] + np.cumsum(times)).tolist()
             rare = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(fields, RARE_TYPE)], fields=list(RARE_TYPE))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)
+            if keys:
+                parts += asked(keys, of, scorer.model)
+            packed = pa.StructArray.from_arrays([pa.array([x[i] for x in parts], f.type) for i, f in enumerate(ASKED_TYPE)], fields=list(ASKED_TYPE))
+            # the batch's last row carries the keys of all its rows
+            carried = pa.ListArray.from_arrays(pa.array([0] * len(texts) + [len(parts)], pa.int32()), packed)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("k"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(total, pa.float64()), lists],
-                ["k", "held_out", "n_tokens", "n_known", "base", "total", "rare"],
+                 pa.array(base, pa.float64()), pa.array(total, pa.float64()), lists, carried],
+                ["k", "held_out", "n_tokens", "n_known", "base", "total", "rare", "asked"],
             )
 
     kind = dict(docs.dtypes)[key]
     ddl = (
         f"k {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, total double, "
-        "rare array<struct<w binary, c int, m bigint, seen double, unseen double>>"
+        "rare array<struct<w binary, c int, m bigint, seen double, unseen double>>, asked array<struct<part int, keys binary, docs binary>>"
     )
     rows = docs.select(F.col(key).alias("k"), held_out(key, folds).alias("held_out"), text_or_empty(text).alias("t"))
     # the row numbers are fixed by writing them
     scored = written(rows.mapInArrow(run, ddl).withColumn("row", F.monotonically_increasing_id()), "scored")
+    release(docs.sparkSession)
+    shares = docs.sparkSession.sparkContext.broadcast(Shares(model))
+    questions = scored.where(F.size("asked") > 0).select(F.col("row").alias("carrier"), F.explode("asked").alias("a")).select("carrier", "a.*")
+    adds = written(context.answers(contexts, questions, model.parts, shares), "context-scores")
+    release(docs.sparkSession)
     mass = F.array(*[F.lit(float(x)) for x in np.maximum(v.rare_mass, 0.1)])
     zero = F.log10(F.lit(0.1) / F.lit(v.total + 0.1 * (v.distinct + 1)))
     n = F.col("n") + 0.1
@@ -526,18 +625,18 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
         .groupBy("row").agg(F.sum("known").alias("known"), F.sum("base2").alias("base2"), F.sum("total2").alias("total2"))
     )
     none = F.lit(0.0)
-    both = scored.drop("rare").join(rare, "row", "left")
+    both = scored.drop("rare", "asked").join(rare, "row", "left").join(adds, "row", "left")
     some = F.lit(v.total > 0)
     return both.select(
         F.col("k").alias(key), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("bigint").alias("n_known"), F.lit(v.total).cast("bigint").alias("train_tokens"),
         F.when(some, F.col("base") + F.coalesce("base2", none)).otherwise(none).alias("base_score"),
-        F.when(some, F.col("total") + F.coalesce("total2", none)).otherwise(none).alias("score"),
+        F.when(some, F.col("total") + F.coalesce("total2", none) + F.coalesce("adds", none)).otherwise(none).alias("score"),
     )
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
     """Learn from the rows that are not held out, score all."""
     bounded_batches(docs)
-    model, counts = fit(docs.where(~held_out(key, folds)), text)
-    return score(docs, model, counts, key, text, folds)
+    model, counts, contexts = fit(docs.where(~held_out(key, folds)), text)
+    return score(docs, model, counts, contexts, key, text, folds)

@@ -279,7 +279,7 @@ def test_lm_base_and_normalisation(small):
 
 def test_lm_sums_to_one_and_learns(small):
     train = small.where(~maxent_lm.held_out("doc_id", 10))
-    model, counts = maxent_lm.fit(train)
+    model, counts, _ = maxent_lm.fit(train)
     every = {bytes(r["w"]): r["n"] for r in counts.collect()}
     assert model.likelihoods == sorted(model.likelihoods) and model.likelihoods[-1] > model.likelihoods[0]
     scorer = maxent_lm.Scorer(model)
@@ -301,6 +301,50 @@ def test_lm_sums_to_one_and_learns(small):
         assert 0.9 < total <= 1 + 1e-6
 
 
+def test_lm_context_weights(small):
+    """Part by part against dictionaries: groups sum to 1, more met pairs with more text, answers equal what the weights say."""
+    from prefmill.llm import context_weights
+
+    train = small.where(~maxent_lm.held_out("doc_id", 10))
+    model, _, contexts = maxent_lm.fit(train)
+    v = model.vocabulary.prepare()
+    texts = [(r["text"] or "").encode() for r in train.collect()]
+    every: Counter[int] = Counter()
+    met: Counter[tuple] = Counter()
+    for t in texts:
+        ws = t.lower().split()
+        met.update((a, b) for a, b in zip([None, *ws], ws) if v.index[b] >= 0)
+        for _, _, ids, history, _, _, _, previous in maxent_lm.sequences([t], v):
+            every.update(maxent_lm.context_keys(v, model.bits, ids, history, previous)[1].tolist())
+    got: Counter[int] = Counter()
+    for r in contexts.collect():
+        for k, c in zip(context_weights.unpack_keys(r["keys"]).tolist(), np.frombuffer(context_weights.unpack(r["counts"]), "<u4").tolist()):
+            got[k] += c
+        assert r["part"] < model.parts
+    assert got == every and sum(got.values()) == sum(met.values()) and len(got) >= 0.95 * len(met)
+    shares = maxent_lm.Shares(model)
+    keys = np.array(sorted(got), np.uint64)
+    part = context_weights.Part(keys, np.array([got[k] for k in keys.tolist()]), shares.share, shares.rank_class)
+    n, rank_bits = len(v.words), context_weights.RANK_BITS
+    for key in keys[:: max(1, len(keys) // 40)].tolist():
+        cls = shares.rank_class[key & ((1 << rank_bits) - 1)]
+        ranks = np.flatnonzero(shares.rank_class[:n] == cls).astype(np.uint64)
+        words = np.uint64(key >> rank_bits << rank_bits) | ranks
+        assert (shares.share(words) * 10.0 ** part(words)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_lm_context_weights_in_many_parts(small, monkeypatch):
+    """Scores do not depend on the number of parts, lots and flushes but by rounding and discounts."""
+    from prefmill.llm import context_weights
+
+    monkeypatch.setattr(context_weights, "MOST_PARTS", 1)
+    one = {r["doc_id"]: r["score"] for r in maxent_lm.report(small).collect()}
+    monkeypatch.setattr(context_weights, "MOST_PARTS", 7)
+    monkeypatch.setattr(context_weights, "PART_TOKENS", 100)
+    many = {r["doc_id"]: r["score"] for r in maxent_lm.report(small).collect()}
+    assert all(many[k] == pytest.approx(one[k], rel=0.05) for k in one)
+
+
 # -- quality -----------------------------------------------------------------
 
 
