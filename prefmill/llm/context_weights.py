@@ -33,6 +33,7 @@ LOW_BITS = RANK_BITS + BUCKET_BITS
 PART_TOKENS = 1 << 21
 MOST_PARTS = 1 << 14
 FLUSH_KEYS = 1 << 21
+SLICE_KEYS = 1 << 17
 ROUNDS = 12
 RIDGE = 0.01
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -68,6 +69,19 @@ def pack(keys: np.ndarray, *others: np.ndarray) -> tuple[bytes, ...]:
     return (squeeze(planes.tobytes()), *(squeeze(x.tobytes()) for x in others))
 
 
+def pack_docs(docs: np.ndarray) -> bytes:
+    """Numbers below 65536, low bytes before high ones, compressed."""
+    import zstandard
+
+    planes = np.ascontiguousarray(docs.astype("<u2").view(np.uint8).reshape(-1, 2).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_docs(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(unpack(data), np.uint8).reshape(2, -1)
+    return np.ascontiguousarray(planes.T).view("<u2").ravel()
+
+
 def unpack(data: bytes) -> bytes:
     import zstandard
 
@@ -124,23 +138,24 @@ class Counting:
 COUNTED = "part int, tokens bigint, keys binary, counts binary"
 
 
-def train(share: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of a part's keys and log Z of its groups.
+def discount(counts: np.ndarray) -> float:
+    """What is taken off each count, by the counts of one and two."""
+    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+    return once / (once + 2 * twice) if once else 0.0
+
+
+def train(share: np.ndarray, counts: np.ndarray, start: np.ndarray, off: float, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of whole groups' keys and log Z of the groups.
 
     share: u of each key; start: the first key of each group. Each round updates all weights by gradient over curvature.
     """
-    if not len(counts):
-        return np.zeros(0), np.zeros(0)
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-    left = once / (once + 2 * twice) if once else 0.0
     size = np.diff(np.r_[start, len(counts)])
     total = np.repeat(np.add.reduceat(counts, start), size).astype(float)
-    target = counts - left
+    target = counts - off
     t = np.zeros(len(counts))
 
     def log_z() -> np.ndarray:
-        # at least the mass of the met words themselves, whatever rounding does to 1 - sum(u)
-        rest = np.maximum(1.0 - np.add.reduceat(share, start), 0.0)
+        rest = np.maximum(1.0 - np.add.reduceat(share, start), 0.0)  # rounding may leave a little less than nothing
         return np.log(rest + np.add.reduceat(share * np.exp(t), start))
 
     for _ in range(rounds):
@@ -160,8 +175,16 @@ class Part:
         groups = groups_of(keys, rank_class)
         start = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(keys) else np.zeros(0, np.int64)
         self.groups = groups[start]
-        t, z = train(share(keys), counts, start)
-        self.t, self.z = t.astype(np.float32), z.astype(np.float32)
+        del groups
+        off = discount(counts)
+        self.t, self.z = np.zeros(len(keys), np.float32), np.zeros(len(start), np.float32)
+        # groups share nothing, so they are trained a slice at a time; a group is no larger than its class
+        end, g = np.r_[start, len(keys)], 0
+        while g < len(start):
+            h = max(g + 1, int(np.searchsorted(end, end[g] + SLICE_KEYS, "right")) - 1)
+            at = slice(end[g], end[h])
+            self.t[at], self.z[g:h] = train(share(keys[at]), counts[at], start[g:h] - end[g], off)
+            g = h
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """What each key adds to the log10 probability of its word within its class."""
@@ -225,7 +248,7 @@ def answers(counted: DataFrame, asked: DataFrame, parts: int, shared) -> DataFra
                 if part is None:
                     part = Part(*merge(keys, counts), shared.value.share, classes)
                     keys, counts = [], []
-                docs = np.frombuffer(unpack(x), "<u2")
+                docs = unpack_docs(x)
                 adds = np.bincount(docs, weights=part(ks))
                 some = np.flatnonzero(adds)
                 if len(some):

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefmill.llm import context_weights as context
-from prefmill.llm.common import bounded_batches, release, text_or_empty, written
+from prefmill.llm.common import bounded_batches, release, remove, text_or_empty, written
 from prefmill.llm.quality import held_out
 
 FOLDS = 10
@@ -551,11 +551,14 @@ def asked(keys: list[np.ndarray], docs: list[np.ndarray], model: Model) -> Itera
     order = np.argsort(k)
     k, d = k[order], d[order]
     for part, at in context.split(k, model.vocabulary.rank_class, model.parts):
-        yield (part, *context.pack(k[at], d[at]))
+        yield (part, *context.pack(k[at]), context.pack_docs(d[at]))
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, contexts: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
-    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of docs."""
+    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of docs.
+
+    The table behind ``contexts`` is deleted once its weights have scored all rows.
+    """
     v = model.vocabulary
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -609,6 +612,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, contexts: DataFrame,
     shares = docs.sparkSession.sparkContext.broadcast(Shares(model))
     questions = scored.where(F.size("asked") > 0).select(F.col("row").alias("carrier"), F.explode("asked").alias("a")).select("carrier", "a.*")
     adds = written(context.answers(contexts, questions, model.parts, shares), "context-scores")
+    remove(contexts)  # nothing reads the counts again
     release(docs.sparkSession)
     mass = F.array(*[F.lit(float(x)) for x in np.maximum(v.rare_mass, 0.1)])
     zero = F.log10(F.lit(0.1) / F.lit(v.total + 0.1 * (v.distinct + 1)))
