@@ -95,9 +95,12 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 def split(keys: np.ndarray, rank_class: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """(part, positions in the sorted keys, in order) for each part that has some."""
-    part = parts_of(groups_of(keys, rank_class), parts)
-    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-    edges = np.flatnonzero(np.diff(part[order], prepend=-1))
+    part = np.empty(len(keys), np.uint16)  # MOST_PARTS at most
+    for i in range(0, len(keys), SLICE_KEYS):
+        part[i : i + SLICE_KEYS] = parts_of(groups_of(keys[i : i + SLICE_KEYS], rank_class), parts)
+    order = np.argsort(part, kind="stable")
+    dealt = part[order]
+    edges = np.flatnonzero(np.r_[True, dealt[1:] != dealt[:-1]]) if len(keys) else order
     for a, b in zip(edges, np.r_[edges[1:], len(order)]):
         yield int(part[order[a]]), order[a:b]
 
@@ -130,9 +133,13 @@ class Counting:
     def flush(self) -> Iterator[tuple]:
         keys = np.concatenate(self.waiting) if self.waiting else np.zeros(0, np.uint64)
         self.waiting, self.size = [], 0
-        keys, counts = np.unique(keys, return_counts=True)
+        keys.sort()
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        counts = np.diff(first, append=len(keys)).astype("<u4")
+        keys = keys[first]
+        del first
         for part, at in split(keys, self.rank_class, self.parts):
-            yield (part, int(counts[at].sum()), *pack(keys[at], counts[at].astype("<u4")))
+            yield (part, int(counts[at].sum()), *pack(keys[at], counts[at]))
 
 
 COUNTED = "part int, tokens bigint, keys binary, counts binary"

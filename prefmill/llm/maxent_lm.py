@@ -251,26 +251,15 @@ def _cells(v: Vocabulary, bits: int, parts: int):
         n = len(v.words)
         wide = BUCKETS * BUCKETS * CLASSES
         cells = np.zeros(wide + BUCKETS * HEAD, np.uint32)
-        waiting: list[np.ndarray] = []
-        rows = 0
-
-        def add() -> None:
-            cells[:] += np.bincount(np.concatenate(waiting), minlength=len(cells)).astype(np.uint32)
-
+        one = cells.dtype.type(1)
         for f in frames:
             for _, _, ids, history, cls, _, _, previous in sequences([t.encode("utf-8", "surrogatepass") for t in f["t"]], v):
-                waiting.append((history * CLASSES + cls).astype(np.int32))
+                np.add.at(cells, history * CLASSES + cls, one)
                 band = (ids >= 0) & (ids < min(HEAD, n))
-                waiting.append((wide + history[band] // BUCKETS * HEAD + ids[band]).astype(np.int32))
-                found = list(contexts.add(context_keys(v, bits, ids, history, previous)[1]))
+                np.add.at(cells, wide + history[band] // BUCKETS * HEAD + ids[band], one)
+                found = [(CONTEXT, *x) for x in contexts.add(context_keys(v, bits, ids, history, previous)[1])]
                 if found:
-                    yield pd.DataFrame([(CONTEXT, *x) for x in found], columns=names)
-                rows += len(ids)
-                if rows >= 2 << 20:
-                    add()
-                    waiting, rows = [], 0
-        if waiting:
-            add()
+                    yield pd.DataFrame(found, columns=names)
         per, head = wide // BLOCKS, BUCKETS * HEAD // BLOCKS
         out = []
         for b in range(BLOCKS):
