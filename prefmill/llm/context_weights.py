@@ -12,7 +12,8 @@ hash; the number of parts grows with the tokens. A part's counts are trained whe
 updates over all its groups at once: every update moves each weight by the gradient of its group's penalised
 likelihood over its curvature. The counts are discounted by the share that counts of one and two
 give, which leaves the words not met after a previous word their mass. Parts whose tokens exceed
-``PART_TOKENS`` are worked by several tasks, each for a share of the texts.
+``PART_TOKENS`` are worked by several tasks, each for a share of the texts. The parts are worked in
+SWEEPS steps, each with its own shuffle, which is freed before the next: a third of the keys lies on disk twice.
 
 Keys travel sorted, as zstandard-compressed gaps. Nothing of this reaches the driver but one number for each part.
 Without keys there is nothing to add; very long texts come in slices, and a slice's keys are dealt as any other's.
@@ -28,12 +29,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prefmill.llm.common import release, written
+
 RANK_BITS, BUCKET_BITS = 17, 8
 LOW_BITS = RANK_BITS + BUCKET_BITS
 PART_TOKENS = 1 << 21
 MOST_PARTS = 1 << 14
 FLUSH_KEYS = 1 << 21
 SLICE_KEYS = 1 << 17
+SWEEPS = 3
 ROUNDS = 12
 RIDGE = 0.01
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -229,8 +233,8 @@ def answers(counted: DataFrame, asked: DataFrame, parts: int, shared) -> DataFra
     left = counted.withColumn("lot", F.explode(F.sequence(zero, lot_count() - 1)))
     left = left.select("part", "lot", own.alias("carrier"), "keys", F.col("counts").alias("x"))
     right = asked.select("part", F.pmod(F.xxhash64("carrier"), lot_count()).alias("lot"), "carrier", "keys", F.col("docs").alias("x"))
-    tasks = max(8, parts + sum(lots.values()))
-    both = left.unionByName(right).repartition(tasks, "part", "lot").sortWithinPartitions("part", "lot", "carrier")
+    both = left.unionByName(right)
+    tasks = max(8, -(-(parts + sum(lots.values())) // SWEEPS))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -281,5 +285,11 @@ def answers(counted: DataFrame, asked: DataFrame, parts: int, shared) -> DataFra
         if at is not None:
             yield done()
 
-    answered = both.mapInPandas(run, ANSWER)
+    answered = None
+    for sweep in range(SWEEPS):
+        own_parts = both.where(F.pmod("part", F.lit(SWEEPS)) == sweep)
+        found = own_parts.repartition(tasks, "part", "lot").sortWithinPartitions("part", "lot", "carrier").mapInPandas(run, ANSWER)
+        found = written(found, "context-answers")
+        release(counted.sparkSession)
+        answered = found if answered is None else answered.unionByName(found)
     return answered.repartition("carrier").sortWithinPartitions("carrier", "docs", "adds").mapInPandas(total, "row bigint, adds double")
