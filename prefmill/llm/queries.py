@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from prefmill.llm import (
     decontaminate,
     doc_fingerprints,
+    fill_in_middle,
     licenses,
     maxent_lm,
     mixing,
@@ -64,6 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_table(token_counts.histogram(token_counts.token_lengths(documents(spark, sf_dir))))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,7 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_decontamination,
         op10_token_counts,
+        op11_fill_in_middle,
     )
 }
 
-ORACLES: dict[str, str] = {"op7_license_scans": licenses.oracle_sql()}
+ORACLES: dict[str, str] = {"op7_license_scans": licenses.oracle_sql(), "op11_fill_in_middle": fill_in_middle.oracle_sql()}
