@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prefmill.llm import (
     decontaminate,
+    divergence,
     doc_fingerprints,
     fill_in_middle,
     licenses,
@@ -69,6 +70,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.report(documents(spark, sf_dir))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,7 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_token_counts,
         op11_fill_in_middle,
+        op12_source_divergence,
     )
 }
 
-ORACLES: dict[str, str] = {"op7_license_scans": licenses.oracle_sql(), "op11_fill_in_middle": fill_in_middle.oracle_sql()}
+ORACLES: dict[str, str] = {
+    "op7_license_scans": licenses.oracle_sql(),
+    "op11_fill_in_middle": fill_in_middle.oracle_sql(),
+    "op12_source_divergence": divergence.oracle_sql(),
+}
