@@ -14,6 +14,7 @@ from prefmill.llm import (
     divergence,
     doc_fingerprints,
     fill_in_middle,
+    jaccard_join,
     licenses,
     maxent_lm,
     mixing,
@@ -74,6 +75,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_fill_in_middle,
         op12_source_divergence,
+        op13_jaccard_join,
     )
 }
 
