@@ -20,8 +20,9 @@ Two ways to the buckets that are compared:
   shingles of 5 words). At 0.8 two fingerprints differ in some 10 of 64 bits, too many for
   blocks, so buckets come from BANDS hashes of ROWS smallest shingle hashes each (two texts
   at a coefficient of j share one with probability 1 - (1 - j**ROWS)**BANDS, 0.9996 at 0.8).
-  Within a bucket the same bit-sliced comparison drops what is beyond RADIUS_SIMILAR bits,
-  and what is left is decided by the whole shingle sets (32-bit hashes). First every text
+  Here a fingerprint is the vote of the shingle set, each shingle once, so that it says nothing of how often a
+  passage is repeated. Within a bucket the same bit-sliced comparison drops what is beyond RADIUS_SIMILAR bits (at 0.8
+  some 10 of 64 differ, with a deviation of 3), and what is left is decided by the whole shingle sets (32-bit hashes). First every text
   meets the smallest member of its buckets, then only buckets that still hold several
   groups are compared in full, a bucket over ``MOST`` rows as pairs of chunks.
 
@@ -52,7 +53,7 @@ SHINGLE = 4
 RADIUS = 4
 SIMILAR_SHINGLE = 5
 LEAST = 0.8
-RADIUS_SIMILAR = 22
+RADIUS_SIMILAR = 28
 BANDS, ROWS = 20, 5
 MOST = 512
 
@@ -353,7 +354,7 @@ def _similar(docs: DataFrame, key: str, text: str, shingle: int, least: float, r
             for t in batch:
                 parts = list(shingle_hashes(t, shingle))
                 every = np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
-                out.append((xxh3_128_digest(every.tobytes()), np.uint64(vote(parts)).astype(np.int64), band_keys(parts)))
+                out.append((xxh3_128_digest(every.tobytes()), np.uint64(vote([every])).astype(np.int64), band_keys(parts)))
             yield pd.DataFrame(out, columns=["g", "fp", "keys"])
 
     @F.pandas_udf("binary")
