@@ -4,7 +4,7 @@ Weights run down the tree: a node's share of its parent's budget is its weight o
 weights of its siblings that have data. A node cannot give more than ``epochs`` times
 the tokens it holds; what it falls short of goes to its siblings by weight, and only
 when a whole family is short does the rest reach the family's own siblings, one level up
-at a time. Budgets are whole tokens and sum to the target (or to all there is).
+at a time. Budgets are whole tokens and sum to the target, or to all that nodes of positive weight hold.
 
 A leaf's budget is then read off seeded epochs: every epoch is the leaf's documents in
 the order of a hash of seed, epoch and key, whole epochs are taken first, and the last
@@ -98,14 +98,21 @@ def fill(budget: int, capacity: Mapping[str, int], weight: Mapping[str, float])
 
 
 def budgets(tokens: Mapping[tuple[str, ...], int], target: int, weights: Mapping[tuple[str, ...], float] = WEIGHTS, epochs: int = EPOCHS) -> dict[tuple[str, ...], int]:
-    """Each leaf's tokens of the target. tokens: what each leaf (a path of equal length) holds."""
+    """Each leaf's tokens of the target. tokens: what each leaf (a path of equal length) holds.
+
+    A node can give what its children of positive weight can, so what weighs nothing is no family's capacity.
+    """
     capacity: dict[tuple[str, ...], int] = {}
     children: dict[tuple[str, ...], set[tuple[str, ...]]] = {}
-    for leaf, n in tokens.items():
-        for d in range(len(leaf) + 1):
-            capacity[leaf[:d]] = capacity.get(leaf[:d], 0) + n * epochs
-            if d:
-                children.setdefault(leaf[: d - 1], set()).add(leaf[:d])
+    level = {leaf: n * epochs for leaf, n in tokens.items()}
+    while level:  # from the leaves up
+        capacity |= level
+        above: dict[tuple[str, ...], int] = {}
+        for node, most in level.items():
+            if node:
+                children.setdefault(node[:-1], set()).add(node)
+                above[node[:-1]] = above.get(node[:-1], 0) + (most if weights.get(node, 1.0) > 0 else 0)
+        level = above
     out: dict[tuple[str, ...], int] = {}
     todo = [((), min(target, capacity.get((), 0)))]
     while todo:
