@@ -7,7 +7,7 @@ budget + 1 pieces of nearly equal length; a passage within the budget holds at l
 one piece unchanged. One Aho-Corasick automaton over all pieces finds every exact piece
 hit in a text; around each, Myers' bit-parallel algorithm computes the smallest edit
 distance of the item to any substring, and the item is reported if that is within its
-budget. An item with fewer than ``least`` normalised characters has no budget: it is one
+budget. The rate holds at every length; an item whose budget is 0 by it (under 13 characters) is one
 piece that must occur as it stands, between word boundaries.
 
 The test items are a stated query set: they are sent to the executors in blocks of
@@ -36,7 +36,6 @@ from pyspark.sql import types as T
 from prefmill.llm.common import bounded_batches, text_or_empty
 
 RATE = 0.08
-LEAST = 20
 BLOCK_BYTES = 2 << 20
 GAP = re.compile(r"[\W_]+")
 
@@ -74,20 +73,20 @@ def myers(masks: dict[str, int], n: int, text: str, budget: int) -> tuple[int, i
 class Matcher:
     """The pieces of a block of items, ready to search."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, least: int = LEAST) -> None:
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE) -> None:
         import ahocorasick
 
         self.items: list[tuple[int, str, int, dict[str, int], int]] = []
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, raw in items:
             text = normalise(raw)
-            # a short item is found as it stands, between word boundaries; without letters and digits it has no piece
-            short = len(text) < least
+            # without a budget an item is found as it stands, between word boundaries; without letters and digits it has no piece
+            short = int(len(text) * rate) == 0
             body = f" {text} " if short else text
             n = len(body)
             if not text:
                 continue
-            budget = 0 if short else int(n * rate)
+            budget = int(len(text) * rate)
             text = body
             masks: dict[str, int] = defaultdict(int)
             for i, c in enumerate(text):
@@ -154,13 +153,13 @@ HITS = T.ArrayType(
 )
 
 
-def hits(spark: SparkSession, items: list[tuple], rate: float = RATE, least: int = LEAST, text: str = "text") -> Column:
+def hits(spark: SparkSession, items: list[tuple], rate: float = RATE, text: str = "text") -> Column:
     """An array of (at: position in items, distance, budget, end) for each text."""
     numbered = spark.sparkContext.broadcast([(k, t) for k, (_, t) in enumerate(items)])
 
     @F.pandas_udf(HITS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(numbered.value, rate, least)
+        matcher = Matcher(numbered.value, rate)
         for texts in batches:
             yield pd.Series(
                 [[dict(zip(("at", "distance", "budget", "end"), h)) for h in matcher(t)] for t in texts], dtype=object
@@ -171,7 +170,7 @@ def hits(spark: SparkSession, items: list[tuple], rate: float = RATE, least: int
 
 def matches(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-    rate: float = RATE, least: int = LEAST, block_bytes: int = BLOCK_BYTES,
+    rate: float = RATE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(key, item, distance, budget, end): each test item that a document holds within its error budget.
 
@@ -182,7 +181,7 @@ def matches(
     out = None
     for items in item_blocks(benchmark, item, item_text, block_bytes):
         names = F.broadcast(spark.createDataFrame([(k, i) for k, (i, _) in enumerate(items)], f"at bigint, item {kind}"))
-        found = docs.select(F.col(key).alias("k"), F.explode(hits(spark, items, rate, least, text)).alias("h"))
+        found = docs.select(F.col(key).alias("k"), F.explode(hits(spark, items, rate, text)).alias("h"))
         found = found.select("k", "h.*").join(names, "at")
         found = found.select(
             F.col("k").alias(key), F.col("item").alias(item), F.col("distance").cast("int"), F.col("budget").cast("int"), "end"
@@ -193,10 +192,10 @@ def matches(
 
 def keep_clean(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    rate: float = RATE, least: int = LEAST, block_bytes: int = BLOCK_BYTES,
+    rate: float = RATE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of docs that hold no test item."""
     bounded_batches(docs)
     for items in item_blocks(benchmark, item, item_text, block_bytes):
-        docs = docs.where(F.size(hits(docs.sparkSession, items, rate, least, text)) == 0)
+        docs = docs.where(F.size(hits(docs.sparkSession, items, rate, text)) == 0)
     return docs

@@ -394,7 +394,7 @@ def best_substring(item, text):
 
 def test_decontamination_finds_all_within_budget(spark):
     r = random.Random(12)
-    items = [" ".join("".join(r.choice("abcdef") for _ in range(r.randrange(2, 7))) for _ in range(18)) for _ in range(6)] + ["too short", ""]
+    items = [" ".join("".join(r.choice("abcdef") for _ in range(r.randrange(2, 7))) for _ in range(18)) for _ in range(6)] + ["too short", "", "of middle length", "thirteen char"]
     docs = []
     for i in range(60):
         text = " ".join("".join(r.choice("abcdef") for _ in range(4)) for _ in range(40))
@@ -406,14 +406,14 @@ def test_decontamination_finds_all_within_budget(spark):
             cut = r.randrange(len(text))
             text = text[:cut] + ", " + "".join(x).upper() + "! " + text[cut:]
         if i % 7 == 0:
-            text = r.choice(["Too-short; " + text, text + " too  SHORT", text + " tootoo short", text + " too shorter", "too short"])
+            text = r.choice([text + " Of midddle-length", text + " thirteen-charr", text + " thirtoen chars", text + " off middle lenth", "Too-short; " + text, text + " too  SHORT", text + " tootoo short", text + " too shorter", "too short"])
         docs.append((i, text))
     norm = lambda s: re.sub(r"[\W_]+", " ", s.lower()).strip()
     want = {}
     for i, t in docs:
         for j, q in enumerate(items):
             n = norm(q)
-            if 0 < len(n) < 20:
+            if 0 < len(n) < 13:  # no budget by the rate
                 if f" {n} " in f" {norm(t)} ":
                     want[i, j] = 0
             elif n:
@@ -546,6 +546,10 @@ def test_budgets_redistribute_siblings_first():
     assert mixing.budgets(tokens, 400, {}, 1) == {("a", "x"): 100, ("a", "y"): 10, ("b", "z"): 290}
     assert sum(mixing.budgets(tokens, 10**9, {}, 2).values()) == 2220
     assert mixing.budgets({}, 10, {}, 1) == {}
+    # what weighs nothing gives nothing, and its family's shortage goes on to b
+    assert mixing.budgets(tokens, 500, {("a", "x"): 0.0}, 1) == {("a", "x"): 0, ("a", "y"): 10, ("b", "z"): 490}
+    assert mixing.budgets(tokens, 500, {("a",): 0.0}, 2) == {("a", "x"): 0, ("a", "y"): 0, ("b", "z"): 500}
+    assert mixing.budgets(tokens, 500, {("a", "x"): 0.0, ("a", "y"): 0.0, ("b",): 0.0}, 1) == {("a", "x"): 0, ("a", "y"): 0, ("b", "z"): 0}
 
 
 def test_mixing_prefixes(small):
