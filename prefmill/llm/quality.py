@@ -9,8 +9,8 @@ dictionary turns that difference into a probability of label 1.
 
 Fitting reads a bounded sample of labelled rows (``per_class`` rows of each label for
 the dictionaries, as many again for the calibration, chosen by a hash of the key);
-class weights come from all labelled rows. Of a dictionary text of more than TRAIN_BLOCKS
-blocks, as many enter, drawn by a hash from the whole text; calibration and scoring use whole texts, compressed on the executors. Rows whose
+class weights come from all labelled rows. Every block of those texts enters a dictionary's training; calibration and
+scoring use whole texts, compressed on the executors. Rows whose
 crc32(key as text) mod 5 is 0 are held out: their labels are never used.
 
 Defined cases: a null text is empty, and an empty text scores as an average good one; rows without
@@ -35,7 +35,6 @@ from prefmill.llm.common import bounded_batches, text_or_empty
 BLOCK = 512
 DICTIONARY = 65_536
 PER_CLASS = 1500
-TRAIN_BLOCKS = 16
 THRESHOLD = 0.3
 LEVEL = 1
 SHRINK = 64
@@ -134,15 +133,6 @@ def held_out(key: str, folds: int = FOLDS) -> Column:
     return F.pmod(F.crc32(F.encode(F.coalesce(F.col(key).cast("string"), F.lit("")), "UTF-8")), F.lit(folds)) == 0
 
 
-def drawn(text: str, key: str) -> Column:
-    """At most TRAIN_BLOCKS blocks of a text's bytes, drawn by a hash of key and position, in their order."""
-    raw = F.encode(text, "UTF-8")
-    last = F.floor(F.greatest(F.octet_length(text) - 1, F.lit(0)) / BLOCK).cast("int")
-    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.xxhash64(key, i, F.lit(29)).alias("h"), i.alias("i"))))
-    places = F.array_sort(F.transform(F.slice(ranked, 1, TRAIN_BLOCKS), lambda x: x["i"]))
-    return F.aggregate(places, F.lit(b""), lambda out, i: F.concat(out, F.substring(raw, i * BLOCK + 1, F.lit(BLOCK))))
-
-
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Learn from docs with labels (key, label 0 or 1)."""
     bounded_batches(docs)
@@ -161,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = F.broadcast(picks[0].unionByName(picks[1]))  # at most 4 * per_class rows
     rows = docs.select(F.col(key).alias("k"), text_or_empty(text).alias("t")).join(chosen, "k")
     texts: list[list[bytes]] = [[], []]
-    for r in rows.where("role = 0").select("y", "k", drawn("t", "k").alias("t")).collect():
+    for r in rows.where("role = 0").select("y", "k", F.encode("t", "UTF-8").alias("t")).collect():
         texts[r["y"]].append((r["k"], bytes(r["t"])))
     texts = [[t for _, t in sorted(x)] for x in texts]
     bad, good = train_dictionary(texts[0]), train_dictionary(texts[1])
