@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from prefmill.functions import json as J
 from prefmill.functions.hashing import blind_label
+from prefmill.sources.shared import kept
 
 
 def retained(prior: DataFrame, current: DataFrame, key: str = "id", digest: str = "hash", usable: Column | None = None) -> DataFrame:
@@ -57,23 +61,31 @@ def head(rows: DataFrame, limit: int, order: str = "ord") -> DataFrame:
     return rows.orderBy(order).limit(limit)
 
 
-def positions(rows: DataFrame, order: str, name: str = "pos") -> DataFrame:
+def positions(rows: DataFrame, order: str | Sequence[str], name: str = "pos") -> DataFrame:
     """rows with their 0-based position in ``order``, without a global sort in one task.
 
-    Rows are range-partitioned by the order; a position is the rank within the partition
-    plus the rows of the partitions before it (one number for each partition).
+    Rows are range-partitioned by the order and written once, each with its partition and its rank there;
+    a position is that rank plus the rows of the partitions before, which come from the same table: were the
+    partitioning computed for each use, its sampled bounds could differ between them. Rows that the order does not
+    tell apart stand in any order; a hash of their other columns, then their place in the input, spread them over partitions.
     """
-    row = F.monotonically_increasing_id()  # partition number above bit 33, row number below
-    # a stated number of partitions is never coalesced, so both uses below see the same ones
+    order = [order] if isinstance(order, str) else list(order)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.col(order)).sortWithinPartitions(order).withColumn("_row", row)
-    part = F.shiftright("_row", 33)
-    dealt = dealt.withColumns({"_part": part, "_rank": F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))})
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.Window.orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)
-    start = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    joined = dealt.join(F.broadcast(start), "_part")
-    return joined.withColumn(name, (F.col("_start") + F.col("_rank")).cast("bigint")).drop("_part", "_rank", "_start", "_row")
+    taken = set(rows.columns)
+    fresh = lambda c: c if c not in taken else fresh(f"_{c}")
+    tie, row, part, start = (fresh(c) for c in ("_tie", "_row", "_part", "_start"))
+    told = [c for c, kind in rows.dtypes if c not in order and not re.search("map<|variant", kind)]
+    ends = F.struct(F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in told]), F.monotonically_increasing_id())
+    by = [*[F.col(f"`{c}`") for c in order], F.col(tie)]
+    dealt = rows.withColumn(tie, ends).repartitionByRange(n, *by).sortWithinPartitions(*by).drop(tie)
+    # partition number above bit 33, row number below
+    table = kept(dealt.withColumn(row, F.monotonically_increasing_id()), "positions")
+    at = table.withColumn(part, F.shiftright(row, 33))
+    before = W.Window.orderBy(part).rowsBetween(W.Window.unboundedPreceding, -1)
+    sizes = at.groupBy(part).agg(F.count(F.lit(1)).alias(start))  # a row for each partition
+    starts = sizes.select(part, F.coalesce(F.sum(start).over(before), F.lit(0)).alias(start))
+    rank = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
+    return at.join(F.broadcast(starts), part).withColumn(name, (F.col(start) + rank).cast("bigint")).drop(part, row, start)
 
 
 def token_budget(contract: Column, attempt: Column | None = None) -> Column:

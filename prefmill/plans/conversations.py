@@ -105,7 +105,7 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documen
 """,
 )
 def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = admission.positions(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    rows = admission.positions(table(spark, sf_dir, "documents"), "doc_id")
     pos, one = F.col("pos"), F.lit(1)
     return rows.select(
         "doc_id", "pos", admission.generation_seed(pos, one).alias("generation"), admission.critic_seed(pos, one).alias("critic"),
@@ -113,6 +113,18 @@ def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@query(
+    "line_positions",
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, row_number() OVER (ORDER BY {', '.join(LINE_ORDER)}) - 1 AS pos FROM lineitem",
+)
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = admission.positions(table(spark, sf_dir, "lineitem"), LINE_ORDER)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "pos")
+
+
 @query("head_limit", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 32")
 def _head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.head(table(spark, sf_dir, "documents").select("doc_id", "lang"), 32, "doc_id")

@@ -69,6 +69,26 @@ def test_teacher_to_manifest(spark, tasks, tmp_path):
     assert parts["leakage"].count() == 0 and parts["gate"].count() > 0
 
 
+def test_resumed_runs_ask_with_the_seeds_of_a_fresh_one(spark, tasks, tmp_path):
+    """Places are told among all tasks, done ones included."""
+    some = tasks.where("category IN ('schedule-constraints', 'safe-education') AND split = 'validation'")
+    refuse = lambda messages, settings: "{}"
+    seeds_of = lambda rows: {r["id"]: json.loads(r["settings"])["seed"] for r in rows.collect()}
+    fresh = flows.teacher(some, "validation", refuse, most=1)
+    assert seeds_of(fresh) == {i: 16031 + 7 * k for k, i in enumerate(sorted(r["id"] for r in some.collect()))}
+    fresh.where("id >= 'validation-safe-education-002' AND id < 'validation-schedule-constraints-003'").write.parquet(str(tmp_path / "prior"))
+    again = flows.teacher(some, "validation", refuse, prior=spark.read.parquet(str(tmp_path / "prior")), most=1)
+    assert seeds_of(again) == seeds_of(fresh)
+    flows.teacher(some, "validation", solve).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    judged = flows.critic(rows, agree)
+    judged.where("id <> 'validation-schedule-constraints-003'").write.parquet(str(tmp_path / "c"))
+    more = flows.critic(rows, agree, prior=spark.read.parquet(str(tmp_path / "c")))
+    assert seeds_of(more) == seeds_of(judged) and len(seeds_of(more)) == 4
+    limited = flows.teacher(some, "validation", refuse, limit=3, most=1)
+    assert seeds_of(limited) == {"validation-safe-education-000": 16031, "validation-schedule-constraints-000": 16038, "validation-safe-education-001": 16045}
+
+
 def test_retries_budgets_and_receipts(spark, tasks):
     """The teacher is told its issues twice; the critic repairs its answer; settings and metrics are recorded."""
     some = tasks.where("id IN ('train-schedule-constraints-000', 'train-schedule-constraints-001')")

@@ -141,6 +141,29 @@ def test_positions_over_partitions(spark):
     assert got.where("pos <> k").count() == 0 and got.count() == 1000
 
 
+@pytest.mark.parametrize("parts", ["1", "3", "8"])
+def test_positions_of_wide_rows(spark, parts):
+    """A permutation, in order, whatever columns the rows have and whichever of them are used."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        n = 200_000
+        wide = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.repeat(F.lit("x"), F.col("id").cast("int") % 90).alias("a"), F.rand(1).alias("b"), F.lit(1).alias("_row"), F.lit(2).alias("_part"))
+        got = admission.positions(wide, "k")
+        assert got.columns == [*wide.columns, "pos"]
+        assert got.where("pos <> k").count() == 0 and got.select("pos").distinct().count() == n
+        # one key with a third of all rows, rows repeated as they are, keys in two columns
+        hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100).alias("k"), (F.col("id") % 7).alias("j"))
+        got = admission.positions(hot, ["k", "j"]).cache()
+        assert got.select("pos").distinct().count() == 30_000 and got.agg(F.max("pos")).first()[0] == 29_999
+        pairs = [(r["k"], r["j"]) for r in got.orderBy("pos").collect()]
+        assert pairs == sorted(pairs)
+        got.unpersist()
+        assert admission.positions(hot.where("k < 0"), "k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("n", [1, 2, 20, 21])
 def test_percentile_is_nearest_rank(spark, n):
     import math
