@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
+from prefmill.operators import corpus
 from prefmill.plans.registry import query, table
-from prefmill.sources import files, registry
+from prefmill.sources import files, records, registry
+from prefmill.sources.shared import folder
 
 
 def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +28,42 @@ def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", (F.size(J.parse_codes(line)) > 0).alias("bad"))
 
 
-@query("file_inventory")
+#: The tables at the scale at which SQL is compared; a test reads another folder instead.
+TABLES = "/root/testdata/sf0.01"
+
+
+@query(
+    "file_inventory",
+    f"SELECT parse_filename(filename) AS path, octet_length(content) AS bytes, sha256(content) AS sha256 FROM read_blob('{TABLES}/*.parquet')",
+)
 def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = files.inventory(spark, sf_dir, "*.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("path"), "bytes", "sha256")
+    return files.inventory(spark, sf_dir, "*.parquet")
+
+
+#: The split of a document in written datasets.
+DEALT = "CASE doc_id % 7 WHEN 0 THEN 'valid' WHEN 3 THEN 'test' ELSE 'train' END"
+LINE_SQL = "'{\"id\": ' || doc_id || ', \"sha256\": \"' || sha256(coalesce(text, '')) || '\"}'"
+
+
+@query(
+    "dataset_files",
+    f"""
+SELECT split, CASE split WHEN 'valid' THEN 'validation' ELSE split END || '.jsonl' AS path, sum(strlen(line) + 1)::BIGINT AS bytes,
+    sha256(string_agg(line || chr(10), '' ORDER BY doc_id)) AS sha256, count(*) AS rows
+FROM (SELECT doc_id, {DEALT} AS split, {LINE_SQL} AS line FROM documents) GROUP BY split
+""",
+)
+def _dataset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits of a dataset written as lines in the order of their ids, several part files each, and their bytes' identity."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    line = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "sha256": "'), text, F.lit('"}'))
+    rows = docs.select("doc_id", F.expr(DEALT).alias("split"), line.alias("value"))
+    top = folder(spark, "dataset")
+    for split, name in corpus.SPLIT_FILE.items():
+        part = rows.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+        part.select("value").write.text(f"{top}/{name}")
+    return records.split_records(spark, top, corpus.SPLIT_FILE)
 
 
 @query(

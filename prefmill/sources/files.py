@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefmill.sources.records import file_records
+
 #: Size limits of packages in bytes.
 PACKAGE_MOST = 1_000_000_000
 BROWSER_MOST = 64 * 1024 * 1024
@@ -14,9 +17,18 @@ BROWSER_SHARE_OF_BASE = 0.02
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, bytes, sha256) of every file below path; the files are hashed where they are read."""
+    """(path, bytes, sha256) of every file below path, by its name relative to path.
+
+    Files are hashed in chunks where they are read (``records``), whatever their size; a link, an empty file and one outside
+    path stop it. A store that only Spark can open is read through its binary files, each whole in a row.
+    """
+    if re.match(r"(file|hdfs|s3|gs|abfss?):|[^:]*$", path):
+        return file_records(spark, path, pattern).select("path", "bytes", "sha256")
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    name = F.substring_index("path", f"/{root}/", -1)
+    whole = F.when(F.col("length") > 0, F.col("length")).otherwise(F.raise_error(F.concat(F.lit("not a regular nonempty file: "), F.col("path"))))
+    return files.select(name.alias("path"), whole.alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def verify(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from helpers import same_rows
 from prefmill.plans import load
+from prefmill.plans.files import TABLES
 
 QUERIES, ORACLES = load()
 
@@ -12,7 +13,7 @@ QUERIES, ORACLES = load()
 def test_query(spark, sf, duck, name):
     frame = QUERIES[name](spark, sf)
     if name in ORACLES:
-        same_rows(frame, ORACLES[name], duck)
+        same_rows(frame, ORACLES[name].replace(TABLES, sf), duck)
     else:
         assert frame.count() > 0
 
