@@ -69,6 +69,21 @@ def http_source(url: str, model: str, timeout: float = 600.0) -> Complete:
     return complete
 
 
+def asked(base: list[dict[str, str]], text: str | None, issues: list[str], retry: str = RETRY) -> list[dict[str, str]]:
+    """The messages of an attempt: the task's own, and after a first one its last answer with what was wrong with it."""
+    if text is None:
+        return base
+    return [*base, {"role": "assistant", "content": text}, {"role": "user", "content": retry.replace("{issues}", json.dumps(issues))}]
+
+
+def generated(got: str | Mapping[str, Any], use: Settings) -> tuple[str, str, dict[str, Any], str | None]:
+    """(text, settings, metrics, receipt) as rows hold them."""
+    got = {"text": got} if isinstance(got, str) else got
+    metrics = got.get("metrics") or {}
+    receipt = json.dumps(got["receipt"], sort_keys=True) if got.get("receipt") is not None else None
+    return got["text"], json.dumps(use, sort_keys=True), {m: metrics.get(m) for m in METRICS}, receipt
+
+
 def attempts(
     rows: DataFrame, complete: Complete, check: Check | Callable[[str, Mapping[str, Any]], list[str]], most: int = 3, seed: str = "seed", key: str = "id",
     settings: Callable[[int, int, int], Settings] = fixed, tokens: tuple[str, str] | int = 700, retry: str = RETRY, context: tuple[str, ...] = (),
@@ -89,18 +104,14 @@ def attempts(
             out = []
             for r in f.to_dict("records"):
                 base = [dict(role=m["role"], content=m["content"]) for m in r["messages"]]
-                turns = base
+                text, issues = None, []
                 for n in range(most):
                     use = settings(n, int(r[seed]), int(r[bounds[min(n, 1)]]) if bounds else int(tokens))
-                    got = complete(turns, use)
-                    got = {"text": got} if isinstance(got, str) else got
-                    text, metrics = got["text"], got.get("metrics") or {}
+                    text, *told = generated(complete(asked(base, text, issues, retry), use), use)
                     issues = check(text, {c: r[c] for c in context}) if context else check(text)
-                    receipt = json.dumps(got["receipt"], sort_keys=True) if got.get("receipt") is not None else None
-                    out.append((r[key], n, text, issues, json.dumps(use, sort_keys=True), {m: metrics.get(m) for m in METRICS}, receipt))
+                    out.append((r[key], n, text, issues, *told))
                     if not issues:
                         break
-                    turns = [*base, {"role": "assistant", "content": text}, {"role": "user", "content": retry.replace("{issues}", json.dumps(issues))}]
             yield pd.DataFrame(out, columns=[key, "attempt", "text", "issues", "settings", "metrics", "receipt"])
 
     need = [key, "messages", seed, *bounds, *context]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prefmill.plans.registry import query, table
 from prefmill.sources.shared import folder
-from prefmill.streaming import resume
+from prefmill.streaming import resume, retries
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,3 +39,42 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("category"), issues.alias("issues"))
     closed = _drained(resume.issue_counts(rows))
     return closed.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "category", "attempts", "failed")
+
+
+def drafting(messages: list[dict[str, str]], settings: dict) -> str:
+    """A stand-in model that needs as many drafts as its task says, counting on from the draft that it is shown."""
+    need = int(messages[0]["content"].split()[-1])
+    done = int(messages[-2]["content"].split()[-1]) + 1 if len(messages) > 1 else 0
+    return "final" if done == need else f"draft {done}"
+
+
+def unfinished(text: str) -> list[str]:
+    return [] if text == "final" else [f"unfinished:{text}"]
+
+
+def _requests(rows: DataFrame) -> DataFrame:
+    """Each event asks for an attempt at its user's task."""
+    task = F.concat(F.lit("Drafts needed: "), (F.col("user_id") % 4).cast("string"))
+    messages = F.array(F.struct(F.lit("user").alias("role"), task.alias("content")))
+    return rows.select(F.col("user_id").alias("id"), messages.alias("messages"), (F.lit(16031) + F.col("user_id") * 7).alias("seed"))
+
+
+@query(
+    "stream_attempts",
+    """
+SELECT id, attempt::INTEGER AS attempt, CASE WHEN attempt = need THEN 'final' ELSE 'draft ' || attempt END AS text,
+    CASE WHEN attempt = need THEN '' ELSE 'unfinished:draft ' || attempt END AS issues, 16031 + id * 7 + attempt AS seed
+FROM (SELECT user_id AS id, user_id % 4 AS need, count(*) AS n FROM events GROUP BY user_id), range(3) r(attempt)
+WHERE attempt < n AND attempt <= need
+""",
+)
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arrives in two parts; the query is stopped after the first and goes on from its state."""
+    top = folder(spark, "attempts")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    for part in (0, 1):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{top}/events")
+        asked = spark.readStream.schema(events.schema).parquet(f"{top}/events")
+        retries.start(retries.retried(_requests(asked), drafting, unfinished), f"{top}/rows", f"{top}/state").awaitTermination()
+    rows = retries.log(spark, f"{top}/rows")
+    return rows.select("id", "attempt", "text", F.array_join("issues", ",").alias("issues"), F.get_json_object("settings", "$.seed").cast("bigint").alias("seed"))
