@@ -83,3 +83,8 @@ def exact_keys(have: Column, want: list[str]) -> Column:
     missing = F.transform(F.array_except(asked, have), lambda k: F.concat(F.lit("missing-key:"), k))
     extra = F.transform(F.array_sort(F.array_except(have, asked)), lambda k: F.concat(F.lit("extra-key:"), k))
     return F.concat(missing, extra)
+
+
+def canonical(v: Column) -> Column:
+    """A text that is the same for equal JSON values: numbers by value (1 and 1.0 are equal), keys sorted."""
+    return F.when(kind(v).isin("integer", "number"), F.concat(F.lit("#"), v.try_cast("double").cast("string"))).otherwise(F.to_json(v))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefmill.functions import hashing, text
-from prefmill.operators import admission, audit, canary, contracts, corpus, flows, receipts
+from prefmill.operators import admission, audit, canary, contracts, corpus, flows, receipts, schemas
 from prefmill.plans.registry import query, table
 from prefmill.plans.tasks import PLAN_SQL
 from prefmill.sources import jsonl, seeds
@@ -134,6 +134,38 @@ def _canary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id", F.array_join(found, ",").alias("issues"))
 
 
+#: A choice item whose parts go wrong by doc_id, as Spark SQL; and what its schema finds, as DuckDB SQL.
+ITEM_TEXT = """CASE doc_id % 13 WHEN 6 THEN '[]' WHEN 7 THEN '{"q":' ELSE concat('{"q":"', repeat('q', CAST(4 + doc_id % 270 AS INT)), '",',
+    IF(doc_id % 7 = 3, '', concat('"op":[', CASE doc_id % 5 WHEN 0 THEN '"a","b","c","d"' WHEN 1 THEN '"a","b","c"' WHEN 2 THEN '"a","b","b","d"' WHEN 3 THEN '"a","","c","d"' ELSE '"a",1,"c","d","e"' END, '],')),
+    '"ai":', CASE doc_id % 8 WHEN 4 THEN '-1' WHEN 5 THEN '9' WHEN 6 THEN '"x"' WHEN 7 THEN '2.5' ELSE CAST(doc_id % 8 AS STRING) END, ',"ex":"', repeat('é', CAST(10 + doc_id % 20 AS INT)), '",',
+    IF(doc_id % 11 = 4, '"more":null,', ''), '"fi":', CASE doc_id % 9 WHEN 0 THEN '[]' WHEN 1 THEN '[1,2,3]' WHEN 2 THEN '[1,-1]' WHEN 3 THEN '"1"' ELSE '[0]' END, '}') END"""
+ITEM_CODES = [
+    ("op:missing", "doc_id % 7 = 3"), ("more:extra", "doc_id % 11 = 4"), ("q:short", "4 + doc_id % 270 < 12"), ("q:long", "4 + doc_id % 270 > 256"), ("op:few", "doc_id % 7 <> 3 AND doc_id % 5 = 1"),
+    ("op:many", "doc_id % 7 <> 3 AND doc_id % 5 = 4"), ("op:repeated", "doc_id % 7 <> 3 AND doc_id % 5 = 2"), ("op[1]:short", "doc_id % 7 <> 3 AND doc_id % 5 = 3"),
+    ("op[1]:type", "doc_id % 7 <> 3 AND doc_id % 5 = 4"), ("ai:low", "doc_id % 8 = 4"), ("ai:high", "doc_id % 8 = 5"), ("ai:type", "doc_id % 8 >= 6"), ("ex:short", "10 + doc_id % 20 < 18"),
+    ("fi:few", "doc_id % 9 = 0"), ("fi:many", "doc_id % 9 = 1"), ("fi[1]:low", "doc_id % 9 = 2"), ("fi:type", "doc_id % 9 = 3"),
+]
+
+
+@query("schema_violations", f"SELECT doc_id, CASE doc_id % 13 WHEN 6 THEN ':type' WHEN 7 THEN ':json' ELSE {_codes_sql(ITEM_CODES)} END AS violations FROM labels")
+def _schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "labels").select("doc_id", F.expr(ITEM_TEXT).alias("answer"))
+    return schemas.check(rows, schemas.ITEM).select("doc_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query(
+    "schema_typed",
+    """
+SELECT doc_id, 'a|b|c|d' AS options, doc_id % 8 AS answer, 10 + doc_id % 20 AS explained FROM labels
+WHERE doc_id % 13 NOT IN (6, 7) AND doc_id % 7 <> 3 AND doc_id % 11 <> 4 AND 4 + doc_id % 270 BETWEEN 12 AND 256 AND doc_id % 5 = 0 AND doc_id % 8 < 4 AND doc_id % 20 >= 8 AND doc_id % 9 > 3
+""",
+)
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "labels").select("doc_id", F.expr(ITEM_TEXT).alias("answer"))
+    found = schemas.typed(rows, schemas.ITEM).where("value IS NOT NULL")
+    return found.select("doc_id", F.array_join("value.op", "|").alias("options"), F.col("value.ai").alias("answer"), F.length("value.ex").cast("bigint").alias("explained"))
+
+
 # -- flows with a scripted model ------------------------------------------------
 
 

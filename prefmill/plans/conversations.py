@@ -30,6 +30,23 @@ def _percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.length_summary(rows, "len", "role")
 
 
+PRICE_SHARES = {"p10": 0.1, "p50": 0.5, "p99": 0.99, "most": 0}
+
+
+@query(
+    "price_percentiles",
+    """
+WITH r AS (SELECT l_returnflag, l_extendedprice * (1 - l_discount) - 30000 AS v FROM lineitem),
+o AS (SELECT l_returnflag, v, row_number() OVER (PARTITION BY l_returnflag ORDER BY v) AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM r)
+SELECT l_returnflag, max(n) AS n, max(v) FILTER (i = ceil(0.1::DOUBLE * n)) AS p10, max(v) FILTER (i = ceil(0.5::DOUBLE * n)) AS p50, max(v) FILTER (i = ceil(0.99::DOUBLE * n)) AS p99, max(v) AS most
+FROM o GROUP BY l_returnflag
+""",
+)
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) - 30000
+    return audit.ranks(table(spark, sf_dir, "lineitem").select("l_returnflag", net.alias("v")), "v", "l_returnflag", PRICE_SHARES)
+
+
 @query("category_maxima", "SELECT role, max(length(text))::BIGINT AS max_len FROM conversations GROUP BY role")
 def _maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.maxima(table(spark, sf_dir, "conversations").select("role", F.length("text").alias("len")), "len", "role")

@@ -129,6 +129,40 @@ def test_resume_is_sticky_and_hash_keyed(spark):
     assert rows(admission.retained(old, now, usable=F.col("status") != "excluded")) == []
 
 
+@pytest.mark.parametrize("few", [1 << 18, 3])
+def test_ranks_of_any_numbers(spark, monkeypatch, few):
+    """Nearest ranks of doubles and whole numbers over many magnitudes, ties, nulls, and a group without a name."""
+    import math
+    import random
+
+    monkeypatch.setattr(audit, "SORTED", few)
+    monkeypatch.setattr(audit, "BITS", 16 if few > 3 else 5)
+    r = random.Random(5)
+    spread = lambda: r.choice([r.gauss(0, 1), 10.0 ** r.randrange(-300, 300), -(10.0 ** r.randrange(-300, 300)), 0.0, -0.0, 7.5, float("inf"), 5e-324])
+    rows = [("a", spread()) for _ in range(400)] + [("b", 1.5)] * 90 + [("b", 2.5)] * 10 + [(None, float(i)) for i in range(7)] + [("c", None), ("d", -3.0), ("a", None)]
+    shares = {"p0": 0.0, "p01": 0.001, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+
+    def want(values, share):
+        values = sorted(values, key=lambda x: (x, math.copysign(1, x)))
+        return values[-1] if share <= 0 else values[max(1, math.ceil(share * len(values))) - 1]
+
+    def expected(of):
+        groups = {}
+        for g, v in of:
+            if v is not None:
+                groups.setdefault(g, []).append(v)
+        return sorted(str((g, len(vs), *[want(vs, s) for s in shares.values()])) for g, vs in groups.items())
+
+    got = audit.ranks(spark.createDataFrame(rows, "g string, v double").repartition(3), "v", "g", shares)
+    assert sorted(str(tuple(x)) for x in got.collect()) == expected(rows)
+    whole = [(g, r.choice([-(1 << 63), (1 << 63) - 1, r.randrange(-99, 99), r.randrange(1 << 40)])) for g in "xy" for _ in range(150)]
+    got = audit.ranks(spark.createDataFrame(whole, "g string, v bigint"), "v", "g", shares)
+    assert sorted(str(tuple(x)) for x in got.collect()) == expected(whole)
+    assert audit.ranks(spark.createDataFrame([], "g string, v int"), "v", "g", shares).count() == 0
+    with pytest.raises(ValueError, match="no ranks over string"):
+        audit.ranks(spark.createDataFrame([("a", "b")], "g string, v string"), "v", "g", shares)
+
+
 def test_stratified_limit_takes_rounds(spark):
     t = spark.createDataFrame([(i, c) for i, c in enumerate("aaaabbc")], "ord int, category string")
     assert [r["category"] for r in admission.stratified_limit(t, 5).collect()] == ["a", "b", "c", "a", "b"]
@@ -244,6 +278,43 @@ def test_receipt_chain(spark):
     assert got == {"good": [], "bad": ["training-repository-dirty", "training-adapter-id", "training-file-integrity:adapter_config.json", "training-file:adapters.safetensors"]}
 
 
+def test_schemas_find_what_validators_find(spark):
+    """Keys that validators miss or find too many are violations of the contract's schema, and the other way round."""
+    from prefmill.plans.answers import CASES
+
+    ids = spark.createDataFrame([(i,) for i in range(40)], "doc_id bigint")
+    for contract, (answer, oracle, _) in CASES.items():
+        names = contracts.FIELDS[contract]
+        rows = ids.select("doc_id", F.lit(contract).alias("contract"), F.expr(answer).alias("text"), F.expr(oracle).alias("oracle"))
+        # every third answer loses a field, every fourth has one more
+        gone = F.array(*[F.lit(n) for n in names])[(F.col("doc_id") % len(names)).cast("int")]
+        fields = F.map_filter(F.try_parse_json("text").try_cast("map<string,variant>"), lambda k, _: (k != gone) | (F.col("doc_id") % 3 > 0))
+        more = F.when(F.col("doc_id") % 4 == 0, F.create_map(F.lit("zz"), F.try_parse_json(F.lit("1")))).otherwise(F.map_filter(fields, lambda k, _: F.lit(False)))
+        rows = rows.withColumn("answer", F.to_json(F.map_concat(fields, more)))
+        rows = schemas.check(contracts.validate(rows, only=(contract,)), schemas.contract_schema(contract))
+        for r in rows.collect():
+            keys = {i for i in r["issues"] if i.startswith(("missing-key:", "extra-key:"))}
+            top = {v.split(":") [1] + "-key:" + v.split(":")[0] for v in r["violations"] if v.endswith((":missing", ":extra")) and "." not in v}
+            assert keys == top, (contract, r)
+            assert (r["doc_id"] % 3 == 0 or r["doc_id"] % 4 == 0) == bool(keys)
+
+
+def test_schema_paths_and_types(spark):
+    deep = schemas.closed({"a": schemas.many({"type": "object", "additionalProperties": {"type": "integer", "maximum": 5}}), "n": {"type": "number"}}, ("n",))
+    rows = [
+        ('{"a": [{"x": 1}, {"y": 9, "w": "s", "x": 2}], "n": 1}', ["a[1].w:type", "a[1].y:high"]), ('{"a": []}', []), ('{"a": {}, "n": "1"}', ["a:type", "n:type"]), ("null", [":type"]), ("", [":json"]),
+        (None, [":json"]), ('{"a": [[]], "b": 1, "n": 2.5}', ["b:extra", "a[0]:type"]), ('{"a": null}', ["a:type"]),
+    ]
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, answer string")
+    assert {r["i"]: r["violations"] for r in schemas.check(d, deep).collect()} == {i: v for i, (_, v) in enumerate(rows)}
+    assert schemas.ddl(deep) == "struct<`a`:array<map<string,bigint>>,`n`:double>"
+    same = schemas.many(schemas.TEXT | {"type": "integer"}, unique=True)
+    d = spark.createDataFrame([("[1, 1.0]",), ("[1, 2]",), ("[]",)], "answer string")
+    assert [r["violations"] for r in schemas.check(d, {**same, "items": {"type": "number"}}).collect()] == [[":repeated"], [], []]
+    read = schemas.typed(spark.createDataFrame([('{"a": [{"x": 1}]}',), ('{"a": 1}',)], "answer string"), deep).collect()
+    assert read[0]["value"]["a"] == [{"x": 1}] and read[1]["value"] is None
+
+
 def test_schemas():
     s = schemas.contract_schema("prerequisite-json-v1")
     assert s["required"] == ["eligible", "missingImmediate", "recommendedSequence", "explanation", "citations"] and s["properties"]["eligible"] == {"type": "boolean"}
