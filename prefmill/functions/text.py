@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,9 +40,30 @@ def squeezed(text: Column) -> Column:
     return strip(F.regexp_replace(F.lower(text), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
+@cache
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """Characters that fold to one character, what they fold to, and those that fold to several; from Unicode's own data."""
+    every = {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c}
+    one = {c: f for c, f in every.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in every.items() if len(f) > 1}
+
+
+def fold(text: Column) -> Column:
+    """Full case folding, as Unicode defines it: the sharp s is ss, all sigmas are one, ligatures come apart.
+
+    Most texts take one translation. Those with a character that folds to several are gone through a character at a time.
+    """
+    source, to, several = _foldings()
+    plain = F.translate(text, source, to)
+    table = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
+    letters = F.regexp_extract_all(plain, F.lit("(?s)."), F.lit(0))
+    apart = F.array_join(F.transform(letters, lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(text.rlike(f"[{''.join(several)}]"), apart).otherwise(plain)
+
+
 def contains_fold(text: Column, part: Column) -> Column:
     """Whether text contains part, whatever the case."""
-    return F.contains(F.lower(text), F.lower(part))
+    return F.contains(fold(text), fold(part))
 
 
 #: Wording that talks about the material instead of teaching it.

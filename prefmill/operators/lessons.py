@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
-from prefmill.functions.text import meta_phrases, short, squeezed, strip, words
+from prefmill.functions.text import fold, meta_phrases, short, squeezed, strip, words
 
 #: The kinds of responses.
 KINDS = ("lesson", "mc-item", "key-term", "source-bundle")
@@ -81,7 +81,7 @@ def item_issues(v: Column, facts: Column | None = None, need_facts: bool | Colum
     found = codes(
         ("mc-options-count", ~four),
         ("mc-option-empty", four & F.exists(cleaned, lambda x: x == "")),
-        ("mc-options-duplicate", four & (F.size(F.array_distinct(F.transform(cleaned, F.lower))) != 4)),
+        ("mc-options-duplicate", four & (F.size(F.array_distinct(F.transform(cleaned, fold))) != 4)),
         ("mc-answer-index", ~good_answer),
         *texts(v, ITEM_TEXTS),
         ("mc-fact-index-count", asked & ~count),

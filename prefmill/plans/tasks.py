@@ -149,10 +149,12 @@ ITEM = '{"q":"Which claim is best supported?","op":["a","b","c","d"],"ai":2,"ex"
 
 @query(
     "mc_options",
-    "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'mc-options-duplicate' ELSE 'mc-options-count' END AS issues FROM labels",
+    "SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '' WHEN 2 THEN 'mc-options-count' WHEN 5 THEN '' ELSE 'mc-options-duplicate' END AS issues FROM labels",
 )
 def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = F.get(F.array(F.lit('"c","d"'), F.lit('"A","d"'), F.lit('"d"')), F.col("doc_id") % 3)
+    # alike by case folding, though not by lower case: sharp s, final sigma
+    kinds = ['"c","d"', '"A","d"', '"d"', '"Straße","STRASSE"', '"λόγος","ΛΌΓΟΣ"', '"mass","Maß 1"']
+    options = F.get(F.array(*[F.lit(k) for k in kinds]), F.col("doc_id") % 6)
     item = F.concat(F.lit('{"q":"Which claim is best supported?","op":["a","b",'), options, F.lit('],"ai":0,"ex":"Because the source says so."}'))
     rows = table(spark, sf_dir, "labels").select("doc_id", F.lit("mc-item").alias("kind"), item.alias("text"))
     return lessons.validate_responses(rows, kinds=("mc-item",)).select("doc_id", F.array_join("issues", ",").alias("issues"))

@@ -97,3 +97,25 @@ def test_blind_label(spark):
     for s in ("a", "b", "train-tutoring-007"):
         want = "A" if int(hashlib.sha256(s.encode()).hexdigest(), 16) % 2 == 0 else "B"
         assert one(spark, hashing.blind_label(F.col("s")), s=s) == want
+
+
+def test_fold_is_unicode_case_folding(spark):
+    """Every character that folds, alone and in words."""
+    import sys
+
+    from prefmill.functions.text import fold
+
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and chr(c) != chr(c).casefold()]
+    assert len(every) > 1400
+    texts = [*every, *["x" + "".join(every[i : i + 40]) + "é\n" for i in range(0, len(every), 40)], "STRASSE Straße straẞe", "ὈΔΥΣΣΕΎΣ ὀδυσσεύς", "ﬁﬂ ﬀ", "İıI", "𐐀𐐨 😀", "plain", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", fold(F.col("t")).alias("f")).collect()
+    wrong = [(texts[r["i"]], r["f"]) for r in rows if r["f"] != (None if texts[r["i"]] is None else texts[r["i"]].casefold())]
+    assert not wrong
+
+
+def test_contains_whatever_the_case(spark):
+    from prefmill.functions.text import contains_fold
+
+    pairs = [("Die STRASSE hier", "straße", True), ("Maße", "MASSE", True), ("ΟΔΟΣ", "οδος", True), ("oﬃce", "FFI", True), ("abc", "D", False), ("I", "ı", False)]
+    d = spark.createDataFrame(pairs, "a string, b string, want boolean")
+    assert d.where(contains_fold(F.col("a"), F.col("b")) != F.col("want")).count() == 0
