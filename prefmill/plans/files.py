@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prefmill.functions import json as J
 from prefmill.operators import corpus
 from prefmill.plans.registry import query, table
-from prefmill.sources import files, records, registry
+from prefmill.sources import archives, files, records, registry
 from prefmill.sources.shared import folder
 
 
@@ -40,6 +40,21 @@ def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.inventory(spark, sf_dir, "*.parquet")
 
 
+@query(
+    "archive_members",
+    f"""
+SELECT (row_number() OVER (ORDER BY parse_filename(filename)) - 1)::INTEGER AS seq, 'tables/' || parse_filename(filename) AS path, octet_length(content) AS bytes, sha256(content) AS sha256, true AS plain
+FROM read_blob('{TABLES}/*.parquet')
+""",
+)
+def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables' files in a tar.gz, read back."""
+    names = sorted(r["path"] for r in files.inventory(spark, sf_dir, "*.parquet").collect())
+    out = f"{folder(spark, 'release')}/tables.tar.gz"
+    archives.write(spark, sf_dir, names, out, "tables")
+    return archives.members(spark, out)
+
+
 #: The split of a document in written datasets.
 DEALT = "CASE doc_id % 7 WHEN 0 THEN 'valid' WHEN 3 THEN 'test' ELSE 'train' END"
 LINE_SQL = "'{\"id\": ' || doc_id || ', \"sha256\": \"' || sha256(coalesce(text, '')) || '\"}'"

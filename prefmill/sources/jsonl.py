@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import gzip
-import io
 import json
-import tarfile
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,17 +57,3 @@ def write(rows: DataFrame, path: str, append: bool = False) -> None:
 def receipt(row: dict) -> str:
     """A report as indented JSON with sorted keys and a line end."""
     return json.dumps(row, indent=2, sort_keys=True) + "\n"
-
-
-def archive(files: Iterable[tuple[str, bytes]]) -> bytes:
-    """A tar.gz whose bytes depend on names and contents alone."""
-    body = io.BytesIO()
-    with gzip.GzipFile(filename="", fileobj=body, mode="wb", mtime=0) as packed:
-        with tarfile.open(fileobj=packed, mode="w", format=tarfile.USTAR_FORMAT) as tar:
-            for name, data in files:
-                info = tarfile.TarInfo(name)
-                info.size, info.mtime, info.mode = len(data), 0, 0o644
-                info.uid = info.gid = 0
-                info.uname = info.gname = ""
-                tar.addfile(info, io.BytesIO(data))
-    return body.getvalue()

@@ -333,8 +333,6 @@ def test_files_round_trip(spark, tmp_path):
     assert rows(jsonl.read(spark, str(tmp_path / "out"), "name string, n int")) == [("a", 2), ("a", 2), ("b", 1), ("b", 1)]
     (tmp_path / "x.jsonl").write_text('{"a":1}\n\n[1]\n{"a":1} no\n')
     assert sorted(r["issue"] or "" for r in jsonl.scan_strict(spark, str(tmp_path / "x.jsonl")).collect()) == ["", "invalid-json", "root-not-object"]
-    a = jsonl.archive([("m.json", b"{}"), ("w.bin", b"12")])
-    assert a == jsonl.archive([("m.json", b"{}"), ("w.bin", b"12")])
     found = files.inventory(spark, str(tmp_path), "x.jsonl").first()
     import hashlib
 
