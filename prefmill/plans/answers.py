@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from prefmill.functions import hashing, text
 from prefmill.operators import admission, audit, canary, contracts, corpus, flows, receipts, schemas
 from prefmill.plans.registry import query, table
-from prefmill.plans.tasks import PLAN_SQL
+from prefmill.plans.tasks import PLAN_SQL, task_plan
 from prefmill.sources import jsonl, seeds
 from prefmill.sources.shared import folder
 
@@ -187,18 +187,18 @@ def scripted_critic(messages: Sequence[Mapping[str, str]], settings: Mapping[str
     pair = json.loads(messages[1]["content"])
     first = pair["candidateA"]["answerDeferred"]
     number = int(pair["candidateA"]["arguments"]["courseCodes"][0].split(" ")[1])
-    if settings["seed"] < 100_000 and number % 2:
+    if len(messages) == 2 and number % 2:
         return "A, I think"
     score = 3 if number % 5 == 0 else 5
     return "Here: " + json.dumps({"preferred": "A" if first else "B", "preferredScore": score, "groundingPass": True, "pedagogyPass": True, "issues": []})
 
 
-def _taught(spark: SparkSession) -> DataFrame:
-    tasks = seeds.seed_rows(spark).where("category = 'tool-use'")
+def _taught(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tasks = seeds.seed_rows(spark, task_plan(spark, sf_dir), only=("tool-use",))
     return flows.teacher(tasks, "train", scripted_teacher)
 
 
-TAUGHT_SQL = f"SELECT 'train-tool-use-' || lpad(idx::VARCHAR, 3, '0') AS id, idx, (410 + idx) % 10 % 4 AS k FROM {PLAN_SQL} WHERE split = 'train'"
+TAUGHT_SQL = f"SELECT 'train-tool-use-' || printf('%03d', idx) AS id, idx, (410 + idx) % 10 % 4 AS k FROM {PLAN_SQL} WHERE split = 'train'"
 
 
 @query(
@@ -209,7 +209,7 @@ SELECT id, CASE WHEN k < 3 THEN 'admitted' ELSE 'excluded' END AS status, least(
 """,
 )
 def _teacher(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _taught(spark).select("id", "status", "attempts", F.array_join("issues", ",").alias("issues"), F.col("metrics.generation_tokens").alias("tokens"), "receipt")
+    return _taught(spark, sf_dir).select("id", "status", "attempts", F.array_join("issues", ",").alias("issues"), F.col("metrics.generation_tokens").alias("tokens"), "receipt")
 
 
 @query(
@@ -220,7 +220,7 @@ FROM ({TAUGHT_SQL}) WHERE k < 3
 """,
 )
 def _critic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = flows.critic(_taught(spark), scripted_critic)
+    seen = flows.critic(_taught(spark, sf_dir), scripted_critic)
     return seen.select("id", "status", F.array_join(F.transform("valid_shapes", lambda x: x.cast("string")), ",").alias("shapes"), "seq")
 
 
@@ -231,7 +231,7 @@ SELECT id, 'train' AS split, 'academic-operations' AS domain, 'pref-train-tool-u
 """,
 )
 def _preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _taught(spark)
+    rows = _taught(spark, sf_dir)
     return flows.preference_corpus(rows, flows.critic(rows, scripted_critic)).select("id", "split", "domain", "group_id")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prefmill.functions import json as J
 from prefmill.operators import corpus
 from prefmill.plans.registry import query, table
-from prefmill.sources import archives, files, records, registry
+from prefmill.sources import archives, files, records, registry, seeds
 from prefmill.sources.shared import folder
 
 
@@ -115,8 +115,31 @@ def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "registry_lookup",
-    "SELECT * FROM (VALUES ('lite-train', 'student-lite-training-base', NULL::BIGINT), ('lite-runtime', 'student-lite-runtime-base', 3349514112)) v(name, role, bytes)",
+    """
+SELECT s_suppkey, name, role, bytes FROM (SELECT s_suppkey, CASE s_nationkey % 3 WHEN 0 THEN 'lite' WHEN 1 THEN 'pro' ELSE 'none' END AS tier, s_suppkey % 2 = 0 AS runs FROM supplier)
+LEFT JOIN (VALUES ('lite', false, 'lite-train', 'student-lite-training-base', NULL::BIGINT), ('lite', true, 'lite-runtime', 'student-lite-runtime-base', 3349514112),
+    ('pro', false, 'pro-train', 'student-pro-training-base', NULL), ('pro', true, 'pro-runtime', 'student-pro-runtime-base', 6975878912)) v(tier, runs, name, role, bytes) USING (tier, runs)
+""",
 )
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = registry.student(spark, "Lite").unionByName(registry.student(spark, "LITE", runtime=True))
-    return both.select("name", "role", "bytes")
+    tier = F.get(F.array(*map(F.lit, ("Lite", "PRO", "none"))), (F.col("s_nationkey") % 3).cast("int"))
+    asked = table(spark, sf_dir, "supplier").select("s_suppkey", tier.alias("tier"), (F.col("s_suppkey") % 2 == 0).alias("runtime"))
+    return registry.students(asked).select("s_suppkey", "pin.name", "pin.role", "pin.bytes")
+
+
+@query(
+    "seed_files",
+    """
+SELECT path, split, n AS rows, true AS whole
+FROM (SELECT split, CASE split WHEN 'preference-test' THEN 'preference_test' ELSE split END || '.jsonl' AS path, count(*) * 8 AS n
+    FROM (SELECT CASE doc_id % 8 WHEN 5 THEN 'validation' WHEN 6 THEN 'preference-test' WHEN 7 THEN 'heldout' ELSE 'train' END AS split FROM documents) GROUP BY split)
+""",
+)
+def _seed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed tasks of every document in files by split; whole: each file's bytes are what the manifest records."""
+    top = folder(spark, "seeds")
+    manifest = seeds.write(spark, top, seeds.plan_of(table(spark, sf_dir, "documents"), "doc_id"), parts=3)
+    told = spark.createDataFrame([(f["path"], f["bytes"], f["sha256"], f["rows"]) for f in manifest["files"]], "path string, bytes bigint, sha256 string, rows bigint")
+    split = spark.createDataFrame([(v, k) for k, v in seeds.SPLIT_FILES.items()], "path string, split string")
+    found = records.file_records(spark, top, names=[f["path"] for f in manifest["files"]], parts=True).select("path", F.col("bytes").alias("b"), F.col("sha256").alias("s"))
+    return told.join(found, "path").join(split, "path").select("path", "split", "rows", ((F.col("b") == F.col("bytes")) & (F.col("s") == F.col("sha256"))).alias("whole"))

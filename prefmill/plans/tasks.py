@@ -9,26 +9,33 @@ from prefmill.operators import admission, contracts, lessons, planning
 from prefmill.plans.registry import query, table
 from prefmill.sources import seeds
 
-PLAN_SQL = """(SELECT split, prefix, unnest(range(n))::INT AS idx FROM (VALUES ('train', 20, 'ALD'), ('validation', 4, 'BRI'), ('preference-test', 4, 'CRN'), ('heldout', 4, 'DUN')) p(split, n, prefix))"""
+#: A plan with tasks for every document, in DuckDB SQL and Spark.
+PLAN_SQL = """(SELECT CASE doc_id % 8 WHEN 5 THEN 'validation' WHEN 6 THEN 'preference-test' WHEN 7 THEN 'heldout' ELSE 'train' END AS split,
+  CASE doc_id % 8 WHEN 5 THEN 'BRI' WHEN 6 THEN 'CRN' WHEN 7 THEN 'DUN' ELSE 'ALD' END AS prefix, doc_id::INT AS idx FROM documents)"""
+ID_SQL = "split || '-' || category || '-' || printf('%03d', idx)"
+
+
+def task_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seeds.plan_of(table(spark, sf_dir, "documents"), "doc_id")
 
 
 @query("seed_counts", f"SELECT split, count(*) * 8 AS n FROM {PLAN_SQL} GROUP BY split")
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seeds.tasks(spark).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return seeds.tasks(spark, task_plan(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "seed_manifest",
     f"""
-SELECT split, count(*) AS n, count(DISTINCT category) AS categories, min(split || '-' || category || '-' || lpad(idx::VARCHAR, 3, '0')) AS first_id,
-       sum(('0x' || substr(sha256(split || '-' || category || '-' || lpad(idx::VARCHAR, 3, '0')), 1, 15))::BIGINT::HUGEINT)::VARCHAR AS digest
+SELECT split, count(*) AS n, count(DISTINCT category) AS categories, min({ID_SQL}) AS first_id,
+       sum(('0x' || substr(sha256({ID_SQL}), 1, 15))::BIGINT::HUGEINT)::VARCHAR AS digest
 FROM {PLAN_SQL}, (VALUES ('prerequisite-reasoning'), ('schedule-constraints'), ('degree-audit'), ('uncertainty-grounding'),
      ('tutoring'), ('tool-use'), ('safe-education'), ('lesson-kernel')) c(category) GROUP BY split
 """,
 )
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     piece = F.conv(F.substring(F.sha2("id", 256), 1, 15), 16, 10).cast("decimal(38,0)")
-    return seeds.tasks(spark).groupBy("split").agg(
+    return seeds.tasks(spark, task_plan(spark, sf_dir)).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("category").alias("categories"), F.min("id").alias("first_id"), F.sum(piece).cast("string").alias("digest")
     )
 
@@ -43,7 +50,7 @@ SELECT split, idx, concept, answer FROM {PLAN_SQL} p JOIN (VALUES (0, 'fraction-
 )
 def _modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = spark.createDataFrame([(k, *x[:2]) for k, x in enumerate(seeds.TUTORING)], "k int, concept string, answer string")
-    return seeds.plan(spark).join(F.broadcast(dim), F.pmod("idx", F.lit(8)) == F.col("k")).select("split", "idx", "concept", "answer")
+    return task_plan(spark, sf_dir).join(F.broadcast(dim), F.pmod("idx", F.lit(8)) == F.col("k")).select("split", "idx", "concept", "answer")
 
 
 EDGES_SQL = f"""
@@ -62,7 +69,7 @@ SELECT split, idx, {CODE_SQL.format("target")} AS target, coalesce((SELECT strin
 """,
 )
 def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = planning.missing_prerequisites(seeds.catalog(spark), seeds.prerequisite_cases(spark), ["split", "idx"])
+    got = planning.missing_prerequisites(seeds.catalog(spark, task_plan(spark, sf_dir)), seeds.prerequisite_cases(spark, task_plan(spark, sf_dir)), ["split", "idx"])
     return got.withColumn("missing", F.array_join("missing", ","))
 
 
@@ -74,11 +81,11 @@ WITH RECURSIVE r AS (
   UNION ALL SELECT r.split, r.idx, r.prefix, done, target, x.e.p, depth + 1 FROM r JOIN {EDGES_SQL} x
     ON x.split = r.split AND x.idx = r.idx AND x.e.c = r.c WHERE NOT list_contains(done, x.e.p)),
 m AS (SELECT split, idx, prefix, target, c, max(depth) AS depth FROM r WHERE depth > 0 GROUP BY ALL)
-SELECT split, idx, {CODE_SQL.format("target")} AS target, string_agg({CODE_SQL.format("c")}, ',' ORDER BY depth DESC, c) AS sequence FROM m GROUP BY split, idx, prefix, target
+SELECT split, idx, {CODE_SQL.format("target")} AS target, string_agg({CODE_SQL.format("c")}, ',' ORDER BY depth DESC, {CODE_SQL.format("c")}) AS sequence FROM m GROUP BY split, idx, prefix, target
 """,
 )
 def _sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = planning.prerequisite_sequence(spark, seeds.catalog(spark), seeds.prerequisite_cases(spark), ["split", "idx"])
+    got = planning.prerequisite_sequence(spark, seeds.catalog(spark, task_plan(spark, sf_dir)), seeds.prerequisite_cases(spark, task_plan(spark, sf_dir)), ["split", "idx"])
     return got.where(F.size("sequence") > 0).withColumn("sequence", F.array_join("sequence", ","))
 
 
@@ -95,7 +102,7 @@ SELECT split, idx, grp, greatest(0, choose - len(list_filter(courses, lambda x:
 """,
 )
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planning.degree_audit(seeds.degree_cases(spark), ["split", "idx"]).withColumn("eligible", F.array_join("eligible", ","))
+    return planning.degree_audit(seeds.degree_cases(spark, task_plan(spark, sf_dir)), ["split", "idx"]).withColumn("eligible", F.array_join("eligible", ","))
 
 
 @query(
@@ -111,7 +118,7 @@ SELECT split, idx, true AS feasible, min(ids) AS section_ids, arg_min(credits, i
 """,
 )
 def _schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planning.smallest_schedule(seeds.section_cases(spark), ["split", "idx"]).withColumn("section_ids", F.array_join("section_ids", ","))
+    return planning.smallest_schedule(seeds.section_cases(spark, task_plan(spark, sf_dir)), ["split", "idx"]).withColumn("section_ids", F.array_join("section_ids", ","))
 
 
 #: Answers of six kinds made from each label: right ones and ones with a known fault.

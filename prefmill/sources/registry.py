@@ -43,3 +43,10 @@ def student(spark: SparkSession, tier: str, runtime: bool = False) -> DataFrame:
     if asked.isEmpty():
         raise ValueError(f"no student model has the tier {tier!r}")
     return asked
+
+
+def students(asked: DataFrame, tier: str = "tier", runtime: str = "runtime") -> DataFrame:
+    """asked with the pin (name, role, model, revision, bytes, sha256 ... as ``pin``) of each row's tier, the model it is trained from or runs on; null for an unknown tier."""
+    pins = registry(asked.sparkSession).where(F.col("role").startswith("student-"))
+    pins = pins.select(F.split_part("name", F.lit("-"), F.lit(1)).alias("_tier"), F.col("name").endswith("runtime").alias("_runs"), F.struct("*").alias("pin"))
+    return asked.join(F.broadcast(pins), (F.lower(F.col(tier)) == F.col("_tier")) & (F.col(runtime) == F.col("_runs")), "left").drop("_tier", "_runs")

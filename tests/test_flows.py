@@ -125,7 +125,17 @@ def test_evaluation(tasks):
 
 
 def test_seed_files_and_manifest(spark, tmp_path):
+    import hashlib
+
     m = seeds.write(spark, str(tmp_path / "out"))
     assert m["counts"] == {"train": 160, "validation": 32, "preference-test": 32, "heldout": 32} and len(m["categories"]) == 8
-    assert spark.read.text(str(tmp_path / "out" / "split=heldout")).count() == 32
-    assert seeds.write(spark, str(tmp_path / "again"))["identitySha256"] == m["identitySha256"]
+    assert spark.read.text(str(tmp_path / "out" / "heldout.jsonl")).count() == 32
+    for f in m["files"]:
+        data = b"".join(p.read_bytes() for p in sorted((tmp_path / "out" / f["path"]).glob("part-*")))
+        assert (f["bytes"], f["sha256"], f["rows"]) == (len(data), hashlib.sha256(data).hexdigest(), m["counts"][f["path"].split(".")[0].replace("preference_", "preference-")])
+        ids = [json.loads(x)["id"] for x in data.decode().splitlines()]
+        assert ids == sorted(ids)
+    again = seeds.write(spark, str(tmp_path / "again"), parts=3)
+    assert again["identitySha256"] == m["identitySha256"]
+    other = seeds.write(spark, str(tmp_path / "other"), seeds.plan_of(spark.range(3, 12), "id"))
+    assert other["counts"] == {"train": 48, "validation": 8, "preference-test": 8, "heldout": 8} and other["identitySha256"] != m["identitySha256"]
