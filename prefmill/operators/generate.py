@@ -46,29 +46,99 @@ def greedy(attempt: int, seed: int, most_tokens: int) -> dict[str, Any]:
     return {"max_tokens": most_tokens, "temperature": 0.0, "top_p": 1.0, "seed": seed + 100_000 * attempt}
 
 
-def http_source(url: str, model: str, timeout: float = 600.0) -> Complete:
+def http_source(url: str, model: str, timeout: float = 600.0, tries: int = 3, wait: float = 1.0) -> Complete:
     """A completion source that posts to a chat endpoint of the common JSON form (choices, usage)."""
 
     def complete(messages: list[dict[str, str]], settings: Settings) -> Mapping[str, Any]:
-        import urllib.request
-
-        body = json.dumps({"model": model, "messages": messages, **settings}).encode()
-        request = urllib.request.Request(url, body, {"Content-Type": "application/json"})
         began = time.perf_counter()
-        with urllib.request.urlopen(request, timeout=timeout) as answer:
-            got = json.load(answer)
+        got = _posted(url, {"model": model, "messages": messages, **settings}, timeout, tries, wait)
         took = time.perf_counter() - began
-        first, usage = got["choices"][0], got.get("usage") or {}
+        try:
+            first, usage = got["choices"][0], got.get("usage") or {}
+            text = first["message"]["content"]
+        except (LookupError, TypeError, AttributeError) as e:
+            raise Malformed(f"{url} answered without a choice") from e
+        if not isinstance(text, str):
+            raise Malformed(f"{url} answered with no text in content")
         made = usage.get("completion_tokens")
         metrics = {
             "prompt_tokens": usage.get("prompt_tokens"), "generation_tokens": made, "elapsed_seconds": took, "finish_reason": first.get("finish_reason"),
             "tokens_per_second": made / took if made and took else None, "peak_memory_gb": None,
         }
-        return {"text": first["message"]["content"], "metrics": metrics, "receipt": {"model": got.get("model", model)}}
+        return {"text": text, "metrics": metrics, "receipt": {"model": got.get("model", model)}}
+
+    return complete
+
+
+class Malformed(ValueError):
+    """A completion that is no completion: asking again would not mend it."""
+
+
+def _posted(url: str, body: Mapping[str, Any], timeout: float, tries: int, wait: float) -> Any:
+    """The JSON answer to a JSON request; timeouts, refused connections and errors of the server's side are tried again, ever later."""
+    import urllib.error
+    import urllib.request
+
+    data = json.dumps(body, separators=(",", ":")).encode()
+    for n in range(tries):
+        request = urllib.request.Request(url, data, {"Content-Type": "application/json"})
+        try:
+            with urllib.request.urlopen(request, timeout=timeout) as answer:
+                raw = answer.read()
+            break
+        except urllib.error.HTTPError as e:
+            if e.code < 500 and e.code != 429 or n + 1 == tries:
+                raise
+        except (TimeoutError, OSError):  # URLError is an OSError
+            if n + 1 == tries:
+                raise
+        time.sleep(wait * 2**n)
+    try:
+        return json.loads(raw)
+    except ValueError as e:
+        raise Malformed(f"{url} answered with no JSON: {raw[:80]!r}") from e
+
+
+def completion_source(url: str, prompt: Callable[[list[dict[str, str]]], str], timeout: float = 600.0, tries: int = 3, wait: float = 1.0) -> Complete:
+    """A source that posts prompts to ``/completion`` below url and takes the text in ``content``.
+
+    prompt: messages to the one text that the model continues. An answer that is no object, or whose content is no
+    text, is an error.
+    """
+
+    def complete(messages: list[dict[str, str]], settings: Settings) -> Mapping[str, Any]:
+        asked_ = {"prompt": prompt(messages), "n_predict": settings["max_tokens"], **{k: settings[k] for k in ("temperature", "top_p", "seed") if k in settings}, "cache_prompt": False}
+        began = time.perf_counter()
+        got = _posted(url.rstrip("/") + "/completion", asked_, timeout, tries, wait)
+        took = time.perf_counter() - began
+        if not isinstance(got, dict) or not isinstance(got.get("content"), str):
+            raise Malformed(f"{url} answered with no text in content")
+        times = got.get("timings") if isinstance(got.get("timings"), dict) else {}
+        metrics = {
+            "prompt_tokens": got.get("tokens_evaluated"), "generation_tokens": got.get("tokens_predicted"), "elapsed_seconds": took,
+            "tokens_per_second": times.get("predicted_per_second"), "peak_memory_gb": None, "finish_reason": "length" if got.get("stopped_limit") else "stop",
+        }
+        return {"text": got["content"], "metrics": metrics, "receipt": {"model": got.get("model")}}
 
     return complete
 
 
+def prompt_text(messages: list[dict[str, str]]) -> str:
+    """What ``functions.text.chat_prompt`` makes of messages, for one at a time at the boundary."""
+    import re
+
+    from prefmill.functions.text import MARKERS
+
+    names = "|".join(sorted(MARKERS, key=len, reverse=True))
+
+    def turn(m: Mapping[str, str]) -> str:
+        body = re.sub(rf"<\|({names})>", r"< |\1>", m["content"].strip())
+        body = re.sub(rf"<({names})\|>", r"<\1| >", body)
+        return f"<|turn>{'model' if m['role'] == 'assistant' else m['role']}\n{body}<turn|>\n"
+
+    return "".join(map(turn, messages)) + "<|turn>model\n"
+
+
 def asked(base: list[dict[str, str]], text: str | None, issues: list[str], retry: str = RETRY) -> list[dict[str, str]]:
     """The messages of an attempt: the task's own, and after a first one its last answer with what was wrong with it."""
     if text is None:

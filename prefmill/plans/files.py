@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
+from prefmill.functions.workers import importable
 from prefmill.operators import corpus
 from prefmill.plans.registry import query, table
-from prefmill.sources import archives, files, records, registry, seeds
+from prefmill.sources import archives, files, gguf, records, registry, seeds
 from prefmill.sources.shared import folder
 
 
@@ -143,3 +148,51 @@ def _seed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = spark.createDataFrame([(v, k) for k, v in seeds.SPLIT_FILES.items()], "path string, split string")
     found = records.file_records(spark, top, names=[f["path"] for f in manifest["files"]], parts=True).select("path", F.col("bytes").alias("b"), F.col("sha256").alias("s"))
     return told.join(found, "path").join(split, "path").select("path", "split", "rows", ((F.col("b") == F.col("bytes")) & (F.col("s") == F.col("sha256"))).alias("whole"))
+
+
+#: What differs in the adapter of a supplier, by its number: (modulus, remainder).
+FLAWS = {"version": (7, 3), "architecture": (6, 1), "type": (4, 3), "adapter": (9, 4), "alpha": (8, 5), "missing": (3, 2), "foreign": (11, 6), "float": (10, 7), "cut": (13, 8)}
+
+
+def adapter_bytes(number: int) -> bytes:
+    """A small adapter file with the flaws of its number."""
+    has = {name: number % m == r for name, (m, r) in FLAWS.items()}
+    keys = [("general.architecture", gguf.TEXT, "other" if has["architecture"] else "student"), ("general.type", gguf.TEXT, "model" if has["type"] else "adapter")]
+    keys += [] if has["adapter"] else [("adapter.type", gguf.TEXT, "lora")]
+    keys += [("adapter.lora.alpha", 6, 8.0 if has["alpha"] else 16.0), ("notes", gguf.LIST, (4, list(range(number % 200))))]
+    names = ["a.weight" if has["foreign"] else "a.lora_a", "a.lora_b", "b.lora_a", *([] if has["missing"] else ["b.lora_b"])]
+    data = gguf.encoded(2 if has["version"] else 3, keys, [(n, [8, number + 1], 0 if has["float"] and n == "b.lora_a" else 1) for n in names])
+    return data[:-30] if has["cut"] else data + bytes(500)
+
+
+def _flaw(name: str) -> str:
+    return f"s_suppkey % {FLAWS[name][0]} = {FLAWS[name][1]}"
+
+
+@query(
+    "gguf_audit",
+    f"""
+SELECT s_suppkey || '.gguf' AS path, CASE WHEN {_flaw("cut")} THEN 'broken:no GGUF header: it ends too early' ELSE concat_ws(',', CASE WHEN {_flaw("version")} THEN 'version' END,
+    CASE WHEN {_flaw("missing")} THEN 'tensor-count' END, CASE WHEN {_flaw("architecture")} THEN 'architecture' END, CASE WHEN {_flaw("type")} THEN 'type' END,
+    CASE WHEN {_flaw("adapter")} THEN 'adapter-type' END, CASE WHEN {_flaw("alpha")} THEN 'alpha' END, CASE WHEN {_flaw("missing")} OR {_flaw("foreign")} THEN 'complete-pairs' END,
+    CASE WHEN {_flaw("foreign")} THEN 'foreign-tensor:a.weight' END, CASE WHEN {_flaw("float")} THEN 'tensor-type:b.lora_a' END) END AS issues
+FROM supplier
+""",
+)
+def _gguf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An adapter file for each supplier, written by the executors, its header read back and checked."""
+    top = folder(spark, "adapters")
+    root = records.local_root(top)
+    importable(spark)
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(root, exist_ok=True)
+        for frame in frames:
+            for number in frame["s_suppkey"]:
+                with open(f"{root}/{number}.gguf", "wb") as file:
+                    file.write(adapter_bytes(number))
+            yield frame
+
+    names = [f"{r[0]}.gguf" for r in table(spark, sf_dir, "supplier").select("s_suppkey").mapInPandas(write, "s_suppkey bigint").collect()]
+    found = gguf.adapter_issues(gguf.headers(spark, top, names), 4, 16.0, "student")
+    return found.select("path", F.array_join("issues", ",").alias("issues"))
