@@ -12,7 +12,8 @@ groups, which sizes and positions filter before their members are expanded and v
 3. ``_ordered``: the sets of the nodes left, written in lots; how many nodes hold each hash is
    counted by parts of the hash space and sent back to the lots that asked, which order, cut prefixes and name groups.
 4. ``_links``: every member meets the first of its group, every group the first groups of its index entries; then the
-   pairs of groups that components still hold apart, in full: an entry over ``MOST`` groups as pairs of chunks.
+   pairs of groups that components still hold apart, in full: an entry over ``MOST`` groups as pairs of chunks. A task verifies
+   its pairs itself and returns links alone, at most one for each two components it joins.
 
 Links that would join what is joined already are not looked for, so a hot group of near copies costs
 a few links a member, not all pairs; no partner that would join anything is left out.
@@ -44,6 +45,8 @@ SHINGLE = 4
 LEAST = 85
 #: Hashes of one part, of one lot that a task sends, groups of one chunk of an index entry.
 PART, LOT, MOST = 1 << 22, 1 << 20, 512
+#: Hashes that an index entry carries of those before it.
+BEFORE = 64
 MOST_TASKS = 20000
 
 
@@ -341,7 +344,9 @@ def _links(nodes: DataFrame, least: int) -> DataFrame:
     members = nodes.select("nid", "n", "grp")
     groups = nodes.groupBy("grp").agg(F.min("nid").alias("first"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("prefix").alias("prefix"))
     groups = written(groups, "prefix-groups")
-    index = groups.select("grp", "first", "n", "alone", F.posexplode("prefix").alias("i", "key")).select("key", "grp", "first", "n", (F.col("alone") + F.col("i")).alias("at"))
+    index = groups.select("grp", "first", "n", "alone", "prefix", F.posexplode("prefix").alias("i", "key"))
+    # what stands before a hash in the prefix, at most BEFORE hashes: a pair that shares one of them is looked at there
+    index = index.select("key", "grp", "first", "n", (F.col("alone") + F.col("i")).alias("at"), F.slice("prefix", F.lit(1), F.least("i", F.lit(BEFORE))).alias("before"))
     heads = index.groupBy("key").agg(F.min(F.struct("grp", "first", "n", "at")).alias("h"), F.max("grp").alias("last")).where("h.grp <> last")
     heads = heads.select("key", F.col("h.first").alias("head"), F.col("h.n").alias("hn"), F.col("h.at").alias("hat"))
     entries = written(index.join(heads, "key"), "entries")
@@ -354,28 +359,46 @@ def _links(nodes: DataFrame, least: int) -> DataFrame:
     apart = near.select(c("first").alias("a"), c("head").alias("b")).distinct().join(_of(found, "a", "ca"), "a", "left").join(_of(found, "b", "cb"), "b", "left")
     links = links.unionByName(_verified(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), sets, least))
     found = _joined(links)
-    # entries and groups that still hold several components, in full: pairs of groups first, by their first members, then the members
+    # entries and groups that still hold several components, in full: parts of groups by their first members, then the members
     at = written(members.join(_of(found, "nid", "c"), "nid", "left").select("nid", "grp", F.coalesce("c", "nid").alias("c")), "members")
     parts = written(at.groupBy("grp", "c").agg(F.min("nid").alias("rep"), F.count(F.lit(1)).alias("many")), "parts-of-groups")
-    rows = entries.select("key", "grp", F.col("n").alias("size"), "at").join(parts, "grp")
+    rows = entries.select("key", "grp", F.col("n").alias("size"), "at", "before").join(parts, "grp")
     mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    rows = rows.join(written(mixed.select("key", "n"), "mixed"), "key").select(F.lit(0).alias("tab"), "key", "rep", "size", "at", "c", "n")
+    rows = rows.join(written(mixed.select("key", "n"), "mixed"), "key").select(F.lit(0).alias("tab"), "key", "rep", "many", "size", "at", "before", "c", "n")
     split = parts.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     inner = parts.join(split, "grp").join(groups.select("grp", F.col("n").alias("size")), "grp")
-    rows = rows.unionByName(inner.select(F.lit(1).alias("tab"), F.xxhash64("grp").alias("key"), "rep", "size", F.lit(0).alias("at"), "c", "n"))
+    none = F.array().cast("array<bigint>")
+    rows = rows.unionByName(inner.select(F.lit(1).alias("tab"), F.xxhash64("grp").alias("key"), "rep", "many", "size", F.lit(0).alias("at"), none.alias("before"), "c", "n"))
     dealt = deal(rows, F.xxhash64("rep", F.lit(13)), MOST).repartition(*TASK).sortWithinPartitions(*TASK, "side", "rep")
 
-    def candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, starts in whole_tasks(frames):
+    def tasks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+        for frame, starts in whole_tasks(frames, size):
             for a, b in zip(starts, [*starts[1:], len(frame)]):
-                yield _candidates(frame.iloc[a:b], least)
+                yield frame.iloc[a:b]
 
-    pairs = written(dealt.select(*TASK, "side", "rep", "size", "at", "c").mapInPandas(candidates, "a bigint, b bigint").distinct(), "group-pairs")
-    links = links.unionByName(_verified(pairs, sets, least))
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task in tasks(frames, 8192):
+            i, j = _candidates(task, least)
+            if len(i):
+                yield task.iloc[np.unique(np.r_[i, j])]
+
+    def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task in tasks(frames, 512):
+            i, j = _candidates(task, least)
+            if len(i):
+                sets = [np.frombuffer(x, "<u8") for x in task["s"]]
+                yield pd.DataFrame(_decided(task, sets, i, j, least), columns=["a", "b", "linked"])
+
+    cols = [*TASK, "side", "rep", "many", "size", "at", "before", "c"]
+    kinds = dict(dealt.dtypes)
+    asked = dealt.select(*cols).mapInPandas(ask, ", ".join(f"{x} {kinds[x]}" for x in cols))
+    full = written(asked, "asked").join(sets.select(F.col("nid").alias("rep"), "s"), "rep").repartition(*TASK).sortWithinPartitions(*TASK, "side", "rep")
+    told = written(full.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "decided")
+    links = links.unionByName(told.where("linked").select("a", "b"))
     found = _joined(links)
     part = written(parts.join(_of(found, "rep", "now"), "rep", "left").withColumn("now", F.coalesce("now", "rep")), "parts-now")
     side = lambda x: part.select(*[c(k).alias(f"{k}_{x}") for k in ("grp", "c", "rep", "many", "now")])
-    still = pairs.join(side("a"), c("a") == c("rep_a")).join(side("b"), c("b") == c("rep_b")).where("now_a <> now_b AND many_a * many_b > 1")
+    still = told.where("NOT linked").select("a", "b").distinct().join(side("a"), c("a") == c("rep_a")).join(side("b"), c("b") == c("rep_b")).where("now_a <> now_b")
     still = written(still.drop("now_a", "now_b", "rep_a", "rep_b"), "pairs-to-expand")
     if still.isEmpty():
         return found
@@ -417,20 +440,59 @@ def _expanded(pairs: DataFrame, members: DataFrame, least: int) -> DataFrame:
     return written(rows.mapInPandas(decide, "a bigint, b bigint"), "expanded")
 
 
-def _candidates(task: pd.DataFrame, least: int) -> pd.DataFrame:
-    """Pairs of representatives in one task that different components hold and that sizes and positions allow."""
-    rep, n, at, c, side = (task[k].to_numpy().astype(np.int64) for k in ("rep", "size", "at", "c", "side"))
+def _candidates(task: pd.DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in one task of the pairs that different components hold and that sizes and positions allow.
+
+    A pair that shares one of the hashes before is a pair of that hash's entry, and left to it.
+    """
+    n, at, c, side, rep = (task[k].to_numpy().astype(np.int64) for k in ("size", "at", "c", "side", "rep"))
     lanes = np.flatnonzero(side == 0)
-    asks = lanes if (task["ci"] == task["cj"]).iloc[0] else np.flatnonzero(side == 1)
+    alone = bool((task["ci"] == task["cj"]).iloc[0])
+    asks = lanes if alone else np.flatnonzero(side == 1)
     if not len(lanes) or not len(asks):
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     x, y = lanes[None, :], asks[:, None]
     big, small = np.maximum(n[x], n[y]), np.minimum(n[x], n[y])
     rest = np.minimum(n[x] - at[x], n[y] - at[y])
     ok = (c[x] != c[y]) & (small * 100 >= big * least) & (rest * (100 + least) >= (n[x] + n[y]) * least)
+    if alone:
+        ok &= rep[y] > rep[x]
+    if not ok.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    before = task["before"].tolist()
+    size = np.array([len(b) for b in before])
+    if size.any():
+        _, spot = np.unique(np.concatenate([np.asarray(b, np.int64) for b in before]), return_inverse=True)
+        held = np.zeros((len(task), int(spot.max()) + 1), np.float32)
+        held[np.repeat(np.arange(len(task)), size), spot] = 1
+        ok &= held[asks] @ held[lanes].T == 0
     i, j = np.nonzero(ok)
-    a, b = rep[asks[i]], rep[lanes[j]]
-    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+    return asks[i], lanes[j]
+
+
+def _decided(task: pd.DataFrame, sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, least: int) -> list[tuple[int, int, bool]]:
+    """(a, b, True) for pairs that are alike and join what neither components nor earlier pairs join, (a, b, False) for those that stay
+    apart where one stands for several members."""
+    rep, n, many = task["rep"].tolist(), task["size"].tolist(), task["many"].tolist()
+    label = task["c"].tolist()
+    parent = {x: x for x in label}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out, apart = [], []
+    for a, b in zip(i.tolist(), j.tolist()):
+        x, y = root(label[a]), root(label[b])
+        if x == y:
+            continue
+        if alike(sets[a], n[a], sets[b], n[b], least):
+            parent[x] = y
+            out.append((rep[a], rep[b], True))
+        elif many[a] * many[b] > 1:
+            apart.append((a, b))
+    return out + [(rep[a], rep[b], False) for a, b in apart if root(label[a]) != root(label[b])]
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
