@@ -88,10 +88,10 @@ def positions(rows: DataFrame, order: str | Sequence[str], name: str = "pos") ->
     return at.join(F.broadcast(starts), part).withColumn(name, (F.col(start) + rank).cast("bigint")).drop(part, row, start)
 
 
-def token_budget(contract: Column, attempt: Column | None = None) -> Column:
+def token_budget(contract: Column, attempt: Column | None = None, kernels: Sequence[str] = ("lesson-kernel-json-v1",)) -> Column:
     """Tokens that one generation may use: long for lessons, short for a first try at a schedule."""
     first = (contract == "schedule-json-v1") & (attempt == 0) if attempt is not None else F.lit(False)
-    return F.when(contract.endswith("kernel-json-v1"), 1900).when(first, 400).otherwise(700)
+    return F.when(contract.isin(*kernels), 1900).when(first, 400).otherwise(700)
 
 
 def generation_seed(position: Column, attempt: Column) -> Column:

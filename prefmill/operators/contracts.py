@@ -36,12 +36,13 @@ LEAST = {
     "tool-call-json-v1": {"reason": 15},
     "safety-json-v1": {"cannotDo": 15, "nextStep": 15},
 }
-#: Contracts for lesson kernels are a word and this.
-KERNEL = "kernel-json-v1"
+#: Contracts for lesson kernels. Data that names them otherwise is read with ``kernels=``.
+KERNELS = ("lesson-kernel-json-v1",)
 
 
-def is_kernel(contract: Column) -> Column:
-    return contract.rlike(f"^[a-z]+-{KERNEL}$")
+def is_kernel(contract: Column, kernels: tuple[str, ...] = KERNELS) -> Column:
+    return contract.isin(*kernels)
+
 
 Rule = tuple[str, Column]
 
@@ -180,17 +181,18 @@ def _kernel(v: Column, o: Column) -> Column:
 
 
 def validate(
-    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", out: str = "issues", only: tuple[str, ...] | None = None
-) -> DataFrame:
+    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", out: str = "issues", only: tuple[str, ...] | None = None,
+    kernels: tuple[str, ...] = KERNELS,
+) -> DataFrame:
     """rows with the sorted, distinct issues of each answer.
 
-    only: the contracts that occur, where that is known; it keeps the plan small. The parsed answer and oracle are named intermediate columns, so each is parsed once.
+    only: the contracts that occur, where that is known; it keeps the plan small. kernels: the names of lesson-kernel contracts. The parsed answer and oracle are named intermediate columns, so each is parsed once.
     """
     t = rows.withColumns({"_codes": J.parse_codes(F.col(answer)), "_v": J.value(F.col(answer)), "_o": F.try_parse_json(oracle)})
     v, o = F.col("_v"), F.col("_o")
     found = F.array(F.lit("unknown-contract"))
-    if only is None or any(c.endswith(KERNEL) for c in only):
-        found = F.when(is_kernel(F.col(contract)), _kernel(v, o)).otherwise(found)
+    if only is None or any(c in kernels for c in only):
+        found = F.when(is_kernel(F.col(contract), kernels), _kernel(v, o)).otherwise(found)
     for name, rules in RULES.items():
         if only is not None and name not in only:
             continue
@@ -215,7 +217,7 @@ def _set(text: Column, name: str, new: Column) -> Column:
 UNSOUND = "An unsupported fact was added without a source."
 
 
-def rejected(contract: Column, answer: Column, oracle: Column) -> Column:
+def rejected(contract: Column, answer: Column, oracle: Column, kernels: tuple[str, ...] = KERNELS) -> Column:
     """The answer with one wrong edit, as JSON text with sorted keys; null for an unknown contract."""
     o, v = F.try_parse_json(oracle), F.try_parse_json(answer)
     left = at(v, "remainingByGroup").try_cast("map<string,bigint>")
@@ -233,20 +235,20 @@ def rejected(contract: Column, answer: Column, oracle: Column) -> Column:
         .when(contract == "tutor-json-v1", _set(answer, "citations", F.lit('["invented-source"]')))
         .when(contract == "tool-call-json-v1", _set(answer, "answerDeferred", F.lit("false")))
         .when(contract == "safety-json-v1", _set(answer, "canHelpWith", F.lit("[]")))
-        .when(is_kernel(contract), _set(answer, "lessons", F.concat(F.lit("["), _set(lesson, "facts", changed), F.lit("]"))))
+        .when(is_kernel(contract, kernels), _set(answer, "lessons", F.concat(F.lit("["), _set(lesson, "facts", changed), F.lit("]"))))
     )
 
 
 def construct_rejected(
-    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", only: tuple[str, ...] | None = None
+    rows: DataFrame, contract: str = "contract", answer: str = "answer", oracle: str = "oracle", only: tuple[str, ...] | None = None, kernels: tuple[str, ...] = KERNELS
 ) -> DataFrame:
     """rows with ``rejected`` and its ``rejected_issues``.
 
     An edit that passes, or an unknown contract, is an error of the task: the query fails. A null answer
     has no edit. Answers that have ``issues`` already were never admitted, and their edits are not looked at.
     """
-    edited = rows.withColumn("rejected", rejected(F.col(contract), F.col(answer), F.col(oracle)))
-    out = validate(edited, contract, "rejected", oracle, "rejected_issues", only)
+    edited = rows.withColumn("rejected", rejected(F.col(contract), F.col(answer), F.col(oracle), kernels))
+    out = validate(edited, contract, "rejected", oracle, "rejected_issues", only, kernels)
     asked = F.col(answer).isNotNull() & ((F.size("issues") == 0) if "issues" in rows.columns else F.lit(True))
     passes = asked & (F.col("rejected").isNull() | (F.size("rejected_issues") == 0))
     told = F.raise_error(F.concat(F.lit("no wrong edit of an answer to "), F.coalesce(F.col(contract), F.lit("(none)"))))

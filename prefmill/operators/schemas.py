@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
-from prefmill.operators.contracts import FIELDS, KERNEL
+from prefmill.operators.contracts import FIELDS, KERNELS
 
 Schema = dict[str, object]
 TEXT: Schema = {"type": "string"}
@@ -75,8 +75,8 @@ def response_schema(kind: str) -> Schema:
     return KINDS[kind]
 
 
-def contract_schema(contract: str) -> Schema:
-    if contract.endswith(KERNEL):
+def contract_schema(contract: str, kernels: tuple[str, ...] = KERNELS) -> Schema:
+    if contract in kernels:
         return response_schema("lesson")
     if contract not in FIELDS:
         raise ValueError(f"unknown contract: {contract}")
