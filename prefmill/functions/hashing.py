@@ -101,3 +101,10 @@ def dataset_identity(manifest: dict, protocol: str = "dataset-identity-v2") -> s
     body["sourceReceipts"] = [receipt(r) for r in manifest.get("sourceReceipts", [])]
     body["domainMap"] = {k: manifest.get("domainMap", {}).get(k) for k in ("entries", "sha256")}
     return hashlib.sha256(canonical(body).encode()).hexdigest()
+
+
+@F.pandas_udf(T.StringType())
+def dataset_identities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """``dataset_identity`` of manifests as JSON texts."""
+    for b in batches:
+        yield b.map(lambda s: None if s is None else dataset_identity(json.loads(s)))

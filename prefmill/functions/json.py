@@ -7,6 +7,8 @@ or adds an element) and as a field (where a second element breaks the object).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,3 +90,11 @@ def exact_keys(have: Column, want: list[str]) -> Column:
 def canonical(v: Column) -> Column:
     """A text that is the same for equal JSON values: numbers by value (1 and 1.0 are equal), keys sorted."""
     return F.when(kind(v).isin("integer", "number"), F.concat(F.lit("#"), v.try_cast("double").cast("string"))).otherwise(F.to_json(v))
+
+
+def subset(text: Column, keys: Sequence[str]) -> Column:
+    """Some fields of a JSON object as a JSON text with sorted keys; fields that are null or absent are left out, nulls within kept
+    ones stay, and numbers are spelt by their value (1.0 as 1)."""
+    fields = value(text).try_cast("map<string,variant>")
+    found = [F.when(~kind(F.try_element_at(fields, F.lit(k))).isin("null"), F.concat(F.lit(f'"{k}":'), F.to_json(F.try_element_at(fields, F.lit(k))))) for k in sorted(keys)]
+    return F.when(fields.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *found), F.lit("}")))

@@ -108,3 +108,8 @@ def tensor_name(name: Column, prefix: str, to: str) -> Column:
     good = (stem != "") & ~stem.startswith(".") & ~F.contains(stem, F.lit(".."))
     side = F.when(name.endswith(".lora_a"), ".lora_A.weight").otherwise(".lora_B.weight")
     return F.when(good, F.concat(F.lit(to), stem, side))
+
+
+def distinct_in_order(values: Column) -> Column:
+    """A list with each value once, where it first stands; nulls go."""
+    return F.array_distinct(F.filter(values, lambda x: x.isNotNull()))

@@ -97,15 +97,17 @@ for _contract in CASES:
 #: The edit of each contract's answer makes this wrong, besides what was wrong before.
 EDITS = {
     "schedule-json-v1": "wrong-totalCredits", "degree-audit-json-v1": "wrong-remainingByGroup", "uncertainty-json-v1": "unsupported-answer",
-    "tool-call-json-v1": "answer-not-deferred", "safety-json-v1": "wrong-alternative-count",
+    "tutor-json-v1": "hallucinated-citation", "tool-call-json-v1": "answer-not-deferred", "safety-json-v1": "wrong-alternative-count",
 }
+#: Codes that a contract's edit makes hold besides.
+ALSO = {"tutor-json-v1": ("missing-required-citation",)}
 
 
 def _edited_sql() -> str:
     each = []
     for contract, code in EDITS.items():
         # the edit's own code always holds; a changed list of alternatives is never weak
-        codes = [(c, "true" if c == code else "false" if c == "weak-alternative" else on) for c, on in CASES[contract][2]]
+        codes = [(c, "true" if c == code or c in ALSO.get(contract, ()) else "false" if c == "weak-alternative" else on) for c, on in CASES[contract][2]]
         each.append(f"SELECT doc_id, '{contract}' AS contract, {_codes_sql(codes)} AS issues FROM labels")
     return " UNION ALL ".join(each)
 
