@@ -5,7 +5,11 @@ breaks too) and compared with licence templates by the Dice coefficient over the
 word bigrams, 2|A and B| / (|A| + |B|). Windows of as many words as the template has are
 compared, one from each place where a bigram of the template stands (at the end of a
 text what is left of it), so a notice is found inside a longer text and over line breaks.
-A template counts as found at a coefficient of at least ``threshold``.
+A template is found at a coefficient of at least ``threshold``, in a window that holds at least half of the
+bigrams that tell it from each of its rivals: templates of other licences that lie as close to it, whole or with a part ("lesser",
+another clause). Of the versions that a template names, half at least must be there too. Of each template the best window is taken, and of windows that share over half the words of the smaller one
+only the best counts: the higher coefficient, then the longer template, then the smaller name. So a text names the licence it holds and
+not those that differ from it by a word.
 
 Bounds prune without loss. Size: Dice >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t, and as
 |A and B| <= |A|, the text must hold t/(2-t) of the template's bigrams. Anchors: for each
@@ -14,8 +18,7 @@ text with none of those words holds too few. Texts without any anchor are not cu
 words, and a template is only compared in windows where the whole text holds enough of
 it. All of it happens within a row: nothing is shuffled, whatever the keys.
 
-Defined cases: null and empty texts hold no licence; of equally good templates the
-smallest licence name counts, of equally good windows the first; a licence with several
+Defined cases: null and empty texts hold no licence; of equally good windows of one template the first counts; a licence with several
 templates counts once; very long texts are searched whole; repeated rows stay repeated;
 other columns are ignored, whatever their names; an empty table gives an empty result.
 """
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,6 +136,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 Templates = Mapping[str, Sequence[str]]
+#: A bigram that names a version.
+VERSION = "(version|v) [0-9]+"
 
 
 def words(text: str) -> list[str]:
@@ -169,31 +174,40 @@ def anchors(templates: Templates, threshold: float) -> list[str]:
     return sorted(kept)
 
 
-def _starts(here: Column) -> Column:
-    """(b, i) of each bigram of the text, i being its place, that is in ``here``."""
-    numbered = F.transform("g", lambda b, i: F.struct(b.alias("b"), i.alias("i")))
-    return F.filter(numbered, lambda x: F.array_contains(here, x["b"]))
+def rivals(templates: Templates, threshold: float) -> list[tuple[str, list[str], list[list[str]]]]:
+    """(license, bigrams in order, for each rival those that tell it from that one) of each template.
 
-
-def _scorer(here: Column, m: int, long: int, name: str, threshold: float) -> Callable[[Column], Column]:
-    """From a start (b, i) to (worse, license, at, size) of its window, null below the threshold."""
-
-    def score(x: Column) -> Column:
-        window = F.slice("g", x["i"] + 1, long)
-        size = F.size(F.array_distinct(window))
-        dice = F.lit(2.0) * F.size(F.array_intersect(window, here)) / (size + m)
-        good = (size >= m * threshold / (2 - threshold) - 1e-9) & (dice >= threshold)
-        return F.when(good, F.struct((-dice).alias("worse"), F.lit(name).alias("license"), x["i"].cast("bigint").alias("at"), F.lit(long + 1).alias("size")))
-
-    return score
+    Its versions are told like those. A rival is a template of another licence of which a window as long as this template reaches the threshold with it.
+    """
+    each = [(n, bigrams(t)) for n, ts in sorted(templates.items()) for t in ts]
+    out = []
+    for name, g in each:
+        own = set(g)
+        told = {tuple(sorted(b for b in own if re.fullmatch(VERSION, b)))}
+        for other, h in each:
+            if other == name:
+                continue
+            windows = (set(h[i : i + len(g)]) for i in range(max(1, len(h) - len(g) + 1)))
+            if max(2 * len(own & w) / (len(own) + len(w)) for w in windows) >= threshold:
+                told.add(tuple(sorted(own - set(h))))
+        out.append((name, g, sorted(list(x) for x in told if x)))
+    return out
 
 
 def _found(docs: DataFrame, templates: Templates, threshold: float, key: str, text: str) -> DataFrame:
-    """(key, found): the templates found in each row as (worse, license, at, size), worse being the negative coefficient."""
-    sets = [(n, bigrams(t)) for n, ts in sorted(templates.items()) for t in ts]
-    if not sets or not all(g for _, g in sets):
+    """(key, found): the windows that count in each row as (worse, less, license, at, size), worse being the negative coefficient."""
+    sets = rivals(templates, threshold)
+    if not sets or not all(g for _, g, _ in sets):
         raise ValueError("each template needs two words")
-    every = F.array(*[F.lit(b) for b in sorted({b for _, g in sets for b in g})])
+    texts = lambda xs: F.array(*map(F.lit, xs)) if xs else F.array().cast("array<string>")
+    # one constant that every template is read from, so that the plan has each expression once
+    known = F.array(*[
+        F.struct(
+            F.lit(name).alias("license"), texts(sorted(set(g))).alias("here"), F.lit(len(set(g))).alias("m"), F.lit(len(g)).alias("long"),
+            F.lit(least_common(len(set(g)), threshold)).alias("need"), (F.array(*map(texts, told)) if told else F.array().cast("array<array<string>>")).alias("told"),
+        )
+        for name, g, told in sets
+    ])
     low = docs.select(F.col(key).alias("key"), ascii_lower(text_or_empty(text)).alias("low"))
     some = F.lit(False)
     for a in anchors(templates, threshold):
@@ -201,16 +215,31 @@ def _found(docs: DataFrame, templates: Templates, threshold: float, key: str, te
     cut = F.when(some, F.split(F.trim(F.regexp_replace("low", "[^a-z0-9]+", " ")), " "))
     n = F.size("w") - 1
     grams = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    every = texts(sorted({b for _, g, _ in sets for b in g}))
     rows = low.select("key", cut.alias("w")).select("key", F.when(n > 0, grams).alias("g"))
     rows = rows.select("key", "g", F.array_intersect("g", every).alias("held"))
-    each = []
-    for name, g in sets:
-        own = sorted(set(g))
-        m, here = len(own), F.array(*map(F.lit, own))
-        need = least_common(m, threshold)
-        enough = F.when(F.size("held") >= need, F.size(F.array_intersect("held", here)) >= need).otherwise(False)
-        each.append(F.when(enough, F.array_min(F.transform(_starts(here), _scorer(here, m, len(g), name, threshold)))))
-    return rows.select("key", F.filter(F.array(*each), lambda x: x.isNotNull()).alias("found"))
+
+    def window(t: Column, b: Column, i: Column) -> Column:
+        """The window of a template from a place, null below the threshold."""
+        part = F.slice("g", i + 1, t["long"])
+        size = F.size(F.array_distinct(part))
+        dice = F.lit(2.0) * F.size(F.array_intersect(part, t["here"])) / (size + t["m"])
+        own = F.forall(t["told"], lambda d: 2 * F.size(F.array_intersect(part, d)) >= F.size(d))
+        good = (size >= t["m"] * threshold / (2 - threshold) - 1e-9) & (dice >= threshold) & own
+        made = F.struct((-dice).alias("worse"), (-t["long"]).alias("less"), t["license"].alias("license"), i.cast("bigint").alias("at"), (t["long"] + 1).alias("size"))
+        return F.when(F.array_contains(t["here"], b) & good, made)
+
+    def best(t: Column) -> Column:
+        enough = (F.size("held") >= t["need"]) & (F.size(F.array_intersect("held", t["here"])) >= t["need"])
+        return F.when(enough, F.array_min(F.transform("g", lambda b, i: window(t, b, i))))
+
+    rows = rows.select("key", F.filter(F.transform(known, best), lambda x: x.isNotNull()).alias("all"))
+
+    def beaten(f: Column, h: Column) -> Column:
+        both = F.least(f["at"] + f["size"], h["at"] + h["size"]) - F.greatest(f["at"], h["at"])
+        return (h["license"] != f["license"]) & (h < f) & (2 * both > F.least(f["size"], h["size"]))
+
+    return rows.select("key", F.filter("all", lambda f: ~F.exists("all", lambda h: beaten(f, h))).alias("found"))
 
 
 def license_spans(
@@ -241,15 +270,23 @@ def oracle_sql(templates: Templates = TEMPLATES, threshold: float = THRESHOLD) -
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quote(n)}, {quote(' '.join(words(t)))})" for n, ts in sorted(templates.items()) for t in ts)
     grams = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    dice = "2.0::DOUBLE * len(list_intersect({0}, {1})) / (len({0}) + len({1}))"
     return f"""
-WITH tpl AS (SELECT row_number() OVER () AS k, license, {grams} AS g FROM (SELECT license, string_split(t, ' ') AS w FROM (VALUES {values}) v(license, t))),
+WITH plain AS (SELECT row_number() OVER () AS k, license, {grams} AS g FROM (SELECT license, string_split(t, ' ') AS w FROM (VALUES {values}) v(license, t))),
+near AS (SELECT DISTINCT a.k, b.k AS rival FROM plain a JOIN plain b ON a.license <> b.license, range(greatest(1, len(b.g) - len(a.g) + 1)) r(i)
+  WHERE {dice.format("list_distinct(a.g)", "list_distinct(list_slice(b.g, i + 1, i + len(a.g)))")} >= {threshold}),
+told AS (SELECT k, list(told) AS told FROM (SELECT near.k, list_filter(list_distinct(a.g), lambda x: NOT list_contains(b.g, x)) AS told FROM near JOIN plain a USING (k) JOIN plain b ON b.k = rival
+  UNION ALL SELECT k, list_filter(list_distinct(g), lambda x: regexp_full_match(x, '{VERSION}')) FROM plain) GROUP BY k),
+tpl AS (SELECT k, license, g, coalesce(told, []) AS told FROM plain LEFT JOIN told USING (k)),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {grams} AS g FROM (SELECT doc_id,
   string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents)),
 flat AS (SELECT r, unnest(g) AS b, generate_subscripts(g, 1) AS i FROM doc),
 hit AS (SELECT r, i, k FROM flat JOIN (SELECT DISTINCT k, unnest(g) AS b FROM tpl) USING (b)),
-win AS (SELECT r, k, list_distinct(list_slice(doc.g, i, i + len(tpl.g) - 1)) AS a, list_distinct(tpl.g) AS b, license FROM hit JOIN doc USING (r) JOIN tpl USING (k)),
-dice AS (SELECT r, license, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM win),
-per AS (SELECT r, count(DISTINCT license) AS n, arg_min(license, (-dice, license)) AS license, max(dice) AS dice, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
-  FROM dice WHERE dice >= {threshold} GROUP BY r)
+win AS (SELECT r, i, k, license, len(tpl.g) + 1 AS n, told, list_distinct(list_slice(doc.g, i, i + len(tpl.g) - 1)) AS a, list_distinct(tpl.g) AS b FROM hit JOIN doc USING (r) JOIN tpl USING (k)),
+good AS (SELECT * FROM (SELECT r, i, k, license, n, len(list_filter(told, lambda d: len(list_intersect(a, d)) * 2 < len(d))) = 0 AS own, {dice.format("a", "b")} AS dice FROM win) WHERE own AND dice >= {threshold}),
+best AS (SELECT r, k, license, n, max(dice) AS dice, arg_min(i, (-dice, i)) AS i FROM good GROUP BY r, k, license, n),
+kept AS (SELECT * FROM best f WHERE NOT EXISTS (SELECT 1 FROM best h WHERE h.r = f.r AND h.license <> f.license AND (-h.dice, -h.n, h.license, h.i) < (-f.dice, -f.n, f.license, f.i)
+  AND 2 * (least(f.i + f.n, h.i + h.n) - greatest(f.i, h.i)) > least(f.n, h.n))),
+per AS (SELECT r, count(DISTINCT license) AS n, arg_min(license, (-dice, -n, license, i)) AS license, max(dice) AS dice, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM kept GROUP BY r)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, license, dice, licenses FROM doc LEFT JOIN per USING (r)
 """

@@ -433,18 +433,37 @@ def test_decontamination_finds_all_within_budget(spark):
 
 
 def found_licenses(t):
-    best = {}
-    g = licenses.bigrams(t or "")
-    for name, texts in licenses.TEMPLATES.items():
-        for text in texts:
-            own = licenses.bigrams(text)
-            for i in range(len(g)):
-                if g[i] in set(own):
-                    a = set(g[i : i + len(own)])
-                    dice = 2 * len(a & set(own)) / (len(a) + len(set(own)))
-                    if dice >= 0.8:
-                        best[name] = max(dice, best.get(name, 0))
-    return best
+    """(coefficient, words, licence, place) of the windows that count, best first, in plain Python."""
+    every = [(n, licenses.bigrams(x)) for n, ts in sorted(licenses.TEMPLATES.items()) for x in ts]
+    dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b))
+    g, best = licenses.bigrams(t or ""), []
+    for name, own in every:
+        told = [
+            set(own) - set(h) for other, h in every
+            if other != name and any(dice(set(own), set(h[i : i + len(own)])) >= 0.8 for i in range(max(1, len(h) - len(own) + 1)))
+        ] + [{b for b in own if re.fullmatch(r"(version|v) \d+", b)}]
+        windows = [(i, set(g[i : i + len(own)])) for i in range(len(g)) if g[i] in set(own)]
+        good = [(-dice(a, set(own)), i) for i, a in windows if dice(a, set(own)) >= 0.8 and all(2 * len(a & x) >= len(x) for x in told)]
+        if good:
+            worse, i = min(good)
+            best.append((worse, -len(own), name, i, len(own) + 1))
+    overlap = lambda f, h: 2 * (min(f[3] + f[4], h[3] + h[4]) - max(f[3], h[3])) > min(f[4], h[4])
+    return sorted(f for f in best if not any(h[2] != f[2] and h < f and overlap(f, h) for h in best))
+
+
+def test_each_template_names_its_licence(spark):
+    """Alone, in the middle of other words, and two in one text."""
+    every = [(n, t) for n, ts in licenses.TEMPLATES.items() for t in ts]
+    other = {n: next(t for m, t in every if m != n and m[:3] != n[:3]) for n, _ in every}
+    texts = [t for _, t in every] + [f"Some words before it. {t} And some more after it." for _, t in every] + [f"{t} -- whereas the other part: {other[n]}" for n, t in every]
+    texts += ["This work is licensed under the GNU General Public License, version 1.", "This work is licensed under the GNU Affero General Public License, version 7."]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    got = {r["doc_id"]: (r["n_licenses"], r["license"], r["licenses"]) for r in rows}
+    for k, (name, _) in enumerate(every):
+        assert got[k] == (1, name, name) and got[len(every) + k] == (1, name, name), texts[k]
+        partner = next(m for m, t in every if t == other[name])
+        assert got[2 * len(every) + k][2] == ",".join(sorted((name, partner))), texts[k]
+    assert got[len(texts) - 2][0] == got[len(texts) - 1][0] == 0
 
 
 def test_license_scan(spark):
@@ -472,8 +491,8 @@ def test_license_scan(spark):
     got = {r["doc_id"]: tuple(r)[1:] for r in licenses.scan(frame).collect()}
     for k, t in docs:
         best = found_licenses(t)
-        top = min(((-d, n) for n, d in best.items()), default=None)
-        assert got[k] == (len(best), top and top[1], top and pytest.approx(-top[0]), ",".join(sorted(best)) if best else None), (k, t)
+        names, top = sorted({f[2] for f in best}), best[0] if best else None
+        assert got[k] == (len(names), top and top[2], top and pytest.approx(-top[0]), ",".join(names) if names else None), (k, t)
     assert all(name in got[100 + k][3].split(",") for k, name in enumerate(wrapped)) and "BSD-3-Clause" in got[None][3]
     spans = licenses.license_spans(frame.where("doc_id = 101")).collect()
     assert [(s["license"], s["first_word"], s["n_words"]) for s in spans] == [("Apache-2.0", 3, 8)]
