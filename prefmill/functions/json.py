@@ -92,9 +92,15 @@ def canonical(v: Column) -> Column:
     return F.when(kind(v).isin("integer", "number"), F.concat(F.lit("#"), v.try_cast("double").cast("string"))).otherwise(F.to_json(v))
 
 
-def subset(text: Column, keys: Sequence[str]) -> Column:
+def subset_of(v: Column, keys: Sequence[str]) -> Column:
     """Some fields of a JSON object as a JSON text with sorted keys; fields that are null or absent are left out, nulls within kept
-    ones stay, and numbers are spelt by their value (1.0 as 1)."""
-    fields = value(text).try_cast("map<string,variant>")
-    found = [F.when(~kind(F.try_element_at(fields, F.lit(k))).isin("null"), F.concat(F.lit(f'"{k}":'), F.to_json(F.try_element_at(fields, F.lit(k))))) for k in sorted(keys)]
-    return F.when(fields.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *found), F.lit("}")))
+    ones stay, and numbers are spelt by their value (1.0 as 1). Null for anything but an object."""
+    kept = F.map_filter(v.try_cast("map<string,variant>"), lambda k, x: k.isin(*keys) & (kind(x) != "null"))
+    entries = F.array_sort(F.map_entries(F.transform_values(kept, lambda _, x: F.to_json(x))))
+    parts = F.transform(entries, lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+
+
+def subset(text: Column, keys: Sequence[str]) -> Column:
+    """``subset_of`` of a strict JSON text."""
+    return subset_of(value(text), keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Plan modules; importing one registers its queries.
-MODULES = ("evaluation", "conversations", "corpus", "events", "tasks", "answers", "lessons", "receipts", "files", "streams")
+MODULES = ("evaluation", "conversations", "corpus", "events", "tasks", "answers", "lessons", "receipts", "release", "files", "streams")
 
 
 def load() -> tuple[dict, dict]:

@@ -120,6 +120,20 @@ def _kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.validate(rows, only=("lesson-kernel-json-v1",)).select("doc_id", F.array_join("issues", ",").alias("issues"))
 
 
+#: The edit puts another first fact in; whatever the lesson was, its facts are changed then.
+EDITED_CODES: Codes = [(c, "true" if c == "source-facts-changed" else on) for c, on in KERNEL_CODES]
+
+
+@query("rejected_lessons", f"SELECT doc_id, {told(EDITED_CODES, True)} AS issues FROM labels")
+def _edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    oracle = json.dumps({"lessonId": "ald-x-0", "facts": FACTS})
+    rows = table(spark, sf_dir, "labels").select(
+        "doc_id", F.lit("lesson-kernel-json-v1").alias("contract"), F.expr(filled({"lessons": [LESSON]}, LESSON_MARKS)).alias("answer"), F.lit(oracle).alias("oracle")
+    )
+    found = contracts.construct_rejected(rows, only=("lesson-kernel-json-v1",))
+    return found.select("doc_id", F.array_join("rejected_issues", ",").alias("issues"))
+
+
 # -- responses of all kinds ---------------------------------------------------------
 
 BUNDLE = {"mcItems": "@items@", "keyTerms": "@terms@"}
