@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prefmill.plans.registry import query, table
 from prefmill.sources.shared import folder
-from prefmill.streaming import resume, retries
+from prefmill.streaming import resume, retries, tee
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,3 +78,27 @@ def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         retries.start(retries.retried(_requests(asked), drafting, unfinished), f"{top}/rows", f"{top}/state").awaitTermination()
     rows = retries.log(spark, f"{top}/rows")
     return rows.select("id", "attempt", "text", F.array_join("issues", ",").alias("issues"), F.get_json_object("settings", "$.seed").cast("bigint").alias("seed"))
+
+
+@query(
+    "stream_progress",
+    """
+SELECT event_id AS iteration, CASE WHEN event_id % 3 > 0 THEN value END AS train_loss, CASE WHEN event_id % 3 = 0 THEN value END AS valid_loss, CASE WHEN event_id % 3 = 1 THEN user_id::DOUBLE END AS tokens_per_second
+FROM events WHERE event_type <> 'error'
+""",
+)
+def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trainer's lines, a line for each event, in two parts; lines that name no iteration are kept in the log alone."""
+    top, k = folder(spark, "trainer"), F.col("event_id")
+    said = F.concat(
+        F.lit("Iter "), k.cast("string"), F.when(k % 3 == 0, ": Val loss ").otherwise(": Train loss "), F.col("value").cast("string"),
+        F.when(k % 3 == 1, F.concat(F.lit(", Tokens/sec "), F.col("user_id").cast("string"))).otherwise(""),
+    )
+    lines = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("warning: Iter "), k.cast("string"))).otherwise(said).alias("value"))
+    for part in (0, 1):
+        lines.where(k % 2 == part).select("value").write.mode("append").text(f"{top}/out")
+        tee.tee(spark.readStream.text(f"{top}/out"), f"{top}/log", f"{top}/rows", f"{top}/state").awaitTermination()
+    kept, told = spark.read.text(f"{top}/log").count(), lines.count()
+    if kept != told:
+        raise ValueError(f"the log has {kept} of {told} lines")
+    return tee.told_so_far(spark, f"{top}/rows")
