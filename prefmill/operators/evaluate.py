@@ -47,13 +47,14 @@ def promotion(base: DataFrame, candidate: DataFrame, kind: str = "hallucinated-c
     Rows carry id, category and issues. same_fixtures wants the same ids on both sides, as many as ``fixtures``.
     """
     of_kind = F.coalesce(F.sum(F.size(F.filter("issues", lambda x: x == kind))), F.lit(0)).alias("kind")
-    # an order-free digest: equal sets of ids have equal sums of their hashes, and no task holds a set
-    ids = F.sum(F.xxhash64(F.col("id").cast("string")).cast("decimal(38,0)")).alias("ids")
-    one = lambda d, p: d.agg(*_counts(), of_kind, ids).select(*[F.col(c).alias(f"{p}_{c}") for c in ("n", "pass_rate", "issue_count", "kind", "ids")])
+    one = lambda d, p: d.agg(*_counts(), of_kind).select(*[F.col(c).alias(f"{p}_{c}") for c in ("n", "pass_rate", "issue_count", "kind")])
     lost = compare_categories(base, candidate).agg(F.count_if("regressed").alias("regressions"))
-    row = one(base, "b").join(one(candidate, "c")).join(lost)  # three frames of one row each
+    # the same ids, as often on either side
+    times = lambda d, name: d.groupBy("id").agg(F.count(F.lit(1)).alias(name))
+    apart = times(base, "x").join(times(candidate, "y"), "id", "full_outer").agg(F.count_if(~F.col("x").eqNullSafe(F.col("y"))).alias("apart"))
+    row = one(base, "b").join(one(candidate, "c")).join(lost).join(apart)  # four frames of one row each
     checks = {
-        "same_fixtures": (F.col("b_ids") == F.col("c_ids")) & (F.col("b_n") == fixtures) & (F.col("c_n") == fixtures),
+        "same_fixtures": (F.col("apart") == 0) & (F.col("b_n") == fixtures) & (F.col("c_n") == fixtures),
         "pass_rate_up": F.col("c_pass_rate") > F.col("b_pass_rate"),
         "issues_down": F.col("c_issue_count") < F.col("b_issue_count"),
         "no_regression": F.col("regressions") == 0,
