@@ -6,7 +6,9 @@ documents and are judged on the input.
 
 1. Sampling. In every window of ``width`` bytes, one ``GRAM``-byte string (the one with
    the smallest hash, leftmost) is its anchor; equal windows have equal anchors at equal
-   offsets. Windows with one anchor are consecutive and form a run. Hashes of all
+   offsets. Windows with one anchor are consecutive and form a run. In a stretch of a short period
+   (rules, padding, zeros) every run has the anchor of the run before; where the bytes one period earlier are the same,
+   all its windows repeat their own document, which is known at once: such runs are marked and go no further. Hashes of all other
    anchors are dealt out by value, and runs whose anchor occurs once are done.
 2. Suffix sort. The remaining runs' bytes are dealt out by anchor. In a task, runs with
    equal bytes collapse into their earliest; the windows of what is left are sorted as
@@ -54,6 +56,8 @@ ONE_LEVEL = 1 << 14
 MOST_TASKS = 20_000
 RUNS_PER_FLUSH = 1 << 16
 WINDOWS_PER_SORT = 1 << 17
+#: Windows of one record of a stretch that repeats itself.
+LONGEST = 60_000
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = 24
 
@@ -97,9 +101,27 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
+def periodic(data: np.ndarray, begin: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray, same: np.ndarray, width: int) -> np.ndarray:
+    """Which runs hold only windows that stand already one period earlier in their document.
+
+    same: whether a run's anchor equals that of the run before, in the same document. Their distance is the period to look at; the
+    bytes decide.
+    """
+    out = np.zeros(len(start), bool)
+    back = np.diff(anchor, prepend=0)
+    ask = np.flatnonzero(same & (start - back >= begin))
+    for d in np.unique(back[ask]).tolist():
+        mine = ask[back[ask] == d]
+        differ = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(data[d:] != data[:-d], out=differ[d + 1 :])
+        out[mine] = differ[start[mine] + size[mine] + width - 1] == differ[start[mine]]
+    return out
+
+
 def runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Runs of the documents data[begin:end] (laid end to end): document, first window within it, windows, anchor hash."""
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    """Runs of the documents data[begin:end] (laid end to end): document, first window within it, windows, anchor hash, and
+    whether all its windows are known to repeat the document itself (``periodic``)."""
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
     if len(data) < width:
         return none
     gram = min(GRAM, width // 2)
@@ -115,7 +137,9 @@ def runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> tu
     anchor = (least[window] & mask).astype(np.int64)
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])
     size = np.diff(np.r_[first, len(window)])
-    return doc[first], window[first] - begin[doc[first]], size, h[anchor[first]]
+    d, start, at, name = doc[first], window[first], anchor[first], h[anchor[first]]
+    same = np.r_[False, (name[1:] == name[:-1]) & (d[1:] == d[:-1])]
+    return d, start - begin[d], size, name, periodic(data, begin[d], start, size, at, same, width)
 
 
 def text_runs(texts: list[bytes], width: int = WIDTH) -> Iterator[tuple[np.ndarray, ...]]:
@@ -127,10 +151,10 @@ def text_runs(texts: list[bytes], width: int = WIDTH) -> Iterator[tuple[np.ndarr
         data = np.frombuffer(b"".join(b for _, _, b in batch), np.uint8)
         size = np.array([len(b) for _, _, b in batch], np.int64)
         end = np.cumsum(size)
-        d, at, n, h = runs(data, end - size, end, width)
+        d, at, n, h, known = runs(data, end - size, end, width)
         numbers = np.array([x for x, _, _ in batch], np.int64)
         shift = np.array([x for _, x, _ in batch], np.int64)
-        return numbers[d], at + shift[d], n, h
+        return numbers[d], at + shift[d], n, h, known
 
     for i, t in enumerate(texts):
         # pieces of a long text overlap by width - 1 bytes: each window is in one piece
@@ -167,6 +191,19 @@ def _pack_anchors(held: list[tuple[np.ndarray, ...]], parts: int) -> pd.DataFram
     return pd.DataFrame(out, columns=["part", "names", "doc", "at", "n", "h"])
 
 
+def _pack_known(ids: np.ndarray, at: np.ndarray, n: np.ndarray, parts: int) -> pd.DataFrame:
+    """Runs that repeat their own document -> one packed row without hashes, neighbours joined."""
+    new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (at[1:] != at[:-1] + n[:-1])])
+    total = np.add.reduceat(n, new)
+    pieces = -(-total // LONGEST)
+    of = np.repeat(np.arange(len(new)), pieces)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    ids, at, n = ids[new][of], at[new][of] + k * LONGEST, np.minimum(LONGEST, total[of] - k * LONGEST)
+    names, index = np.unique(ids, return_inverse=True)
+    row = (int(ids[0]) % parts, names.astype("<i8").tobytes(), index.astype("<u4").tobytes(), at.astype("<u4").tobytes(), n.astype("<u2").tobytes(), b"")
+    return pd.DataFrame([row], columns=["part", "names", "doc", "at", "n", "h"])
+
+
 def _plain_anchors(b: tuple) -> tuple[np.ndarray, ...]:
     """The anchors of a packed row (names, doc, at, n, h)."""
     ids = np.frombuffer(b[0], "<i8")[np.frombuffer(b[1], "<u4")]
@@ -180,7 +217,10 @@ def _deal_again(parts: int):
         held: list[tuple[np.ndarray, ...]] = []
         rows = 0
         for f in frames:
-            for r in f[["names", "doc", "at", "n", "h"]].itertuples(index=False, name=None):
+            known = f["h"].map(len) == 0
+            if known.any():
+                yield f[known]
+            for r in f.loc[~known, ["names", "doc", "at", "n", "h"]].itertuples(index=False, name=None):
                 held.append(_plain_anchors(r))
                 rows += len(held[-1][0])
                 if rows >= FLUSH:
@@ -204,7 +244,10 @@ def _sample(width: int, parts: int):
 
         for f in frames:
             ids = f["_id"].to_numpy()
-            for d, at, n, h in text_runs([t.encode("utf-8", "surrogatepass") for t in f["_t"]], width):
+            for d, at, n, h, known in text_runs([t.encode("utf-8", "surrogatepass") for t in f["_t"]], width):
+                if known.any():
+                    yield _pack_known(ids[d[known]], at[known], n[known], parts)
+                    d, at, n, h = d[~known], at[~known], n[~known], h[~known]
                 held.append((ids[d], at, n, h))
                 rows += len(d)
                 if rows >= FLUSH:
@@ -243,6 +286,12 @@ def _repeated(hot: int):
         part, blocks = None, []
         for f in frames:
             for r in f.itertuples(index=False, name=None):
+                if not r[5]:  # nothing is asked of these
+                    ids, index = np.frombuffer(r[1], "<i8"), np.frombuffer(r[2], "<u4")
+                    at, n = np.frombuffer(r[3], "<u4"), np.frombuffer(r[4], "<u2")
+                    own = [np.flatnonzero(index == k) for k in range(len(ids))]
+                    yield pd.DataFrame([(int(i), at[o].tobytes(), n[o].tobytes(), b"", b"") for i, o in zip(ids, own)], columns=["_id", "at", "n", "h", "salts"])
+                    continue
                 if r[0] != part and blocks:
                     yield one(blocks)
                     blocks = []
@@ -438,6 +487,18 @@ def _mark_windows(width: int):
     return run
 
 
+def _known(width: int):
+    """Packed runs that repeat their own document -> marked stretches."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for i, at, n in zip(f["_id"], f["at"], f["n"]):
+                a = np.frombuffer(at, "<u4").astype(np.int64)
+                yield pd.DataFrame({"_id": np.full(len(a), i), "a": a, "b": a + np.frombuffer(n, "<u2") + width - 1})
+
+    return run
+
+
 MARK_DDL = "_id bigint, a bigint, b bigint, g bigint, body binary"
 
 
@@ -507,6 +568,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     again = sampled.mapInPandas(_repeated(HOT), "_id bigint, at binary, n binary, h binary, salts binary")
     again = written(again, "repeated-anchors")
     release(spark)
+    known = again.where(F.octet_length("h") == 0).select("_id", "at", "n").mapInPandas(_known(width), "_id bigint, a bigint, b bigint")
+    again = again.where(F.octet_length("h") > 0)
     todo = again.groupBy("_id").agg(F.collect_list(F.struct("at", "n", "h", "salts")).alias("runs"))
     found = again.agg(F.sum(F.octet_length("n"))).first()[0] or 0
     parts = max(1, -(-int(found) // RUNS_PER_PART))
@@ -517,7 +580,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     # what hot anchors left over: single windows, dealt out by their bytes
     hot = marked.where("b < 0").select(F.xxhash64("body").alias("g"), "_id", F.col("a").alias("at"), "body")
     hot = hot.repartition("g").sortWithinPartitions("g").mapInPandas(_mark_windows(width), MARK_DDL)
-    marks = marked.where("b >= 0").select("_id", "a", "b").unionByName(hot.select("_id", "a", "b"))
+    marks = marked.where("b >= 0").select("_id", "a", "b").unionByName(hot.select("_id", "a", "b")).unionByName(known)
     marks = marks.groupBy("_id").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
     done = rows.select("_id", packed("_t").alias("_z")).join(marks, "_id", "left").mapInPandas(_cut, CUT_DDL)
     if plain:

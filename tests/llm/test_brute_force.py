@@ -199,13 +199,31 @@ def test_periodic_and_accented_texts(spark):
     assert {r[0]: tuple(r)[1:] for r in substring_dedup.report(d).collect()} == removed(list(enumerate(texts)), 100)
 
 
+@pytest.mark.parametrize("piece", [1 << 19, 700])
+def test_stretches_that_repeat_themselves(spark, monkeypatch, piece):
+    """Rules, padding and short patterns, within and between documents: found at once, and told by few records."""
+    monkeypatch.setattr(substring_dedup, "CHUNK", piece)
+    monkeypatch.setattr(substring_dedup, "LONGEST", 400)
+    monkeypatch.setattr(substring_dedup, "ANCHORS_PER_PART", 40)
+    r = random.Random(6)
+    say = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    texts = ["-" * 5000, say(150) + "=" * 1500 + say(50) + "=" * 130 + say(90), "-" * 99 + say(30) + "-" * 260, "", None, "é-" * 600, "0123456789" * 90 + say(80)]
+    texts += [say(70) + p * (900 // len(p)) + say(120) for p in ("xyz", " ", "the same words again and over ", "q" * 40 + "z", "A" * 60 + say(17))]
+    texts += [texts[1], "-" * 4000 + "!"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert {x[0]: tuple(x)[1:] for x in substring_dedup.report(d).collect()} == removed(list(enumerate(texts)), 100)
+    if piece > 700:
+        left = [int((~known).sum()) for *_, known in substring_dedup.text_runs([b"-" * 5000])]
+        assert left == [1]
+
+
 def test_long_texts_in_pieces():
     r = random.Random(4)
     t = bytes(r.choice(b"abcd") for _ in range(5000))
     old = substring_dedup.CHUNK
     try:
         substring_dedup.CHUNK = 700
-        small = sorted((int(a), int(n), int(h)) for d, at, size, hs in substring_dedup.text_runs([t]) for a, n, h in zip(at, size, hs))
+        small = sorted((int(a), int(n), int(h)) for d, at, size, hs, _ in substring_dedup.text_runs([t]) for a, n, h in zip(at, size, hs))
     finally:
         substring_dedup.CHUNK = old
     windows = [s for a, n, _ in small for s in range(a, a + n)]
