@@ -31,11 +31,14 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import filterfalse
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,11 +48,11 @@ from prefmill.llm.hamming import TASK, deal, whole_tasks
 LEAST, TOP = 10, 10
 SCALE = 1_000_000_000
 #: Pairs of language and term that every task holds, and those of one block of the rest.
-HEAD, BLOCK = 1 << 17, 1 << 17
-#: Counters are given out when they hold so many entries; gathered terms at so many bytes.
-FLUSH, GATHER = 1 << 18, 8 << 20
+HEAD, BLOCK = 1 << 15, 1 << 17
+#: Counts are given out at so many occurrences or groups, gathered terms and texts at so many bytes.
+OCCURRENCES, GROUPS_HELD, GATHER, TEXTS = 1 << 22, 1 << 16, 8 << 20, 16 << 20
 #: Terms of one block of postings, groups of one chunk, characters of gathered terms for one task.
-TERMS, GROUPS, TASK_CHARS = 512, 256, 64 << 20
+TERMS, GROUPS, TASK_CHARS = 512, 256, 16 << 20
 MOST_TASKS = 20000
 
 _KEEP = {*range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -75,11 +78,11 @@ def automaton(kept: list[bytes]):
     return found
 
 
-def recount(found, words: list[bytes]) -> list[int]:
+def recount(found, words: list[bytes]) -> np.ndarray:
     """The place of each occurrence of a kept term in a sequence of terms."""
     if not len(found) or not words:
-        return []
-    return [i for _, i in found.iter(f" {b' '.join(words).decode('latin-1')} ")]
+        return np.zeros(0, np.int64)
+    return np.fromiter(map(itemgetter(1), found.iter(f" {b' '.join(words).decode('latin-1')} ")), np.int64)
 
 
 def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -87,25 +90,50 @@ def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     return docs.select(clean(lang).alias("lang"), clean(source).alias("source"), clean(text).alias("text"))
 
 
+def frequencies(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct terms of some texts, and in how many of them each occurs; no Python object for any term."""
+    plain = [t.translate(_TABLE) for t in texts]
+    raw = np.frombuffer(b" ".join([b"", *plain, b""]), np.uint8)
+    inside = raw != 32
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # it begins and ends with a space: terms begin and end by turns
+    start, end = edge[::2], edge[1::2]
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=offsets[1:])
+    occurrences = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+    found = occurrences.dictionary_encode()
+    first = np.cumsum([1, *[len(t) + 1 for t in plain[:-1]]])
+    per = np.diff(np.r_[np.searchsorted(start, first), len(start)])
+    pair = np.repeat(np.arange(len(plain)), per) << 32 | found.indices.to_numpy().astype(np.int64)
+    pair.sort()
+    once = pair[np.flatnonzero(np.diff(pair, prepend=-1))]
+    return found.dictionary, np.bincount(once & 0xFFFFFFFF, minlength=len(found.dictionary))
+
+
 def document_counts(rows: DataFrame) -> DataFrame:
     """rows (lang, text) -> (lang, term, df): in how many documents of the language each term occurs."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, Counter] = defaultdict(Counter)
-
-        def given() -> Iterator[pd.DataFrame]:
-            for lang, c in held.items():
-                yield pd.DataFrame({"lang": lang, "term": [t.decode("utf-8") for t in c], "df": list(c.values())})
-            held.clear()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[bytes]] = defaultdict(list)
+        size = 0
 
-        for frame in frames:
-            for lang, text in zip(frame["lang"], frame["text"]):
-                held[lang].update(set(terms(text)))
-            if sum(map(len, held.values())) >= FLUSH:
-                yield from given()
-        yield from given()
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, texts in waiting.items():
+                found, df = frequencies(texts)
+                for a in range(0, len(found), 1 << 16):
+                    part = found[a : a + (1 << 16)].cast(pa.large_string()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(part)), part, pa.array(df[a : a + (1 << 16)], pa.int64())], ["lang", "term", "df"])
+            waiting.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                waiting[lang].append(text.encode("utf-8", "surrogatepass"))
+                size += len(text)
+                if size >= TEXTS:
+                    yield from counted()
+                    size = 0
+        yield from counted()
 
-    return rows.select("lang", "text").mapInPandas(count, "lang string, term string, df bigint").groupBy("lang", "term").agg(F.sum("df").alias("df"))
+    return rows.select("lang", "text").mapInArrow(count, "lang string, term string, df bigint").groupBy("lang", "term").agg(F.sum("df").alias("df"))
 
 
 def _head(vocabulary: DataFrame, most: int) -> tuple[dict[str, tuple[list[bytes], list[int]]], int]:
@@ -143,19 +171,25 @@ def occurrences(rows: DataFrame, vocabulary: DataFrame, head: int = HEAD) -> Dat
         mine = _held[name]
         if lang not in mine:
             kept, ids = sent.value.get(lang, ([], []))
-            mine[lang] = automaton(kept), frozenset(kept), ids
+            mine[lang] = automaton(kept), frozenset(kept), np.array(ids, np.int64)
         return mine[lang]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        found: list[np.ndarray] = []
+        groups: dict[tuple[str, str], int] = {}
         beside: dict[tuple[str, str, int], list[bytes]] = defaultdict(list)
-        size = 0
+        size = seen = 0
 
         def counted() -> Iterator[pd.DataFrame]:
-            for (lang, source), c in held.items():
-                ids = prepared(lang)[2]
-                yield pd.DataFrame({"lang": lang, "source": source, "tid": [ids[i] for i in c], "n": list(c.values()), "block": -1, "body": ""})
-            held.clear()
+            if found:
+                code, n = np.unique(np.concatenate(found), return_counts=True)
+                of = code >> 32
+                # a group's occurrences lie together
+                ids = [prepared(lang)[2][code[a:b] & 0xFFFFFFFF] for (lang, _), a, b in zip(groups, *np.searchsorted(of, [np.arange(len(groups)), np.arange(1, len(groups) + 1)]))]
+                names = np.array(list(groups), object)[of]
+                yield pd.DataFrame({"lang": names[:, 0], "source": names[:, 1], "tid": np.concatenate(ids), "n": n, "block": -1, "body": ""})
+            found.clear()
+            groups.clear()
 
         def gathered() -> Iterator[pd.DataFrame]:
             if beside:
@@ -165,19 +199,22 @@ def occurrences(rows: DataFrame, vocabulary: DataFrame, head: int = HEAD) -> Dat
 
         for frame in frames:
             for lang, source, text in zip(frame["lang"], frame["source"], frame["text"]):
-                found, known, _ = prepared(lang)
+                machine, known, _ = prepared(lang)
                 words = terms(text)
-                held[lang, source].update(recount(found, words))
-                if blocks:
-                    for w in words:
-                        if w not in known:
-                            beside[lang, source, zlib.crc32(w) % blocks].append(w)
-                            size += len(w) + 1
+                at = recount(machine, words)
+                if len(at):
+                    found.append(at | groups.setdefault((lang, source), len(groups)) << 32)
+                    seen += len(at)
+                if blocks and len(at) < len(words):
+                    for w in filterfalse(known.__contains__, words):
+                        beside[lang, source, zlib.crc32(w) % blocks].append(w)
+                        size += len(w) + 1
                     if size >= GATHER:
                         yield from gathered()
                         size = 0
-            if sum(map(len, held.values())) >= FLUSH:
+            if seen >= OCCURRENCES or len(groups) >= GROUPS_HELD:
                 yield from counted()
+                seen = 0
         yield from counted()
         yield from gathered()
 
@@ -216,7 +253,7 @@ def _rest(texts: DataFrame, rest: DataFrame, blocks: int) -> DataFrame:
                 if lang not in found:
                     found[lang] = automaton(kept[lang][0])
                 ids = kept[lang][1]
-                for i, n in Counter(recount(found[lang], body.encode("utf-8").split(b" "))).items():
+                for i, n in zip(*(x.tolist() for x in np.unique(recount(found[lang], body.encode("utf-8").split(b" ")), return_counts=True))):
                     out[lang, source, ids[i]] += n
             yield pd.DataFrame([(*k, n) for k, n in out.items()], columns=["lang", "source", "tid", "n"])
 
@@ -227,8 +264,10 @@ def _rest(texts: DataFrame, rest: DataFrame, blocks: int) -> DataFrame:
 def share(n: Column, total: Column, v: Column) -> Column:
     """p of a count: an exact division, whatever the size of the counts."""
     wide = lambda c, digits: c.cast(f"decimal({digits},0)")
-    top = wide(n + 2, 20) * wide(F.lit(SCALE), 10)
-    return F.lit(1).cast("bigint") + F.call_function("div", top, wide(F.greatest(total + 2 * v, F.lit(1)), 20))
+    whole = F.greatest(total + 2 * v, F.lit(1))
+    exact = F.call_function("div", wide(n + 2, 20) * wide(F.lit(SCALE), 10), wide(whole, 20))
+    # what fits a long is divided as one
+    return F.lit(1).cast("bigint") + F.when(n < (1 << 33) - 2, F.call_function("div", (n + 2) * SCALE, whole)).otherwise(exact)
 
 
 def gap(p: Column, q: Column) -> Column:
@@ -236,8 +275,8 @@ def gap(p: Column, q: Column) -> Column:
 
 
 def _pairs(postings: DataFrame, groups: DataFrame, v: int) -> DataFrame:
-    """postings (lang, tid, source, p) and groups (lang, source, p0, m: groups of the language) -> (lang, a, b, part): over
-    all kept terms, the divergence of a and b less that of two absent counts."""
+    """postings (lang, tid, source, p) and groups (lang, source, p0, m: groups of the language) -> (lang, a, b, part), each two groups
+    once: over all kept terms, their divergence less that of two absent counts."""
     blocks = max(1, math.ceil(v / TERMS))
     mine = postings.join(groups, ["lang", "source"]).select("lang", F.pmod(F.xxhash64("tid"), F.lit(blocks)).cast("bigint").alias("key"), "source", "tid", "p", "p0", "m")
     # every group stands in every block, with no term
@@ -269,17 +308,24 @@ def _added(lang: str, task: pd.DataFrame) -> Iterator[pd.DataFrame]:
     at = term >= 0
     table[group[at], term[at]] = p[at]
     names = np.asarray(names, dtype=object)
+    lanes, asks = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     alone = bool((task["ci"] == task["cj"]).iloc[0])
-    lanes = np.flatnonzero(side == 0)
-    for q in lanes if alone else np.flatnonzero(side == 1):
-        d = table[lanes] - table[q]
-        f = (d * d // (table[lanes] + table[q])).sum(axis=1)
-        d0 = p0[lanes] - p0[q]
-        part = f - high * (d0 * d0 // (p0[lanes] + p0[q]))
-        ok = (lanes != q) & (part != 0)
-        yield pd.DataFrame({"lang": lang, "a": names[q], "b": names[lanes[ok]], "part": part[ok]})
-        if not alone:
-            yield pd.DataFrame({"lang": lang, "a": names[lanes[ok]], "b": names[q], "part": part[ok]})
+    # below 2**26 squares and sums are exact as doubles, and a quotient is too far from the next whole number to be rounded up to it
+    small = (table < 1 << 26).all(axis=0) if (p0 < 1 << 26).all() else np.zeros(high, bool)
+    light, heavy = table[:, small].astype(float), table[:, ~small]
+    out = []
+    for k, q in enumerate(lanes if alone else asks):
+        to = lanes[k + 1 :] if alone else lanes
+        d, e, d0 = light[to] - light[q], heavy[to] - heavy[q], p0[to] - p0[q]
+        part = np.floor(d * d / (light[to] + light[q])).sum(axis=1).astype(np.int64) + (e * e // (heavy[to] + heavy[q])).sum(axis=1)
+        part -= high * (d0 * d0 // (p0[to] + p0[q]))
+        some = part != 0
+        if some.any():
+            out.append((np.repeat(names[q], some.sum()), names[to[some]], part[some]))
+    if out:
+        a, b, part = (np.concatenate(x) for x in zip(*out))
+        first = a < b
+        yield pd.DataFrame({"lang": np.repeat(np.array([lang], object), len(a)), "a": np.where(first, a, b), "b": np.where(first, b, a), "part": part})
 
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least: int = LEAST, top: int = TOP, head: int = HEAD) -> DataFrame:
@@ -300,7 +346,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     postings = counts.join(groups.select("lang", "source", "total", "v"), ["lang", "source"]).select("lang", "source", "tid", share(F.col("n"), F.col("total"), F.col("v")).alias("p"))
     # pairs
     one, two = groups.select("lang", F.col("source").alias("a"), F.col("p0").alias("pa"), "v"), groups.select("lang", F.col("source").alias("b"), F.col("p0").alias("pb"))
-    sums = _pairs(postings, groups.select("lang", "source", "p0", "m"), v)
+    sums = written(_pairs(postings, groups.select("lang", "source", "p0", "m"), v), "pair-sums")
+    sums = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "part"))
     pairs = one.join(two, "lang").where("a <> b").join(sums, ["lang", "a", "b"], "left")
     value = F.coalesce("part", zero) + F.col("v") * gap(F.col("pa"), F.col("pb"))
     pairs = pairs.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), value.alias("value"))
