@@ -389,6 +389,35 @@ def test_quality_ignores_held_out_labels(spark, small):
     assert a == {r["doc_id"]: r["score"] for r in quality.report(small, flipped).collect()}
 
 
+def test_quality_scores_in_plain_python(spark, small):
+    """Every score from the dictionaries and the knots alone: whole texts, block by block."""
+    import zstandard
+
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id bigint, quality int")
+    model = quality.fit(small, labels)
+    assert model.bad and model.good and list(model.score) == sorted(model.score)
+    kinds = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_AUTO) for d in (model.bad, model.good)]
+
+    def size(data, kind):
+        return len(zstandard.ZstdCompressor(level=1, dict_data=kind, write_content_size=False, write_dict_id=False, write_checksum=False).compress(data))
+
+    def score(text):
+        data = (text or "").encode()
+        more = sum(size(data[i : i + 512], kinds[0]) - size(data[i : i + 512], kinds[1]) for i in range(0, len(data), 512))
+        x = (more + model.rate * 64) / (len(data) + 64)
+        pairs = list(zip(model.at, model.score))
+        if x <= pairs[0][0]:
+            return pairs[0][1]
+        for (a, p), (b, q) in zip(pairs, pairs[1:]):
+            if a <= x <= b:
+                return q if b == a else p + (q - p) * (x - a) / (b - a)
+        return pairs[-1][1]
+
+    texts = {r["doc_id"]: r["text"] for r in small.collect()}
+    for r in quality.report(small, labels).collect():
+        assert r["score"] == pytest.approx(score(texts[r["doc_id"]]), abs=1e-9) and r["predicted"] == int(r["score"] >= 0.3)
+
+
 def test_isotonic_is_monotone():
     r = np.random.default_rng(0)
     x = r.normal(size=400)
