@@ -35,7 +35,7 @@ RANK_BITS, BUCKET_BITS = 17, 8
 LOW_BITS = RANK_BITS + BUCKET_BITS
 PART_TOKENS = 1 << 21
 MOST_PARTS = 1 << 14
-FLUSH_KEYS = 1 << 21
+FLUSH_KEYS = 1 << 20
 SLICE_KEYS = 1 << 17
 SWEEPS = 3
 ROUNDS = 12
