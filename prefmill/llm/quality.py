@@ -9,7 +9,8 @@ dictionary turns that difference into a probability of label 1.
 
 Fitting reads a bounded sample of labelled rows (``per_class`` rows of each label for
 the dictionaries, as many again for the calibration, chosen by a hash of the key);
-class weights come from all labelled rows. Every block of those texts enters a dictionary's training; calibration and
+class weights come from all labelled rows. Every block of those texts enters a dictionary's training, in the order of their hashes: the
+trainer takes something from each stretch of its samples, and neighbours of one long text would fill many. Calibration and
 scoring use whole texts, compressed on the executors. Rows whose
 crc32(key as text) mod 5 is 0 are held out: their labels are never used.
 
@@ -22,6 +23,7 @@ result column are replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +51,7 @@ def train_dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
     """A trained dictionary; where the samples are too few to train one, their plain content."""
     import zstandard
 
-    parts = [b for t in texts for b in blocks(t)]
+    parts = sorted((b for t in texts for b in blocks(t)), key=lambda b: (zlib.crc32(b), b))
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
     except (zstandard.ZstdError, ValueError):
