@@ -7,12 +7,17 @@ or adds an element) and as a field (where a second element breaks the object).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value being worked out once for a row, however often use names it; a Column that is named twice is worked out twice."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def is_json(text: Column) -> Column:
     """Whether text is exactly one JSON value; false for null."""
     listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
@@ -30,25 +35,25 @@ def get(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
 
 
+#: How the schema of a variant begins, and what such a value is called; any other is a number.
+KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "BIGINT": "integer", "VOID": "null"}
+
+
 def kind(v: Column) -> Column:
     """object, array, string, boolean, integer, number or null; SQL null where there is no value."""
-    schema = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "BIGINT", "integer")
-        .when(schema == "VOID", "null")
-        .otherwise("number")
-    )
+    names = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
+    known = F.try_element_at(names, F.substring_index(F.schema_of_variant(v), "<", 1))
+    return F.coalesce(known, F.when(v.isNotNull(), "number"))
+
+
+#: What counts as no text.
+_BLANK = r"\A(?:null|false|0|0\.0|\[\]|\{\})\z"
 
 
 def text_of(v: Column) -> Column:
     """A string value as it is, other values as JSON; null, false, 0 and empty ones as ''."""
     plain = F.when(kind(v) == "string", v.cast("string")).otherwise(F.to_json(v))
-    return F.when(v.isNull() | plain.isin("null", "false", "0", "0.0", "[]", "{}"), "").otherwise(F.coalesce(plain, F.lit("")))
+    return F.regexp_replace(F.coalesce(plain, F.lit("")), _BLANK, "")
 
 
 def strings(v: Column) -> Column:
@@ -72,6 +77,15 @@ def parse_codes(text: Column) -> Column:
     )
 
 
+def codes_of(v: Column) -> Column:
+    """``parse_codes`` of a text by its ``value``."""
+    return (
+        F.when(v.isNull(), F.array(F.lit("invalid-json")))
+        .when(kind(v) != "object", F.array(F.lit("root-not-object")))
+        .otherwise(F.array().cast("array<string>"))
+    )
+
+
 def extract_object(text: Column) -> Column:
     """The JSON object in a text: all of it, or else from the first { to the last }; null if neither is an object."""
     inner = F.regexp_extract(text, r"(?s)\{.*\}", 0)

@@ -9,6 +9,8 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from prefmill.functions.json import once
+
 #: White space at either end, Unicode-wide, with the four separator controls.
 _ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -72,8 +74,12 @@ META_PHRASES = ("this lesson", "this course", "success criteria", "evidence move
 
 def meta_phrases(text: Column, phrases: Sequence[str] = META_PHRASES) -> Column:
     """An issue code for each of the phrases that text contains."""
-    codes = [F.when(F.contains(F.lower(text), F.lit(p)), F.lit("meta-language:" + p.replace(" ", "-"))) for p in phrases]
-    return F.filter(F.array(*codes), lambda x: x.isNotNull())
+
+    def found(low: Column) -> Column:
+        codes = [F.when(F.contains(low, F.lit(p)), F.lit("meta-language:" + p.replace(" ", "-"))) for p in phrases]
+        return F.filter(F.array(*codes), lambda x: x.isNotNull())
+
+    return once(F.lower(text), found)
 
 
 #: Names of the reserved turn markers, written <|name> and <name|>.

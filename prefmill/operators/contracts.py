@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from prefmill.functions import json as J
 from prefmill.functions.text import contains_fold, short, strip
-from prefmill.operators.lessons import lesson_issues
+from prefmill.operators.lessons import is_kind, items, lesson_issues
 
 #: The fields of each contract's answers.
 FIELDS = {
@@ -51,7 +51,7 @@ def plain(v: Column) -> Column:
     """A form in which equal values are equal texts: numbers as doubles, booleans as numbers, keys sorted."""
     k = J.kind(v)
     number = F.when(k == "boolean", F.when(v.try_cast("boolean"), 1.0).otherwise(0.0)).when(k.isin("integer", "number"), v.try_cast("double"))
-    return F.when(v.isNull(), "null").when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(F.to_json(v))
+    return F.when(v.isNull(), "null").otherwise(F.coalesce(F.concat(F.lit("#"), number.cast("string")), F.to_json(v)))
 
 
 def differs(a: Column, b: Column) -> Column:
@@ -168,16 +168,16 @@ def _codes(rules: list[Rule]) -> Column:
 
 
 def _kernel(v: Column, o: Column) -> Column:
-    lessons = at(v, "lessons")
-    one = F.when(J.kind(lessons) == "array", J.get(lessons, "$[0]"))
-    is_object = F.coalesce(J.kind(one) == "object", F.lit(False))
-    # without lessons there is an empty one, which differs in everything
-    blank = F.coalesce(J.kind(lessons) != "array", F.lit(True)) | F.coalesce(F.size(lessons.try_cast("array<variant>")) == 0, F.lit(False))
-    extra = [
-        ("wrong-lesson-id", blank | (is_object & differs(at(one, "lessonId"), at(o, "lessonId")))),
-        ("source-facts-changed", blank | (is_object & differs(at(one, "facts"), at(o, "facts")))),
-    ]
-    return F.concat(lesson_issues(v), _codes(extra))
+    def extra(lessons: Column) -> Column:
+        # without lessons there is an empty one, which differs in everything
+        blank = lessons.isNull() | F.coalesce(F.size(lessons) == 0, F.lit(False))
+        return J.once(F.get(lessons, F.lit(0)), lambda one: J.once(blank, lambda none: J.once(is_kind(one, "object"), lambda there: _codes(rules(one, none, there)))))
+
+    def rules(one: Column, blank: Column, is_object: Column) -> list[Rule]:
+        differ = lambda name: J.once(at(one, name), lambda mine: J.once(at(o, name), lambda right: differs(mine, right)))
+        return [("wrong-lesson-id", blank | (is_object & differ("lessonId"))), ("source-facts-changed", blank | (is_object & differ("facts")))]
+
+    return F.concat(lesson_issues(v), J.once(items(at(v, "lessons")), extra))
 
 
 def validate(
@@ -188,7 +188,7 @@ def validate(
 
     only: the contracts that occur, where that is known; it keeps the plan small. kernels: the names of lesson-kernel contracts. The parsed answer and oracle are named intermediate columns, so each is parsed once.
     """
-    t = rows.withColumns({"_codes": J.parse_codes(F.col(answer)), "_v": J.value(F.col(answer)), "_o": F.try_parse_json(oracle)})
+    t = rows.withColumns({"_v": J.value(F.col(answer)), "_o": F.try_parse_json(oracle)}).withColumn("_codes", J.codes_of(F.col("_v")))
     v, o = F.col("_v"), F.col("_o")
     found = F.array(F.lit("unknown-contract"))
     if only is None or any(c in kernels for c in only):

@@ -36,7 +36,7 @@ def is_kind(v: Column, kind: str) -> Column:
 
 def items(v: Column) -> Column:
     """The elements of an array, null for anything else."""
-    return F.when(is_kind(v, "array"), v.try_cast("array<variant>"))
+    return v.try_cast("array<variant>")
 
 
 def codes(*rules: tuple[str, Column]) -> Column:
@@ -54,86 +54,105 @@ def of_all(values: Column, prefix: str, check) -> Column:
 
 
 def term_issues(v: Column) -> Column:
-    text = {n: strip(J.text_of(at(v, n))) for n, _, _ in TERM_TEXTS}
-    same = words(text["mi"]) == words(text["df"])
-    found = codes(
-        *texts(v, TERM_TEXTS),
-        ("key-term-mi-equals-cx", squeezed(text["mi"]) == squeezed(text["cx"])),
-        ("key-term-mi-repeats-df", (F.size(words(text["mi"])) > 0) & same),
-    )
-    return F.when(is_kind(v, "object"), found).otherwise(F.array(F.lit("key-term-not-object")))
+    def found(text: Column) -> Column:
+        return F.concat(
+            codes(*[(code, F.length(text[n]) < least) for n, least, code in TERM_TEXTS], ("key-term-mi-equals-cx", squeezed(text["mi"]) == squeezed(text["cx"]))),
+            J.once(words(text["mi"]), lambda w: codes(("key-term-mi-repeats-df", (F.size(w) > 0) & (w == words(text["df"]))))),
+        )
 
+    stripped = F.struct(*[strip(J.text_of(at(v, n))).alias(n) for n, _, _ in TERM_TEXTS])
+    return F.when(is_kind(v, "object"), J.once(stripped, found)).otherwise(F.array(F.lit("key-term-not-object")))
 
-def item_issues(v: Column, facts: Column | None = None, need_facts: bool | Column = False) -> Column:
-    options = items(at(v, "op"))
+
+def _option_issues(options: Column) -> Column:
     four = F.coalesce(F.size(options) == 4, F.lit(False))
     cleaned = F.transform(options, lambda x: strip(J.text_of(x)))
+    wrong = J.once(cleaned, lambda x: codes(("mc-option-empty", F.array_contains(x, "")), ("mc-options-duplicate", F.size(F.array_distinct(F.transform(x, fold))) != 4)))
+    return F.when(four, wrong).otherwise(F.array(F.lit("mc-options-count")))
+
+
+def _index_issues(index: Column, limit: Column, need: Column) -> Column:
+    """Issues of the numbers of the facts that an item rests on."""
+
+    def found(lists: Column) -> Column:
+        whole = F.forall(lists, lambda x: is_kind(x, "integer") & F.coalesce((x.try_cast("bigint") >= 0) & (x.try_cast("bigint") < limit), F.lit(False)))
+        once = F.size(F.array_distinct(F.transform(lists, lambda x: F.to_json(x)))) == F.size(lists)
+        wrong = codes(("mc-fact-index-invalid", ~F.coalesce(whole & once, F.lit(False))))
+        return F.when(F.coalesce(F.size(lists).between(1, 2), F.lit(False)), wrong).otherwise(F.array(F.lit("mc-fact-index-count")))
+
+    asked = need | F.coalesce(J.kind(index) != "null", F.lit(False))
+    return F.when(asked, J.once(items(index), found)).otherwise(F.array().cast("array<string>"))
+
+
+def item_issues(v: Column, facts: Column | None = None, need_facts: bool | Column = False) -> Column:
     answer = at(v, "ai")
     good_answer = is_kind(answer, "integer") & F.coalesce(answer.try_cast("bigint").between(0, 3), F.lit(False))
     keys = F.coalesce(J.keys(v), F.array().cast("array<string>"))
     index = F.when(F.array_contains(keys, "fi"), at(v, "fi")).otherwise(at(v, "sourceFactIndexes"))
-    asked = (F.lit(need_facts) if isinstance(need_facts, bool) else need_facts) | F.coalesce(J.kind(index) != "null", F.lit(False))
-    lists = items(index)
-    count = F.coalesce(F.size(lists).between(1, 2), F.lit(False))
+    need = F.lit(need_facts) if isinstance(need_facts, bool) else need_facts
     limit = facts if facts is not None else F.lit(2**31)
-    whole = F.forall(lists, lambda x: is_kind(x, "integer") & F.coalesce((x.try_cast("bigint") >= 0) & (x.try_cast("bigint") < limit), F.lit(False)))
-    once = F.size(F.array_distinct(F.transform(lists, lambda x: F.to_json(x)))) == F.size(lists)
-    found = codes(
-        ("mc-options-count", ~four),
-        ("mc-option-empty", four & F.exists(cleaned, lambda x: x == "")),
-        ("mc-options-duplicate", four & (F.size(F.array_distinct(F.transform(cleaned, fold))) != 4)),
-        ("mc-answer-index", ~good_answer),
-        *texts(v, ITEM_TEXTS),
-        ("mc-fact-index-count", asked & ~count),
-        ("mc-fact-index-invalid", asked & count & ~F.coalesce(whole & once, F.lit(False))),
+    found = F.concat(
+        J.once(items(at(v, "op")), _option_issues),
+        codes(("mc-answer-index", ~good_answer), *texts(v, ITEM_TEXTS)),
+        J.once(index, lambda x: _index_issues(x, limit, need)),
     )
     return F.when(is_kind(v, "object"), found).otherwise(F.array(F.lit("mc-not-object")))
 
 
+def _part_issues(part: Column, none: str, table: tuple, sized: tuple | None) -> Column:
+    rules = texts(part, table)
+    if sized:
+        field, n, code = sized
+        rules.append((code, ~F.coalesce(F.size(items(at(part, field))) == n, F.lit(False))))
+    return F.when(is_kind(part, "object"), codes(*rules)).otherwise(F.array(F.lit(none)))
+
+
 def one_lesson(v: Column) -> Column:
-    facts, terms, mc = items(at(v, "facts")), items(at(v, "keyTerms")), items(at(v, "mc"))
-    five = F.coalesce(F.size(facts) == 5, F.lit(False))
-    three, four = F.coalesce(F.size(terms) == 3, F.lit(False)), F.coalesce(F.size(mc) == 4, F.lit(False))
-    rules = [
-        ("lesson-id", short(J.text_of(at(v, "lessonId")), 3)),
-        ("facts-count", ~five),
-        ("fact-too-short", five & F.exists(facts, lambda x: short(J.text_of(x), 20))),
-        ("key-terms-count", ~three),
-        ("mc-count", ~four),
-    ]
-    for name, none, table, sized in PARTS:
-        part = at(v, name)
-        there = is_kind(part, "object")
-        rules.append((none, ~there))
-        rules += [(code, there & c) for code, c in texts(part, table)]
-        if sized:
-            field, n, code = sized
-            rules.append((code, there & ~F.coalesce(F.size(items(at(part, field))) == n, F.lit(False))))
+    """Issues of a lesson. What several rules ask of is bound by ``once``: a name that only stands for an expression has its parts read
+    again at each mention, and mentions within mentions multiply."""
     empty = F.array().cast("array<string>")
-    known = F.when(five, 5).otherwise(0)
-    found = F.concat(
-        codes(*rules),
-        F.when(three, of_all(terms, "key-term", term_issues)).otherwise(empty),
-        F.when(four, of_all(mc, "mc", lambda x: item_issues(x, known, True))).otherwise(empty),
-        meta_phrases(F.to_json(v)),
-    )
-    return F.when(is_kind(v, "object"), found).otherwise(F.array(F.lit("lesson-not-object")))
+
+    def of_facts(facts: Column) -> Column:
+        short_one = codes(("fact-too-short", F.exists(facts, lambda x: short(J.text_of(x), 20))))
+        return F.when(_sized(facts, 5), short_one).otherwise(F.array(F.lit("facts-count")))
+
+    def of_lists(lists: Column) -> Column:
+        facts, terms, mc = lists["facts"], lists["terms"], lists["mc"]
+        three, four = _sized(terms, 3), _sized(mc, 4)
+        known = F.when(_sized(facts, 5), 5).otherwise(0)
+        return F.concat(
+            codes(("lesson-id", short(J.text_of(at(v, "lessonId")), 3))),
+            of_facts(facts),
+            codes(("key-terms-count", ~three), ("mc-count", ~four)),
+            *[J.once(at(v, name), lambda part, rest=rest: _part_issues(part, *rest)) for name, *rest in PARTS],
+            F.when(three, of_all(terms, "key-term", term_issues)).otherwise(empty),
+            F.when(four, J.once(known, lambda k: of_all(mc, "mc", lambda x: item_issues(x, k, True)))).otherwise(empty),
+            meta_phrases(F.to_json(v)),
+        )
+
+    lists = F.struct(items(at(v, "facts")).alias("facts"), items(at(v, "keyTerms")).alias("terms"), items(at(v, "mc")).alias("mc"))
+    return F.when(is_kind(v, "object"), J.once(lists, of_lists)).otherwise(F.array(F.lit("lesson-not-object")))
+
+
+def _sized(values: Column, n: int) -> Column:
+    return F.coalesce(F.size(values) == n, F.lit(False))
 
 
 def lesson_issues(v: Column) -> Column:
     """Issues of {"lessons": [lesson]}."""
-    lessons = items(at(v, "lessons"))
-    one = F.coalesce(F.size(lessons) == 1, F.lit(False))
-    return F.when(one, one_lesson(F.get(lessons, F.lit(0)))).otherwise(F.array(F.lit("lessons-count")))
+
+    def found(lessons: Column) -> Column:
+        return F.when(_sized(lessons, 1), J.once(F.get(lessons, F.lit(0)), one_lesson)).otherwise(F.array(F.lit("lessons-count")))
+
+    return J.once(items(at(v, "lessons")), found)
 
 
 def bundle_issues(v: Column) -> Column:
     """Issues of {"mcItems": [...], "keyTerms": [...]}."""
-    mc, terms = items(at(v, "mcItems")), items(at(v, "keyTerms"))
     some = lambda x: F.coalesce(F.size(x) > 0, F.lit(False))
     return F.concat(
-        F.when(some(mc), of_all(mc, "mc", item_issues)).otherwise(F.array(F.lit("bundle-mc-count"))),
-        F.when(some(terms), of_all(terms, "key-term", term_issues)).otherwise(F.array(F.lit("bundle-key-term-count"))),
+        J.once(items(at(v, "mcItems")), lambda mc: F.when(some(mc), of_all(mc, "mc", item_issues)).otherwise(F.array(F.lit("bundle-mc-count")))),
+        J.once(items(at(v, "keyTerms")), lambda terms: F.when(some(terms), of_all(terms, "key-term", term_issues)).otherwise(F.array(F.lit("bundle-key-term-count")))),
     )
 
 
@@ -154,7 +173,7 @@ def validate_responses(rows: DataFrame, kind: str = "kind", text: str = "text",
 
     The parsed response is a named column, so it is parsed once.
     """
-    parsed = rows.withColumns({"_bad": J.parse_codes(F.col(text)), "_v": J.value(F.col(text))})
+    parsed = rows.withColumn("_v", J.value(F.col(text))).withColumn("_bad", J.codes_of(F.col("_v")))
     v, bad = F.col("_v"), F.col("_bad")
     if len(kinds) == 1 and kinds[0] in ONE:
         issues = F.when(F.size(bad) > 0, bad).when(F.col(kind) == kinds[0], ONE[kinds[0]](v)).otherwise(F.array(F.lit("unknown-response-kind")))

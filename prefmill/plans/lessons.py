@@ -34,6 +34,11 @@ def quoted(expression: str) -> str:
     return f"concat('\"', {expression}, '\"')"
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels, dealt to all cores: a few bytes a row make few splits, and a lesson a row is much work."""
+    return table(spark, sf_dir, "labels").select("doc_id").repartition(4 * spark.sparkContext.defaultParallelism, "doc_id")
+
+
 # -- key terms --------------------------------------------------------------------
 
 DEFINED, CORRECTED = "concat('defines ', repeat('d', CAST(8 + doc_id % 9 AS INT)))", "concat('corrects ', repeat('c', CAST(5 + doc_id % 8 AS INT)))"
@@ -116,7 +121,7 @@ def _kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = f"CASE doc_id % 19 WHEN 5 THEN '{{\"lessons\":[]}}' ELSE {filled({'lessons': [LESSON]}, LESSON_MARKS)} END"
     oracle = json.dumps({"lessonId": "ald-x-0", "facts": FACTS})
     contract = F.when(F.col("doc_id") % 19 == 6, "x-lesson-kernel-json-v1").otherwise("lesson-kernel-json-v1")
-    rows = table(spark, sf_dir, "labels").select("doc_id", contract.alias("contract"), F.expr(answer).alias("answer"), F.lit(oracle).alias("oracle"))
+    rows = labels(spark, sf_dir).select("doc_id", contract.alias("contract"), F.expr(answer).alias("answer"), F.lit(oracle).alias("oracle"))
     return contracts.validate(rows, only=("lesson-kernel-json-v1",)).select("doc_id", F.array_join("issues", ",").alias("issues"))
 
 

@@ -23,3 +23,11 @@ def test_entry(spark):
 
     assert e.entry(spark).count() >= 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["lesson_kernels"])
+def test_lessons_are_read_once(spark, sf, name):
+    """A value that several rules ask of stands in the plan once, and the rows, few bytes each, are dealt to all cores."""
+    frame = QUERIES[name](spark, sf)
+    assert frame._jdf.queryExecution().analyzed().toString().count("schema_of_variant") < 200
+    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
