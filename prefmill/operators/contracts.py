@@ -205,18 +205,33 @@ def validate(
     return t.withColumn(out, issues).drop("_codes", "_v", "_o")
 
 
-def _set(text: Column, name: str, new: Column) -> Column:
-    """A JSON object text with one field replaced by JSON text; keys come out sorted."""
-    fields = F.map_filter(F.try_parse_json(text).try_cast("map<string,variant>"), lambda k, _: k != name)
+def _put(v: Column, name: str, new: Column) -> Column:
+    """The text of a JSON object with one field replaced by JSON text; keys come out sorted."""
+    fields = F.map_filter(v.try_cast("map<string,variant>"), lambda k, _: k != name)
     fields = F.map_concat(fields, F.create_map(F.lit(name), F.try_parse_json(new)))
     entries = F.transform(F.array_sort(F.map_entries(F.transform_values(fields, lambda _, x: F.to_json(x)))), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
     return F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
 
 
+def _set(text: Column, name: str, new: Column) -> Column:
+    return _put(F.try_parse_json(text), name, new)
+
+
 #: Fixed value: what the rejected lesson claims.
 UNSOUND = "An unsupported fact was added without a source."
 
 
+def _unsound(v: Column) -> Column:
+    """The text of an answer whose first lesson has UNSOUND as its first fact."""
+
+    def edited(lesson: Column) -> Column:
+        facts = at(lesson, "facts").try_cast("array<string>")
+        changed = J.once(facts, lambda x: F.to_json(F.concat(F.array(F.lit(UNSOUND)), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))))))
+        return _put(v, "lessons", F.concat(F.lit("["), _put(lesson, "facts", changed), F.lit("]")))
+
+    return J.once(J.get(v, "$.lessons[0]"), edited)
+
+
 def rejected(contract: Column, answer: Column, oracle: Column, kernels: tuple[str, ...] = KERNELS) -> Column:
     """The answer with one wrong edit, as JSON text with sorted keys; null for an unknown contract."""
     o, v = F.try_parse_json(oracle), F.try_parse_json(answer)
@@ -224,9 +239,6 @@ def rejected(contract: Column, answer: Column, oracle: Column, kernels: tuple[st
     first = F.array_min(F.map_keys(left))
     more = F.to_json(F.transform_values(left, lambda k, n: F.when(k == first, n + 1).otherwise(n)))
     eligible = at(o, "eligible").try_cast("boolean")
-    lesson = F.to_json(J.get(v, "$.lessons[0]"))
-    facts = J.get(v, "$.lessons[0].facts").try_cast("array<string>")
-    changed = F.to_json(F.concat(F.array(F.lit(UNSOUND)), F.slice(facts, 2, F.greatest(F.size(facts) - 1, F.lit(0)))))
     return (
         F.when(contract == "prerequisite-json-v1", _set(answer, "eligible", F.when(eligible, "false").otherwise("true")))
         .when(contract == "schedule-json-v1", _set(answer, "totalCredits", (at(o, "totalCredits").try_cast("bigint") + 3).cast("string")))
@@ -235,7 +247,7 @@ def rejected(contract: Column, answer: Column, oracle: Column, kernels: tuple[st
         .when(contract == "tutor-json-v1", _set(answer, "citations", F.lit('["invented-source"]')))
         .when(contract == "tool-call-json-v1", _set(answer, "answerDeferred", F.lit("false")))
         .when(contract == "safety-json-v1", _set(answer, "canHelpWith", F.lit("[]")))
-        .when(is_kernel(contract, kernels), _set(answer, "lessons", F.concat(F.lit("["), _set(lesson, "facts", changed), F.lit("]"))))
+        .when(is_kernel(contract, kernels), J.once(v, _unsound))
     )
 
 

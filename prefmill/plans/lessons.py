@@ -132,7 +132,7 @@ EDITED_CODES: Codes = [(c, "true" if c == "source-facts-changed" else on) for c,
 @query("rejected_lessons", f"SELECT doc_id, {told(EDITED_CODES, True)} AS issues FROM labels")
 def _edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     oracle = json.dumps({"lessonId": "ald-x-0", "facts": FACTS})
-    rows = table(spark, sf_dir, "labels").select(
+    rows = labels(spark, sf_dir).select(
         "doc_id", F.lit("lesson-kernel-json-v1").alias("contract"), F.expr(filled({"lessons": [LESSON]}, LESSON_MARKS)).alias("answer"), F.lit(oracle).alias("oracle")
     )
     found = contracts.construct_rejected(rows, only=("lesson-kernel-json-v1",))

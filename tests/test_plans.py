@@ -25,7 +25,7 @@ def test_entry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-@pytest.mark.parametrize("name", ["lesson_kernels"])
+@pytest.mark.parametrize("name", ["lesson_kernels", "rejected_lessons"])
 def test_lessons_are_read_once(spark, sf, name):
     """A value that several rules ask of stands in the plan once, and the rows, few bytes each, are dealt to all cores."""
     frame = QUERIES[name](spark, sf)
