@@ -48,6 +48,8 @@ PART, LOT, MOST = 1 << 22, 1 << 20, 512
 #: Hashes that an index entry carries of those before it.
 BEFORE = 64
 MOST_TASKS = 20000
+#: Bits of the filter of texts: so many for each node, between these powers of two, in pieces of PIECE bytes.
+NODE_BITS, LEAST_BITS, MOST_BITS, PIECE = 8, 16, 26, 1 << 12
 
 
 def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -206,6 +208,44 @@ def _shared(docs: DataFrame, text: str, shingle: int, least: int, bits: int) ->
     return dealt.mapInPandas(count, "ref bigint, k bigint").groupBy("ref").agg(F.sum("k").alias("k"))
 
 
+def _maybe(keys: DataFrame, key: str, bits: int):
+    """A test of a binary column that holds for all the keys and for few others: one of 2 ** bits bits, named by the first bytes of the key, is set."""
+
+    def spot(values: pd.Series) -> np.ndarray:
+        first = np.frombuffer(b"".join(v[:8] for v in values), "<u8")
+        return (first >> np.uint64(64 - bits)).astype(np.int64)
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            at = np.unique(spot(frame[key]))
+            yield pd.DataFrame({"piece": at // (8 * PIECE), "bit": at % (8 * PIECE)})
+
+    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pieces = []
+            for piece, own in frame.groupby("piece"):
+                on = np.zeros(8 * PIECE, np.uint8)
+                on[own["bit"].to_numpy()] = 1
+                pieces.append((piece, np.packbits(on).tobytes()))
+            yield pd.DataFrame(pieces, columns=["piece", "held"])
+
+    spark = keys.sparkSession
+    found = keys.select(key).mapInPandas(place, "piece bigint, bit bigint").repartition("piece").mapInPandas(fill, "piece bigint, held binary")
+    held = np.zeros(max(PIECE, 1 << (bits - 3)), np.uint8)
+    for piece, own in found.toLocalIterator():
+        held[piece * PIECE : (piece + 1) * PIECE] |= np.frombuffer(own, np.uint8)
+    sent = spark.sparkContext.broadcast(held.tobytes())
+
+    @F.pandas_udf("boolean")
+    def maybe(values: pd.Series) -> pd.Series:
+        if not len(values):
+            return pd.Series([], dtype=bool)
+        at, on = spot(values), np.frombuffer(sent.value, np.uint8)
+        return pd.Series((on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+    return maybe
+
+
 def _lots(bodies: DataFrame, shingle: int) -> DataFrame:
     """bodies (nid, t) -> (lot, nids, sizes, hashes), written: the whole sets of some nodes in one row."""
 
@@ -326,7 +366,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
         rows = zip(left, n, right, m)
         return pd.Series([alike(np.frombuffer(a, "<u8"), x, np.frombuffer(b, "<u8"), y, least) for a, x, b, y in rows], dtype=bool)
 
-    met = pairs.join(sets.toDF("a", "na", "sa"), "a").join(sets.toDF("b", "nb", "sb"), "b")
+    # pairs are few bytes each; written, their size is known before any set moves, and of sets only those in a pair do
+    pairs = written(pairs.select("a", "b"), "pairs")
+    right = sets.toDF("b", "nb", "sb").join(pairs.select("b").distinct(), "b", "left_semi")
+    met = pairs.join(sets.toDF("a", "na", "sa"), "a").join(right, "b")
     return written(met.where(ok("sa", "na", "sb", "nb")).select("a", "b"), "verified")
 
 
@@ -507,7 +550,11 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
     left = nodes.join(k, "ref").where(F.col("k") >= need)
     left = written(left.select("g", "n", "dk", F.monotonically_increasing_id().alias("nid")), "nodes")
     body = text_or_empty(text)
-    bodies = docs.select(_key(key, body).alias("dk"), body.alias("t")).join(left.select("dk", "nid"), "dk").select("nid", "t")
+    # of the texts only those of nodes travel, and some few more; always by a shuffle, so that the cost grows evenly
+    most = math.ceil(math.log2(max(1, NODE_BITS * left.count())))
+    maybe = _maybe(left, "dk", min(MOST_BITS, max(LEAST_BITS, most)))
+    bodies = docs.select(_key(key, body).alias("dk"), body.alias("t")).where(maybe("dk"))
+    bodies = bodies.join(left.select("dk", "nid").hint("merge"), "dk").select("nid", "t")
     lots = _lots(bodies, shingle)
     size = left.agg(F.sum("n")).first()[0] or 0
     found = _links(_ordered(lots, least, _bits(size)), least)

@@ -239,3 +239,17 @@ def test_jaccard_join_of_odd_and_empty_tables(odd, none):
     got = jaccard_join.similar(odd).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == jaccard_groups(rows)[0]
     assert jaccard_join.similar(none).count() == 0
+
+
+def test_texts_of_no_node_stay_where_they_are(spark):
+    """The filter before the texts' shuffle holds for every node's key, and for few others."""
+    import hashlib
+
+    from prefmill.llm import jaccard_join
+
+    digests = [(i, hashlib.sha256(str(i).encode()).digest()) for i in range(20000)]
+    rows = spark.createDataFrame(digests, "i int, dk binary")
+    for bits in (16, 18):
+        maybe = jaccard_join._maybe(rows.where("i < 1000"), "dk", bits)
+        kept = {r["i"] for r in rows.where(maybe("dk")).collect()}
+        assert kept >= set(range(1000)) and len(kept) < 2000
