@@ -12,8 +12,8 @@ groups, which sizes and positions filter before their members are expanded and v
 3. ``_ordered``: the sets of the nodes left, written in lots; how many nodes hold each hash is
    counted by parts of the hash space and sent back to the lots that asked, which order, cut prefixes and name groups.
 4. ``_links``: every member meets the first of its group, every group the first groups of its index entries; then the
-   pairs of groups that components still hold apart, in full: an entry over ``MOST`` groups as pairs of chunks. A task verifies
-   its pairs itself and returns links alone, at most one for each two components it joins.
+   pairs of groups that components still hold apart, in full: an entry over ``MOST`` groups as pairs of chunks. Parities of
+   the sets, a bit or two a hash, rule out most pairs that are not alike before any set moves; a task verifies the others itself and returns links alone, at most one for each two components it joins.
 
 Links that would join what is joined already are not looked for, so a hot group of near copies costs
 a few links a member, not all pairs; no partner that would join anything is left out.
@@ -45,7 +45,7 @@ SHINGLE = 4
 LEAST = 85
 #: Hashes of one part, of one lot that a task sends, groups of one chunk of an index entry.
 PART, LOT, MOST = 1 << 22, 1 << 20, 512
-#: Hashes that an index entry carries of those before it.
+#: Hashes that an index entry, where it is looked at, gets of those before it.
 BEFORE = 64
 MOST_TASKS = 20000
 #: Bits of the filter of texts: so many for each node, between these powers of two, in pieces of PIECE bytes.
@@ -64,6 +64,25 @@ def alike(a: np.ndarray, n: int, b: np.ndarray, m: int, least: int = LEAST) -> b
     return both > 0 and 100 * both >= least * (n + m - both)
 
 
+def parities(h: np.ndarray, n: int) -> bytes:
+    """A bit for each low part of a hash: whether an odd number of the hashes have it. A power of two of bits, for a set of n hashes n at least."""
+    width = max(64, 1 << (n - 1).bit_length())
+    return np.packbits(np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def may_be_alike(x: bytes, n: int, y: bytes, m: int, alone: int, least: int = LEAST) -> bool:
+    """Whether sets of n and m hashes may be alike by their parities: as many hashes at least are in one of them only as bits differ,
+    and the ``alone`` ones that no other set holds."""
+    a, b = (int.from_bytes(z, "little") for z in (x, y))
+    wide, narrow = 8 * max(len(x), len(y)), 8 * min(len(x), len(y))
+    if len(x) < len(y):
+        a, b = b, a
+    while wide > narrow:
+        wide //= 2
+        a = (a >> wide) ^ (a & ((1 << wide) - 1))
+    return ((a ^ b).bit_count() + alone) * (100 + least) <= (100 - least) * (n + m)
+
+
 def _spare(n: Column | int | np.ndarray, least: int):
     """How many hashes of n a partner may lack: n - ceil(n * least / 100)."""
     return F.floor(n * (100 - least) / 100) if isinstance(n, Column) else n * (100 - least) // 100
@@ -268,8 +287,8 @@ def _lots(bodies: DataFrame, shingle: int) -> DataFrame:
 
 
 def _ordered(lots: DataFrame, least: int, bits: int) -> DataFrame:
-    """lots -> (nid, n, alone, prefix, grp, s), written: the hashes of the prefix that a second node has (from position ``alone`` on), the
-    group, and all hashes that a second node has."""
+    """lots -> (nid, n, alone, prefix, grp, bits, s), written: the hashes of the prefix that a second node has (from position ``alone`` on), the
+    group, and the parities and all of the hashes that a second node has."""
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -321,7 +340,7 @@ def _ordered(lots: DataFrame, least: int, bits: int) -> DataFrame:
                     continue
                 yield _prefixes(np.frombuffer(nids, "<i8"), np.frombuffer(sizes, "<i4"), np.frombuffer(hashes, "<u8"), known, least, bits)
 
-    ddl = "nid bigint, n int, alone int, prefix array<bigint>, grp binary, s binary"
+    ddl = "nid bigint, n int, alone int, prefix array<bigint>, grp binary, bits binary, s binary"
     # rows repeated as they are may stand in several lots
     return written(both.repartition("lot").sortWithinPartitions("lot", "kind").mapInPandas(order, ddl).dropDuplicates(["nid"]), "ordered")
 
@@ -349,8 +368,8 @@ def _prefixes(nids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, known: li
         prefix = h[np.lexsort((h, d))][: max(0, _spare(n, least) + 1 - alone)]
         if len(prefix):
             grp = xxh3_128_digest(np.int64(n).tobytes() + prefix.tobytes())
-            out.append((nid, n, alone, prefix.view(np.int64), grp, h.tobytes()))
-    return pd.DataFrame(out, columns=["nid", "n", "alone", "prefix", "grp", "s"])
+            out.append((nid, n, alone, prefix.view(np.int64), grp, parities(h, n), h.tobytes()))
+    return pd.DataFrame(out, columns=["nid", "n", "alone", "prefix", "grp", "bits", "s"])
 
 
 def _may(n: Column, at: Column, m: Column, bt: Column, least: int) -> Column:
@@ -358,8 +377,13 @@ def _may(n: Column, at: Column, m: Column, bt: Column, least: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * least) & (F.least(n - at, m - bt) * (100 + least) >= (n + m) * least)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets (nid, n, s) are alike, written."""
+def _verified(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) of nodes of ``_ordered`` whose sets are alike, written."""
+    marks, sets = nodes.select("nid", "n", "alone", "bits"), nodes.select("nid", "n", "s")
+
+    @F.pandas_udf("boolean")
+    def may(left: pd.Series, n: pd.Series, right: pd.Series, m: pd.Series, alone: pd.Series) -> pd.Series:
+        return pd.Series([may_be_alike(*row, least) for row in zip(left, n, right, m, alone)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def ok(left: pd.Series, n: pd.Series, right: pd.Series, m: pd.Series) -> pd.Series:
@@ -367,7 +391,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
         return pd.Series([alike(np.frombuffer(a, "<u8"), x, np.frombuffer(b, "<u8"), y, least) for a, x, b, y in rows], dtype=bool)
 
     # pairs are few bytes each; written, their size is known before any set moves, and of sets only those in a pair do
-    pairs = written(pairs.select("a", "b"), "pairs")
+    pairs = pairs.select("a", "b").join(marks.toDF("a", "na", "xa", "pa"), "a").join(marks.toDF("b", "nb", "xb", "pb"), "b")
+    pairs = written(pairs.where(may("pa", "na", "pb", "nb", F.col("xa") + F.col("xb"))).select("a", "b"), "pairs")
     right = sets.toDF("b", "nb", "sb").join(pairs.select("b").distinct(), "b", "left_semi")
     met = pairs.join(sets.toDF("a", "na", "sa"), "a").join(right, "b")
     return written(met.where(ok("sa", "na", "sb", "nb")).select("a", "b"), "verified")
@@ -387,29 +412,33 @@ def _links(nodes: DataFrame, least: int) -> DataFrame:
     members = nodes.select("nid", "n", "grp")
     groups = nodes.groupBy("grp").agg(F.min("nid").alias("first"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("prefix").alias("prefix"))
     groups = written(groups, "prefix-groups")
-    index = groups.select("grp", "first", "n", "alone", "prefix", F.posexplode("prefix").alias("i", "key"))
-    # what stands before a hash in the prefix, at most BEFORE hashes: a pair that shares one of them is looked at there
-    index = index.select("key", "grp", "first", "n", (F.col("alone") + F.col("i")).alias("at"), F.slice("prefix", F.lit(1), F.least("i", F.lit(BEFORE))).alias("before"))
-    heads = index.groupBy("key").agg(F.min(F.struct("grp", "first", "n", "at")).alias("h"), F.max("grp").alias("last")).where("h.grp <> last")
+    # groups are known by their first members; what an entry needs beside a hash and its position is fetched where it is looked at
+    index = groups.select("first", "n", "alone", F.posexplode("prefix").alias("i", "key")).select("key", "first", "n", (F.col("alone") + F.col("i")).alias("at"))
+    heads = index.groupBy("key").agg(F.min(F.struct("first", "n", "at")).alias("h"), F.max("first").alias("last")).where("h.first <> last")
     heads = heads.select("key", F.col("h.first").alias("head"), F.col("h.n").alias("hn"), F.col("h.at").alias("hat"))
-    entries = written(index.join(heads, "key"), "entries")
     c = F.col
-    near = entries.where((c("first") != c("head")) & _may(c("n"), c("at"), c("hn"), c("hat"), least))
+    near = index.join(heads, "key").where((c("first") != c("head")) & _may(c("n"), c("at"), c("hn"), c("hat"), least))
+    near = written(near.select(c("first").alias("a"), c("head").alias("b")).distinct(), "near")
     # every member and the first of its group, every group and one head; then the other heads that this left apart
     own = members.join(groups.where("size > 1").select("grp", "first"), "grp").where("nid <> first").select(c("nid").alias("a"), c("first").alias("b"))
-    links = _verified(own.unionByName(near.groupBy(c("first").alias("a")).agg(F.min("head").alias("b"))), sets, least)
+    links = _verified(own.unionByName(near.groupBy("a").agg(F.min("b").alias("b"))), nodes, least)
     found = _joined(links)
-    apart = near.select(c("first").alias("a"), c("head").alias("b")).distinct().join(_of(found, "a", "ca"), "a", "left").join(_of(found, "b", "cb"), "b", "left")
-    links = links.unionByName(_verified(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), sets, least))
+    apart = near.join(_of(found, "a", "ca"), "a", "left").join(_of(found, "b", "cb"), "b", "left")
+    links = links.unionByName(_verified(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), nodes, least))
     found = _joined(links)
     # entries and groups that still hold several components, in full: parts of groups by their first members, then the members
     at = written(members.join(_of(found, "nid", "c"), "nid", "left").select("nid", "grp", F.coalesce("c", "nid").alias("c")), "members")
     parts = written(at.groupBy("grp", "c").agg(F.min("nid").alias("rep"), F.count(F.lit(1)).alias("many")), "parts-of-groups")
-    rows = entries.select("key", "grp", F.col("n").alias("size"), "at", "before").join(parts, "grp")
-    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    rows = rows.join(written(mixed.select("key", "n"), "mixed"), "key").select(F.lit(0).alias("tab"), "key", "rep", "many", "size", "at", "before", "c", "n")
+    # what stands before a hash in the prefix, at most BEFORE hashes: a pair that shares one of them is looked at there
+    held = parts.join(groups.select("grp", "first", c("n").alias("size"), "alone", "prefix"), "grp")
+    held = written(held.withColumn("lead", F.slice("prefix", 1, BEFORE)), "parts-in-order")
+    index = held.select("rep", "first", "c", F.posexplode("prefix").alias("i", "key"))
+    mixed = index.groupBy("key").agg(*[f(x).alias(f"{k}_{x}") for x in ("first", "c") for k, f in (("lo", F.min), ("hi", F.max))], F.count(F.lit(1)).alias("n"))
+    mixed = written(mixed.where("lo_c <> hi_c AND lo_first <> hi_first").select("key", "n"), "mixed")
+    rows = index.select("key", "rep", "i").join(mixed, "key").join(held.select("rep", "many", "size", "alone", "lead", "c"), "rep")
+    rows = rows.select(F.lit(0).alias("tab"), "key", "rep", "many", "size", (c("alone") + c("i")).alias("at"), F.slice("lead", F.lit(1), F.least("i", F.lit(BEFORE))).alias("before"), "c", "n")
     split = parts.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    inner = parts.join(split, "grp").join(groups.select("grp", F.col("n").alias("size")), "grp")
+    inner = held.join(split, "grp")
     none = F.array().cast("array<bigint>")
     rows = rows.unionByName(inner.select(F.lit(1).alias("tab"), F.xxhash64("grp").alias("key"), "rep", "many", "size", F.lit(0).alias("at"), none.alias("before"), "c", "n"))
     dealt = deal(rows, F.xxhash64("rep", F.lit(13)), MOST).repartition(*TASK).sortWithinPartitions(*TASK, "side", "rep")
@@ -425,6 +454,13 @@ def _links(nodes: DataFrame, least: int) -> DataFrame:
             if len(i):
                 yield task.iloc[np.unique(np.r_[i, j])]
 
+    def ask_again(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for task in tasks(frames, 2048):
+            i, j = _candidates(task, least)
+            ok = _close(task, i, j, least)
+            if ok.any():
+                yield task.iloc[np.unique(np.r_[i[ok], j[ok]])][cols]
+
     def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for task in tasks(frames, 512):
             i, j = _candidates(task, least)
@@ -434,9 +470,16 @@ def _links(nodes: DataFrame, least: int) -> DataFrame:
 
     cols = [*TASK, "side", "rep", "many", "size", "at", "before", "c"]
     kinds = dict(dealt.dtypes)
-    asked = dealt.select(*cols).mapInPandas(ask, ", ".join(f"{x} {kinds[x]}" for x in cols))
-    full = written(asked, "asked").join(sets.select(F.col("nid").alias("rep"), "s"), "rep").repartition(*TASK).sortWithinPartitions(*TASK, "side", "rep")
-    told = written(full.mapInPandas(decide, "a bigint, b bigint, linked boolean"), "decided")
+    ddl = ", ".join(f"{x} {kinds[x]}" for x in cols)
+
+    def met(asked: DataFrame, *what: str) -> DataFrame:
+        mine = nodes.select(c("nid").alias("rep"), *what).join(asked.select("rep").distinct(), "rep", "left_semi")
+        return asked.join(mine, "rep").repartition(*TASK).sortWithinPartitions(*TASK, "side", "rep")
+
+    asked = written(dealt.select(*cols).mapInPandas(ask, ddl), "asked")
+    # the parities tell most pairs that are not alike before any set moves
+    asked = written(met(asked, "alone", "bits").mapInPandas(ask_again, ddl), "asked-again")
+    told = written(met(asked, "s").mapInPandas(decide, "a bigint, b bigint, linked boolean"), "decided")
     links = links.unionByName(told.where("linked").select("a", "b"))
     found = _joined(links)
     part = written(parts.join(_of(found, "rep", "now"), "rep", "left").withColumn("now", F.coalesce("now", "rep")), "parts-now")
@@ -513,6 +556,13 @@ def _candidates(task: pd.DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]
     return asks[i], lanes[j]
 
 
+def _close(task: pd.DataFrame, i: np.ndarray, j: np.ndarray, least: int) -> np.ndarray:
+    """Which pairs of a task may be alike by their parities, or stand for several pairs of members, of which these tell nothing."""
+    bits, n, alone, many = (task[k].tolist() for k in ("bits", "size", "alone", "many"))
+    rows = zip(i.tolist(), j.tolist())
+    return np.array([many[a] * many[b] > 1 or may_be_alike(bits[a], n[a], bits[b], n[b], alone[a] + alone[b], least) for a, b in rows], bool)
+
+
 def _decided(task: pd.DataFrame, sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, least: int) -> list[tuple[int, int, bool]]:
     """(a, b, True) for pairs that are alike and join what neither components nor earlier pairs join, (a, b, False) for those that stay
     apart where one stands for several members."""
